@@ -36,7 +36,8 @@ EMAIL_STANDARD = r"[^" + SPACE + r"]+@[^" + SPACE + r"]+\.[^" + SPACE + r"]+"
 EMAIL_EMBED = r"[^" + SPACE + r"]+@[^" + SPACE + r"]+"
 KEPT_PUNCT = r""".,!?:;'"()\-\[\]"""
 TAG = r"<[^>]+>"
-CAPS_WORD = r"(?<![" + WORD + r"])[A-Z]{3,}(?![" + WORD + r"])"
+RUNS = r"[" + WORD + r"]+|[^" + WORD + r"]+"
+CAPS_RUN = r"^[A-Z]{3,}$"
 # (?d): only "\n" ends a line for ".", as in Python
 REPEAT_RUN = r"(?d)(.)\1{3,}"
 
@@ -95,18 +96,14 @@ def strip_specials(c) -> Column:
 def lower_caps_words(c) -> Column:
     """Lower-case whole words made of 3+ ASCII capitals.
 
-    Spark has no replace-with-callback, so the text is cut at the matches
-    (``split``), the matches are extracted and lowered, and both lists are
-    zipped back together.  Rows without three consecutive capitals skip the
-    array work entirely.
+    Spark has no replace-with-callback.  The text is cut into maximal runs
+    of word and of non-word characters (together they are the whole text),
+    runs that are 3+ capitals are lowered, and the runs are joined again.
+    The input is read once, so the expression stays linear when Catalyst
+    inlines it.
     """
-    c = _c(c)
-    pieces = F.split(c, CAPS_WORD, -1)
-    words = F.concat(
-        F.transform(F.regexp_extract_all(c, F.lit(CAPS_WORD), 0), lambda w: F.lower(w)),
-        F.array(F.lit("")))
-    joined = F.array_join(F.zip_with(pieces, words, lambda a, b: F.concat(a, b)), "")
-    return F.when(c.rlike("[A-Z]{3}"), joined).otherwise(c)
+    runs = F.regexp_extract_all(_c(c), F.lit(RUNS), 0)
+    return F.array_join(F.transform(runs, lambda w: F.when(w.rlike(CAPS_RUN), F.lower(w)).otherwise(w)), "")
 
 
 def squeeze_repeats(c) -> Column:
@@ -121,60 +118,53 @@ def _is_null_marker(c: Column) -> Column:
 # -- full cleaners -------------------------------------------------------------
 
 def clean_text(c, policy: str = "standard") -> Column:
-    """Clean a text column with one of the three reference policies.
-
-    Null input is treated as the empty string.  The result is never null.
-    """
+    """Clean a text column with one of the three reference policies, as one
+    expression (every step reads its input once, so the expression is
+    linear in the number of steps).  On tables :func:`with_clean_text`
+    stages the steps.  Null input is treated as ''."""
     raw = F.coalesce(_c(c).cast("string"), F.lit(""))
+    t = raw
+    for step in _steps(policy):
+        t = step(t)
     if policy == "embed":
-        t = F.lower(raw)
-        t = strip_html(t)
-        t = mask_urls(t, "embed")
-        t = mask_emails(t, "embed")
-        t = squash_punctuation(t)
-        t = strip_specials(t)
-        return collapse_whitespace(t)
-    if policy not in ("standard", "extended"):
-        raise ValueError(f"unknown cleaning policy {policy!r}")
-    t = normalize_spaces(raw)
-    t = strip_html(t)
-    t = mask_urls(t, policy)
-    t = mask_emails(t, "standard")
-    t = squash_punctuation(t)
-    t = strip_specials(t)
-    t = lower_caps_words(t)
-    t = squeeze_repeats(t)
-    t = collapse_whitespace(t)
+        return t
     marker = (_is_null_marker(raw) if policy == "standard"
               else _is_null_marker(F.regexp_replace(raw, "^[" + SPACE + "]+|[" + SPACE + "]+$", "")))
     return F.when(marker, F.lit("")).otherwise(t)
 
 
+def _steps(policy: str):
+    """The cleaning steps of a policy as Column -> Column functions."""
+    if policy == "embed":
+        return [F.lower, strip_html, lambda c: mask_urls(c, "embed"), lambda c: mask_emails(c, "embed"),
+                squash_punctuation, strip_specials, collapse_whitespace]
+    if policy not in ("standard", "extended"):
+        raise ValueError(f"unknown cleaning policy {policy!r}")
+    return [normalize_spaces, strip_html, lambda c: mask_urls(c, policy), mask_emails,
+            squash_punctuation, strip_specials, lower_caps_words, squeeze_repeats, collapse_whitespace]
+
+
 def with_clean_text(df, in_col: str = "text", policy: str = "standard",
                     out_col: str = "text"):
-    """DataFrame form of :func:`clean_text` for large tables.
+    """DataFrame form of :func:`clean_text`, the one to use on tables.
 
-    The ALL-CAPS step reads its input four times; staging the steps in
-    separate projections lets Catalyst keep them apart (it does not inline a
-    projection when that would repeat a costly expression), so every regular
-    expression runs once per row.
+    Each step is its own projection and reads its input once, so whatever
+    Catalyst inlines (projection collapsing, predicate push-down) stays
+    linear in the number of steps.
     """
-    raw = "__clean_raw"
-    mid = "__clean_mid"
-    caps = "__clean_caps"
+    raw, t = "__clean_raw", "__clean_t"
     df = df.withColumn(raw, F.coalesce(F.col(in_col).cast("string"), F.lit("")))
-    if policy == "embed":
-        return df.withColumn(out_col, clean_text(F.col(raw), "embed")).drop(raw)
-    if policy not in ("standard", "extended"):
-        raise ValueError(f"unknown cleaning policy {policy!r}")
+    df = df.withColumn(t, F.col(raw))
+    for step in _steps(policy):
+        df = df.withColumn(t, step(F.col(t)))
     r = F.col(raw)
-    t = strip_specials(squash_punctuation(mask_emails(mask_urls(strip_html(normalize_spaces(r)), policy))))
-    marker = (_is_null_marker(r) if policy == "standard"
-              else _is_null_marker(F.regexp_replace(r, "^[" + SPACE + "]+|[" + SPACE + "]+$", "")))
-    df = df.withColumn(mid, F.when(marker, F.lit(None)).otherwise(t)).drop(raw)
-    df = df.withColumn(caps, lower_caps_words(F.col(mid))).drop(mid)
-    return (df.withColumn(out_col, F.coalesce(collapse_whitespace(squeeze_repeats(F.col(caps))), F.lit("")))
-              .drop(caps))
+    if policy == "standard":
+        marker = _is_null_marker(r)
+    elif policy == "extended":
+        marker = _is_null_marker(F.regexp_replace(r, "^[" + SPACE + "]+|[" + SPACE + "]+$", ""))
+    else:
+        marker = F.lit(False)
+    return df.withColumn(out_col, F.when(marker, F.lit("")).otherwise(F.col(t))).drop(raw, t)
 
 
 def word_count(c) -> Column:

@@ -18,6 +18,21 @@ def clean_reviews(df: DataFrame, policy: str = "standard", text_col: str = "text
     return with_clean_text(df, text_col, policy, out_col)
 
 
+def keep_where(df: DataFrame, cond) -> DataFrame:
+    """``filter(cond)`` written as a generator (explode of a 0/1-element
+    array).
+
+    A plain Filter on a cleaned column is pushed below the cleaning
+    projections with the whole cleaning expression copied into the
+    predicate, so every row would be cleaned twice.  A Generate is not
+    pushed down, and its input is not an attribute, so no filter is
+    inferred from it either: the cleaned text is computed once.
+    """
+    flag = "__keep_row"
+    gen = F.explode(F.when(cond, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>")))
+    return df.withColumn(flag, gen).drop(flag)
+
+
 # Minimum cleaned length per policy (fixed values of the reference):
 # standard keeps length >= 3, extended keeps stripped length > 3,
 # embed keeps length > 5; the runner keeps raw length > 5.
@@ -26,12 +41,12 @@ def valid_texts(df: DataFrame, policy: str = "standard", text_col: str = "text")
     out = clean_reviews(df, policy, text_col)
     t = F.col(text_col)
     if policy == "standard":
-        return out.filter(F.length(t) >= 3)
+        return keep_where(out, F.length(t) >= 3)
     if policy == "extended":
         stripped = F.regexp_replace(t, "^[" + SPACE + "]+|[" + SPACE + "]+$", "")
-        return out.filter(F.length(stripped) > 3)
+        return keep_where(out, F.length(stripped) > 3)
     if policy == "embed":
-        return out.filter(F.length(t) > 5)
+        return keep_where(out, F.length(t) > 5)
     raise ValueError(f"unknown policy {policy!r}")
 
 

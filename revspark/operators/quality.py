@@ -67,9 +67,10 @@ def duplicate_texts(df: DataFrame, text_col: str = "text", id_col: str = "id") -
     groups = (keyed.groupBy("h")
                    .agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
                    .filter(F.col("copies") > 1))
-    return (keyed.join(groups, "h")
-                 .filter(F.col("id") != F.col("first_id"))
-                 .select("id", "first_id", "copies"))
+    # null-safe equality: no ``isnotnull(h)`` is inferred and pushed below
+    # the cleaning projections (the digest is never null anyway)
+    j = keyed.join(groups.withColumnRenamed("h", "g"), F.col("h").eqNullSafe(F.col("g")))
+    return j.filter(F.col("id") != F.col("first_id")).select("id", "first_id", "copies")
 
 
 def label_distribution(df: DataFrame, label_col: str = "label") -> DataFrame:

@@ -31,6 +31,9 @@ R = 6
 # reference's max_iter counts liblinear coordinate-descent passes; L-BFGS /
 # OWL-QN converge in far fewer iterations, so the rule value is capped here.
 SPARK_MAX_ITER = 100
+# Fixed value: stopping tolerance of the linear SVM (liblinear's default).
+SVM_TOL = 1e-4
+ROWS_PER_PARTITION = 200_000
 
 
 # -- exact preparation steps ----------------------------------------------------------
@@ -123,15 +126,23 @@ def with_class_weights(df: DataFrame, label_col: str = "label") -> DataFrame:
     return df.join(F.broadcast(w), label_col)  # one row per class
 
 
+def _sized(df: DataFrame, n: int) -> DataFrame:
+    """Training frames are scanned once per optimiser iteration, and every
+    scan is one job: size partitions by rows (ROWS_PER_PARTITION each) so a
+    small frame is not spread over hundreds of near-empty tasks while a
+    large one still uses the whole cluster."""
+    return df.repartition(max(1, math.ceil(n / ROWS_PER_PARTITION)))
+
+
 def train_svm(train: DataFrame, vec_col: str = "embedding", label_col: str = "label",
               C: float = 1.0, max_iter: int = 10000) -> PipelineModel:
     n = train.count()
-    data = with_class_weights(_features(train, vec_col), label_col).withColumn(
-        "label_d", F.col(label_col).cast("double")).persist()
+    data = _sized(with_class_weights(_features(train, vec_col), label_col).withColumn(
+        "label_d", F.col(label_col).cast("double")), n).persist()
     try:
         svc = LinearSVC(featuresCol="features", labelCol="label_d", weightCol="weight",
                         regParam=1.0 / (C * max(n, 1)), maxIter=min(max_iter, SPARK_MAX_ITER),
-                        standardization=False)
+                        tol=SVM_TOL, standardization=False)
         pipe = Pipeline(stages=[StandardScaler(inputCol="features_raw", outputCol="features",
                                                withMean=True, withStd=True), svc])
         return pipe.fit(data)
@@ -141,9 +152,10 @@ def train_svm(train: DataFrame, vec_col: str = "embedding", label_col: str = "la
 
 def train_mlp(train: DataFrame, hidden: list[int], vec_col: str = "embedding", label_col: str = "label",
               max_iter: int = 50, block_size: int = 32, seed: int = 42) -> PipelineModel:
-    first = train.select(F.size(vec_col).alias("d")).first()
-    d = int(first["d"]) if first else 0
-    data = _features(train, vec_col).withColumn("label_d", F.col(label_col).cast("double")).persist()
+    st = train.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vec_col)).alias("d")).first()
+    d = int(st["d"] or 0)
+    data = _sized(_features(train, vec_col).withColumn("label_d", F.col(label_col).cast("double")),
+                  int(st["n"])).persist()
     try:
         mlp = MultilayerPerceptronClassifier(featuresCol="features", labelCol="label_d",
                                              layers=[d, *hidden, 2], maxIter=min(max_iter, SPARK_MAX_ITER),
@@ -190,5 +202,3 @@ def save_model(model: PipelineModel, path: str) -> None:
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
-
-_unused = (math,)

@@ -16,8 +16,28 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "benchmark", "labels", "conversations")
 
 
+# Tables whose rows carry long texts: per-row work on them is CPU heavy.
+TEXT_TABLES = {"documents", "pages", "conversations", "benchmark"}
+
+
+def balanced(df: DataFrame) -> DataFrame:
+    """Spread a scan over the cluster when it yields fewer input partitions
+    than task slots (e.g. a file written as one row group).
+
+    The check only plans the scan (no job).  At scale the scan already has
+    more splits than slots and nothing is added; otherwise a round-robin
+    repartition lets every core clean its share of the texts.  Filters and
+    column pruning still reach the scan below it.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return balanced(df) if name in TEXT_TABLES else df
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
