@@ -34,6 +34,7 @@ SPARK_MAX_ITER = 100
 # Fixed value: stopping tolerance of the linear SVM (liblinear's default).
 SVM_TOL = 1e-4
 ROWS_PER_PARTITION = 200_000
+MIN_ROWS_PER_PARTITION = 500
 
 
 # -- exact preparation steps ----------------------------------------------------------
@@ -128,10 +129,14 @@ def with_class_weights(df: DataFrame, label_col: str = "label") -> DataFrame:
 
 def _sized(df: DataFrame, n: int) -> DataFrame:
     """Training frames are scanned once per optimiser iteration, and every
-    scan is one job: size partitions by rows (ROWS_PER_PARTITION each) so a
-    small frame is not spread over hundreds of near-empty tasks while a
-    large one still uses the whole cluster."""
-    return df.repartition(max(1, math.ceil(n / ROWS_PER_PARTITION)))
+    scan is one job.  Partitions hold at most ROWS_PER_PARTITION rows (large
+    frames use the whole cluster) and at least MIN_ROWS_PER_PARTITION rows
+    (small frames are not spread over hundreds of near-empty tasks), but a
+    small frame still uses every task slot, since gradient work per row is
+    large for the MLP."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    parts = max(min(slots, math.ceil(n / MIN_ROWS_PER_PARTITION)), math.ceil(n / ROWS_PER_PARTITION), 1)
+    return df.repartition(parts)
 
 
 def train_svm(train: DataFrame, vec_col: str = "embedding", label_col: str = "label",

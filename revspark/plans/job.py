@@ -14,9 +14,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import detection, embedding, evaluation, filters, modes, splits, training
+from ..session import ensure_checkpoint_dir
 
 
 def run_job(raw: DataFrame, key: str, models=("mlp", "svm")) -> dict[str, DataFrame]:
+    # Lineage is cut twice with reliable checkpoints in the shared folder
+    # (``spark.checkpoint.dir``; a scratch folder only when it is unset):
+    # after the split (read by the profile, the embeddings and the models)
+    # and after joining the vectors (scanned once per optimiser iteration).
+    # A lost executor then recomputes from the checkpoint, not from the
+    # raw texts.
+    ensure_checkpoint_dir(raw.sparkSession)
     det = detection.detect_columns(raw, key)
     picks = {r["role"]: r["column"] for r in det.filter(F.col("rank") == 1).collect()}  # <= 2 rows
     if "text" not in picks:
@@ -25,11 +33,11 @@ def run_job(raw: DataFrame, key: str, models=("mlp", "svm")) -> dict[str, DataFr
     base = raw.select(F.col(key).alias("id"), F.col(f"`{text_col}`").alias("text"),
                       (F.col(f"`{label_col}`") if label_col else F.lit(None)).alias("label_raw"))
     processed = filters.with_labels(filters.valid_texts(base, "standard"), "standard").select("id", "text", "label")
-    split = splits.split(processed, "standard")
+    split = splits.split(processed, "standard").checkpoint()
     profile = modes.split_profile(split)
     emb_text = filters.clean_reviews(split.select("id", "text"), "embed")
     vectors = embedding.hash_embeddings(emb_text)
-    data = split.join(vectors, "id").select("id", "label", "split", "embedding")
+    data = split.join(vectors, "id").select("id", "label", "split", "embedding").checkpoint()
     train = filters.labelled_only(data.filter(F.col("split") == "train"))
     test = filters.labelled_only(data.filter(F.col("split") == "test"))
     out = {"detection": det, "processed": processed, "splits": split, "profile": profile,
