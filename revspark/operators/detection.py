@@ -236,3 +236,22 @@ def detect_columns_simple(df: DataFrame, key: str) -> DataFrame:
 
 
 _unused = (SPACE,)
+
+
+def resolve_columns(df: DataFrame, key: str, force_text: str | None = None, force_label: str | None = None,
+                    policy: str = "standard") -> dict:
+    """Text / label columns to use: forced names win (confidence 100), else
+    the best detected candidates.  A forced or detected text column that is
+    not in the table raises ``ValueError`` listing the available columns."""
+    if force_text or force_label:
+        picks = {"text": force_text, "label": force_label}
+    else:
+        best = detect_columns(df, key, policy).filter(F.col("rank") == 1).select("role", "column").collect()
+        picks = {r["role"]: r["column"] for r in best}  # at most two rows
+    text = picks.get("text")
+    if not text or text not in df.columns:
+        raise ValueError(f"No valid text column found. Available columns: {list(df.columns)}")
+    label = picks.get("label")
+    if label is not None and label not in df.columns:
+        raise ValueError(f"Label column {label!r} not found. Available columns: {list(df.columns)}")
+    return {"text": text, "label": label}

@@ -108,3 +108,15 @@ def has_labels(df: DataFrame, label_col: str = "label_raw") -> DataFrame:
     ).select("n_rows", "n_labelled", "n_distinct",
              (F.col("n_labelled") > 0).alias("has_labels"),
              (F.col("n_distinct") <= 10).alias("categorical"))
+
+
+def require_rows(df: DataFrame, minimum: int = 3) -> int:
+    """Action-time guard of the validators: fail when fewer than ``minimum``
+    rows survive cleaning (``minimum=1``: when none survive).  Returns the
+    row count (one count job)."""
+    n = df.count()
+    if n < minimum:
+        if minimum <= 1:
+            raise ValueError("No valid text data found after cleaning")
+        raise ValueError(f"Dataset too small ({n} samples). Minimum required: {minimum}")
+    return n

@@ -17,7 +17,8 @@ from ..operators import detection, embedding, evaluation, filters, modes, splits
 from ..session import ensure_checkpoint_dir
 
 
-def run_job(raw: DataFrame, key: str, models=("mlp", "svm")) -> dict[str, DataFrame]:
+def run_job(raw: DataFrame, key: str, models=("mlp", "svm"), force_text: str | None = None,
+            force_label: str | None = None) -> dict[str, DataFrame]:
     # Lineage is cut twice with reliable checkpoints in the shared folder
     # (``spark.checkpoint.dir``; a scratch folder only when it is unset):
     # after the split (read by the profile, the embeddings and the models)
@@ -26,9 +27,8 @@ def run_job(raw: DataFrame, key: str, models=("mlp", "svm")) -> dict[str, DataFr
     # raw texts.
     ensure_checkpoint_dir(raw.sparkSession)
     det = detection.detect_columns(raw, key)
-    picks = {r["role"]: r["column"] for r in det.filter(F.col("rank") == 1).collect()}  # <= 2 rows
-    if "text" not in picks:
-        raise ValueError(f"no text column among {raw.columns}")
+    picks = detection.resolve_columns(raw.drop(key), key, force_text, force_label) \
+        if (force_text or force_label) else detection.resolve_columns(raw, key)
     text_col, label_col = picks["text"], picks.get("label")
     base = raw.select(F.col(key).alias("id"), F.col(f"`{text_col}`").alias("text"),
                       (F.col(f"`{label_col}`") if label_col else F.lit(None)).alias("label_raw"))

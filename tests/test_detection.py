@@ -32,3 +32,10 @@ def test_simple_detection(spark):
     df = spark.createDataFrame([(10, "x" * 20, "0"), (20, "y", "1")], "k long, c1 string, c2 string")
     got = {r["role"]: r["column"] for r in D.detect_columns_simple(df, "k").collect()}
     assert got == {"text": "c1", "label": "c2"}
+
+
+def test_forced_columns(spark):
+    df = spark.createDataFrame([(1, "some text here", "1")], "k long, body string, y string")
+    assert D.resolve_columns(df, "k", force_text="body", force_label="y") == {"text": "body", "label": "y"}
+    with pytest.raises(ValueError, match="Available columns"):
+        D.resolve_columns(df, "k", force_text="missing")

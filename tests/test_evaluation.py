@@ -32,3 +32,13 @@ def test_quality_band(spark):
                                     "model string, accuracy double, f1_weighted double")
     got = {r["model"]: r["band"] for r in EV.quality_band(metrics).collect()}
     assert got == {"a": "excellent", "b": "sufficient", "c": "needs_improvement"}
+
+
+def test_min_rows_guard(spark):
+    from revspark.operators.quality import require_rows
+    df = spark.createDataFrame([(1, "abc"), (2, "def")], "id long, text string")
+    with pytest.raises(ValueError, match="too small"):
+        require_rows(df, 3)
+    assert require_rows(df, 1) == 2
+    with pytest.raises(ValueError, match="No valid text"):
+        require_rows(df.filter("id > 5"), 1)

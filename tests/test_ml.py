@@ -49,3 +49,14 @@ def test_clean_labels(spark):
     df = spark.createDataFrame([(1, -1), (2, 0), (3, 4), (4, 9)], "id long, label int")
     got = sorted((r["id"], r["label"]) for r in TR.clean_labels(df).collect())
     assert got == [(1, 0), (2, 0), (3, 1), (4, 1)]
+
+
+def test_embeddings_not_recreated_unless_forced(spark, tmp_dir):
+    import pytest
+    from revspark.sources import sinks
+    df = spark.createDataFrame([(1, [0.1, 0.2], 1)], "id long, embedding array<float>, label int")
+    path = f"{tmp_dir}/emb"
+    sinks.write_embeddings(df, path)
+    with pytest.raises(Exception):
+        sinks.write_embeddings(df, path)  # exists: kept
+    assert sinks.write_embeddings(df, path, mode="overwrite").count() == 1
