@@ -27,8 +27,7 @@ def run_job(raw: DataFrame, key: str, models=("mlp", "svm"), force_text: str | N
     # raw texts.
     ensure_checkpoint_dir(raw.sparkSession)
     det = detection.detect_columns(raw, key)
-    picks = detection.resolve_columns(raw.drop(key), key, force_text, force_label) \
-        if (force_text or force_label) else detection.resolve_columns(raw, key)
+    picks = detection.resolve_columns(raw, key, force_text, force_label)
     text_col, label_col = picks["text"], picks.get("label")
     base = raw.select(F.col(key).alias("id"), F.col(f"`{text_col}`").alias("text"),
                       (F.col(f"`{label_col}`") if label_col else F.lit(None)).alias("label_raw"))
