@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import SPACE, WORD, word_count
+from ..functions.text import WORD, word_count
 
 # Name candidates and their scores, in the reference's order.
 TEXT_CANDIDATES = [
@@ -206,7 +206,6 @@ def detect_columns_simple(df: DataFrame, key: str) -> DataFrame:
     text = by_name(SIMPLE_TEXT_NAMES)
     label = by_name(SIMPLE_LABEL_NAMES)
     rows = []
-    text_expr = F.lit(text)
     if text is None:
         # first string column whose first row (by key) is longer than 10
         first = df.orderBy(F.col(key)).limit(1)
@@ -235,8 +234,6 @@ def detect_columns_simple(df: DataFrame, key: str) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
-_unused = (SPACE,)
-
 
 def resolve_columns(df: DataFrame, key: str, force_text: str | None = None, force_label: str | None = None,
                     policy: str = "standard") -> dict:

@@ -25,6 +25,8 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 SEED = "42"
 ROWS_PER_BUCKET = 1_000_000
 
@@ -107,24 +109,29 @@ def _rank_key(id_col: str):
 
 def ranked(df: DataFrame, stratum, id_col: str = "id", n_rows: int | None = None,
            rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Add ``rank`` (0-based) of each row inside ``stratum`` by (md5, id)."""
+    """Add ``rank`` (0-based) of each row inside ``stratum`` by (md5, id).
+
+    Rows are ranked inside (stratum, bucket); the bucket sizes are read off
+    the ranked rows (an aggregate on the same partitioning, no new
+    shuffle), turned into offsets over the small (strata x buckets) table
+    and broadcast back.  The input is read by both branches; :func:`split`
+    checkpoints it first so it is computed once.
+    """
     n_rows = n_rows if n_rows is not None else df.count()
     nb = max(1, math.ceil(n_rows / rows_per_bucket))
-    h = _rank_key(id_col)
-    x = (df.withColumn("__h", h)
+    x = (df.withColumn("__h", _rank_key(id_col))
            .withColumn("__s", stratum)
            .withColumn("__b", (F.conv(F.substring("__h", 1, 8), 16, 10).cast("long") * nb
                                / F.lit(1 << 32)).cast("long")))
-    sizes = x.groupBy("__s", "__b").agg(F.count(F.lit(1)).alias("__n"))
-    # prefix sums over a table of (classes x buckets) rows
+    local = x.withColumn("__local", F.row_number().over(
+        Window.partitionBy("__s", "__b").orderBy("__h", F.col(id_col))))
+    sizes = local.groupBy("__s", "__b").agg(F.max("__local").alias("__n"))
     offs = sizes.withColumn("__off", F.coalesce(F.sum("__n").over(
         Window.partitionBy("__s").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    local = F.row_number().over(Window.partitionBy("__s", "__b").orderBy("__h", F.col(id_col)))
-    out = (x.withColumn("__local", local)
-             .join(F.broadcast(offs.select("__s", "__b", "__off")) if nb <= 4096 else offs.select("__s", "__b", "__off"),
-                   ["__s", "__b"])
-             .withColumn("rank", F.col("__off") + F.col("__local") - 1))
-    return out.drop("__h", "__b", "__local", "__off")
+    offs = offs.select("__s", "__b", "__off")
+    out = local.join(F.broadcast(offs) if nb <= 4096 else offs, ["__s", "__b"])
+    return (out.withColumn("rank", F.col("__off") + F.col("__local") - 1)
+               .drop("__h", "__b", "__local", "__off"))
 
 
 def _assign(spark: SparkSession, df: DataFrame, parts: dict, stratified: bool, names: list[str],
@@ -150,7 +157,7 @@ def class_counts(df: DataFrame, label_col: str = "label") -> list[tuple[int, int
 
 
 def split(df: DataFrame, policy: str = "standard", label_col: str = "label", id_col: str = "id",
-          rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+          rows_per_bucket: int = ROWS_PER_BUCKET, cut_lineage: bool = True) -> DataFrame:
     """Add a ``split`` column (train / val / test / inference) by ``policy``.
 
     * ``standard``: no valid label -> inference; n < 10: 70/30; n < 50:
@@ -159,8 +166,17 @@ def split(df: DataFrame, policy: str = "standard", label_col: str = "label", id_
       70/15/15; else 70/30 with val a copy of test; no fallback (error).
     * ``runner``: n >= 100 with labels -> 70/15/15, else inference.
     * ``train_val``: 80/20 train / val, stratified, random fallback.
+
+    The input is read three times (class counts, ranking, bucket sizes).
+    With ``cut_lineage`` it is first written once as a reliable checkpoint
+    in the shared folder (``spark.checkpoint.dir``), so upstream work such
+    as text cleaning runs once and a lost executor recomputes from the
+    checkpoint.
     """
     spark = df.sparkSession
+    if cut_lineage:
+        ensure_checkpoint_dir(spark)
+        df = df.checkpoint()
     counts = class_counts(df, label_col)
     n = sum(c for _, c in counts)
     has = any(lab in (0, 1) for lab, c in counts if c > 0)

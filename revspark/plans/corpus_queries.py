@@ -1,8 +1,6 @@
 """Queries of the corpus analytics (words, histogram, overview, previews)."""
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..functions.tokens import LETTERS, STOPWORDS
 from ..operators import corpus, filters
 from ..sources.tables import reviews
@@ -107,5 +105,3 @@ def review_preview(spark, sf):
 def preview_head(spark, sf):
     return filters.preview_head(processed(spark, sf), 10)
 
-
-_unused = (F,)

@@ -102,10 +102,6 @@ def _ordered(tbl):
     return run
 
 
-def _strip_key(df):
-    return df
-
-
 @query("detect_columns", _detect_sql("documents"))
 def detect_columns(spark, sf):
     df, key = _ordered("documents")(spark, sf)

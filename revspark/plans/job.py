@@ -21,8 +21,9 @@ def run_job(raw: DataFrame, key: str, models=("mlp", "svm"), force_text: str | N
             force_label: str | None = None) -> dict[str, DataFrame]:
     # Lineage is cut twice with reliable checkpoints in the shared folder
     # (``spark.checkpoint.dir``; a scratch folder only when it is unset):
-    # after the split (read by the profile, the embeddings and the models)
-    # and after joining the vectors (scanned once per optimiser iteration).
+    # the split checkpoints the cleaned rows it ranks, and the training
+    # frame is checkpointed after joining the vectors (it is scanned once
+    # per optimiser iteration).
     # A lost executor then recomputes from the checkpoint, not from the
     # raw texts.
     ensure_checkpoint_dir(raw.sparkSession)
@@ -32,7 +33,7 @@ def run_job(raw: DataFrame, key: str, models=("mlp", "svm"), force_text: str | N
     base = raw.select(F.col(key).alias("id"), F.col(f"`{text_col}`").alias("text"),
                       (F.col(f"`{label_col}`") if label_col else F.lit(None)).alias("label_raw"))
     processed = filters.with_labels(filters.valid_texts(base, "standard"), "standard").select("id", "text", "label")
-    split = splits.split(processed, "standard").checkpoint()
+    split = splits.split(processed, "standard")  # checkpoints its input
     profile = modes.split_profile(split)
     emb_text = filters.clean_reviews(split.select("id", "text"), "embed")
     vectors = embedding.hash_embeddings(emb_text)

@@ -7,7 +7,7 @@ from ..functions import text as T
 from ..functions.labels import normalize_label
 from ..operators import filters, quality
 from ..sources.tables import page_texts, reviews, table
-from .oracle_text import NULLS, SPACE, cleaned_cte, q, rr, single_step_sql
+from .oracle_text import SPACE, cleaned_cte, q, rr, single_step_sql
 from .registry import query
 
 R = 6  # rounding of floating results, same in Spark and SQL
@@ -147,9 +147,7 @@ def labelled_only(spark, sf):
 
 # -- dataset statistics (A1-A6, A18) ---------------------------------------------
 
-STD_CLEAN = cleaned_cte(REVIEWS_SQL.replace("coalesce(d.text, '') AS raw", "coalesce(d.text, '') AS raw")
-                        .replace("SELECT d.doc_id AS id,", "SELECT d.doc_id AS id,"), "standard",
-                        keep="id, label_raw")
+STD_CLEAN = cleaned_cte(REVIEWS_SQL, "standard", keep="id, label_raw")
 
 
 def _std_reviews(spark, sf):
@@ -238,5 +236,3 @@ def has_labels(spark, sf):
     df = filters.valid_texts_raw(reviews(spark, sf))
     return quality.has_labels(df, "label_raw")
 
-
-_unused = (NULLS,)
