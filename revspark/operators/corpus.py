@@ -76,11 +76,14 @@ def length_histogram(df: DataFrame, text_col: str = "text", bins: int = 50) -> D
     Edges run from min to max length; the last bin is closed on the right;
     if every text has the same length the range is widened by 0.5 on both
     sides.  Bin numbers are computed from integers, so no edge rounding can
-    move a value.  Two passes: a one-row min/max aggregate, then a grouped
-    count; empty bins are listed with ``n = 0``.
+    move a value.  One pass over the texts: rows are first counted per
+    length (partial aggregation; at most one row per distinct length), and
+    min / max / mean and the bins are computed on that small table.
     """
-    lens = df.select(F.length(F.col(text_col)).cast("long").alias("len"))
-    rng = lens.agg(F.min("len").alias("lo"), F.max("len").alias("hi"), F.avg("len").alias("mean"))
+    per_len = (df.select(F.length(F.col(text_col)).cast("long").alias("len"))
+                 .groupBy("len").agg(F.count(F.lit(1)).alias("c")))
+    rng = per_len.agg(F.min("len").alias("lo"), F.max("len").alias("hi"),
+                      (F.sum(F.col("len") * F.col("c")) / F.sum("c")).alias("mean"))
     lo, hi = F.col("lo"), F.col("hi")
     same = lo == hi
     # numpy widens a zero range to [v - 0.5, v + 0.5]; every value then
@@ -88,8 +91,8 @@ def length_histogram(df: DataFrame, text_col: str = "text", bins: int = 50) -> D
     b = F.when(same, F.lit(bins // 2)).otherwise(
         F.least(F.lit(bins - 1),
                 F.floor((F.col("len") - lo) * bins / (hi - lo)).cast("int")))
-    counted = (attach_row(lens, rng)
-                   .select(b.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n")))
+    counted = (attach_row(per_len, rng)
+                   .select(b.alias("bin"), "c").groupBy("bin").agg(F.sum("c").alias("n")))
     start = F.when(same, lo - 0.5).otherwise(lo.cast("double"))
     width = F.when(same, F.lit(1.0)).otherwise((hi - lo).cast("double")) / bins
     grid = rng.select(F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"),

@@ -22,7 +22,9 @@ GAP = 0.05
 def confusion_matrix(scored: DataFrame) -> DataFrame:
     """``(model, label, prediction, n)`` over the full 2 x 2 grid."""
     counts = scored.groupBy("model", "label", "prediction").agg(F.count(F.lit(1)).alias("n"))
-    grid = (scored.select("model").distinct()
+    # the model list comes from the (tiny) counts, so the scored rows are
+    # aggregated once; later uses of the counts share its exchange
+    grid = (counts.select("model").distinct()
                   .withColumn("label", F.explode(F.array(F.lit(0), F.lit(1))))
                   .withColumn("prediction", F.explode(F.array(F.lit(0), F.lit(1)))))
     return (grid.join(counts, ["model", "label", "prediction"], "left")

@@ -39,8 +39,9 @@ SCORED_SQL = (
 def scored(spark, sf):
     df = filters.normalize_label_filter(filters.valid_texts_raw(reviews(spark, sf)))
     test = splits.split(df.select("id", "label"), "runner").filter(F.col("split") == "test")
-    docs = filters.clean_reviews(table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text"))
-    x = test.join(docs, "id")
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    # join first, then clean: only the test rows are cleaned
+    x = filters.clean_reviews(test.join(docs, "id"))
     models = F.array(*[F.struct(F.lit(m).alias("model"), F.lit(o).alias("model_order")) for m, o in MODELS])
     x = x.withColumn("m", F.explode(models)).select("id", "label", "text", "m.model")
     p = F.round(F.when(F.col("model") == "rule_length", F.least(F.lit(1.0), F.length("text") / 1000.0))
