@@ -35,6 +35,8 @@ STANDARD_SMALL = [0.3]            # n < 10: train / test
 STANDARD_MEDIUM = [0.4, 0.5]      # n < 50: train / val / test
 STANDARD_LARGE = [0.3, 0.5]       # otherwise
 TRAIN_VAL = [0.2]
+SVM_MIN_SPLIT_ROWS = 20
+MLP_SMALL_VAL_ROWS = 5
 
 
 class StratifyError(ValueError):
@@ -157,7 +159,8 @@ def class_counts(df: DataFrame, label_col: str = "label") -> list[tuple[int, int
 
 
 def split(df: DataFrame, policy: str = "standard", label_col: str = "label", id_col: str = "id",
-          rows_per_bucket: int = ROWS_PER_BUCKET, cut_lineage: bool = True) -> DataFrame:
+          rows_per_bucket: int = ROWS_PER_BUCKET, cut_lineage: bool = True,
+          min_samples: int = 10) -> DataFrame:
     """Add a ``split`` column (train / val / test / inference) by ``policy``.
 
     * ``standard``: no valid label -> inference; n < 10: 70/30; n < 50:
@@ -165,7 +168,12 @@ def split(df: DataFrame, policy: str = "standard", label_col: str = "label", id_
     * ``extended``: n < 10 or no valid label -> inference; n >= 100:
       70/15/15; else 70/30 with val a copy of test; no fallback (error).
     * ``runner``: n >= 100 with labels -> 70/15/15, else inference.
-    * ``train_val``: 80/20 train / val, stratified, random fallback.
+    * ``train_val`` (SVM carve-out): 80/20 train / val, stratified, random
+      fallback; below 20 rows the first fifth by id is val.
+    * ``train_val_mlp``: labelled rows (label != -1) stratified 80/20 when
+      there are two classes and more than ``min_samples`` of them; else a
+      random 80/20 over all rows when ``n >= min_samples``; else all rows
+      train and the first 5 by id also form val.
 
     The input is read three times (class counts, ranking, bucket sizes).
     With ``cut_lineage`` it is first written once as a reliable checkpoint
@@ -205,6 +213,36 @@ def split(df: DataFrame, policy: str = "standard", label_col: str = "label", id_
         parts = _stratified(sorted(counts), STANDARD_LARGE)
         return _assign(spark, df, parts, True, three, label_col, id_col, rows_per_bucket)
     if policy == "train_val":
+        if n < SVM_MIN_SPLIT_ROWS:
+            # fewer than 20 rows: the first fifth (by id) is validation
+            return _first_rows(df, id_col, max(1, n // 5), copy=False)
         parts, strat = plan_quotas(counts, TRAIN_VAL)
         return _assign(spark, df, parts, strat, ["train", "val"], label_col, id_col, rows_per_bucket)
+    if policy == "train_val_mlp":
+        labelled = [(lab, c) for lab, c in counts if lab != -1 and c > 0]
+        n_lab = sum(c for _, c in labelled)
+        if len(labelled) > 1 and n_lab > min_samples:
+            parts = _stratified(sorted(labelled), TRAIN_VAL)
+            return _assign(spark, df.filter(F.col(label_col) != -1), parts, True, ["train", "val"],
+                           label_col, id_col, rows_per_bucket)
+        if n >= min_samples:
+            parts, _ = plan_quotas(counts, TRAIN_VAL, stratify=False)
+            return _assign(spark, df, parts, False, ["train", "val"], label_col, id_col, rows_per_bucket)
+        # very small: everything trains, the first 5 rows (by id) also validate
+        return _first_rows(df, id_col, min(MLP_SMALL_VAL_ROWS, n), copy=True)
     raise ValueError(f"unknown split policy {policy!r}")
+
+
+def _first_rows(df: DataFrame, id_col: str, k: int, copy: bool) -> DataFrame:
+    """Small-data carve-out: the first ``k`` rows by id are ``val``.
+
+    Only reached below 20 rows (SVM) or below ``min_samples`` rows (MLP), so
+    the global id order is over a bounded row count.  With ``copy`` the
+    rows stay in ``train`` as well.
+    """
+    first = F.row_number().over(Window.orderBy(F.col(id_col))) <= k
+    marked = df.withColumn("__first", first)
+    if copy:
+        return (marked.withColumn("split", F.lit("train")).drop("__first")
+                .unionByName(marked.filter("__first").withColumn("split", F.lit("val")).drop("__first")))
+    return marked.withColumn("split", F.when(F.col("__first"), "val").otherwise("train")).drop("__first")

@@ -113,3 +113,17 @@ def split_runner(spark, sf):
 def split_train_val(spark, sf):
     df = table(spark, sf, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
     return splits.split(df, "train_val").select("id", "label", "split")
+
+
+def _train_val_sql(src: str) -> str:
+    return (split_sql(src, "0.2", "NULL").replace("'test' END)", "'val' END)")
+            .replace("WHEN rs < qtrain + qval THEN 'val' ELSE 'val'", "ELSE 'val'")
+            .replace("WHEN rg < gt + gv THEN 'val' ELSE 'val'", "ELSE 'val'"))
+
+
+@query("split_train_val_mlp", _train_val_sql(f"SELECT * FROM ({PROCESSED_EXT}) WHERE label <> -1"))
+def split_train_val_mlp(spark, sf):
+    """MLP carve-out on extended-processed reviews: the labelled rows
+    (label != -1) are split 80/20, stratified."""
+    df = filters.with_labels(filters.valid_texts(reviews(spark, sf), "extended"), "extended")
+    return splits.split(df.select("id", "label"), "train_val_mlp")

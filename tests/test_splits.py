@@ -66,3 +66,16 @@ def test_disjoint_cover_and_bucket_independence(spark):
 
 def test_approximate_mode_ties_to_smaller_label():
     assert splits.approximate_mode([(0, 17), (1, 103)], 60) == {0: 9, 1: 51}
+
+
+def test_train_val_small_rules(spark):
+    svm = splits.split(_frame(spark, [0, 1] * 6), "train_val")       # 12 rows < 20
+    got = {r["split"]: r["n"] for r in svm.groupBy("split").agg(F.count("*").alias("n")).collect()}
+    assert got == {"val": 2, "train": 10}
+    assert {r["id"] for r in svm.filter("split = 'val'").collect()} == {0, 1}
+    mlp = splits.split(_frame(spark, [0, 1, 0, 1, 0, 1]), "train_val_mlp")   # 6 rows < min_samples
+    got = {r["split"]: r["n"] for r in mlp.groupBy("split").agg(F.count("*").alias("n")).collect()}
+    assert got == {"train": 6, "val": 5}
+    big = splits.split(_frame(spark, [0, 1, -1] * 20), "train_val_mlp")    # 40 labelled
+    got = {r["split"]: r["n"] for r in big.groupBy("split").agg(F.count("*").alias("n")).collect()}
+    assert got == {"train": 32, "val": 8}
