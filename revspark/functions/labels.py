@@ -29,9 +29,13 @@ NEGATIVE_STRICT = ["negative", "neg", "0"]
 REPLACE_MAP = {"positive": "1", "negative": "0", "pos": "1", "neg": "0"}
 
 # What Python's float() accepts (ASCII digits): sign, decimal or exponent
-# form, inf / infinity / nan.  Spark's cast accepts more (``5d``, hex
-# floats), so the text is checked before it is cast.
-DECIMAL_NUMBER = r"^[+-]?(?:(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf|infinity|nan)$"
+# form with single underscores between digits, inf / infinity / nan.
+# Spark's cast accepts more (``5d``, hex floats), so the text is checked
+# before it is cast.  (Non-ASCII decimal digits, which Python also accepts,
+# are out of contract: they map to -1.)
+DIGITS = r"[0-9](?:_?[0-9])*"
+DECIMAL_NUMBER = (r"^[+-]?(?:(?:" + DIGITS + r"(?:\.(?:" + DIGITS + r")?)?|\." + DIGITS + r")(?:e[+-]?"
+                  + DIGITS + r")?|inf|infinity|nan)$")
 
 
 def _c(c) -> Column:
@@ -52,7 +56,7 @@ def label_text(c) -> Column:
 
 
 def _numeric_rule(s: Column) -> Column:
-    num = s.try_cast("double")
+    num = F.regexp_replace(s, "_", "").try_cast("double")
     is_num = s.rlike(DECIMAL_NUMBER) & num.isNotNull()
     return (F.when(~is_num, F.lit(-1))
              .when(F.isnan(num), F.lit(-1))

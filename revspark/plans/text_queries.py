@@ -96,7 +96,9 @@ def valid_texts_raw(spark, sf):
 
 # -- labels (N1-N5, F7) --------------------------------------------------------
 
-LABEL_NUM = r"^[+-]?(?:(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf|infinity|nan)$"
+_D = r"[0-9](?:_?[0-9])*"
+LABEL_NUM = (r"^[+-]?(?:(?:" + _D + r"(?:\.(?:" + _D + r")?)?|\." + _D + r")(?:e[+-]?" + _D
+             + r")?|inf|infinity|nan)$")
 
 
 def _label_sql(policy: str, x: str = "label_raw") -> str:
@@ -113,7 +115,7 @@ def _label_sql(policy: str, x: str = "label_raw") -> str:
         neg = "('negative','neg','0','false','bad','dislike','hate','terrible')"
         null_v = -1
     k = rr(f"lower({s})", f"^[{SPACE}]+|[{SPACE}]+$", "")
-    num = f"TRY_CAST({k} AS DOUBLE)"
+    num = f"TRY_CAST(replace({k}, '_', '') AS DOUBLE)"
     return (f"CASE WHEN {x} IS NULL THEN {null_v} WHEN {k} IN {pos} THEN 1 WHEN {k} IN {neg} THEN 0 "
             f"WHEN {k} IN ('neutral','mixed','0.5') THEN 0 "
             f"WHEN NOT regexp_full_match({k}, {q(LABEL_NUM)}) OR {num} IS NULL THEN -1 "
