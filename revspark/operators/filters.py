@@ -67,7 +67,11 @@ def with_labels(df: DataFrame, policy: str = "extended", raw_col: str = "label_r
 
 def normalize_label_filter(df: DataFrame, raw_col: str = "label_raw",
                            out_col: str = "label") -> DataFrame:
-    """Runner rule: map the four label words, keep only values 0 and 1."""
+    """Runner rule: map the four label words, keep only values 0 and 1.
+
+    Values are compared as numbers, so a text label ``"1"`` is kept (a
+    CSV read by Spark is all strings; numeric label columns behave as in
+    the reference)."""
     mapped = replace_label_words(F.col(raw_col))
     num = mapped.try_cast("double")
     return (df.withColumn(out_col, num.cast("int"))

@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # remove checkpoint files of intermediate tables once they are unreachable
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
