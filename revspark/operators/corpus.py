@@ -19,8 +19,8 @@ def tokenize_words(df: DataFrame, text_col: str = "text", id_col: str = "id") ->
     """Per text: number of content words and of distinct content words."""
     w = content_words(F.col(text_col))
     return df.select(F.col(id_col).alias("id"),
-                     F.size(w).alias("n_words"),
-                     F.size(F.array_distinct(w)).alias("n_distinct_words"))
+                     F.size(w).cast("long").alias("n_words"),
+                     F.size(F.array_distinct(w)).cast("long").alias("n_distinct_words"))
 
 
 def word_frequencies(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -38,7 +38,7 @@ def top_words(df: DataFrame, text_col: str = "text", n: int = 15) -> DataFrame:
     freq = word_frequencies(df, text_col)
     top = freq.orderBy(F.col("n").desc(), F.col("word").asc()).limit(n)
     return top.select(
-        F.row_number().over(Window.orderBy(F.col("n").desc(), F.col("word").asc())).alias("rank"),
+        F.row_number().over(Window.orderBy(F.col("n").desc(), F.col("word").asc())).cast("long").alias("rank"),
         "word", "n")
 
 

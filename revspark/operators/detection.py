@@ -164,7 +164,7 @@ def detect_columns(df: DataFrame, key: str, policy: str = "standard") -> DataFra
                 .withColumn("rank", F.row_number().over(w))
                 .select("role", "column", "ordinal", F.round("name_score", 6).alias("name_score"),
                         F.round("content_score", 6).alias("content_score"),
-                        F.round("score", 6).alias("score"), "rank"))
+                        F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank")))
 
 
 def detect_fallback(df: DataFrame, key: str) -> DataFrame:

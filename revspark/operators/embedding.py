@@ -110,13 +110,13 @@ def embed_texts(df: DataFrame, text_col: str = "text", id_col: str = "id",
 def embedding_profile(emb: DataFrame, vec_col: str = "embedding") -> DataFrame:
     """Shape check of an embedding table: rows, min/max width, null vectors."""
     v = F.col(vec_col)
-    return emb.agg(F.count(F.lit(1)).alias("rows"), F.min(F.size(v)).alias("min_dim"),
-                   F.max(F.size(v)).alias("max_dim"),
+    return emb.agg(F.count(F.lit(1)).alias("rows"), F.min(F.size(v)).cast("long").alias("min_dim"),
+                   F.max(F.size(v)).cast("long").alias("max_dim"),
                    F.sum(F.when(v.isNull(), 1).otherwise(0)).alias("null_vectors"))
 
 
 def embedding_metadata(emb: DataFrame, vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """Per split: samples, dimension, labelled samples."""
     return emb.groupBy("split").agg(
-        F.count(F.lit(1)).alias("samples"), F.max(F.size(F.col(vec_col))).alias("dim"),
+        F.count(F.lit(1)).alias("samples"), F.max(F.size(F.col(vec_col))).cast("long").alias("dim"),
         F.sum(F.when(F.col(label_col).isin(0, 1), 1).otherwise(0)).alias("labelled"))

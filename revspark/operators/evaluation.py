@@ -138,11 +138,15 @@ def insights(metrics: DataFrame, model_order: DataFrame, test_rows: DataFrame) -
              .toDF("seq", "code", "value").filter(F.col("code").isNotNull()))
 
 
-def model_comparison(metrics: DataFrame) -> DataFrame:
-    """Metric rows side by side: ``(metric, <model columns>)`` via pivot."""
+def model_comparison(metrics: DataFrame, models: list[str] | None = None) -> DataFrame:
+    """Metric rows side by side: ``(metric, <model columns>)`` via pivot.
+
+    ``models`` fixes the output columns (a model without metrics gives
+    nulls); without it the models present in ``metrics`` are used."""
     long = metrics.select("model", F.explode(F.array(
         F.struct(F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value")),
         F.struct(F.lit("f1_weighted").alias("metric"), F.col("f1_weighted").alias("value")))).alias("m")
     ).select("model", "m.*")
-    models = [r[0] for r in metrics.select("model").distinct().orderBy("model").collect()]
+    if models is None:  # one row per model: a small collect
+        models = [r[0] for r in metrics.select("model").distinct().orderBy("model").collect()]
     return long.groupBy("metric").pivot("model", models).agg(F.first("value"))

@@ -41,8 +41,8 @@ def text_stats(df: DataFrame, text_col: str = "text") -> DataFrame:
         F.round(F.percentile("len", F.lit(0.5)), ROUND).alias("median_length"),
         F.round(F.avg("words"), ROUND).alias("avg_words"),
         F.round(F.percentile("words", F.lit(0.5)), ROUND).alias("median_words"),
-        F.min("len").alias("min_length"),
-        F.max("len").alias("max_length"))
+        F.min("len").cast("long").alias("min_length"),
+        F.max("len").cast("long").alias("max_length"))
 
 
 def quality_issues(df: DataFrame, text_col: str = "text") -> DataFrame:

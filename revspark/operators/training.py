@@ -113,7 +113,8 @@ def mlp_params(stats: DataFrame) -> DataFrame:
 
 
 def feature_stats(df: DataFrame, vec_col: str = "embedding") -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("total_samples"), F.max(F.size(vec_col)).alias("feature_dim"))
+    return df.agg(F.count(F.lit(1)).alias("total_samples"),
+                  F.max(F.size(vec_col)).cast("long").alias("feature_dim"))
 
 
 # -- Spark ML training ---------------------------------------------------------------

@@ -60,7 +60,7 @@ def vocabulary_stats(spark, sf):
 @query("session_overview",
        PROCESSED_SQL + f", a AS (SELECT count(*) AS total_reviews, "
        "count(*) FILTER (WHERE label = 1) AS positive_count, count(*) FILTER (WHERE label = 0) AS negative_count, "
-       f"coalesce(sum(len({WS_TOKENS_SQL})), 0) AS total_words FROM processed), "
+       f"CAST(coalesce(sum(len({WS_TOKENS_SQL})), 0) AS BIGINT) AS total_words FROM processed), "
        f"u AS (SELECT count(DISTINCT tok) AS unique_words FROM (SELECT unnest({WS_TOKENS_SQL}) AS tok FROM processed)) "
        "SELECT total_reviews, positive_count, negative_count, total_words, unique_words, "
        f"CASE WHEN positive_count > 0 AND negative_count > 0 THEN round(positive_count * 100.0 / (positive_count + negative_count), {R}) END AS pct_positive, "

@@ -80,7 +80,7 @@ def _detect_sql(tbl, policy="standard"):
         "UNION ALL SELECT nm.\"column\", nm.ordinal, 'label', label_name, "
         "CASE WHEN label_name = 0 THEN ls.content_score END FROM nm LEFT JOIN ls ON nm.\"column\" = ls.\"column\"), "
         "s AS (SELECT *, CASE WHEN name_score > 0 THEN name_score ELSE coalesce(content_score, 0.0) END AS score FROM b) "
-        "SELECT role, \"column\", CAST(ordinal AS INTEGER) AS ordinal, round(name_score, 6) AS name_score, "
+        "SELECT role, \"column\", CAST(ordinal AS INTEGER) AS ordinal, CAST(round(name_score, 6) AS DOUBLE) AS name_score, "
         "round(content_score, 6) AS content_score, round(score, 6) AS score, "
         "row_number() OVER (PARTITION BY role ORDER BY score DESC, ordinal) AS rank FROM s WHERE score > 0")
 
@@ -134,7 +134,7 @@ def label_content_score(spark, sf):
 def _fallback_sql(tbl):
     cols, key, str_cols = SCHEMAS[tbl]
     tot = " UNION ALL ".join(
-        f"SELECT {q(c)} AS \"column\", {i} AS ordinal, sum(length(coalesce(CAST(\"{c}\" AS VARCHAR), 'nan'))) AS total_chars FROM {tbl}"
+        f"SELECT {q(c)} AS \"column\", {i} AS ordinal, CAST(sum(length(coalesce(CAST(\"{c}\" AS VARCHAR), 'nan'))) AS BIGINT) AS total_chars FROM {tbl}"
         for i, c in enumerate(cols))
     firsts = " UNION ALL ".join(
         f"SELECT {q(c)} AS \"column\", avg(length(v)) AS a FROM (SELECT \"{c}\" AS v FROM {tbl} "

@@ -85,7 +85,7 @@ CLS_SQL = (f"WITH cm AS ({CM_SQL}), k AS (SELECT model, cl.c, "
            "cls AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) "
            "ELSE 0.0 END AS f1 FROM pr)")
 METRICS_SQL = (CLS_SQL + ", acc AS (SELECT model, sum(CASE WHEN label = prediction THEN n ELSE 0 END) / sum(n) AS accuracy "
-               "FROM cm GROUP BY model), w AS (SELECT model, sum(f1 * support) / sum(support) AS f1w, sum(support) AS n "
+               "FROM cm GROUP BY model), w AS (SELECT model, sum(f1 * support) / sum(support) AS f1w, CAST(sum(support) AS BIGINT) AS n "
                "FROM cls GROUP BY model) "
                f"SELECT w.model, 'test' AS eval_split, n, round(accuracy, {R}) AS accuracy, round(f1w, {R}) AS f1_weighted "
                "FROM w JOIN acc ON w.model = acc.model")
@@ -135,7 +135,7 @@ def quality_band(spark, sf):
        "SELECT 'f1_weighted', max(CASE WHEN model = 'rule_length' THEN f1_weighted END), "
        "max(CASE WHEN model = 'rule_words' THEN f1_weighted END) FROM m")
 def model_comparison(spark, sf):
-    return EV.model_comparison(EV.eval_metrics(scored(spark, sf)))
+    return EV.model_comparison(EV.eval_metrics(scored(spark, sf)), [m for m, _ in MODELS])
 
 
 @query("insights",

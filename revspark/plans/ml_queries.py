@@ -48,7 +48,7 @@ def embed_texts(spark, sf):
 
 @query("embedding_profile",
        "SELECT count(*) AS rows, min(len(embedding)) AS min_dim, max(len(embedding)) AS max_dim, "
-       "sum(CASE WHEN embedding IS NULL THEN 1 ELSE 0 END) AS null_vectors FROM embeddings")
+       "CAST(sum(CASE WHEN embedding IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_vectors FROM embeddings")
 def embedding_profile(spark, sf):
     return EM.embedding_profile(table(spark, sf, "embeddings"))
 
@@ -59,7 +59,7 @@ def join_embeddings_labels(spark, sf):
     e = table(spark, sf, "embeddings")
     x = e.select(F.col("vec_id").alias("id"), "embedding")
     y = e.select(F.col("vec_id").alias("id"), "label")
-    return x.join(y, "id").select("id", F.size("embedding").alias("dim"), "label")
+    return x.join(y, "id").select("id", F.size("embedding").cast("long").alias("dim"), "label")
 
 
 @query("clean_labels",
@@ -151,8 +151,8 @@ def svm_params(spark, sf):
        "h2 AS (SELECT *, list_transform(CASE WHEN feature_dim < 200 THEN list_transform(h0, lambda x: x // 2) "
        "WHEN feature_dim > 1000 THEN list_transform(h0, lambda x: x * 2) ELSE h0 END, lambda x: greatest(16, x)) AS hd FROM h) "
        "SELECT total_samples, feature_dim, array_to_string(hd, ',') AS hidden_dims, "
-       "round(CASE WHEN sm THEN 0.1 WHEN md THEN 0.2 WHEN lg THEN 0.4 ELSE 0.3 END + CASE WHEN feature_dim > 1000 THEN 0.1 ELSE 0 END, 6) AS dropout, "
-       "CASE WHEN sm THEN 0.01 ELSE 0.001 END AS learning_rate, "
+       "CAST(round(CASE WHEN sm THEN 0.1 WHEN md THEN 0.2 WHEN lg THEN 0.4 ELSE 0.3 END + CASE WHEN feature_dim > 1000 THEN 0.1 ELSE 0 END, 6) AS DOUBLE) AS dropout, "
+       "CAST(CASE WHEN sm THEN 0.01 ELSE 0.001 END AS DOUBLE) AS learning_rate, "
        "CAST(greatest(1, least(CASE WHEN sm THEN least(8, total_samples // 4) WHEN md THEN least(16, total_samples // 8) "
        "WHEN lg THEN 64 ELSE 32 END, total_samples // 4)) AS INTEGER) AS batch_size, "
        "CASE WHEN sm THEN 30 WHEN md THEN 40 WHEN lg THEN 100 ELSE 50 END AS epochs, "
@@ -190,7 +190,7 @@ def split_reviews(spark, sf):
 
 
 PROFILE_SQL = (f"SELECT split, count(*) AS samples, count(label) > 0 AS has_labels, "
-               "sum(CASE WHEN label IN (0, 1) THEN 1 ELSE 0 END) AS valid_labels, "
+               "CAST(sum(CASE WHEN label IN (0, 1) THEN 1 ELSE 0 END) AS BIGINT) AS valid_labels, "
                f"round(avg(length(text)), {R}) AS avg_text_length, "
                f"round(sum(CASE WHEN label IN (0, 1) THEN 1 ELSE 0 END) / count(*), {R}) AS label_ratio "
                f"FROM ({SPLIT_TEXT_SQL}) GROUP BY split")
@@ -308,7 +308,7 @@ def save_load_model(spark, sf):
        "k AS (SELECT count(DISTINCT label) AS k FROM b) , c AS (SELECT id, embedding, CASE WHEN k > 2 THEN "
        "CASE WHEN label > 0.5 THEN 1 ELSE 0 END ELSE label END AS label FROM b, k) "
        "SELECT 'all' AS split, count(*) AS samples, max(len(embedding)) AS dim, "
-       "sum(CASE WHEN label IN (0, 1) THEN 1 ELSE 0 END) AS labelled FROM c")
+       "CAST(sum(CASE WHEN label IN (0, 1) THEN 1 ELSE 0 END) AS BIGINT) AS labelled FROM c")
 def embedding_metadata(spark, sf):
     lab = TR.clean_labels(table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding", "label"))
     return EM.embedding_metadata(lab.withColumn("split", F.lit("all")))
