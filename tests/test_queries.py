@@ -45,3 +45,16 @@ def test_shuffle_partitions_independent(spark):
             assert sorted(map(tuple, q[k](spark, SF001).collect())) == first[k], k
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_input_order_independent(spark):
+    from revspark.operators import corpus, filters, splits
+    from revspark.sources.tables import reviews
+    base = filters.with_labels(filters.valid_texts(reviews(spark, SF001), "standard"), "standard")
+    shuffled = base.orderBy(F.col("id").desc()).repartition(5)
+    a = {r["id"]: r["split"] for r in splits.split(base.select("id", "label"), "standard").collect()}
+    b = {r["id"]: r["split"] for r in splits.split(shuffled.select("id", "label"), "standard").collect()}
+    assert a == b
+    wa = sorted(map(tuple, corpus.top_words(base).collect()))
+    wb = sorted(map(tuple, corpus.top_words(shuffled).collect()))
+    assert wa == wb
