@@ -32,8 +32,14 @@ NULL_MARKERS = ["null", "none", "nan", "n/a", "", " "]
 URL_STANDARD = r"http[s]?://[a-zA-Z0-9$-_@.&+!*\\(),]+"
 URL_EXTENDED = [r"http[s]?://[^" + SPACE + r"]+", r"www\.[^" + SPACE + r"]+"]
 URL_EMBED = r"(?:http|www|https)[^" + SPACE + r"]+"
-EMAIL_STANDARD = r"[^" + SPACE + r"]+@[^" + SPACE + r"]+\.[^" + SPACE + r"]+"
-EMAIL_EMBED = r"[^" + SPACE + r"]+@[^" + SPACE + r"]+"
+# An e-mail match always starts where a run of non-blanks starts (if a
+# suffix of the run matches, the whole run does, and the trailing greedy
+# part runs to the end of the run), so the look-behind changes no result;
+# it stops the engine from retrying at every character of long runs
+# (quadratic backtracking).
+_RUN_START = r"(?<![^" + SPACE + r"])"
+EMAIL_STANDARD = _RUN_START + r"[^" + SPACE + r"]+@[^" + SPACE + r"]+\.[^" + SPACE + r"]+"
+EMAIL_EMBED = _RUN_START + r"[^" + SPACE + r"]+@[^" + SPACE + r"]+"
 KEPT_PUNCT = r""".,!?:;'"()\-\[\]"""
 TAG = r"<[^>]+>"
 RUNS = r"[" + WORD + r"]+|[^" + WORD + r"]+"
