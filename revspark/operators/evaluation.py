@@ -81,20 +81,24 @@ def classification_report(scored: DataFrame) -> DataFrame:
 def best_model(metrics: DataFrame, model_order: DataFrame) -> DataFrame:
     """Best model by accuracy; the first listed model wins ties.
 
-    ``model_order``: ``(model, model_order)`` of all models found.
+    ``model_order``: ``(model, model_order)`` of all models found.  The
+    metrics (one row per model) are read once: rank and count come from
+    windows over that small table.
     """
+    everything = Window.partitionBy()
     ranked = (metrics.join(model_order, "model")
-                     .withColumn("r", F.row_number().over(Window.orderBy(F.col("accuracy").desc(),
-                                                                          F.col("model_order")))))
+                     .select("model", "accuracy", "f1_weighted",
+                             F.row_number().over(Window.orderBy(F.col("accuracy").desc(),
+                                                                F.col("model_order"))).alias("r"),
+                             F.count(F.lit(1)).over(everything).alias("models_evaluated")))
+    best = ranked.filter(F.col("r") == 1).select(
+        "models_evaluated", F.col("model").alias("best_model"),
+        F.col("accuracy").alias("best_accuracy"), F.col("f1_weighted").alias("best_f1"))
     found = model_order.agg(F.count(F.lit(1)).alias("models_found"))
-    evald = metrics.agg(F.count(F.lit(1)).alias("models_evaluated"))
-    best = ranked.filter(F.col("r") == 1).select(F.col("model").alias("best_model"),
-                                                 F.col("accuracy").alias("best_accuracy"),
-                                                 F.col("f1_weighted").alias("best_f1"))
     k = "__k"
-    return (found.withColumn(k, F.lit(1))
-                 .join(evald.withColumn(k, F.lit(1)), k)
-                 .join(best.withColumn(k, F.lit(1)), k, "left").drop(k))
+    out = found.withColumn(k, F.lit(1)).join(best.withColumn(k, F.lit(1)), k, "left").drop(k)
+    return out.select("models_found", F.coalesce("models_evaluated", F.lit(0)).alias("models_evaluated"),
+                      "best_model", "best_accuracy", "best_f1")
 
 
 def quality_band(metrics: DataFrame) -> DataFrame:
