@@ -157,7 +157,10 @@ def train_svm(train: DataFrame, vec_col: str = "embedding", label_col: str = "la
 
 
 def train_mlp(train: DataFrame, hidden: list[int], vec_col: str = "embedding", label_col: str = "label",
-              max_iter: int = 50, block_size: int = 32, seed: int = 42) -> PipelineModel:
+              max_iter: int = 50, block_size: int = 128, seed: int = 42) -> PipelineModel:
+    """MLP on the training frame.  L-BFGS is full-batch: the reference's
+    mini-batch size has no counterpart (``block_size`` only sets how many
+    rows are stacked into one matrix product)."""
     st = train.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vec_col)).alias("d")).first()
     d = int(st["d"] or 0)
     data = _sized(_features(train, vec_col).withColumn("label_d", F.col(label_col).cast("double")),

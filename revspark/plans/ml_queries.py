@@ -260,7 +260,7 @@ def _trained(spark, sf, kind):
     else:
         p = TR.mlp_params(spark.createDataFrame([(n, d)], "total_samples long, feature_dim int")).first()
         hidden = [int(x) for x in p["hidden_dims"].split(",")]
-        model = TR.train_mlp(tr, hidden, max_iter=p["epochs"], block_size=p["batch_size"])
+        model = TR.train_mlp(tr, hidden, max_iter=p["epochs"])
     return model, va
 
 
