@@ -28,16 +28,31 @@ POSITIVE_STRICT = ["positive", "pos", "1"]
 NEGATIVE_STRICT = ["negative", "neg", "0"]
 REPLACE_MAP = {"positive": "1", "negative": "0", "pos": "1", "neg": "0"}
 
-# What Python's float() accepts (ASCII digits): sign, decimal or exponent
-# form with single underscores between digits, inf / infinity / nan.
-# Spark's cast accepts more (``5d``, hex floats), so the text is checked
-# before it is cast.  (Non-ASCII decimal digits, which Python also accepts,
-# are out of contract: they map to -1.)
+# What Python's float() accepts: sign, decimal or exponent form with single
+# underscores between digits, inf / infinity / nan, and decimal digits of
+# any script (mapped to ASCII first, table below).  Spark's cast accepts
+# more (``5d``, hex floats), so the text is checked before it is cast.
 DIGITS = r"[0-9](?:_?[0-9])*"
 DECIMAL_NUMBER = (r"^[+-]?(?:(?:" + DIGITS + r"(?:\.(?:" + DIGITS + r")?)?|\." + DIGITS + r")(?:e[+-]?"
                   + DIGITS + r")?|inf|infinity|nan)$")
 
 
+def _decimal_digit_table() -> tuple[str, str]:
+    """Every Unicode decimal digit (category Nd) and its ASCII digit, built
+    from the Unicode database by rule rather than listed."""
+    import unicodedata
+    src, dst = [], []
+    for cp in range(0x80, 0x110000):
+        ch = chr(cp)
+        if unicodedata.category(ch) == "Nd":
+            src.append(ch)
+            dst.append(str(unicodedata.digit(ch)))
+    return "".join(src), "".join(dst)
+
+
+UNICODE_DIGITS, ASCII_DIGITS = _decimal_digit_table()
+
+
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -56,6 +71,7 @@ def label_text(c) -> Column:
 
 
 def _numeric_rule(s: Column) -> Column:
+    s = F.translate(s, UNICODE_DIGITS, ASCII_DIGITS)
     num = F.regexp_replace(s, "_", "").try_cast("double")
     is_num = s.rlike(DECIMAL_NUMBER) & num.isNotNull()
     return (F.when(~is_num, F.lit(-1))

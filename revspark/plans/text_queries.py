@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.labels import normalize_label
+from ..functions.labels import ASCII_DIGITS, UNICODE_DIGITS, normalize_label
 from ..operators import filters, quality
 from ..sources.tables import page_texts, reviews, table
 from .oracle_text import SPACE, cleaned_cte, q, rr, single_step_sql
@@ -115,10 +115,11 @@ def _label_sql(policy: str, x: str = "label_raw") -> str:
         neg = "('negative','neg','0','false','bad','dislike','hate','terrible')"
         null_v = -1
     k = rr(f"lower({s})", f"^[{SPACE}]+|[{SPACE}]+$", "")
-    num = f"TRY_CAST(replace({k}, '_', '') AS DOUBLE)"
+    kn = f"translate({k}, {q(UNICODE_DIGITS)}, {q(ASCII_DIGITS)})"
+    num = f"TRY_CAST(replace({kn}, '_', '') AS DOUBLE)"
     return (f"CASE WHEN {x} IS NULL THEN {null_v} WHEN {k} IN {pos} THEN 1 WHEN {k} IN {neg} THEN 0 "
             f"WHEN {k} IN ('neutral','mixed','0.5') THEN 0 "
-            f"WHEN NOT regexp_full_match({k}, {q(LABEL_NUM)}) OR {num} IS NULL THEN -1 "
+            f"WHEN NOT regexp_full_match({kn}, {q(LABEL_NUM)}) OR {num} IS NULL THEN -1 "
             f"WHEN isnan({num}) THEN -1 WHEN {num} > 0.5 THEN 1 ELSE 0 END")
 
 

@@ -11,7 +11,7 @@ GOLDEN = [
     ("terrible", -1, 0, -1), ("neutral", 0, 0, -1), ("mixed", 0, 0, -1), ("0.5", 0, 0, -1),
     ("1.0", 1, 1, -1), ("5", 1, 1, -1), ("0.51", 1, 1, -1), ("inf", 1, 1, -1), ("TRUE", 1, 1, -1),
     ("-1", 0, 0, -1), ("nan", -1, -1, -1), ("yes", -1, -1, -1), ("", -1, -1, -1),
-    ("5d", -1, -1, -1), ("0x1p3", -1, -1, -1), ("1_0", 1, 1, -1), ("1__0", -1, -1, -1), ("0_2", 1, 1, -1),
+    ("5d", -1, -1, -1), ("0x1p3", -1, -1, -1), ("1_0", 1, 1, -1), ("1__0", -1, -1, -1), ("١٢", 1, 1, -1), ("٠", 0, 0, -1), ("0_2", 1, 1, -1),
 ]
 
 
