@@ -238,17 +238,34 @@ def detect_columns_simple(df: DataFrame, key: str) -> DataFrame:
 def resolve_columns(df: DataFrame, key: str, force_text: str | None = None, force_label: str | None = None,
                     policy: str = "standard") -> dict:
     """Text / label columns to use: forced names win (confidence 100), else
-    the best detected candidates.  A forced or detected text column that is
-    not in the table raises ``ValueError`` listing the available columns."""
+    the best detected candidates.  When the best text score is below 10 the
+    fallback applies: the first string column whose first 50 non-null
+    values average more than 10 characters (confidence 5), else the column
+    with the most printed characters (confidence 1).  A forced or detected
+    text column that is not in the table raises ``ValueError`` listing the
+    available columns.  Collected: at most two detection rows and one
+    fallback row per column."""
     if force_text or force_label:
         picks = {"text": force_text, "label": force_label}
+        confidence = 100 if force_text else 0
     else:
-        best = detect_columns(df, key, policy).filter(F.col("rank") == 1).select("role", "column").collect()
-        picks = {r["role"]: r["column"] for r in best}  # at most two rows
+        best = (detect_columns(df, key, policy).filter(F.col("rank") == 1)
+                .select("role", "column", "score").collect())
+        picks = {r["role"]: r["column"] for r in best}
+        confidence = next((r["score"] for r in best if r["role"] == "text"), 0)
+        if confidence < 10:
+            rows = sorted(detect_fallback(df, key).collect(), key=lambda r: r["ordinal"])
+            usable = [r for r in rows if r["usable_text"]]
+            if usable:
+                picks["text"], confidence = usable[0]["column"], 5
+            else:
+                top = max(rows, key=lambda r: (r["total_chars"] or 0, -r["ordinal"]), default=None)
+                if top is not None and (top["total_chars"] or 0) > 0:
+                    picks["text"], confidence = top["column"], 1
     text = picks.get("text")
     if not text or text not in df.columns:
         raise ValueError(f"No valid text column found. Available columns: {list(df.columns)}")
     label = picks.get("label")
     if label is not None and label not in df.columns:
         raise ValueError(f"Label column {label!r} not found. Available columns: {list(df.columns)}")
-    return {"text": text, "label": label}
+    return {"text": text, "label": label, "text_confidence": confidence}

@@ -36,6 +36,17 @@ def test_simple_detection(spark):
 
 def test_forced_columns(spark):
     df = spark.createDataFrame([(1, "some text here", "1")], "k long, body string, y string")
-    assert D.resolve_columns(df, "k", force_text="body", force_label="y") == {"text": "body", "label": "y"}
+    got = D.resolve_columns(df, "k", force_text="body", force_label="y")
+    assert (got["text"], got["label"], got["text_confidence"]) == ("body", "y", 100)
     with pytest.raises(ValueError, match="Available columns"):
         D.resolve_columns(df, "k", force_text="missing")
+
+
+def test_fallback_when_no_clear_text_column(spark):
+    rows = [(i, "abcdefghijkl mnop", "x") for i in range(5)]   # names score 0; short content
+    df = spark.createDataFrame(rows, "k long, f1 string, f2 string")
+    got = D.resolve_columns(df, "k")
+    assert (got["text"], got["text_confidence"]) == ("f1", 5)
+    tiny = spark.createDataFrame([(1, "ab", "abc")], "k long, f1 string, f2 string")
+    got = D.resolve_columns(tiny, "k")
+    assert (got["text"], got["text_confidence"]) == ("f2", 1)
