@@ -17,6 +17,7 @@ QUALITY_BANDS = [(0.8, "excellent"), (0.7, "good"), (0.6, "sufficient")]
 ACCURACY_BANDS = [(0.85, "excellent_performance"), (0.80, "good_performance"),
                   (0.75, "acceptable_performance")]
 GAP = 0.05
+REPORT_MODE_ADVICE = {"minimal_report": "limited_analysis", "data_analysis": "train_models"}
 
 
 def confusion_matrix(scored: DataFrame) -> DataFrame:
@@ -115,9 +116,12 @@ def _item(seq, code, value):
     return F.struct(F.lit(seq).alias("seq"), code.cast("string").alias("code"), value.cast("double").alias("value"))
 
 
-def insights(metrics: DataFrame, model_order: DataFrame, test_rows: DataFrame) -> DataFrame:
+def insights(metrics: DataFrame, model_order: DataFrame, test_rows: DataFrame,
+             report_mode: str | None = None) -> DataFrame:
     """Insight codes of the report: model availability, accuracy band, gap
-    between models, test data.  ``test_rows``: one row ``(samples, labelled)``."""
+    between models, test data, and a recommendation for the limited report
+    modes.  ``test_rows``: one row ``(samples, labelled)``; ``report_mode``
+    as computed by ``modes.stage_modes``."""
     s = (model_order.agg(F.count(F.lit(1)).alias("found"))
          .withColumn("__k", F.lit(1))
          .join(metrics.agg(F.max("accuracy").alias("best"), F.min("accuracy").alias("worst"),
@@ -137,7 +141,8 @@ def insights(metrics: DataFrame, model_order: DataFrame, test_rows: DataFrame) -
         _item(4, F.when(F.col("samples").isNotNull(), "test_data").otherwise("no_test_data"),
               F.col("samples").cast("double")),
         _item(5, F.when(F.col("samples").isNotNull() & ~F.col("labelled"), "test_unlabelled"),
-              F.lit(None).cast("double")))
+              F.lit(None).cast("double")),
+        _item(6, F.lit(REPORT_MODE_ADVICE.get(report_mode)), F.lit(None).cast("double")))
     return (s.select(F.explode(items).alias("i")).select("i.*")
              .toDF("seq", "code", "value").filter(F.col("code").isNotNull()))
 

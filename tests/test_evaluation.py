@@ -42,3 +42,12 @@ def test_min_rows_guard(spark):
     assert require_rows(df, 1) == 2
     with pytest.raises(ValueError, match="No valid text"):
         require_rows(df.filter("id > 5"), 1)
+
+
+def test_insight_codes(spark):
+    metrics = spark.createDataFrame([("a", 0.9, 0.8), ("b", 0.82, 0.8)], "model string, accuracy double, f1_weighted double")
+    order = spark.createDataFrame([("a", 1), ("b", 2)], "model string, model_order int")
+    test_rows = spark.createDataFrame([(10, False)], "samples long, labelled boolean")
+    got = [r["code"] for r in EV.insights(metrics, order, test_rows, "data_analysis").orderBy("seq").collect()]
+    assert got == ["multiple_models", "excellent_performance", "significant_gap", "test_data",
+                   "test_unlabelled", "train_models"]
