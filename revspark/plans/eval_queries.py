@@ -46,8 +46,11 @@ def scored(spark, sf):
     x = x.withColumn("m", F.explode(models)).select("id", "label", "text", "m.model")
     p = F.round(F.when(F.col("model") == "rule_length", F.least(F.lit(1.0), F.length("text") / 1000.0))
                  .otherwise(F.least(F.lit(1.0), word_count(F.col("text")) / 160.0)), R)
-    return x.select("id", "model", "label", F.when(p > 0.5, 1).otherwise(0).alias("prediction"),
-                    p.alias("probability"))
+    out = x.select("id", "model", "label", F.when(p > 0.5, 1).otherwise(0).alias("prediction"),
+                   p.alias("probability"))
+    # every metric reads the scored rows in several branches (counts, model
+    # list, totals): write them once to the shared checkpoint folder
+    return out.checkpoint()
 
 
 def model_order(spark):
