@@ -35,8 +35,8 @@ def test_svm_and_mlp_beat_majority(spark, tmp_dir):
         model = TR.train_svm(df) if kind == "svm" else TR.train_mlp(df, [8, 4], max_iter=50)
         sc = TR.score(model, df, kind)
         acc = sc.select(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
-        # majority class is 0.5; both models must clearly beat it
-        assert acc > (0.8 if kind == "svm" else 0.7), (kind, acc)
+        # majority class is 0.5; the toy set is nearly separable
+        assert acc > 0.9, (kind, acc)
     path = f"{tmp_dir}/svm"
     TR.save_model(model, path)
     again = TR.load_model(path)
