@@ -50,16 +50,27 @@ def hash_embedding_entries(df: DataFrame, text_col: str = "text", id_col: str =
 
 def hash_embeddings(df: DataFrame, text_col: str = "text", id_col: str = "id",
                     dim: int = DIM) -> DataFrame:
-    """Dense ``(id, embedding array<float>)``; texts without tokens get a
-    zero vector (they have no entries)."""
-    ent = hash_embedding_entries(df, text_col, id_col, dim)
-    dense = (ent.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("dim", "value"))).alias("m"))
-                .select("id", F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
-                                          lambda i: F.coalesce(F.element_at(F.col("m"), i), F.lit(0.0))
-                                          .cast("float")).alias("embedding")))
-    ids = df.select(F.col(id_col).alias("id"))
-    zero = F.array_repeat(F.lit(0.0).cast("float"), dim)
-    return ids.join(dense, "id", "left").select("id", F.coalesce("embedding", zero).alias("embedding"))
+    """Dense ``(id, embedding array<float>)`` in one pass over the input.
+
+    ``explode_outer`` keeps texts without tokens (they get a zero vector);
+    counts are summed per (text, bucket) with partial aggregation, then one
+    row per text gathers at most ``dim`` entries and its norm.
+    """
+    tok = df.select(F.col(id_col).alias("id"), F.explode_outer(_tokens(F.col(text_col))).alias("w"))
+    h = F.md5(F.col("w"))
+    b = (F.conv(F.substring(h, 1, 7), 16, 10).cast("long") % dim).cast("int")
+    sign = F.when(F.conv(F.substring(h, 8, 1), 16, 10).cast("int") < 8, 1).otherwise(-1)
+    counts = (tok.select("id", F.when(F.col("w").isNotNull(), b).alias("dim"),
+                         F.when(F.col("w").isNotNull(), sign).otherwise(0).alias("s"))
+                 .groupBy("id", "dim").agg(F.sum("s").alias("v")))
+    entry = F.when(F.col("dim").isNotNull() & (F.col("v") != 0), F.struct("dim", "v"))
+    per_text = counts.groupBy("id").agg(F.map_from_entries(F.collect_list(entry)).alias("m"),
+                                        F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
+    vec = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
+                      lambda i: F.when(F.col("norm") > 0,
+                                       F.coalesce(F.element_at(F.col("m"), i), F.lit(0)) / F.col("norm"))
+                      .otherwise(F.lit(0.0)).cast("float"))
+    return per_text.select("id", vec.alias("embedding"))
 
 
 # -- pluggable batch encoder (E1) ------------------------------------------------
