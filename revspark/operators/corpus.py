@@ -50,16 +50,25 @@ def vocabulary_stats(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def session_overview(df: DataFrame, text_col: str = "text", label_col: str = "label") -> DataFrame:
-    """Dashboard overview: reviews, label counts, % positive, diversity."""
-    lab = F.col(label_col)
-    per_row = df.select(lab.alias("label"), F.size(whitespace_tokens(F.col(text_col))).alias("w"))
-    counts = per_row.agg(
-        F.count(F.lit(1)).alias("total_reviews"),
-        F.coalesce(F.sum(F.when(F.col("label") == 1, 1).otherwise(0)), F.lit(0)).alias("positive_count"),
-        F.coalesce(F.sum(F.when(F.col("label") == 0, 1).otherwise(0)), F.lit(0)).alias("negative_count"),
-        F.coalesce(F.sum("w"), F.lit(0)).alias("total_words"))
-    vocab = vocabulary_stats(df, text_col).select("unique_words")
-    row = attach_row(counts, vocab)
+    """Dashboard overview: reviews, label counts, % positive, diversity.
+
+    One pass over the texts: tokens are exploded with their position
+    (``posexplode_outer`` keeps texts without tokens); the row at position
+    0 (or the null row of an empty text) stands for its review, so review
+    and label counts, token totals and distinct tokens come from a single
+    aggregate.
+    """
+    x = df.select(F.col(label_col).alias("label"),
+                  F.posexplode_outer(whitespace_tokens(F.col(text_col))).alias("pos", "tok"))
+    first = F.col("pos").isNull() | (F.col("pos") == 0)
+    counts = x.agg(
+        F.sum(F.when(first, 1).otherwise(0)).alias("total_reviews"),
+        F.sum(F.when(first & (F.col("label") == 1), 1).otherwise(0)).alias("positive_count"),
+        F.sum(F.when(first & (F.col("label") == 0), 1).otherwise(0)).alias("negative_count"),
+        F.count("tok").alias("total_words"),
+        F.count_distinct("tok").alias("unique_words"))
+    row = counts.select(*[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in
+                          ("total_reviews", "positive_count", "negative_count", "total_words", "unique_words")])
     pos, neg = F.col("positive_count"), F.col("negative_count")
     return row.select(
         "total_reviews", "positive_count", "negative_count", "total_words", "unique_words",
