@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import word_count
+from ..session import ensure_checkpoint_dir
 
 ROUND = 6
 
@@ -55,7 +56,8 @@ def quality_issues(df: DataFrame, text_col: str = "text") -> DataFrame:
         (F.count(F.lit(1)) - F.count_distinct(text_digest(text_col))).alias("duplicates"))
 
 
-def duplicate_texts(df: DataFrame, text_col: str = "text", id_col: str = "id") -> DataFrame:
+def duplicate_texts(df: DataFrame, text_col: str = "text", id_col: str = "id",
+                    cut_lineage: bool = True) -> DataFrame:
     """Rows whose text already occurred at a smaller id: ``(id, first_id)``.
 
     Per-digest ``min(id)`` and counts are pre-aggregated map-side, so a text
@@ -64,6 +66,11 @@ def duplicate_texts(df: DataFrame, text_col: str = "text", id_col: str = "id") -
     partition if one text is very frequent.
     """
     keyed = df.select(F.col(id_col).alias("id"), text_digest(text_col).alias("h"))
+    if cut_lineage:
+        # both branches below read the digests: write (id, 32-byte digest)
+        # once so the text cleaning above runs once
+        ensure_checkpoint_dir(df.sparkSession)
+        keyed = keyed.checkpoint()
     groups = (keyed.groupBy("h")
                    .agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
                    .filter(F.col("copies") > 1))

@@ -2,6 +2,8 @@
 import contextlib
 import io
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as E
 from tests.conftest import SF001
 
@@ -39,5 +41,10 @@ def test_top_words_is_a_top_k(spark):
 
 
 def test_duplicates_shuffle_digests(spark):
-    text = _plan(E.queries()["duplicate_texts"](spark, SF001), "extended")
-    assert "sha2" in text
+    from revspark.operators import filters, quality
+    from revspark.sources.tables import table
+    docs = table(spark, SF001, "documents").select(F.col("doc_id").alias("id"), "text")
+    valid = filters.valid_texts(docs, "standard")
+    assert "sha2" in _plan(quality.duplicate_texts(valid, cut_lineage=False), "extended")
+    physical = _plan(quality.duplicate_texts(valid), "formatted")
+    assert "ExistingRDD" in physical and "text" not in physical   # joins read (id, digest) only
