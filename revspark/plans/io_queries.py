@@ -95,19 +95,21 @@ _STD = cleaned_cte(REVIEWS_SQL, "standard", keep="id, label_raw")
        "CASE WHEN NOT has_labels THEN 'inference_only' END, CASE WHEN n_quality_issues > 0 THEN 'quality_issues' END], "
        "lambda x: x IS NOT NULL), '|') AS recommendations FROM a")
 def preprocess_metadata(spark, sf):
-    from ..operators import quality
+    from ..operators.quality import text_digest
     df = filters.with_labels(filters.clean_reviews(reviews(spark, sf), "standard"), "standard")
-    valid = filters.keep_where(df, F.length("text") >= 3)
-    qi = quality.quality_issues(valid)
-    n_issues = ((F.col("very_short") > 0).cast("int") + (F.col("very_long") > 0).cast("int")
-                + (F.col("duplicates") > 0).cast("int"))
-    counts = df.agg(F.count(F.lit(1)).alias("original_count"),
-                    F.sum(F.when(F.length("text") >= 3, 1).otherwise(0)).alias("final_count"),
-                    (F.sum(F.when((F.length("text") >= 3) & F.col("label").isin(0, 1), 1).otherwise(0)) > 0)
-                    .alias("has_labels"))
-    from ..operators.rows import attach_row
-    stats = attach_row(counts, qi.select(n_issues.alias("n_quality_issues")))
-    return sinks.preprocess_metadata(stats)
+    n = F.length("text")
+    ok = n >= 3
+    # one aggregate over the cleaned rows: counts, labels and the three
+    # quality counters of the kept rows
+    stats = df.agg(
+        F.count(F.lit(1)).alias("original_count"),
+        F.sum(F.when(ok, 1).otherwise(0)).alias("final_count"),
+        (F.sum(F.when(ok & F.col("label").isin(0, 1), 1).otherwise(0)) > 0).alias("has_labels"),
+        F.sum(F.when(ok & (n < 5), 1).otherwise(0)).alias("short"),
+        F.sum(F.when(ok & (n > 1000), 1).otherwise(0)).alias("long"),
+        (F.sum(F.when(ok, 1).otherwise(0)) - F.count_distinct(F.when(ok, text_digest("text")))).alias("dups"))
+    n_issues = sum((F.col(c) > 0).cast("int") for c in ("short", "long", "dups"))
+    return sinks.preprocess_metadata(stats.withColumn("n_quality_issues", n_issues))
 
 
 _STREAM = cleaned_cte(REVIEWS_SQL, "standard", keep="id, label_raw")
