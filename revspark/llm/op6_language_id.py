@@ -1,8 +1,8 @@
 """Language ID by compression.
 
 For every language a bounded sample of its training texts becomes a
-zstandard raw-content dictionary.  A text is compressed once with each
-dictionary; the language whose dictionary gives the fewest bytes wins, and
+zstandard raw-content dictionary.  A text, in lower case, is compressed once
+with each dictionary; the language whose dictionary gives the fewest bytes wins, and
 the answer is rejected when the runner-up is nearly as small.
 
 Fitting: training rows have a text, a language and crc32(doc_id as text)
@@ -40,7 +40,10 @@ UND = "und"
 SAMPLE_DOCS = 400
 DICT_BYTES = 1 << 17
 MAX_LANGUAGES = 64
-LEVEL = 3
+#: Match search of the compressor: the shortest matches (4 bytes) tell languages apart better than speed levels do.
+SEARCH = {"window_log": 19, "hash_log": 17, "chain_log": 17, "search_log": 3, "min_match": 4}
+#: Largest value of the 63-bit hash that orders the training rows.
+TOP = (1 << 63) - 1
 #: An answer is rejected if the runner-up needs fewer than this many bytes more.
 MIN_MARGIN = 1
 
@@ -58,13 +61,13 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DICT_
         return []
     # 63-bit hash; four times the wanted share, so that the limit leaves enough rows
     limits = F.create_map(*[F.lit(x) for r in counts
-                            for x in (r["lang"], int(min(1.0, 4 * sample_docs / r["count"]) * ((1 << 63) - 1)))])
-    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(0))).bitwiseAND(F.lit((1 << 63) - 1))
+                            for x in (r["lang"], TOP * min(4 * sample_docs, r["count"]) // r["count"])])
+    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(0))).bitwiseAND(F.lit(TOP))
     near = train.select("lang", key.alias("k"), "text").filter(F.col("k") <= F.element_at(limits, F.col("lang")))
     out = []
     for r in counts:  # a bounded number of small top-k queries
         rows = (near.filter(F.col("lang") == r["lang"])
-                .select("k", F.substring(F.encode("text", "UTF-8"), 1, dict_bytes).alias("b"))
+                .select("k", F.substring(F.encode(F.lower("text"), "UTF-8"), 1, dict_bytes).alias("b"))
                 .orderBy("k", "b").limit(sample_docs).collect())
         content = bytearray()
         for text in sorted((bytes(x["b"]) for x in rows), key=lambda b: (len(b), b)):
@@ -75,7 +78,7 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DICT_
     return out
 
 
-def predict(docs: DataFrame, model: list[tuple[str, bytes]], level: int = LEVEL,
+def predict(docs: DataFrame, model: list[tuple[str, bytes]], search: dict = SEARCH,
             min_margin: int = MIN_MARGIN) -> DataFrame:
     """``docs`` with lang_pred, score, margin (bytes; null for ``und``) and
     rejected added; columns of these names are replaced."""
@@ -90,13 +93,14 @@ def predict(docs: DataFrame, model: list[tuple[str, bytes]], level: int = LEVEL,
         import zstandard
 
         letter = regex.compile(r"\p{L}")
+        settings = zstandard.ZstdCompressionParameters(write_content_size=0, write_checksum=0, write_dict_id=0,
+                                                       strategy=zstandard.STRATEGY_GREEDY, **search)
         names, packers = [], []
         for name, content in shared.value:
             d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            d.precompute_compress(level=level)
+            d.precompute_compress(compression_params=settings)
             names.append(name)
-            packers.append(zstandard.ZstdCompressor(level=level, dict_data=d, write_content_size=False,
-                                                    write_checksum=False, write_dict_id=False))
+            packers.append(zstandard.ZstdCompressor(compression_params=settings, dict_data=d))
         for batch in batches:
             pred, score, margin, rejected = [], [], [], []
             for value in batch.column(at):
@@ -104,7 +108,7 @@ def predict(docs: DataFrame, model: list[tuple[str, bytes]], level: int = LEVEL,
                 if not packers or not text or not letter.search(text):
                     pred.append(UND), score.append(0.0), margin.append(None), rejected.append(True)
                     continue
-                raw = text.encode()
+                raw = text.lower().encode()
                 sizes = np.array([len(p.compress(raw)) for p in packers])
                 best = int(sizes.argmin())
                 gap = int(np.delete(sizes, best).min() - sizes[best]) if len(sizes) > 1 else len(raw)
