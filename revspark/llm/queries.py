@@ -1,11 +1,16 @@
 """Queries of this package and their DuckDB SQL, by registered name."""
 from __future__ import annotations
 
-from . import op3_exact_dedup, op6_language_id, op8_bpe
+from . import (op1_substring_dedup, op3_exact_dedup, op6_language_id, op7_decontaminate, op8_bpe, op9_suffix_array,
+               op10_near_dedup)
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup.op1_substring_dedup,
     "op3_exact_dedup": op3_exact_dedup.op3_exact_dedup,
     "op6_language_id": op6_language_id.op6_language_id,
+    "op7_decontaminate": op7_decontaminate.op7_decontaminate,
     "op8_bpe": op8_bpe.op8_bpe,
+    "op9_suffix_array": op9_suffix_array.op9_suffix_array,
+    "op10_near_dedup": op10_near_dedup.op10_near_dedup,
 }
 ORACLES = {"op3_exact_dedup": op3_exact_dedup.ORACLE_SQL}

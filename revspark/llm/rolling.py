@@ -71,15 +71,30 @@ def fixed(sums: np.ndarray, length: int, base: np.uint64) -> np.ndarray:
     return mix((sums[length:] - sums[:n]) * powers(inverse(base), n))
 
 
-def words_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the maximal runs of bytes that are not white space."""
+def words_of(data: np.ndarray, breaks: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs of bytes that are not ``breaks``
+    (a table of 256 flags, white space by default)."""
     inside = np.empty(len(data) + 2, dtype=bool)
     inside[0] = inside[-1] = False
-    np.logical_not(SPACE[data], out=inside[1:-1])
+    np.logical_not(breaks[data], out=inside[1:-1])
     edge = np.flatnonzero(inside[1:] != inside[:-1])
     return edge[0::2], edge[1::2]
 
 
+def words_of_texts(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same for texts at ``off`` (n + 1 offsets) of one array: a word
+    also ends where its text ends."""
+    starts, ends = words_of(data)
+    if not len(starts):
+        return starts, ends
+    inner = off[1:-1]
+    at = np.searchsorted(starts, inner, side="right") - 1
+    cut = np.unique(inner[(at >= 0) & (starts[np.maximum(at, 0)] < inner) & (ends[np.maximum(at, 0)] > inner)])
+    if len(cut):
+        starts, ends = np.sort(np.concatenate([starts, cut])), np.sort(np.concatenate([ends, cut]))
+    return starts, ends
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """One mixed hash per word.  Bytes count from 1, lengths are mixed in."""
     if not len(starts):
