@@ -192,18 +192,18 @@ def class_links(docs: DataFrame, reps: DataFrame, size: int, similarity: int) ->
     pairs = stored(star, "op10-pairs")
     sets = stored(set_table(docs, members.select("id").distinct(), size), "op10-sets")
     found, tested = stored(confirmed(pairs, sets, similarity), "op10-found"), pairs
-    for hubs in (*HUBS, None):
+    more_hubs = iter(HUBS)
+    while True:
         joined = components(found)
         live = members.filter("size > 2").join(joined, "id", "left").withColumn("c", F.coalesce("component", "id"))
-        mixed = live.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("key")
-        live = stored(live.join(mixed, "key").select("key", "id", "n", "c", "size"), "op10-live")
-        parts = live.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("key").agg(
-            F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"))
-        open_pairs, rows_left = parts.agg(F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2), F.sum("k")).first()
+        parts = stored(live.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k")), "op10-parts")
+        mixed = parts.groupBy("key").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"),
+                                         F.count(F.lit(1)).alias("c")).filter("c > 1")
+        open_pairs, rows_left = mixed.agg(F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2), F.sum("k")).first()
         if not rows_left:
             return joined
-        if hubs is not None and open_pairs <= FEW * rows_left:
-            continue
+        hubs = next(more_hubs, None) if open_pairs > FEW * rows_left else None
+        live = stored(live.join(mixed.select("key"), "key").select("key", "id", "n", "c", "size"), "op10-live")
         hub = live.select("key", F.col("id").alias("h"), F.col("n").alias("h_n"), F.col("c").alias("h_c"), "size")
         if hubs is not None:  # the smallest hashes, `hubs` of each bucket on average
             hub = hub.filter(F.pmod(F.xxhash64("h"), F.lit(1 << 30)) <= F.lit(hubs * (1 << 30)) / F.col("size"))
@@ -212,9 +212,11 @@ def class_links(docs: DataFrame, reps: DataFrame, size: int, similarity: int) ->
             (F.col("c") != F.col("h_c")) & possible("n", "h_n", similarity) & once).select(
             F.least("id", "h").alias("a"), F.greatest("id", "h").alias("b")).distinct()
         more = stored(more.join(tested, ["a", "b"], "left_anti"), "op10-more")
-        found = found.unionByName(stored(confirmed(more, sets, similarity), "op10-found"))
-        tested = tested.unionByName(more)
-    return components(found)
+        new = stored(confirmed(more, sets, similarity), "op10-found")
+        joined = joined.select(F.col("component").alias("a"), F.col("id").alias("b"))
+        if hubs is None:
+            return components(joined.unionByName(new))
+        found, tested = joined.unionByName(new), tested.unionByName(more)
 
 
 def judge(docs: DataFrame, size: int = SHINGLE, similarity: int = SIMILARITY, bands: int = BANDS,
