@@ -3,12 +3,12 @@
 Name scores are computed from the schema (metadata, on the driver).
 Content scores are aggregates over the data:
 
-* text content (C2-C4) looks at the first 100 / 10 non-null values of a
-  column *by key order*: a ``orderBy(key).limit(n)`` per column, planned as
-  TakeOrderedAndProject (each task keeps n rows), so the sample is bounded
-  whatever the table size;
-* label content (C6) is one full-table pass: ``count_distinct`` and
-  ``bool_or`` per column, all columns in the same aggregate.
+* text content (C2-C4) is one aggregate over all non-null values of all
+  columns in one scan.  The reference looks at the first values only (100 for
+  lengths, 10 for words, 50 in the fallback); ``sample_rows`` asks for such a
+  prefix by key order explicitly, per column a ``orderBy(key).limit(n)``;
+* label content (C6) unpivots the columns in one scan and groups by (column,
+  digest), so distinct values are counted with one shuffle of digests.
 
 The result is a small table ``(column, role, name_score, content_score,
 score, rank)``; ``rank`` orders by score descending, ties by column position.
@@ -48,7 +48,8 @@ QUALITY_VALUES = ["good", "bad", "neutral"]
 SIMPLE_TEXT_NAMES = ["text", "review", "comment", "content", "description", "message"]
 SIMPLE_LABEL_NAMES = ["label", "sentiment", "class", "target", "rating"]
 SIMPLE_LABEL_VALUES = ["0", "1", "positive", "negative", "pos", "neg"]
-TEXT_SAMPLE, BONUS_SAMPLE, FALLBACK_SAMPLE = 100, 10, 50
+#: The reference's prefixes: (lengths, words) and the fallback's; pass them as ``sample_rows`` to get its results.
+REFERENCE_SAMPLE, REFERENCE_FALLBACK_SAMPLE = (100, 10), 50
 
 
 def clean_name(name: str, policy: str = "standard") -> str:
@@ -85,27 +86,42 @@ def _word_hit(words) -> str:
     return "(?<![" + WORD + "])(?:" + "|".join(words) + ")(?![" + WORD + "])"
 
 
-def text_content_scores(df: DataFrame, key: str, columns=None, policy: str = "standard") -> DataFrame:
-    """Per column: avg length / words of the first 100 non-null values, the
-    English-word bonus over the first 10, and the content score."""
+def _text_aggregates(v, policy: str, for_bonus=None) -> tuple:
+    """Average length, average words and the word bonus of the values ``v``;
+    ``for_bonus`` limits the values that count for the bonus."""
+    inside = v.isNotNull() if for_bonus is None else for_bonus & v.isNotNull()
+    low = F.lower(v)
+    if policy == "extended":
+        hits = [F.coalesce(F.max(F.when(inside & low.contains(w), 1).otherwise(0)), F.lit(0)) for w in COMMON_WORDS_EXT]
+        bonus = F.when(reduce(lambda a, b: a + b, hits) > 2, 10).otherwise(0)
+    else:
+        bonus = F.when(F.max(F.when(inside & low.rlike(_word_hit(ENGLISH_WORDS)), 1).otherwise(0)) == 1, 10).otherwise(0)
+    return F.avg(F.length(v)), F.avg(F.when(v.isNotNull(), word_count(v))), bonus
+
+
+def text_content_scores(df: DataFrame, key: str, columns=None, policy: str = "standard",
+                        sample_rows: tuple[int, int] | None = None) -> DataFrame:
+    """Per column: avg length / words of all non-null values, the
+    English-word bonus, and the content score.  ``sample_rows`` = (values for
+    the lengths, values for the bonus) takes the first ones by ``key``."""
     cols = [c for c in (columns or df.columns)]
-    parts = []
-    for i, name in enumerate(cols):
-        s = _first_values(df, name, key, TEXT_SAMPLE)
-        ranked = s.withColumn("pos", F.row_number().over(Window.partitionBy("column").orderBy("k")))
-        low = F.lower(F.col("v"))
-        if policy == "extended":
-            hits = [F.max(F.when((F.col("pos") <= BONUS_SAMPLE) & low.contains(w), 1).otherwise(0))
-                    for w in COMMON_WORDS_EXT]
-            bonus = F.when(reduce(lambda a, b: a + b, hits) > 2, 10).otherwise(0)
-        else:
-            hit = (F.col("pos") <= BONUS_SAMPLE) & low.rlike(_word_hit(ENGLISH_WORDS))
-            bonus = F.when(F.max(F.when(hit, 1).otherwise(0)) == 1, 10).otherwise(0)
-        parts.append(ranked.groupBy("column").agg(
-            F.avg(F.length("v")).alias("avg_length"),
-            F.avg(word_count(F.col("v"))).alias("avg_words"),
-            bonus.alias("bonus")).withColumn("ordinal", F.lit(i)))
-    agg = reduce(DataFrame.unionByName, parts)
+    if sample_rows is None:
+        rows = []
+        for i, name in enumerate(cols):
+            length, words, bonus = _text_aggregates(_as_text(df, name), policy)
+            rows.append(F.struct(F.lit(name).alias("column"), F.lit(i).alias("ordinal"), length.alias("avg_length"),
+                                 words.alias("avg_words"), bonus.alias("bonus")))
+        agg = (df.agg(F.array(*rows).alias("r")).select(F.explode("r").alias("r")).select("r.*")
+                 .filter(F.col("avg_length").isNotNull()))
+    else:
+        parts = []
+        for i, name in enumerate(cols):
+            first = _first_values(df, name, key, sample_rows[0])
+            pos = F.row_number().over(Window.partitionBy("column").orderBy("k"))
+            length, words, bonus = _text_aggregates(F.col("v"), policy, F.col("pos") <= sample_rows[1])
+            parts.append(first.withColumn("pos", pos).groupBy("column").agg(
+                length.alias("avg_length"), words.alias("avg_words"), bonus.alias("bonus")).withColumn("ordinal", F.lit(i)))
+        agg = reduce(DataFrame.unionByName, parts)
     base = (F.when((F.col("avg_length") > 50) & (F.col("avg_words") > 5), 25)
              .when((F.col("avg_length") > 20) & (F.col("avg_words") > 3), 15)
              .when(F.col("avg_length") > 10, 5).otherwise(0))
@@ -117,39 +133,40 @@ def text_content_scores(df: DataFrame, key: str, columns=None, policy: str = "st
 def label_content_scores(df: DataFrame, columns=None) -> DataFrame:
     """Per column, over all non-null values: distinct count and label score.
 
-    One aggregate per column (each scan reads only that column); distinct
-    texts are counted on their SHA-256 digest so long strings are not
-    shuffled.
-    """
+    One scan unpivots the columns; values are grouped by (column, digest)
+    with partial sums in the tasks, so long strings are not shuffled."""
     cols = list(columns or df.columns)
-    parts = []
-    for i, name in enumerate(cols):
-        raw = F.col(f"`{name}`")
-        v = F.lower(_as_text(df, name))
-        key = F.sha2(raw, 256) if isinstance(df.schema[name].dataType, T.StringType) else raw
-        a = df.agg(F.count_distinct(key).alias("n"),
-                   F.max(F.when(v.isin(*BINARY_VALUES), 1).otherwise(0)).alias("b"),
-                   F.max(F.when(v.isin(*POLARITY_VALUES), 1).otherwise(0)).alias("p"),
-                   F.max(F.when(v.isin(*QUALITY_VALUES), 1).otherwise(0)).alias("q"))
-        n, b, p, q = F.col("n"), F.col("b"), F.col("p"), F.col("q")
-        score = (F.when(n == 0, 0).when(b == 1, 20).when(p == 1, 30).when(q == 1, 25)
-                  .when((n >= 2) & (n <= 10), 15).when(n == 1, 1).otherwise(0))
-        parts.append(a.select(F.lit(name).alias("column"), F.lit(i).alias("ordinal"),
-                              n.alias("n_unique"), score.cast("double").alias("content_score")))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def detect_columns(df: DataFrame, key: str, policy: str = "standard") -> DataFrame:
-    """Scored and ranked text / label candidates (score > 0)."""
+
+    def cell(i, name):
+        raw, v = F.col(f"`{name}`"), F.lower(_as_text(df, name))
+        return F.struct(F.lit(i).alias("ordinal"), F.sha2(raw.cast("string"), 256).alias("d"), *[
+            F.when(v.isin(*values), 1).otherwise(0).alias(flag)
+            for flag, values in (("b", BINARY_VALUES), ("p", POLARITY_VALUES), ("q", QUALITY_VALUES))])
+    cells = df.select(F.explode(F.array(*[cell(i, c) for i, c in enumerate(cols)])).alias("x")).select("x.*")
+    flags = ("b", "p", "q")
+    seen = cells.filter(F.col("d").isNotNull()).groupBy("ordinal", "d").agg(*[F.max(c).alias(c) for c in flags])
+    per = seen.groupBy("ordinal").agg(F.count(F.lit(1)).alias("n"), *[F.max(c).alias(c) for c in flags])
+    every = df.sparkSession.createDataFrame(list(enumerate(cols)), "ordinal int, column string")
+    n, b, p, q = F.coalesce("n", F.lit(0)), F.col("b"), F.col("p"), F.col("q")
+    score = (F.when(n == 0, 0).when(b == 1, 20).when(p == 1, 30).when(q == 1, 25)
+              .when((n >= 2) & (n <= 10), 15).when(n == 1, 1).otherwise(0))
+    return every.join(per, "ordinal", "left").select("column", "ordinal", n.alias("n_unique"),
+                                                     score.cast("double").alias("content_score"))
+
+
+def detect_columns(df: DataFrame, key: str, policy: str = "standard", exclude: tuple = (),
+                   sample_rows: tuple[int, int] | None = None) -> DataFrame:
+    """Scored and ranked text / label candidates (score > 0) among the
+    columns that are not in ``exclude``."""
     spark = df.sparkSession
-    cols = [c for c in df.columns]
+    cols = [c for c in df.columns if c not in exclude]
     names = [(c, i, name_score(c, TEXT_CANDIDATES, policy), name_score(c, LABEL_CANDIDATES, policy))
              for i, c in enumerate(cols)]
     meta = spark.createDataFrame(names, "column string, ordinal int, text_name double, label_name double")
     empty = spark.createDataFrame([], "column string, content_score double")
     tcols = [c for c, _, t, _ in names if t == 0]
     lcols = [c for c, _, _, lab in names if lab == 0]
-    text_cs = text_content_scores(df, key, tcols, policy) if tcols else empty
+    text_cs = text_content_scores(df, key, tcols, policy, sample_rows) if tcols else empty
     label_cs = label_content_scores(df, lcols) if lcols else empty
     t = (meta.join(text_cs.select("column", "content_score"), "column", "left")
              .select("column", "ordinal", F.lit("text").alias("role"), F.col("text_name").alias("name_score"),
@@ -167,24 +184,25 @@ def detect_columns(df: DataFrame, key: str, policy: str = "standard") -> DataFra
                         F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank")))
 
 
-def detect_fallback(df: DataFrame, key: str) -> DataFrame:
-    """Fallback evidence: avg length of the first 50 non-null values of each
-    string column, and total printed characters of every column (null counts
-    as the 3 characters of ``nan``)."""
-    str_cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    totals = df.agg(*[F.sum(F.length(F.coalesce(_as_text(df, c), F.lit("nan")))).alias(f"t{i}")
-                      for i, c in enumerate(df.columns)])
-    tot = totals.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.lit(i).alias("ordinal"), F.col(f"t{i}").alias("total_chars"))
-        for i, c in enumerate(df.columns)])).alias("s")).select("s.*")
-    if str_cols:
+def detect_fallback(df: DataFrame, key: str, exclude: tuple = (), sample_rows: int | None = None) -> DataFrame:
+    """Fallback evidence: avg length of the non-null values of each string
+    column, and total printed characters of every column (null counts as the
+    3 characters of ``nan``), in one scan.  ``sample_rows`` limits the average
+    to the first values by ``key``."""
+    cols = [c for c in df.columns if c not in exclude]
+    strings = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    none = F.lit(None).cast("double")
+    out = df.agg(F.array(*[F.struct(
+        F.lit(c).alias("column"), F.lit(i).alias("ordinal"),
+        F.sum(F.length(F.coalesce(_as_text(df, c), F.lit("nan")))).alias("total_chars"),
+        (F.avg(F.length(F.col(f"`{c}`"))) if c in strings else none).alias("a"))
+        for i, c in enumerate(cols)]).alias("r")).select(F.explode("r").alias("r")).select("r.*")
+    if sample_rows is not None and strings:
         firsts = reduce(DataFrame.unionByName, [
-            _first_values(df, c, key, FALLBACK_SAMPLE).groupBy("column").agg(F.avg(F.length("v")).alias("a"))
-            for c in str_cols])
-        tot = tot.join(firsts, "column", "left")
-    else:
-        tot = tot.withColumn("a", F.lit(None).cast("double"))
-    return tot.select("column", "ordinal", "total_chars", F.round("a", 6).alias("first_avg_length"),
+            _first_values(df, c, key, sample_rows).groupBy("column").agg(F.avg(F.length("v")).alias("a"))
+            for c in cols if c in strings])
+        out = out.drop("a").join(firsts, "column", "left")
+    return out.select("column", "ordinal", "total_chars", F.round("a", 6).alias("first_avg_length"),
                       (F.col("a") > 10).alias("usable_text"))
 
 
@@ -207,13 +225,12 @@ def detect_columns_simple(df: DataFrame, key: str) -> DataFrame:
     label = by_name(SIMPLE_LABEL_NAMES)
     rows = []
     if text is None:
-        # first string column whose first row (by key) is longer than 10
-        first = df.orderBy(F.col(key)).limit(1)
+        # first string column whose values average more than 10 characters; the reference looks at one row
         str_cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
         pick = F.lit(cols[0] if cols else None)
         for c in reversed(str_cols):
-            pick = F.when(F.length(F.coalesce(F.col(f"`{c}`"), F.lit("nan"))) > 10, F.lit(c)).otherwise(pick)
-        text_df = first.select(F.lit("text").alias("role"), pick.alias("column"))
+            pick = F.when(F.avg(F.length(F.coalesce(F.col(f"`{c}`"), F.lit("nan")))) > 10, F.lit(c)).otherwise(pick)
+        text_df = df.agg(pick.alias("column")).select(F.lit("text").alias("role"), "column")
     else:
         text_df = spark.createDataFrame([("text", text)], "role string, column string")
     if label is None:
@@ -236,11 +253,11 @@ def detect_columns_simple(df: DataFrame, key: str) -> DataFrame:
 
 
 def resolve_columns(df: DataFrame, key: str, force_text: str | None = None, force_label: str | None = None,
-                    policy: str = "standard") -> dict:
+                    policy: str = "standard", exclude: tuple = ()) -> dict:
     """Text / label columns to use: forced names win (confidence 100), else
     the best detected candidates.  When the best text score is below 10 the
-    fallback applies: the first string column whose first 50 non-null
-    values average more than 10 characters (confidence 5), else the column
+    fallback applies: the first string column whose non-null values
+    average more than 10 characters (confidence 5), else the column
     with the most printed characters (confidence 1).  A forced or detected
     text column that is not in the table raises ``ValueError`` listing the
     available columns.  Collected: at most two detection rows and one
@@ -249,12 +266,13 @@ def resolve_columns(df: DataFrame, key: str, force_text: str | None = None, forc
         picks = {"text": force_text, "label": force_label}
         confidence = 100 if force_text else 0
     else:
-        best = (detect_columns(df, key, policy).filter(F.col("rank") == 1)
-                .select("role", "column", "score").collect())
-        picks = {r["role"]: r["column"] for r in best}
-        confidence = next((r["score"] for r in best if r["role"] == "text"), 0)
+        best = sorted(detect_columns(df, key, policy, exclude).select("role", "column", "score", "rank").collect(),
+                      key=lambda r: r["rank"])
+        texts, labels = ([r for r in best if r["role"] == role] for role in ("text", "label"))
+        picks = {"text": texts[0]["column"] if texts else None}
+        confidence = texts[0]["score"] if texts else 0
         if confidence < 10:
-            rows = sorted(detect_fallback(df, key).collect(), key=lambda r: r["ordinal"])
+            rows = sorted(detect_fallback(df, key, exclude).collect(), key=lambda r: r["ordinal"])
             usable = [r for r in rows if r["usable_text"]]
             if usable:
                 picks["text"], confidence = usable[0]["column"], 5
@@ -262,10 +280,12 @@ def resolve_columns(df: DataFrame, key: str, force_text: str | None = None, forc
                 top = max(rows, key=lambda r: (r["total_chars"] or 0, -r["ordinal"]), default=None)
                 if top is not None and (top["total_chars"] or 0) > 0:
                     picks["text"], confidence = top["column"], 1
+        # the text column is no label of itself
+        picks["label"] = next((r["column"] for r in labels if r["column"] != picks["text"]), None)
     text = picks.get("text")
     if not text or text not in df.columns:
-        raise ValueError(f"No valid text column found. Available columns: {list(df.columns)}")
+        raise ValueError(f"no usable text column among {list(df.columns)}")
     label = picks.get("label")
     if label is not None and label not in df.columns:
-        raise ValueError(f"Label column {label!r} not found. Available columns: {list(df.columns)}")
+        raise ValueError(f"label column {label!r} is not among {list(df.columns)}")
     return {"text": text, "label": label, "text_confidence": confidence}

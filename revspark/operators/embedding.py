@@ -1,11 +1,12 @@
 """Text vectors (E1, E2) and the embedding table profile.
 
-* :func:`hash_embeddings` – the built-in encoder, all native Spark: tokens
-  are exploded, each token goes to bucket ``int(md5[0:7], 16) % dim`` with
-  sign ``+1`` when the 8th hex digit is < 8, else ``-1``; counts are summed
-  per (text, bucket) with partial aggregation and the vector is
-  L2-normalised.  It stands in for the sentence-transformer weights that
-  are not available offline.
+* :func:`hash_embeddings` – the built-in encoder: each token goes to bucket
+  ``int(md5[0:7], 16) % dim`` with sign ``+1`` when the 8th hex digit is < 8,
+  else ``-1``; the signs are summed per bucket and the vector is
+  L2-normalised.  Everything belongs to one row: the codes are native
+  expressions, an Arrow batch sums them per row, nothing is shuffled and
+  other columns stay beside the vector.  It stands in for the
+  sentence-transformer weights that are not available offline.
 * :func:`embed_texts` – the pluggable batch encoder path: an iterator of
   pandas batches via ``mapInPandas`` (Arrow transfer), the encoder is built
   once per Python worker and called on batches of ``batch_size`` texts.
@@ -18,8 +19,10 @@ import hashlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import SPACE
 
@@ -33,44 +36,58 @@ def _tokens(c):
                     lambda w: F.length(w) > 0)
 
 
+def _codes(c, dim: int):
+    """Per token ``2 * bucket + (1 if negative)``."""
+    def code(w):
+        h = F.md5(w)
+        return (F.conv(F.substring(h, 1, 7), 16, 10).cast("long") % dim * 2
+                + F.when(F.conv(F.substring(h, 8, 1), 16, 10).cast("int") < 8, 0).otherwise(1)).cast("int")
+    return F.transform(_tokens(c), code)
+
+
+def hash_counts(df: DataFrame, text_col: str = "text", dim: int = DIM) -> DataFrame:
+    """``df`` without ``text_col``, with ``counts array<int>``: the signed sum
+    of every bucket; null for a text without tokens."""
+    others = [c for c in df.columns if c != text_col]
+    codes = df.select(*others, _codes(F.coalesce(F.col(text_col), F.lit("")), dim).alias("__codes"))
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column(len(others))
+            off = np.asarray(lists.offsets)
+            size = np.diff(off)
+            code = np.asarray(lists.values)[off[0]: off[-1]]
+            slot = np.repeat(np.arange(len(size)), size) * dim + code // 2
+            total = np.bincount(slot, weights=1.0 - 2.0 * (code % 2), minlength=len(size) * dim).astype(np.int32)
+            rows = pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1, dtype=np.int32) * dim), pa.array(total),
+                                            mask=pa.array(size == 0))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], rows], names=[*others, "counts"])
+
+    schema = T.StructType([*[df.schema[c] for c in others], T.StructField("counts", T.ArrayType(T.IntegerType()))])
+    return codes.mapInArrow(run, schema)
+
+
+def _norm(counts):
+    return F.sqrt(F.aggregate(counts, F.lit(0).cast("long"), lambda a, v: a + v * v).cast("double"))
+
+
 def hash_embedding_entries(df: DataFrame, text_col: str = "text", id_col: str = "id",
                            dim: int = DIM) -> DataFrame:
     """Sparse form ``(id, dim, value)`` of the normalised hashed vectors."""
-    tok = df.select(F.col(id_col).alias("id"), F.explode(_tokens(F.col(text_col))).alias("w"))
-    h = F.md5(F.col("w"))
-    b = (F.conv(F.substring(h, 1, 7), 16, 10).cast("long") % dim).cast("int")
-    sign = F.when(F.conv(F.substring(h, 8, 1), 16, 10).cast("int") < 8, 1).otherwise(-1)
-    counts = (tok.select("id", b.alias("dim"), sign.alias("s"))
-                 .groupBy("id", "dim").agg(F.sum("s").alias("v"))
-                 .filter(F.col("v") != 0))
-    norm = counts.groupBy("id").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
-    return (counts.join(norm, "id")
-                  .select("id", "dim", (F.col("v") / F.col("norm")).alias("value")))
-
-
-def hash_embeddings(df: DataFrame, text_col: str = "text", id_col: str = "id",
-                    dim: int = DIM) -> DataFrame:
-    """Dense ``(id, embedding array<float>)`` in one pass over the input.
-
-    ``explode_outer`` keeps texts without tokens (they get a zero vector);
-    counts are summed per (text, bucket) with partial aggregation, then one
-    row per text gathers at most ``dim`` entries and its norm.
-    """
-    tok = df.select(F.col(id_col).alias("id"), F.explode_outer(_tokens(F.col(text_col))).alias("w"))
-    h = F.md5(F.col("w"))
-    b = (F.conv(F.substring(h, 1, 7), 16, 10).cast("long") % dim).cast("int")
-    sign = F.when(F.conv(F.substring(h, 8, 1), 16, 10).cast("int") < 8, 1).otherwise(-1)
-    counts = (tok.select("id", F.when(F.col("w").isNotNull(), b).alias("dim"),
-                         F.when(F.col("w").isNotNull(), sign).otherwise(0).alias("s"))
-                 .groupBy("id", "dim").agg(F.sum("s").alias("v")))
-    entry = F.when(F.col("dim").isNotNull() & (F.col("v") != 0), F.struct("dim", "v"))
-    per_text = counts.groupBy("id").agg(F.map_from_entries(F.collect_list(entry)).alias("m"),
-                                        F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
-    vec = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
-                      lambda i: F.when(F.col("norm") > 0,
-                                       F.coalesce(F.element_at(F.col("m"), i), F.lit(0)) / F.col("norm"))
-                      .otherwise(F.lit(0.0)).cast("float"))
-    return per_text.select("id", vec.alias("embedding"))
+    rows = hash_counts(df.select(F.col(id_col).alias("id"), F.col(text_col)), text_col, dim)
+    return (rows.withColumn("norm", _norm(F.col("counts"))).select("id", "norm", F.posexplode("counts").alias("dim", "v"))
+                .filter(F.col("v") != 0).select("id", "dim", (F.col("v") / F.col("norm")).alias("value")))
+
+
+def hash_embeddings(df: DataFrame, text_col: str = "text", id_col: str = "id", dim: int = DIM,
+                    keep: list[str] | None = None) -> DataFrame:
+    """Dense ``(id, *keep, embedding array<float>)``, no shuffle.  A text
+    without tokens has a null vector, never zeros."""
+    rows = hash_counts(df.select(F.col(id_col).alias("id"), *(keep or []), F.col(text_col)), text_col, dim)
+    rows = rows.withColumn("norm", _norm(F.col("counts")))
+    # signs that cancel out in every bucket leave no direction: null as well
+    vector = F.when(F.col("norm") > 0, F.transform("counts", lambda v: (v / F.col("norm")).cast("float")))
+    return rows.select("id", *(keep or []), vector.alias("embedding"))
 
 
 # -- pluggable batch encoder (E1) ------------------------------------------------

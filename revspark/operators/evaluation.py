@@ -1,13 +1,14 @@
 """Evaluation of scored reviews.
 
 Input: a scored table ``(id, model, label, prediction[, probability])``
-with binary labels.  Every metric derives from one grouped count per
-``(model, label, prediction)`` (partial aggregation: one shuffle of at most
-4 rows per model per task), so cost is one scan of the scored rows.
+with binary labels.  Every metric derives from one row of four counts per
+model: one aggregate with map-side partial sums, one shuffle of a row per
+model and task.  The confusion grid, the class metrics, the report and the
+averages are expressions over that row.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 R = 6
@@ -20,86 +21,100 @@ GAP = 0.05
 REPORT_MODE_ADVICE = {"minimal_report": "limited_analysis", "data_analysis": "train_models"}
 
 
+def counts(scored: DataFrame) -> DataFrame:
+    """``(model, tp, fp, fn, tn)`` with class 1 as positive; rows with another
+    label or prediction than 0 or 1 count nowhere."""
+    def cell(label, prediction):
+        return F.count_if((F.col("label") == label) & (F.col("prediction") == prediction))
+    return scored.groupBy("model").agg(cell(1, 1).alias("tp"), cell(0, 1).alias("fp"), cell(1, 0).alias("fn"),
+                                       cell(0, 0).alias("tn"))
+
+
+def _ratio(a, b):
+    return F.when(b > 0, a / b).otherwise(F.lit(0.0))
+
+
+def _classes(m: DataFrame) -> DataFrame:
+    """``counts`` with ``c0`` and ``c1``: precision, recall, f1 (0 where
+    undefined) and support of each class."""
+    def metrics(hit, wrong, missed):
+        p, r = _ratio(F.col(hit), F.col(hit) + F.col(wrong)), _ratio(F.col(hit), F.col(hit) + F.col(missed))
+        return F.struct(p.alias("precision"), r.alias("recall"), _ratio(2 * p * r, p + r).alias("f1"),
+                        (F.col(hit) + F.col(missed)).alias("support"))
+    return m.withColumn("c0", metrics("tn", "fn", "fp")).withColumn("c1", metrics("tp", "fp", "fn"))
+
+
+def _average(name: str, weighted: bool):
+    a, b = F.col(f"c0.{name}"), F.col(f"c1.{name}")
+    if not weighted:
+        return (a + b) / 2
+    n, k = F.col("c0.support"), F.col("c1.support")
+    return (a * n + b * k) / F.nullif(n + k, F.lit(0))
+
+
 def confusion_matrix(scored: DataFrame) -> DataFrame:
     """``(model, label, prediction, n)`` over the full 2 x 2 grid."""
-    counts = scored.groupBy("model", "label", "prediction").agg(F.count(F.lit(1)).alias("n"))
-    # the model list comes from the (tiny) counts, so the scored rows are
-    # aggregated once; later uses of the counts share its exchange
-    grid = (counts.select("model").distinct()
-                  .withColumn("label", F.explode(F.array(F.lit(0), F.lit(1))))
-                  .withColumn("prediction", F.explode(F.array(F.lit(0), F.lit(1)))))
-    return (grid.join(counts, ["model", "label", "prediction"], "left")
-                .select("model", "label", "prediction", F.coalesce("n", F.lit(0)).alias("n")))
-
-
-def class_metrics(cm: DataFrame) -> DataFrame:
-    """Per model and class: precision, recall, F1 (0 where undefined), support."""
-    tp = F.sum(F.when((F.col("label") == F.col("c")) & (F.col("prediction") == F.col("c")), F.col("n")).otherwise(0))
-    pred = F.sum(F.when(F.col("prediction") == F.col("c"), F.col("n")).otherwise(0))
-    sup = F.sum(F.when(F.col("label") == F.col("c"), F.col("n")).otherwise(0))
-    per = (cm.withColumn("c", F.explode(F.array(F.lit(0), F.lit(1))))
-             .groupBy("model", "c").agg(tp.alias("tp"), pred.alias("pp"), sup.alias("support")))
-    p = F.when(F.col("pp") > 0, F.col("tp") / F.col("pp")).otherwise(0.0)
-    r = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
-    out = per.select("model", F.col("c").alias("label"), p.alias("precision"), r.alias("recall"), "support")
-    return out.withColumn("f1", F.when(F.col("precision") + F.col("recall") > 0,
-                                       2 * F.col("precision") * F.col("recall")
-                                       / (F.col("precision") + F.col("recall"))).otherwise(0.0))
+    grid = F.array(*[F.struct(F.lit(lab).alias("label"), F.lit(p).alias("prediction"), F.col(c).alias("n"))
+                     for lab, p, c in ((0, 0, "tn"), (0, 1, "fp"), (1, 0, "fn"), (1, 1, "tp"))])
+    return counts(scored).select("model", F.explode(grid).alias("g")).select("model", "g.*")
 
 
 def eval_metrics(scored: DataFrame, eval_split: str = "test") -> DataFrame:
     """``(model, eval_split, n, accuracy, f1_weighted)`` per model."""
-    cm = confusion_matrix(scored)
-    cls = class_metrics(cm)
-    w = cls.groupBy("model").agg(
-        (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("f1_weighted"),
-        F.sum("support").alias("n"))
-    acc = cm.groupBy("model").agg(
-        (F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)) / F.sum("n")).alias("accuracy"))
-    return (w.join(acc, "model")
-             .select("model", F.lit(eval_split).alias("eval_split"), "n",
-                     F.round("accuracy", R).alias("accuracy"), F.round("f1_weighted", R).alias("f1_weighted")))
-
-
-def classification_report(scored: DataFrame) -> DataFrame:
-    """Rows per class (Negative / Positive) plus macro and weighted averages."""
-    cls = class_metrics(confusion_matrix(scored))
-    names = F.when(F.col("label") == 0, F.lit(CLASS_NAMES[0])).otherwise(F.lit(CLASS_NAMES[1]))
-    per = cls.select("model", names.alias("row"), "precision", "recall", "f1", "support")
-    macro = cls.groupBy("model").agg(F.lit("macro avg").alias("row"), F.avg("precision").alias("precision"),
-                                     F.avg("recall").alias("recall"), F.avg("f1").alias("f1"),
-                                     F.sum("support").alias("support"))
-    s = F.sum("support")
-    weighted = cls.groupBy("model").agg(
-        F.lit("weighted avg").alias("row"), (F.sum(F.col("precision") * F.col("support")) / s).alias("precision"),
-        (F.sum(F.col("recall") * F.col("support")) / s).alias("recall"),
-        (F.sum(F.col("f1") * F.col("support")) / s).alias("f1"), s.alias("support"))
-    out = per.unionByName(macro).unionByName(weighted)
-    return out.select("model", "row", F.round("precision", R).alias("precision"), F.round("recall", R).alias("recall"),
-                      F.round("f1", R).alias("f1"), F.col("support").cast("long").alias("support"))
+    n = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
+    return _classes(counts(scored)).select(
+        "model", F.lit(eval_split).alias("eval_split"), n.alias("n"),
+        F.round((F.col("tp") + F.col("tn")) / F.nullif(n, F.lit(0)), R).alias("accuracy"),
+        F.round(_average("f1", True), R).alias("f1_weighted"))
+
+
+def classification_report(scored: DataFrame, with_accuracy: bool = False) -> DataFrame:
+    """Rows per class (Negative / Positive) plus macro and weighted averages;
+    ``with_accuracy`` adds the accuracy row (accuracy in the f1 column)."""
+    names = ("precision", "recall", "f1", "support")
+    total = F.col("c0.support") + F.col("c1.support")
+
+    def row(title, values):
+        return F.struct(F.lit(title).alias("row"), *[F.round(v.cast("double"), R).alias(n) for v, n in zip(values, names[:3])],
+                        values[3].cast("long").alias("support"))
+    rows = [row(CLASS_NAMES[c], [F.col(f"c{c}.{n}") for n in names]) for c in (0, 1)]
+    if with_accuracy:
+        none = F.lit(None).cast("double")
+        rows.append(row("accuracy", [none, none, (F.col("tp") + F.col("tn")) / F.nullif(total, F.lit(0)), total]))
+    rows += [row(title, [*[_average(n, w) for n in names[:3]], total])
+             for title, w in (("macro avg", False), ("weighted avg", True))]
+    return _classes(counts(scored)).select("model", F.explode(F.array(*rows)).alias("r")).select("model", "r.*")
+
+
+def evaluate_on(scored: DataFrame, profile: DataFrame, models: list[str]) -> DataFrame:
+    """Metrics of every model of the list on the evaluation split (the first
+    present of test, inference, train, val), valid labels only: ``(model,
+    eval_split, status, n, accuracy, f1_weighted)``.  A model without scored
+    valid rows gets an ``error`` row, so none is missing from the result.
+    ``scored`` has the column ``split``."""
+    order = {s: i for i, s in enumerate(("test", "inference", "train", "val"))}
+    present = [r["split"] for r in profile.select("split").distinct().collect()]  # at most four rows
+    chosen = min((s for s in present if s in order), key=order.__getitem__, default=None)
+    valid = scored.filter((F.col("split") == chosen) & F.col("label").isin(0, 1))
+    found = eval_metrics(valid, chosen).drop("eval_split")
+    listed = scored.sparkSession.createDataFrame([(m,) for m in models], "model string")
+    return listed.join(found, "model", "left").select(
+        "model", F.lit(chosen).alias("eval_split"), F.when(F.col("n") > 0, "evaluated").otherwise("error").alias("status"),
+        F.coalesce("n", F.lit(0)).alias("n"), "accuracy", "f1_weighted")
 
 
 def best_model(metrics: DataFrame, model_order: DataFrame) -> DataFrame:
     """Best model by accuracy; the first listed model wins ties.
 
-    ``model_order``: ``(model, model_order)`` of all models found.  The
-    metrics (one row per model) are read once: rank and count come from
-    windows over that small table.
+    ``model_order``: ``(model, model_order)`` of all models found, one row
+    per model.  One aggregate over the metrics, no window.
     """
-    everything = Window.partitionBy()
-    ranked = (metrics.join(model_order, "model")
-                     .select("model", "accuracy", "f1_weighted",
-                             F.row_number().over(Window.orderBy(F.col("accuracy").desc(),
-                                                                F.col("model_order"))).alias("r"),
-                             F.count(F.lit(1)).over(everything).alias("models_evaluated")))
-    best = ranked.filter(F.col("r") == 1).select(
-        "models_evaluated", F.col("model").alias("best_model"),
-        F.col("accuracy").alias("best_accuracy"), F.col("f1_weighted").alias("best_f1"))
-    found = model_order.agg(F.count(F.lit(1)).alias("models_found"))
-    k = "__k"
-    out = found.withColumn(k, F.lit(1)).join(best.withColumn(k, F.lit(1)), k, "left").drop(k)
-    return out.select("models_found", F.coalesce("models_evaluated", F.lit(0)).alias("models_evaluated"),
-                      "best_model", "best_accuracy", "best_f1")
+    known = metrics.join(F.broadcast(model_order), "model", "right")  # one row per model
+    best = F.max_by(F.struct("model", "accuracy", "f1_weighted"),
+                    F.when(F.col("accuracy").isNotNull(), F.struct("accuracy", (-F.col("model_order")).alias("o"))))
+    return known.agg(F.count(F.lit(1)).alias("models_found"), F.count("accuracy").alias("models_evaluated"),
+                     best.alias("b")).select("models_found", "models_evaluated", F.col("b.model").alias("best_model"),
+                                             F.col("b.accuracy").alias("best_accuracy"), F.col("b.f1_weighted").alias("best_f1"))
 
 
 def quality_band(metrics: DataFrame) -> DataFrame:

@@ -67,11 +67,16 @@ def with_labels(df: DataFrame, policy: str = "extended", raw_col: str = "label_r
 
 def normalize_label_filter(df: DataFrame, raw_col: str = "label_raw",
                            out_col: str = "label") -> DataFrame:
-    """Runner rule: map the four label words, keep only values 0 and 1.
+    """Runner rule: map the four label words, keep only values 0 and 1; a
+    table without any label (no such column, or null in every row) keeps all
+    rows with -1.
 
     Values are compared as numbers, so a text label ``"1"`` is kept (a
     CSV read by Spark is all strings; numeric label columns behave as in
-    the reference)."""
+    the reference).  One small job tells whether there is any label; it
+    reads the label column only and stops at the first one."""
+    if raw_col not in df.columns or df.select(raw_col).filter(F.col(raw_col).isNotNull()).isEmpty():
+        return df.withColumn(out_col, F.lit(-1))
     mapped = replace_label_words(F.col(raw_col))
     num = mapped.try_cast("double")
     return (df.withColumn(out_col, num.cast("int"))

@@ -124,6 +124,6 @@ def require_rows(df: DataFrame, minimum: int = 3) -> int:
     n = df.count()
     if n < minimum:
         if minimum <= 1:
-            raise ValueError("No valid text data found after cleaning")
-        raise ValueError(f"Dataset too small ({n} samples). Minimum required: {minimum}")
+            raise ValueError("no usable text is left after cleaning")
+        raise ValueError(f"{n} usable rows are left, {minimum} are needed")
     return n

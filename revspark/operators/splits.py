@@ -4,19 +4,20 @@ Contract (not sklearn's seed-42 permutation, which cannot be reproduced):
 
 * sizes: ``n_test = ceil(ratio * n)`` in doubles, ``n_train = n - n_test``;
 * per-class quotas of the first part: floor of the proportional share,
-  remaining rows to the largest fractional parts, ties to the smaller label;
-* membership: rows ranked inside their class by ``md5('42|' || id)`` then
+  remaining rows to the largest fractional parts, ties to the smaller label
+  (null is a label of its own, after all others);
+* membership: rows ordered inside their class by ``md5('42|' || id)`` then
   ``id``; the first ``q_train`` rows are train, the next ``q_val`` val, the
   rest test.  If stratifying is impossible (a class with < 2 rows, or a side
-  with fewer rows than classes) the policy falls back to the same ranking
-  over all rows.
-
-Scale: the class counts (one row per label) are the only thing collected.
-The rank is computed without a window over a whole class: rows are spread
-over ``nb`` hash buckets (``nb`` grows with the row count), each bucket is
-ranked on its own (window partitioned by class *and* bucket) and a prefix
-sum of bucket sizes (a table of classes x buckets rows) gives the offset.
-A class holding a third of all rows is therefore ranked by many tasks.
+  with fewer rows than classes) the policy falls back to the same order over
+  all rows.  Rows that repeat an id go to the same part.
+
+Scale: rows are never ranked as a whole and their other columns never move.
+Class sizes per md5 bucket (map-side partial counts) tell which bucket holds
+each quota border; only the ids of these buckets, at most two per class, are
+ordered to read off the border key.  Every row is then assigned where it is,
+by comparing its key with the borders of its class (a broadcast of one row
+per class; class sizes are the only thing collected).
 """
 from __future__ import annotations
 
@@ -25,8 +26,6 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-
 SEED = "42"
 ROWS_PER_BUCKET = 1_000_000
 
@@ -43,13 +42,22 @@ class StratifyError(ValueError):
     pass
 
 
+def label_key(label) -> tuple:
+    """Sort key of labels: null comes last."""
+    return label is None, label if label is not None else 0
+
+
+def in_order(counts) -> list[tuple]:
+    return sorted(((lab, c) for lab, c in counts if c > 0), key=lambda lc: label_key(lc[0]))
+
+
 def approximate_mode(counts: list[tuple[int, int]], n_draws: int) -> dict[int, int]:
     """Largest-remainder allocation of ``n_draws`` over ``(label, count)``."""
     total = sum(c for _, c in counts)
     cont = {lab: c / total * n_draws for lab, c in counts}
     fl = {lab: math.floor(v) for lab, v in cont.items()}
     need = int(n_draws - sum(fl.values()))
-    order = sorted(counts, key=lambda lc: (-(cont[lc[0]] - fl[lc[0]]), lc[0]))
+    order = sorted(counts, key=lambda lc: (-(cont[lc[0]] - fl[lc[0]]), *label_key(lc[0])))
     for lab, _ in order[:max(need, 0)]:
         fl[lab] += 1
     return fl
@@ -68,7 +76,7 @@ def plan_quotas(counts: list[tuple[int, int]], ratios: list[float], stratify: bo
     maps label -> list of part sizes (len(ratios) + 1 entries).  In the
     random fallback the single label key is ``None``.
     """
-    counts = sorted((lab, c) for lab, c in counts if c > 0)
+    counts = in_order(counts)
     if stratify:
         try:
             return _stratified(counts, ratios), True
@@ -109,48 +117,47 @@ def _rank_key(id_col: str):
     return F.md5(F.concat(F.lit(SEED + "|"), F.col(id_col).cast("string")))
 
 
-def ranked(df: DataFrame, stratum, id_col: str = "id", n_rows: int | None = None,
-           rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Add ``rank`` (0-based) of each row inside ``stratum`` by (md5, id).
-
-    Rows are ranked inside (stratum, bucket); the bucket sizes are read off
-    the ranked rows (an aggregate on the same partitioning, no new
-    shuffle), turned into offsets over the small (strata x buckets) table
-    and broadcast back.  The input is read by both branches; :func:`split`
-    checkpoints it first so it is computed once.
-    """
-    n_rows = n_rows if n_rows is not None else df.count()
+def borders(df: DataFrame, stratum, positions: dict, id_col: str, n_rows: int, rows_per_bucket: int) -> DataFrame:
+    """``(s, borders)``: per stratum the keys ``(md5, id)`` of the rows at
+    ``positions[stratum]`` (0-based, in key order); a position after the last
+    row has none."""
+    spark = df.sparkSession
     nb = max(1, math.ceil(n_rows / rows_per_bucket))
-    x = (df.withColumn("__h", _rank_key(id_col))
-           .withColumn("__s", stratum)
-           .withColumn("__b", (F.conv(F.substring("__h", 1, 8), 16, 10).cast("long") * nb
-                               / F.lit(1 << 32)).cast("long")))
-    local = x.withColumn("__local", F.row_number().over(
-        Window.partitionBy("__s", "__b").orderBy("__h", F.col(id_col))))
-    sizes = local.groupBy("__s", "__b").agg(F.max("__local").alias("__n"))
-    offs = sizes.withColumn("__off", F.coalesce(F.sum("__n").over(
-        Window.partitionBy("__s").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    offs = offs.select("__s", "__b", "__off")
-    out = local.join(F.broadcast(offs) if nb <= 4096 else offs, ["__s", "__b"])
-    return (out.withColumn("rank", F.col("__off") + F.col("__local") - 1)
-               .drop("__h", "__b", "__local", "__off"))
+    bucket = F.floor(F.conv(F.substring("h", 1, 8), 16, 10).cast("long") * F.lit(nb) / F.lit(1 << 32)).cast("long")
+    keys = df.select(stratum.alias("s"), _rank_key(id_col).alias("h"), F.col(id_col).alias("i")).withColumn("b", bucket)
+    sizes = keys.groupBy("s", "b").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("s").orderBy("b").rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0))
+    wanted = spark.createDataFrame([(lab, int(p)) for lab, ps in positions.items() for p in ps],
+                                   f"s {df.select(stratum.alias('s')).schema[0].dataType.simpleString()}, p long")
+    held = sizes.withColumn("before", before).join(F.broadcast(wanted).withColumnRenamed("s", "ws"), F.col("s").eqNullSafe(F.col("ws"))
+                                                   & (F.col("p") >= F.col("before")) & (F.col("p") < F.col("before") + F.col("n")))
+    held = held.select(F.col("s").alias("hs"), F.col("b").alias("hb"), "before", "p")
+    at = F.row_number().over(Window.partitionBy("hs", "hb", "p").orderBy("h", "i")) - 1 + F.col("before")
+    found = keys.join(F.broadcast(held), F.col("s").eqNullSafe(F.col("hs")) & (F.col("b") == F.col("hb"))).withColumn("at", at)
+    return found.filter(F.col("at") == F.col("p")).groupBy("s").agg(F.collect_list(F.struct("h", "i")).alias("borders"))
 
 
 def _assign(spark: SparkSession, df: DataFrame, parts: dict, stratified: bool, names: list[str],
             label_col: str, id_col: str, rows_per_bucket: int) -> DataFrame:
     n_rows = sum(sum(v) for v in parts.values())
     stratum = F.col(label_col) if stratified else F.lit(0)
-    r = ranked(df, stratum, id_col, n_rows, rows_per_bucket)
-    rows = []
+    positions, first = {}, []
     for lab, sizes in parts.items():
-        acc = 0
-        for name, size in zip(names, sizes):
-            rows.append((lab if stratified else 0, name, acc, acc + size))
-            acc += size
-    bounds = spark.createDataFrame(rows, "__s long, split string, lo long, hi long")
-    joined = r.join(F.broadcast(bounds), (r["__s"] == bounds["__s"]) & (r["rank"] >= bounds["lo"])
-                    & (r["rank"] < bounds["hi"]))
-    return joined.drop("__s", "lo", "hi", "rank")
+        ends = [sum(sizes[: i + 1]) for i in range(len(names) - 1)]
+        positions[lab if stratified else 0] = [p for p in ends if 0 < p < sum(sizes)]
+        # parts before the first row of the class, and the names of the others in order
+        filled = [(n, size) for n, size in zip(names, sizes) if size > 0]
+        first.append((lab if stratified else 0, [n for n, _ in filled] or [names[-1]]))
+    kind = df.select(stratum.alias("s")).schema[0].dataType.simpleString()
+    named = spark.createDataFrame(first, f"fs {kind}, part_names array<string>")
+    found = borders(df, stratum, positions, id_col, n_rows, rows_per_bucket)
+    per_class = named.join(found, F.col("fs").eqNullSafe(F.col("s")), "left").select(
+        "fs", "part_names", F.coalesce("borders", F.array().cast(found.schema["borders"].dataType)).alias("borders"))
+    key = F.struct(_rank_key(id_col).alias("h"), F.col(id_col).alias("i"))
+    part = F.element_at("part_names", F.lit(1) + F.size(F.filter("borders", lambda b: b <= key)))
+    return df.join(F.broadcast(per_class), stratum.eqNullSafe(F.col("fs"))).withColumn("split", part).drop(
+        "fs", "part_names", "borders")
 
 
 def class_counts(df: DataFrame, label_col: str = "label") -> list[tuple[int, int]]:
@@ -159,8 +166,8 @@ def class_counts(df: DataFrame, label_col: str = "label") -> list[tuple[int, int
 
 
 def split(df: DataFrame, policy: str = "standard", label_col: str = "label", id_col: str = "id",
-          rows_per_bucket: int = ROWS_PER_BUCKET, cut_lineage: bool = True,
-          min_samples: int = 10) -> DataFrame:
+          rows_per_bucket: int = ROWS_PER_BUCKET, min_samples: int = 10,
+          with_strategy: bool = False) -> DataFrame:
     """Add a ``split`` column (train / val / test / inference) by ``policy``.
 
     * ``standard``: no valid label -> inference; n < 10: 70/30; n < 50:
@@ -175,61 +182,64 @@ def split(df: DataFrame, policy: str = "standard", label_col: str = "label", id_
       random 80/20 over all rows when ``n >= min_samples``; else all rows
       train and the first 5 by id also form val.
 
-    The input is read three times (class counts, ranking, bucket sizes).
-    With ``cut_lineage`` it is first written once as a reliable checkpoint
-    in the shared folder (``spark.checkpoint.dir``), so upstream work such
-    as text cleaning runs once and a lost executor recomputes from the
-    checkpoint.
+    The row-count rules above are the reference's schedules; which one was
+    taken is the column ``strategy`` of the result if ``with_strategy``.
+    ``standard`` raises ValueError below 3 rows.
     """
+    out, strategy = _split(df, policy, label_col, id_col, rows_per_bucket, min_samples)
+    return out.withColumn("strategy", F.lit(strategy)) if with_strategy else out
+
+
+def _split(df: DataFrame, policy: str, label_col: str, id_col: str, rows_per_bucket: int, min_samples: int):
     spark = df.sparkSession
-    if cut_lineage:
-        ensure_checkpoint_dir(spark)
-        df = df.checkpoint()
     counts = class_counts(df, label_col)
     n = sum(c for _, c in counts)
     has = any(lab in (0, 1) for lab, c in counts if c > 0)
     three = ["train", "val", "test"]
     if policy == "standard":
         if n < 3:
-            return df.withColumn("split", F.lit("test"))
+            raise ValueError(f"a split needs at least 3 rows, got {n}")
         if not has:
-            return df.withColumn("split", F.lit("inference"))
+            return df.withColumn("split", F.lit("inference")), "inference"
         ratios = STANDARD_SMALL if n < 10 else STANDARD_MEDIUM if n < 50 else STANDARD_LARGE
+        strategy = "train_test" if n < 10 else "train_val_test_small" if n < 50 else "train_val_test"
         names = ["train", "test"] if n < 10 else three
         parts, strat = plan_quotas(counts, ratios)
-        return _assign(spark, df, parts, strat, names, label_col, id_col, rows_per_bucket)
+        return _assign(spark, df, parts, strat, names, label_col, id_col, rows_per_bucket), (
+            strategy if strat else f"{strategy}_random")
     if policy == "extended":
         if n < 10 or not has:
-            return df.withColumn("split", F.lit("inference"))
+            return df.withColumn("split", F.lit("inference")), "inference"
         ratios = STANDARD_LARGE if n >= 100 else STANDARD_SMALL
-        parts = _stratified(sorted((lab, c) for lab, c in counts if c > 0), ratios)
+        parts = _stratified(in_order(counts), ratios)
         if n >= 100:
-            return _assign(spark, df, parts, True, three, label_col, id_col, rows_per_bucket)
+            return _assign(spark, df, parts, True, three, label_col, id_col, rows_per_bucket), "train_val_test"
         out = _assign(spark, df, parts, True, ["train", "test"], label_col, id_col, rows_per_bucket)
-        return out.unionByName(out.filter(F.col("split") == "test").withColumn("split", F.lit("val")))
+        return out.unionByName(out.filter(F.col("split") == "test").withColumn("split", F.lit("val"))), "train_test_as_val"
     if policy == "runner":
         if n < 100 or not has:
-            return df.withColumn("split", F.lit("inference"))
-        parts = _stratified(sorted(counts), STANDARD_LARGE)
-        return _assign(spark, df, parts, True, three, label_col, id_col, rows_per_bucket)
+            return df.withColumn("split", F.lit("inference")), "inference"
+        parts = _stratified(in_order(counts), STANDARD_LARGE)
+        return _assign(spark, df, parts, True, three, label_col, id_col, rows_per_bucket), "train_val_test"
     if policy == "train_val":
         if n < SVM_MIN_SPLIT_ROWS:
             # fewer than 20 rows: the first fifth (by id) is validation
-            return _first_rows(df, id_col, max(1, n // 5), copy=False)
+            return _first_rows(df, id_col, max(1, n // 5), copy=False), "first_fifth"
         parts, strat = plan_quotas(counts, TRAIN_VAL)
-        return _assign(spark, df, parts, strat, ["train", "val"], label_col, id_col, rows_per_bucket)
+        return _assign(spark, df, parts, strat, ["train", "val"], label_col, id_col, rows_per_bucket), (
+            "train_val" if strat else "train_val_random")
     if policy == "train_val_mlp":
-        labelled = [(lab, c) for lab, c in counts if lab != -1 and c > 0]
+        labelled = [(lab, c) for lab, c in counts if lab is not None and lab != -1 and c > 0]
         n_lab = sum(c for _, c in labelled)
         if len(labelled) > 1 and n_lab > min_samples:
-            parts = _stratified(sorted(labelled), TRAIN_VAL)
+            parts = _stratified(in_order(labelled), TRAIN_VAL)
             return _assign(spark, df.filter(F.col(label_col) != -1), parts, True, ["train", "val"],
-                           label_col, id_col, rows_per_bucket)
+                           label_col, id_col, rows_per_bucket), "train_val"
         if n >= min_samples:
             parts, _ = plan_quotas(counts, TRAIN_VAL, stratify=False)
-            return _assign(spark, df, parts, False, ["train", "val"], label_col, id_col, rows_per_bucket)
+            return _assign(spark, df, parts, False, ["train", "val"], label_col, id_col, rows_per_bucket), "train_val_random"
         # very small: everything trains, the first 5 rows (by id) also validate
-        return _first_rows(df, id_col, min(MLP_SMALL_VAL_ROWS, n), copy=True)
+        return _first_rows(df, id_col, min(MLP_SMALL_VAL_ROWS, n), copy=True), "train_copy_val"
     raise ValueError(f"unknown split policy {policy!r}")
 
 

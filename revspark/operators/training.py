@@ -19,18 +19,15 @@ import math
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, MultilayerPerceptronClassifier
-from pyspark.ml.feature import StandardScaler
+from pyspark.ml.feature import ElementwiseProduct, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .rows import attach_row
 
 R = 6
-# Optimiser iterations of Spark's quasi-Newton solvers.  The
-# reference's max_iter counts liblinear coordinate-descent passes; L-BFGS /
-# OWL-QN converge in far fewer iterations, so the rule value is capped here.
-SPARK_MAX_ITER = 100
 # Fixed value: stopping tolerance of the linear SVM (liblinear's default).
 SVM_TOL = 1e-4
 ROWS_PER_PARTITION = 200_000
@@ -140,6 +137,15 @@ def _sized(df: DataFrame, n: int) -> DataFrame:
     return df.repartition(parts)
 
 
+def population_scaler(n: int, data: DataFrame) -> list:
+    """Stages that standardise with the population deviation (E4): Spark's
+    scaler divides by the sample deviation, sqrt(n / (n - 1)) times as large."""
+    d = data.select(F.max(F.size(vector_to_array("features_raw")))).first()[0] or 0
+    ratio = math.sqrt(n / (n - 1)) if n > 1 else 1.0
+    return [StandardScaler(inputCol="features_raw", outputCol="features_sample", withMean=True, withStd=True),
+            ElementwiseProduct(scalingVec=Vectors.dense([ratio] * d), inputCol="features_sample", outputCol="features")]
+
+
 def train_svm(train: DataFrame, vec_col: str = "embedding", label_col: str = "label",
               C: float = 1.0, max_iter: int = 10000) -> PipelineModel:
     n = train.count()
@@ -147,10 +153,9 @@ def train_svm(train: DataFrame, vec_col: str = "embedding", label_col: str = "la
         "label_d", F.col(label_col).cast("double")), n).persist()
     try:
         svc = LinearSVC(featuresCol="features", labelCol="label_d", weightCol="weight",
-                        regParam=1.0 / (C * max(n, 1)), maxIter=min(max_iter, SPARK_MAX_ITER),
+                        regParam=1.0 / (C * max(n, 1)), maxIter=max_iter,
                         tol=SVM_TOL, standardization=False)
-        pipe = Pipeline(stages=[StandardScaler(inputCol="features_raw", outputCol="features",
-                                               withMean=True, withStd=True), svc])
+        pipe = Pipeline(stages=[*population_scaler(n, data), svc])
         return pipe.fit(data)
     finally:
         data.unpersist()
@@ -167,10 +172,9 @@ def train_mlp(train: DataFrame, hidden: list[int], vec_col: str = "embedding", l
                   int(st["n"])).persist()
     try:
         mlp = MultilayerPerceptronClassifier(featuresCol="features", labelCol="label_d",
-                                             layers=[d, *hidden, 2], maxIter=min(max_iter, SPARK_MAX_ITER),
+                                             layers=[d, *hidden, 2], maxIter=max_iter,
                                              blockSize=max(1, block_size), seed=seed)
-        pipe = Pipeline(stages=[StandardScaler(inputCol="features_raw", outputCol="features",
-                                               withMean=True, withStd=True), mlp])
+        pipe = Pipeline(stages=[*population_scaler(int(st["n"]), data), mlp])
         return pipe.fit(data)
     finally:
         data.unpersist()

@@ -28,19 +28,16 @@ def _words(v: str) -> str:
 
 
 def _text_content_sql(tbl, col, i, key, policy):
-    sample = (f"SELECT CAST(\"{col}\" AS VARCHAR) AS v, row_number() OVER (ORDER BY {key}) AS pos "
-              f"FROM {tbl} WHERE \"{col}\" IS NOT NULL ORDER BY {key} LIMIT {D.TEXT_SAMPLE}")
+    values = f"SELECT CAST(\"{col}\" AS VARCHAR) AS v FROM {tbl} WHERE \"{col}\" IS NOT NULL"
     if policy == "extended":
-        hits = " + ".join(f"max(CASE WHEN pos <= {D.BONUS_SAMPLE} AND contains(lower(v), {q(w)}) THEN 1 ELSE 0 END)"
-                          for w in D.COMMON_WORDS_EXT)
+        hits = " + ".join(f"max(CASE WHEN contains(lower(v), {q(w)}) THEN 1 ELSE 0 END)" for w in D.COMMON_WORDS_EXT)
         bonus = f"CASE WHEN {hits} > 2 THEN 10 ELSE 0 END"
     else:
         pat = f"(^|[^{WORD}])(" + "|".join(D.ENGLISH_WORDS) + f")([^{WORD}]|$)"
-        bonus = (f"CASE WHEN max(CASE WHEN pos <= {D.BONUS_SAMPLE} AND regexp_matches(lower(v), {q(pat)}) "
-                 f"THEN 1 ELSE 0 END) = 1 THEN 10 ELSE 0 END")
+        bonus = f"CASE WHEN max(CASE WHEN regexp_matches(lower(v), {q(pat)}) THEN 1 ELSE 0 END) = 1 THEN 10 ELSE 0 END"
     return (f"SELECT {q(col)} AS \"column\", {i} AS ordinal, round(avg(length(v)), 6) AS avg_length, "
             f"round(avg({_words('v')}), 6) AS avg_words, {bonus} AS bonus, "
-            f"avg(length(v)) AS al, avg({_words('v')}) AS aw FROM ({sample})")
+            f"avg(length(v)) AS al, avg({_words('v')}) AS aw FROM ({values})")
 
 
 def _text_scores_sql(tbl, policy="standard"):
@@ -138,7 +135,7 @@ def _fallback_sql(tbl):
         for i, c in enumerate(cols))
     firsts = " UNION ALL ".join(
         f"SELECT {q(c)} AS \"column\", avg(length(v)) AS a FROM (SELECT \"{c}\" AS v FROM {tbl} "
-        f"WHERE \"{c}\" IS NOT NULL ORDER BY {key} LIMIT {D.FALLBACK_SAMPLE})" for c in cols if c in str_cols)
+        f"WHERE \"{c}\" IS NOT NULL)" for c in cols if c in str_cols)
     return (f"SELECT t.\"column\", CAST(t.ordinal AS INTEGER) AS ordinal, t.total_chars, round(f.a, 6) AS first_avg_length, "
             f"f.a > 10 AS usable_text FROM ({tot}) t LEFT JOIN ({firsts}) f ON t.\"column\" = f.\"column\"")
 

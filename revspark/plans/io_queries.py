@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import filters
 from ..operators import embedding as EM
+from ..operators.rows import attach_row
 from ..session import scratch_path
 from ..sources import csv, sinks
 from ..sources.tables import reviews, table
@@ -19,6 +20,7 @@ from ..streaming.clean_stream import start_clean_stream
 from .ml_queries import SPLIT_STD_SQL, split_reviews
 from .oracle_text import cleaned_cte
 from .registry import query
+from .split_queries import STANDARD_GUARD, STANDARD_R1, STANDARD_R2, split_sql
 from .text_queries import REVIEWS_SQL, _label_sql
 
 
@@ -41,6 +43,20 @@ def read_reviews(spark, sf):
     return csv.read_reviews(spark, path, "most_columns")
 
 
+def _policy_query(policy):
+    def run(spark, sf):
+        path = _fresh(spark, f"reviews-{policy}")
+        src = reviews(spark, sf).select(F.col("id").cast("string").alias("id"), "text",
+                                        F.col("label_raw").cast("string").alias("label"))
+        csv.write_reviews_csv(src, path)
+        return csv.read_reviews(spark, path, policy)
+    return run
+
+
+for _p in ("reference_order", "extended", "simple"):
+    query(f"read_reviews_{_p}", RAW_REVIEWS_SQL)(_policy_query(_p))
+
+
 HEADER_SRC_SQL = ("SELECT d.doc_id AS \" Review_ID\", d.text AS \"Review Content\", l.quality AS \"Sentiment\" "
                   "FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
 
@@ -136,3 +152,41 @@ def job_metrics(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     lbl = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
     return run_job(docs.join(lbl, "doc_id", "left"), "doc_id")["metrics"]
+
+
+_JOB = f"WITH {_STD[0]} SELECT id, CAST({_label_sql('extended')} AS INTEGER) AS label FROM c WHERE length(t) >= 3"
+
+
+def _reviews_table(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return docs.join(table(spark, sf, "labels").select("doc_id", F.col("quality").alias("sentiment")), "doc_id", "left")
+
+
+@query("job_splits",
+       f"SELECT * FROM ({split_sql(f'SELECT * FROM ({_JOB}) WHERE label IN (0, 1)', STANDARD_R1, STANDARD_R2, STANDARD_GUARD)}) "
+       f"UNION ALL SELECT id, label, 'inference' FROM ({_JOB}) WHERE label NOT IN (0, 1)")
+def job_splits(spark, sf):
+    """Rows, labels and splits of the whole job on reviews with labels for some."""
+    from .job import prepare
+    return prepare(_reviews_table(spark, sf), "doc_id")["splits"].select("id", "label", "split")
+
+
+_BENCH = cleaned_cte("SELECT item_id AS id, coalesce(text, '') AS raw FROM benchmark", "standard")
+
+
+@query("job_unlabelled",
+       f"WITH {_BENCH[0]} SELECT 'inference' AS split, count(*) AS n, CAST(0 AS BIGINT) AS valid_train, 'skipped' AS status, "
+       "'insufficient_labels' AS reason FROM c WHERE length(t) >= 3")
+def job_unlabelled(spark, sf):
+    """The whole job on a table without labels: everything is inference and
+    training is skipped with a reason."""
+    from .job import run_job
+    out = run_job(table(spark, sf, "benchmark"), "item_id")
+    per_split = out["splits"].groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    return attach_row(per_split, out["status"].select("valid_train", "status", "reason"))
+
+
+@query("normalize_label_filter_unlabelled", "SELECT item_id AS id, CAST(-1 AS INTEGER) AS label FROM benchmark")
+def normalize_label_filter_unlabelled(spark, sf):
+    docs = table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), "text")
+    return filters.normalize_label_filter(docs).select("id", "label")

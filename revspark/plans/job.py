@@ -1,64 +1,80 @@
 """The whole flow on one review table, as composable DataFrame steps.
 
-``run_job`` returns a dict of DataFrames (nothing is collected except the
-small planning facts: class counts of the split, training sizes, model
-coefficients inside Spark ML):
+reviews -> detect text/label columns -> clean (standard) -> map labels
+(extended) -> length filter -> stratified split of the rows with a class,
+the others are ``inference`` -> training status -> hashed vectors (embed
+cleaning and length filter) -> SVM + MLP on train -> score the evaluation
+split -> metrics, report rows, best model.
 
-reviews -> detect text/label columns -> clean (standard) -> map labels ->
-length filter -> stratified split -> hashed embeddings (embed cleaning) ->
-SVM + MLP on train -> score test -> metrics, report rows, best model.
+Collected are planning facts only: class counts of the split, the training
+size and width, the training status, the split names.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import detection, embedding, evaluation, filters, modes, splits, training
+from ..operators import detection, embedding, evaluation, filters, modes, quality, splits, training
 from ..session import ensure_checkpoint_dir
 
+MIN_ROWS = 3
+
+
+def prepare(raw: DataFrame, key: str, force_text: str | None = None, force_label: str | None = None) -> dict:
+    """Columns, processed rows and splits: the part that SQL can check.
+
+    The key is no candidate for text or label.  A table without a label
+    column has label -1 in every row.  Rows without a class never enter
+    train, val or test: a table without any goes to ``inference`` whole."""
+    detected = detection.detect_columns(raw, key, exclude=(key,))
+    picks = detection.resolve_columns(raw, key, force_text, force_label, exclude=(key,))
+    label = F.col(f"`{picks['label']}`") if picks.get("label") else F.lit(None).cast("string")
+    base = raw.select(F.col(f"`{key}`").alias("id"), F.col(f"`{picks['text']}`").alias("text"), label.alias("label_raw"))
+    processed = filters.with_labels(filters.valid_texts(base, "standard"), "extended").select("id", "text", "label")
+    labelled = filters.labelled_only(processed)
+    rest = processed.filter(~F.col("label").isin(0, 1)).withColumn("split", F.lit("inference"))
+    counts = splits.class_counts(labelled)
+    if sum(c for _, c in counts) < MIN_ROWS:
+        quality.require_rows(processed, MIN_ROWS)
+        split = processed.withColumn("split", F.lit("inference"))
+    else:
+        split = splits.split(labelled, "standard").unionByName(rest)
+    return {"detection": detected, "columns": picks, "processed": processed, "splits": split}
+
 
 def run_job(raw: DataFrame, key: str, models=("mlp", "svm"), force_text: str | None = None,
             force_label: str | None = None) -> dict[str, DataFrame]:
-    # Lineage is cut twice with reliable checkpoints in the shared folder
-    # (``spark.checkpoint.dir``; a scratch folder only when it is unset):
-    # the split checkpoints the cleaned rows it ranks, and the training
-    # frame is checkpointed after joining the vectors (it is scanned once
-    # per optimiser iteration).
-    # A lost executor then recomputes from the checkpoint, not from the
-    # raw texts.
     ensure_checkpoint_dir(raw.sparkSession)
-    det = detection.detect_columns(raw, key)
-    picks = detection.resolve_columns(raw, key, force_text, force_label)
-    text_col, label_col = picks["text"], picks.get("label")
-    base = raw.select(F.col(key).alias("id"), F.col(f"`{text_col}`").alias("text"),
-                      (F.col(f"`{label_col}`") if label_col else F.lit(None)).alias("label_raw"))
-    processed = filters.with_labels(filters.valid_texts(base, "standard"), "standard").select("id", "text", "label")
-    split = splits.split(processed, "standard")  # checkpoints its input
+    out = prepare(raw, key, force_text, force_label)
+    split = out["splits"]
     profile = modes.split_profile(split)
-    emb_text = filters.clean_reviews(split.select("id", "text"), "embed")
-    vectors = embedding.hash_embeddings(emb_text)
-    data = split.join(vectors, "id").select("id", "label", "split", "embedding").checkpoint()
+    out["profile"] = profile
+    texts = filters.valid_texts(split.select("id", "label", "split", "text"), "embed")
+    # vectors without text, scanned by every optimiser iteration: lineage is cut once
+    data = embedding.hash_embeddings(texts, keep=["label", "split"]).filter(F.col("embedding").isNotNull()).checkpoint()
     train = filters.labelled_only(data.filter(F.col("split") == "train"))
-    test = filters.labelled_only(data.filter(F.col("split") == "test"))
-    out = {"detection": det, "processed": processed, "splits": split, "profile": profile,
-           "modes": modes.stage_modes(profile, models_found=len(models))}
-    scored = []
-    n_train = train.count()
+    facts = train.agg(F.count(F.lit(1)).alias("valid_train"), F.count_distinct("label").alias("n_classes"))
+    out["status"] = modes.training_status(facts)
+    ready = out["status"].first()["status"] == "ready"
+    stats = training.feature_stats(train)
+    out["svm_params"], out["mlp_params"] = training.svm_params(stats), training.mlp_params(stats)
+    out["modes"] = modes.stage_modes(profile, models_found=len(models) if ready else 0)
+    if not ready:
+        return out
+    scored = None
     for m in models:
         if m == "svm":
-            model = training.train_svm(train)
+            r = out["svm_params"].first()
+            model = training.train_svm(train, C=float(r["C"]), max_iter=int(r["max_iter"]))
         else:
-            hidden = [128, 64] if n_train < 1000 else [256, 128]
-            model = training.train_mlp(train, hidden)
-        scored.append(training.score(model, test, m))
-    if scored:
-        allsc = scored[0]
-        for s in scored[1:]:
-            allsc = allsc.unionByName(s)
-        metrics = evaluation.eval_metrics(allsc)
-        order = raw.sparkSession.createDataFrame([(m, i + 1) for i, m in enumerate(models)],
-                                                 "model string, model_order int")
-        out.update({"scored": allsc, "metrics": metrics,
-                    "report": evaluation.classification_report(allsc),
-                    "best_model": evaluation.best_model(metrics, order)})
+            r = out["mlp_params"].first()
+            model = training.train_mlp(train, [int(x) for x in r["hidden_dims"].split(",")], max_iter=int(r["epochs"]))
+        rows = training.score(model, data, m).join(data.select("id", "split"), "id")
+        scored = rows if scored is None else scored.unionByName(rows)
+    evaluated = evaluation.evaluate_on(scored, profile, list(models))
+    order = raw.sparkSession.createDataFrame([(m, i + 1) for i, m in enumerate(models)], "model string, model_order int")
+    on_split = scored.join(F.broadcast(evaluated.select("eval_split").distinct().withColumnRenamed("eval_split", "split")), "split")
+    out.update({"scored": scored, "metrics": evaluated,
+                "report": evaluation.classification_report(filters.labelled_only(on_split), with_accuracy=True),
+                "best_model": evaluation.best_model(evaluated.select("model", "accuracy", "f1_weighted"), order)})
     return out

@@ -47,8 +47,9 @@ def get_spark(master: str | None = None, app: str = "revspark",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (local runs and tests) a fresh scratch folder is created and registered.
+    The cluster names it in ``spark.checkpoint.dir``.  Only a local master,
+    whose driver and executors share one disk, gets a fresh scratch folder
+    when it is unset; on any other master that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="revspark-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

@@ -2,29 +2,33 @@
 
 A review CSV has unknown layout: any columns, ``,`` ``;`` or tab as
 separator, UTF-8 or Latin-1, quoted fields with embedded newlines and
-doubled quotes.  Spark reads it with ``multiLine`` (each file is parsed by
-one task; a large corpus is many files, read in parallel), every column as
-a string.
-
-Spark does not fail on undecodable bytes: it substitutes U+FFFD.  A
-candidate ``(encoding, separator)`` is therefore rejected when any cell
-holds U+FFFD, or when the file yields no row.  The check is one aggregate
-pass over the data.  Encoding guessing of raw bytes is not done (no
-detector is available); the candidate list replaces it.  Spark accepts
-only ISO-8859-1, US-ASCII and UTF-8/16/32, so ``cp1252`` candidates are
-read as ISO-8859-1.
+doubled quotes; every column is read as a string.
+
+One splittable pass over the raw lines tells whether the bytes are valid
+UTF-8 (a genuine U+FFFD is valid) and whether a quoted field may span lines
+(a line with an odd number of quotes).  Only then ``multiLine`` is used, which
+makes a file one task.  UTF-8 candidates are out if the bytes are not valid.
+A candidate separator is out if any row has more fields than the header or
+there is no row; missing fields of short rows are null.  Encoding guessing of
+raw bytes is not done (no detector is available); the candidate list replaces
+it.  Spark accepts only ISO-8859-1, US-ASCII and UTF-8/16/32, so ``cp1252``
+candidates are read as ISO-8859-1.  A missing path or a lost executor is an
+error of its own and not taken for an unreadable layout.
 """
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.labels import _strip
 
 # Candidate lists per policy, in the reference's order
 # (``latin-1`` / ``iso-8859-1`` / ``cp1252`` all map to ISO-8859-1).
 CANDIDATES = {
     "reference_order": [("utf-8", ","), ("iso-8859-1", ","), ("utf-8", ";"), ("utf-8", "\t")],
+    "most_columns": [("utf-8", ","), ("iso-8859-1", ","), ("utf-8", ";"), ("utf-8", "\t"), ("iso-8859-1", ";"),
+                     ("iso-8859-1", "\t")],
     "extended": [("utf-8", ","), ("iso-8859-1", ","), ("utf-8", ";"), ("iso-8859-1", ";"),
                  ("utf-8", "\t")],
     "simple": [("utf-8", ","), ("iso-8859-1", ",")],
@@ -32,13 +36,29 @@ CANDIDATES = {
 # Cell texts pandas reads as missing by default.
 NA_VALUES = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
              "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
-REPLACEMENT_CHAR = "�"
+EXTRA = "__extra"
+
+
+def _reader(spark: SparkSession, encoding: str, sep: str, multi_line: bool):
+    return (spark.read.option("header", True).option("multiLine", multi_line).option("quote", '"').option("escape", '"')
+                 .option("encoding", encoding).option("sep", sep))
+
+
+def _read(spark: SparkSession, path: str, encoding: str, sep: str, multi_line: bool) -> DataFrame:
+    """All columns as strings, and one more that only too long rows fill."""
+    reader = _reader(spark, encoding, sep, multi_line)
+    names = reader.csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, EXTRA]])
+    return reader.option("mode", "PERMISSIVE").schema(schema).csv(path)
 
 
-def _read(spark: SparkSession, path: str, encoding: str, sep: str) -> DataFrame:
-    return (spark.read.option("header", True).option("multiLine", True)
-                 .option("quote", '"').option("escape", '"').option("encoding", encoding)
-                 .option("sep", sep).option("mode", "FAILFAST").csv(path))
+def _lines(spark: SparkSession, path: str) -> tuple[bool, bool]:
+    """(valid UTF-8, quoted fields over several lines) of the raw files."""
+    line = F.col("value")
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    row = spark.read.text(path).agg(F.min(F.is_valid_utf8(line)).alias("valid"),
+                                    F.max(quotes % 2 == 1).alias("odd")).first()
+    return row["valid"] is not False, bool(row["odd"])
 
 
 def _na_to_null(df: DataFrame) -> DataFrame:
@@ -46,41 +66,39 @@ def _na_to_null(df: DataFrame) -> DataFrame:
                        .alias(c) for c in df.columns])
 
 
-def _probe(df: DataFrame):
-    """(rows, has_bad_bytes) in one aggregate pass."""
-    bad = [F.max(F.when(F.col(f"`{c}`").contains(REPLACEMENT_CHAR), 1).otherwise(0)) for c in df.columns]
-    row = df.agg(F.count(F.lit(1)).alias("n"),
-                 reduce(lambda a, b: F.greatest(a, b), bad).alias("bad") if bad else F.lit(0).alias("bad")).first()
-    return row["n"], bool(row["bad"])
-
-
-def read_reviews(spark: SparkSession, path: str, policy: str = "reference_order") -> DataFrame:
-    """Read a review CSV by trying ``(encoding, separator)`` candidates.
+def find_layout(spark: SparkSession, path: str, policy: str = "reference_order") -> dict:
+    """``encoding``, ``sep``, ``multi_line`` and ``columns`` of a review CSV.
 
     ``reference_order``/``extended``/``simple``: the first candidate giving
-    >= 1 column, >= 1 row and clean decoding wins (so a ``;`` file read with
+    >= 1 column, >= 1 row and no too long row wins (so a ``;`` file read with
     ``,`` comes back as one column, as in the reference).  ``most_columns``:
-    the clean candidate with the most columns wins.
+    of all candidates that one with the most columns.
     """
-    cands = CANDIDATES["reference_order" if policy == "most_columns" else policy]
+    valid, multi_line = _lines(spark, path)
     best = None
-    for enc, sep in cands:
-        try:
-            df = _read(spark, path, enc, sep)
-            if not df.columns:
-                continue
-            n, bad = _probe(df)
-        except Exception:  # noqa: BLE001 - a failing candidate is skipped
+    for encoding, sep in CANDIDATES[policy]:
+        if encoding == "utf-8" and not valid:
+            continue
+        df = _read(spark, path, encoding, sep, multi_line)
+        names = df.columns[:-1]
+        if not names or (best and len(names) <= len(best["columns"])):
             continue
-        if n == 0 or bad:
+        facts = df.agg(F.count(F.lit(1)).alias("n"), F.count(EXTRA).alias("long")).first()
+        if not facts["n"] or facts["long"]:
             continue
+        best = {"encoding": encoding, "sep": sep, "multi_line": multi_line, "columns": names}
         if policy != "most_columns":
-            return _na_to_null(df)
-        if best is None or len(df.columns) > len(best.columns):
-            best = df
+            break
     if best is None:
         raise ValueError(f"could not read {path} with any candidate of policy {policy!r}")
-    return _na_to_null(best)
+    return best
+
+
+def read_reviews(spark: SparkSession, path: str, policy: str = "reference_order", layout: dict | None = None) -> DataFrame:
+    """Read a review CSV by its ``layout`` (see :func:`find_layout`)."""
+    found = layout or find_layout(spark, path, policy)
+    df = _read(spark, path, found["encoding"], found["sep"], found["multi_line"])
+    return _na_to_null(df.drop(EXTRA))
 
 
 def write_reviews_csv(df: DataFrame, path: str, sep: str = ",") -> None:
@@ -116,7 +134,7 @@ def normalize_headers(df: DataFrame) -> DataFrame:
         raise ValueError(f"header normalisation makes duplicate columns {sorted(dup)} from {df.columns}")
     out = df.toDF(*names)
     if "label" in names:
-        v = F.lower(F.trim(F.coalesce(F.col("label").cast("string"), F.lit("nan"))))
+        v = F.lower(_strip(F.coalesce(F.col("label").cast("string"), F.lit("nan"))))
         mapped = v
         for k, val in LABEL_WORDS.items():
             mapped = F.when(v == k, F.lit(val)).otherwise(mapped)

@@ -2,20 +2,30 @@
 
 Tables go to Parquet.  Splits are written partitioned by ``split`` so a
 later stage reading one split prunes the others at planning time.  Every
-writer re-reads what it wrote and checks the row count, the check the
-reference does on its saved arrays.
+writer counts the rows while it writes them and compares with what is read
+back, the check the reference does on its saved arrays; the input is computed
+once.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+def _checked_write(df: DataFrame, path: str, mode: str, *partition: str) -> DataFrame:
+    seen = Observation()
+    writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode)
+    (writer.partitionBy(*partition) if partition else writer).parquet(path)
+    back = df.sparkSession.read.parquet(path)
+    got, expected = back.count(), seen.get["n"]
+    if mode != "append" and got != expected:
+        raise ValueError(f"table {path}: wrote {expected} rows, read back {got}")
+    return back
+
+
 def write_splits(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
     """Write ``df`` partitioned by ``split``; return per-split counts read back."""
-    df.write.mode(mode).partitionBy("split").parquet(path)
-    back = df.sparkSession.read.parquet(path)
-    return back.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    return _checked_write(df, path, mode, "split").groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 
 
 def write_embeddings(df: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame:
@@ -24,13 +34,7 @@ def write_embeddings(df: DataFrame, path: str, mode: str = "errorifexists") -> D
     ``mode="errorifexists"`` keeps existing embeddings (the reference skips
     the stage when files exist unless forced); pass ``"overwrite"`` to force.
     """
-    expected = df.count()
-    df.write.mode(mode).parquet(path)
-    back = df.sparkSession.read.parquet(path)
-    got = back.count()
-    if got != expected:
-        raise ValueError(f"embedding table {path}: wrote {expected} rows, read back {got}")
-    return back
+    return _checked_write(df, path, mode)
 
 
 def preprocess_metadata(stats: DataFrame, small_rows: int = 100) -> DataFrame:

@@ -38,7 +38,7 @@ def test_forced_columns(spark):
     df = spark.createDataFrame([(1, "some text here", "1")], "k long, body string, y string")
     got = D.resolve_columns(df, "k", force_text="body", force_label="y")
     assert (got["text"], got["label"], got["text_confidence"]) == ("body", "y", 100)
-    with pytest.raises(ValueError, match="Available columns"):
+    with pytest.raises(ValueError, match="no usable text column"):
         D.resolve_columns(df, "k", force_text="missing")
 
 
@@ -50,3 +50,16 @@ def test_fallback_when_no_clear_text_column(spark):
     tiny = spark.createDataFrame([(1, "ab", "abc")], "k long, f1 string, f2 string")
     got = D.resolve_columns(tiny, "k")
     assert (got["text"], got["text_confidence"]) == ("f2", 1)
+
+
+def test_all_rows_count_unless_a_prefix_is_asked_for(spark):
+    rows = [(i, "ab" if i < 100 else "many more words than the first hundred rows have in them " * 2) for i in range(400)]
+    df = spark.createDataFrame(rows, "k long, a string")
+    whole = D.text_content_scores(df, "k", ["a"]).first()
+    first = D.text_content_scores(df, "k", ["a"], sample_rows=D.REFERENCE_SAMPLE).first()
+    assert whole["avg_length"] > 80 and first["avg_length"] == 2.0
+
+
+def test_the_key_is_no_label(spark):
+    df = spark.createDataFrame([(i, f"some longer text with words {i}") for i in range(5)], "class_id long, body string")
+    assert D.resolve_columns(df, "class_id", exclude=("class_id",)) == {"text": "body", "label": None, "text_confidence": 70.0}

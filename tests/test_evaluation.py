@@ -37,10 +37,10 @@ def test_quality_band(spark):
 def test_min_rows_guard(spark):
     from revspark.operators.quality import require_rows
     df = spark.createDataFrame([(1, "abc"), (2, "def")], "id long, text string")
-    with pytest.raises(ValueError, match="too small"):
+    with pytest.raises(ValueError, match="are needed"):
         require_rows(df, 3)
     assert require_rows(df, 1) == 2
-    with pytest.raises(ValueError, match="No valid text"):
+    with pytest.raises(ValueError, match="no usable text"):
         require_rows(df.filter("id > 5"), 1)
 
 
@@ -51,3 +51,14 @@ def test_insight_codes(spark):
     got = [r["code"] for r in EV.insights(metrics, order, test_rows, "data_analysis").orderBy("seq").collect()]
     assert got == ["multiple_models", "excellent_performance", "significant_gap", "test_data",
                    "test_unlabelled", "train_models"]
+
+
+def test_a_model_without_scores_gets_an_error_row(spark):
+    from revspark.operators import evaluation as EV
+    scored = spark.createDataFrame([(1, "svm", 1, 1, "test"), (2, "svm", -1, 1, "test"), (3, "svm", 0, 0, "train")],
+                                   "id long, model string, label int, prediction int, split string")
+    profile = spark.createDataFrame([("test",), ("train",)], "split string")
+    got = {r["model"]: (r["eval_split"], r["status"], r["n"]) for r in EV.evaluate_on(scored, profile, ["svm", "mlp"]).collect()}
+    assert got == {"svm": ("test", "evaluated", 1), "mlp": ("test", "error", 0)}
+    report = {r["row"]: r for r in EV.classification_report(scored.filter("label IN (0, 1)"), with_accuracy=True).collect()}
+    assert report["accuracy"]["f1"] == 1.0 and report["accuracy"]["support"] == 2

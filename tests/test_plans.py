@@ -15,12 +15,25 @@ def _plan(df, mode="formatted"):
     return buf.getvalue()
 
 
-def test_split_windows_are_per_bucket(spark):
-    text = _plan(E.queries()["split_standard_reviews"](spark, SF001), "extended")
-    windows = [ln for ln in text.splitlines() if "row_number()" in ln and "windowspecdefinition" in ln]
-    assert windows, text[:2000]
-    for ln in windows:
-        assert "__b" in ln, ln   # ranked inside (class, bucket), never a whole class
+def test_split_never_moves_the_text(spark):
+    """Only ids of border buckets are ordered; no exchange carries the text."""
+    from revspark.operators import splits
+    df = spark.range(500).selectExpr("id", "cast(id % 2 as int) AS label", "repeat('x', 50) AS text").repartition(4)
+    text = _plan(splits.split(df, "standard"), "extended").split("== Physical Plan ==")[1]
+    windows = [ln for ln in text.splitlines() if "row_number()" in ln]
+    assert windows and all("hb#" in ln for ln in windows), text[:2000]  # inside (class, bucket), never a whole class
+    plan = _plan(splits.split(df, "standard"))
+    moved = [blk for blk in plan.split("\n\n") if ") Exchange" in blk and "hashpartitioning" in blk]
+    assert moved and not any("text#" in blk for blk in moved)
+
+
+def test_hashed_vectors_do_not_shuffle(spark):
+    from revspark.operators import embedding
+    df = spark.createDataFrame([(1, "a b a", 0), (2, "", 1), (3, None, 1)], "id long, text string, label int")
+    out = embedding.hash_embeddings(df, keep=["label"])
+    assert "Exchange" not in _plan(out)
+    got = {r["id"]: r["embedding"] for r in out.collect()}
+    assert got[2] is None and got[3] is None and abs(sum(x * x for x in got[1]) - 1) < 1e-6
 
 
 def test_cleaning_not_copied_into_filters(spark):

@@ -49,3 +49,44 @@ def test_header_normalisation(spark):
     assert ex.columns == ["id", "text", "label"]
     with pytest.raises(ValueError):
         csv.normalize_headers(spark.createDataFrame([("a", "b")], "review string, content string"))
+
+
+@pytest.mark.parametrize("sep", [";", "\t"])
+def test_latin1_other_separators(spark, tmp_dir, sep):
+    p = _write(tmp_dir, "l.csv", f"text{sep}label\nun café, très bon{sep}1\nmauvais, élu{sep}0\n", encoding="latin-1")
+    layout = csv.find_layout(spark, p, "most_columns")
+    assert (layout["encoding"], layout["sep"], layout["columns"]) == ("iso-8859-1", sep, ["text", "label"])
+    assert csv.read_reviews(spark, p, "most_columns").first()["text"] == "un café, très bon"
+
+
+def test_short_and_long_rows(spark, tmp_dir):
+    p = _write(tmp_dir, "s.csv", "a,b,c\n1,2,3\n4,5\n")
+    got = csv.read_reviews(spark, p)
+    assert got.columns == ["a", "b", "c"] and sorted(tuple(r) for r in got.collect()) == [("1", "2", "3"), ("4", "5", None)]
+    p = _write(tmp_dir, "t.csv", "a,b\n1,2,3\n")
+    with pytest.raises(ValueError):
+        csv.read_reviews(spark, p, "simple")
+
+
+def test_genuine_replacement_character_is_utf8(spark, tmp_dir):
+    p = _write(tmp_dir, "u.csv", "text,label\nbad \ufffd but café,1\n")
+    assert csv.find_layout(spark, p)["encoding"] == "utf-8"
+    assert csv.read_reviews(spark, p).first()["text"] == "bad \ufffd but café"
+
+
+def test_missing_path_is_its_own_error(spark, tmp_dir):
+    from pyspark.errors import AnalysisException
+    with pytest.raises(AnalysisException):
+        csv.read_reviews(spark, os.path.join(tmp_dir, "none.csv"))
+
+
+def test_label_white_space(spark):
+    df = spark.createDataFrame([("x", "positive\t"), ("y", "\u00a0neg\n")], "text string, label string")
+    assert [r["label"] for r in csv.normalize_headers(df).orderBy("text").collect()] == ["1", "0"]
+
+
+def test_writers_check_in_one_pass(spark, tmp_dir):
+    from revspark.sources import sinks
+    df = spark.createDataFrame([(1, "train"), (2, "test"), (3, "train")], "id long, split string")
+    got = {r["split"]: r["n"] for r in sinks.write_splits(df, os.path.join(tmp_dir, "w")).collect()}
+    assert got == {"train": 2, "test": 1}

@@ -23,7 +23,15 @@ def test_labels_table_golden(spark):
 
 
 def test_fewer_than_three_rows(spark):
-    assert splits.split(_frame(spark, [0, 1]), "standard").first()["split"] == "test"
+    with pytest.raises(ValueError, match="at least 3 rows"):
+        splits.split(_frame(spark, [0, 1]), "standard")
+
+
+def test_null_labels_are_a_stratum(spark):
+    out = splits.split(_frame(spark, [0, 1, None, 1] * 30), "standard", with_strategy=True)
+    c = _counts(out)
+    assert sum(c.values()) == 120 and c[("train", None)] == 21 and c[("train", 1)] == 42
+    assert {r["strategy"] for r in out.collect()} == {"train_val_test"}
 
 
 @pytest.mark.parametrize("n,expected", [(9, {"train": 6, "test": 3}), (20, {"train": 12, "val": 4, "test": 4}),
