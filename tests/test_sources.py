@@ -85,8 +85,10 @@ def test_label_white_space(spark):
     assert [r["label"] for r in csv.normalize_headers(df).orderBy("text").collect()] == ["1", "0"]
 
 
-def test_writers_check_in_one_pass(spark, tmp_dir):
+def test_writers_check_what_they_wrote(spark, tmp_dir):
     from revspark.sources import sinks
     df = spark.createDataFrame([(1, "train"), (2, "test"), (3, "train")], "id long, split string")
     got = {r["split"]: r["n"] for r in sinks.write_splits(df, os.path.join(tmp_dir, "w")).collect()}
     assert got == {"train": 2, "test": 1}
+    with pytest.raises(ValueError, match="expected"):
+        sinks.write_splits(df, os.path.join(tmp_dir, "v"), expected=4)
