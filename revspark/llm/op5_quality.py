@@ -27,7 +27,6 @@ other columns are ignored by ``score`` and unchanged in ``keep_good``.
 """
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -93,12 +92,20 @@ def in_training():
     return ~F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def smoothed(counts: np.ndarray) -> np.ndarray:
+    """Bin probabilities; half of each neighbouring bin counts as well."""
+    around = np.pad(counts, ((0, 0), (1, 1)))
+    counts = counts + (around[:, 2:] + around[:, :-2]) / 2 + 0.1
+    return counts / counts.sum(axis=1, keepdims=True)
+
+
 def prior_weight(groups: DataFrame) -> float:
     """How many rows the level above is worth, from (n, good, above): the
     spread of the groups' shares beyond what chance gives them."""
     share = F.col("good") / F.col("n")
-    chance = F.col("above") * (1 - F.col("above"))
-    spread = F.col("n") * F.pow(share - F.col("above"), 2)
+    above = F.col("above").cast("double")
+    chance = above * (1 - above)
+    spread = F.col("n") * F.pow(share - above, 2)
     r = groups.agg(F.sum(spread).alias("spread"), F.sum(chance).alias("chance"), F.sum("n").alias("n"),
                    F.sum(F.col("n") * chance).alias("within")).first()
     if not r["n"] or not r["within"]:
@@ -120,11 +127,11 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "quality", host: str
             ("evidence", 0.0), ("host_rate", 0.5), ("path_rate", 0.5), ("p_good", 0.5), ("kept", True))])
     counts = train.select("y", F.posexplode("bins").alias("feature", "bin")).groupBy("feature", "bin").agg(
         F.count(F.lit(1)).alias("n"), F.sum("y").alias("good")).collect()
-    weight = [[math.log((0 + 1) / (good + BINS)) - math.log((0 + 1) / (n - good + BINS))] * BINS for _ in FEATURES]
+    seen = np.zeros((2, len(FEATURES), BINS))
     for r in counts:
-        weight[r["feature"]][r["bin"]] = (math.log((r["good"] + 1) / (good + BINS))
-                                          - math.log((r["n"] - r["good"] + 1) / (n - good + BINS)))
-    table_of = F.array(*[F.array(*[F.lit(w) for w in row]) for row in weight])
+        seen[1, r["feature"], r["bin"]], seen[0, r["feature"], r["bin"]] = r["good"], r["n"] - r["good"]
+    weight = np.log(smoothed(seen[1])) - np.log(smoothed(seen[0]))
+    table_of = F.array(*[F.array(*[F.lit(w) for w in row]) for row in weight.tolist()])
     evidence = F.aggregate(F.transform("bins", lambda b, i: F.element_at(F.element_at(table_of, i + 1), b + 1)),
                            F.lit(0.0), lambda a, x: a + x)
     rate = good / n

@@ -9,9 +9,11 @@ For each block:
 1. One scan counts, for every n-gram of the block, the documents that have
    it (summed inside the tasks before anything is sent; one row per n-gram
    and task).
-2. Of every ``spread`` consecutive n-grams of an item the rarest becomes a
-   seed.  Rarity only ranks the n-grams of one item against each other, so an
-   item that leaked into very many documents still has seeds.
+2. The n-grams that are rare for their item become seeds: all that occur,
+   but those of over ``common`` times as many documents as three quarters of
+   the item's n-grams have.  Rarity compares the n-grams of one item, so an
+   item that leaked into very many documents still has its seeds, and so has
+   a copy in which every fourth word was changed.
 3. A second scan joins the passages of the documents to the items by these
    seeds, inside the tasks.  Each candidate passage, the item's length and
    half of it more on both sides around the seeds, is aligned with the item
@@ -44,7 +46,7 @@ from revspark.sources.tables import table
 from . import rolling as R
 from .common import documents, in_stretches, stored, text_bytes
 
-GRAM, SPREAD, MIN_SCORE, BLOCK_CHARS = 3, 4, 0.6, 4_000_000
+GRAM, COMMON, MIN_SCORE, BLOCK_CHARS = 3, 2.0, 0.6, 4_000_000
 MATCH, MISS, GAP = 2, 1, 1
 _BREAK = R.SPACE.copy()
 _BREAK[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
@@ -98,15 +100,14 @@ class Items:
             found.append(at[start[inside]])
         return (np.concatenate(starts), np.concatenate(found)) if starts else (np.empty(0, np.int64),) * 2
 
-    def seeds(self, documents_with: np.ndarray, spread: int) -> np.ndarray:
-        """Positions in ``hash`` of the rarest n-gram of every ``spread``
-        consecutive ones of an item."""
+    def seeds(self, documents_with: np.ndarray, common: float) -> np.ndarray:
+        """Positions in ``hash`` of the n-grams that are rare for their item."""
+        n = documents_with[self.gram_of]
         chosen = []
         for i in np.unique(self.item):
-            at = np.flatnonzero(self.item == i)
-            rank = np.lexsort((self.hash[at], documents_with[self.gram_of[at]])).argsort()
-            low = R.sliding_min(rank, min(spread, len(at)))
-            chosen.append(at[np.isin(rank, low)])
+            at = np.flatnonzero((self.item == i) & (n > 0))
+            if len(at):
+                chosen.append(at[n[at] <= common * np.quantile(n[at], 0.75)])
         return np.concatenate(chosen) if chosen else np.empty(0, np.int64)
 
 
@@ -177,7 +178,7 @@ def blocks(bench: DataFrame, block_chars: int) -> Iterator[list[tuple]]:
             yield part
 
 
-def block_leaks(docs: DataFrame, part: list[tuple], gram: int, spread: int, min_score: float) -> DataFrame:
+def block_leaks(docs: DataFrame, part: list[tuple], gram: int, common: float, min_score: float) -> DataFrame:
     """(doc_id, row, item_id, score): the leaks of one block in ``docs``."""
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast(Items([t for _, t in part], gram))
@@ -198,7 +199,7 @@ def block_leaks(docs: DataFrame, part: list[tuple], gram: int, spread: int, min_
     with_gram = np.zeros(len(shared.value.grams), dtype=np.int64)
     for row in counted.collect():  # one row per n-gram of the block
         with_gram[row["gram"]] = row["n"]
-    seeds = sc.broadcast(shared.value.seeds(with_gram, spread))
+    seeds = sc.broadcast(shared.value.seeds(with_gram, common))
     ids = sc.broadcast([i for i, _ in part])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,12 +221,12 @@ def block_leaks(docs: DataFrame, part: list[tuple], gram: int, spread: int, min_
     return docs.select("doc_id", "text").mapInArrow(search, f"doc_id {kind}, item_ids array<long>, score double")
 
 
-def judge(docs: DataFrame, bench: DataFrame, gram: int = GRAM, spread: int = SPREAD, min_score: float = MIN_SCORE,
+def judge(docs: DataFrame, bench: DataFrame, gram: int = GRAM, common: float = COMMON, min_score: float = MIN_SCORE,
           block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per row of ``docs``: doc_id, contaminated, item_ids (sorted),
     n_items, score (best, 0 to 1), kept."""
     bench = bench.select(F.col("item_id").cast("long").alias("item_id"), "text")
-    parts = [block_leaks(docs, part, gram, spread, min_score) for part in blocks(bench, block_chars)]
+    parts = [block_leaks(docs, part, gram, common, min_score) for part in blocks(bench, block_chars)]
     if not parts:
         found = docs.select("doc_id", F.array().cast("array<long>").alias("item_ids"), F.lit(0.0).alias("score"))
     elif len(parts) == 1:
