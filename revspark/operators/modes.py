@@ -33,7 +33,7 @@ def training_stats(df: DataFrame, label_col: str = "label") -> DataFrame:
     return df.groupBy("split", F.col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _flags(profile: DataFrame) -> DataFrame:
+def _flags(profile: DataFrame, by: tuple = ()) -> DataFrame:
     aggs = []
     for s in SPLITS:
         is_s = F.col("split") == s
@@ -43,13 +43,24 @@ def _flags(profile: DataFrame) -> DataFrame:
     aggs += [F.sum(F.when(F.col("has_labels") & (F.col("valid_labels") > MIN_LABELLED_FILE), 1).otherwise(0))
              .alias("n_labelled_files"),
              F.sum(F.when(~F.col("has_labels"), 1).otherwise(0)).alias("n_unlabelled_files")]
-    return profile.agg(*aggs)
+    # of several labelled splits the largest one; the first name of equal ones
+    file = F.col("has_labels") & (F.col("valid_labels") > MIN_LABELLED_FILE)
+    aggs += [F.min(F.when(file, F.struct((-F.col("samples")).alias("n"), F.col("split").alias("split"))))["split"]
+             .alias("largest_labelled"),
+             F.min(F.when(~F.col("has_labels"), F.col("split"))).alias("first_unlabelled")]
+    return profile.groupBy(*by).agg(*aggs)
 
 
-def stage_modes(profile: DataFrame, models_found: int = 0) -> DataFrame:
-    """One row: embedding-stage, SVM, MLP and report modes and the split
-    used for evaluation."""
-    f = _flags(profile)
+def stage_modes(profile: DataFrame, models_found: int = 0, by: tuple = (), embedded: bool = False,
+                force_inference: bool = False) -> DataFrame:
+    """One row (per value of the columns ``by``): embedding-stage, SVM, MLP
+    and report modes, the split used for evaluation, the splits recommended
+    for embedding, the largest labelled split and the report's advice codes.
+
+    ``embedded``: one embedded table with labels exists beside the splits;
+    ``force_inference``: the embedding stage runs as inference on the splits
+    it would have taken anyway."""
+    f = _flags(profile, by)
     c = F.col
     train, val = c("lab_train") == 1, c("lab_val") == 1
     embed = (F.when(train & val, "training_standard").when(train, "training_single")
@@ -58,10 +69,19 @@ def stage_modes(profile: DataFrame, models_found: int = 0) -> DataFrame:
               .when(c("n_unlabelled_files") >= 1, "inference_unlabeled")
               .when(c("n_labelled_files") > 1, "multi_file_training").otherwise("unknown"))
     has_train, has_val = c("has_train") == 1, c("has_val") == 1
+    tested = F.when(c("has_test") == 1, F.array(F.lit("test"))).otherwise(F.array().cast("array<string>"))
+    splits = (F.when(embed == "training_standard", F.concat(F.array(F.lit("train"), F.lit("val")), tested))
+               .when(embed == "training_single", F.concat(F.array(F.lit("train")), tested))
+               .when(embed == "inference", F.array(F.lit("inference")))
+               .when(embed.isin("single_file_training", "multi_file_training"), F.array("largest_labelled"))
+               .when(embed == "inference_unlabeled", F.array("first_unlabelled")))
+    if force_inference:
+        embed = F.lit("inference")
     svm = (F.when(has_train & (c("valid_train") > MIN_SVM_LABELS), "training")
             .when(has_train, "insufficient_labels").when(c("has_inference") == 1, "inference")
             .when(c("has_test") == 1, "test_only").otherwise("no_files"))
     mlp = (F.when(has_train & has_val, "training_standard").when(has_train, "training_single")
+            .when(F.lit(embedded), "training_embedded")
             .when(c("has_test") == 1, "inference_test").when(c("has_inference") == 1, "inference_only")
             .otherwise("unknown"))
     any_split = (c("has_train") + c("has_val") + c("has_test") + c("has_inference")) > 0
@@ -72,7 +92,9 @@ def stage_modes(profile: DataFrame, models_found: int = 0) -> DataFrame:
     ev = (F.when(c("has_test") == 1, "test").when(c("has_inference") == 1, "inference")
            .when(c("has_train") == 1, "train").when(c("has_val") == 1, "val"))
     training_possible = F.when(svm == "training", True).otherwise(False)
-    return f.select(embed.alias("embed_mode"), svm.alias("svm_mode"), mlp.alias("mlp_mode"),
+    advice = F.array_compact(F.array(report, F.when(~m, "train_models"), F.when(~test_data, "add_test_data")))
+    return f.select(*by, F.array_join(splits, ",").alias("recommended_splits"), "largest_labelled",
+                    F.array_join(advice, ",").alias("advice"), embed.alias("embed_mode"), svm.alias("svm_mode"), mlp.alias("mlp_mode"),
                     report.alias("report_mode"), ev.alias("eval_split"),
                     training_possible.alias("svm_training_possible"))
 

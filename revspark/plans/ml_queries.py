@@ -11,7 +11,7 @@ from ..session import scratch_path
 from ..sources.tables import reviews, table
 from .oracle_text import SPACE, cleaned_cte, rr
 from .registry import query
-from .split_queries import PROCESSED_STD, STANDARD_GUARD, STANDARD_R1, STANDARD_R2, split_sql
+from .split_queries import LABELS_SRC, PROCESSED_STD, STANDARD_GUARD, STANDARD_R1, STANDARD_R2, split_sql
 from .text_queries import REVIEWS_SQL, _label_sql
 
 R = 6
@@ -112,17 +112,19 @@ def class_weights(spark, sf):
 @query("labels_of_valid_texts",
        f"SELECT doc_id, quality FROM labels WHERE doc_id IN (SELECT id FROM ({LABELLED_EXT.replace(' WHERE label IN (0, 1)', '')}))")
 def labels_of_valid_texts(spark, sf):
-    valid = filters.valid_texts(reviews(spark, sf), "extended").select(F.col("id").alias("doc_id"))
-    return table(spark, sf, "labels").select("doc_id", "quality").join(valid, "doc_id", "left_semi")
+    labels = table(spark, sf, "labels").select("doc_id", "quality")
+    # only labelled documents are cleaned
+    docs = table(spark, sf, "documents").select("doc_id", "text").join(labels.select("doc_id"), "doc_id", "left_semi")
+    return labels.join(filters.valid_texts(docs, "extended").select("doc_id"), "doc_id", "left_semi")
 
 
 @query("unlabelled_reviews",
        f"SELECT id FROM ({LABELLED_EXT.replace(' WHERE label IN (0, 1)', '')}) v "
        "WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = v.id)")
 def unlabelled_reviews(spark, sf):
-    valid = filters.valid_texts(reviews(spark, sf), "extended").select("id")
     lbl = table(spark, sf, "labels").select(F.col("doc_id").alias("id"))
-    return valid.join(lbl, "id", "left_anti")
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text").join(lbl, "id", "left_anti")
+    return filters.valid_texts(docs, "extended").select("id")
 
 
 # -- parameter rules (E7-E9) and training status (E17) -----------------------------------
@@ -242,6 +244,59 @@ for _k, _cols in {"split_mode": ["embed_mode"], "svm_mode": ["svm_mode", "svm_tr
         (lambda cols: lambda spark, sf: _modes(spark, sf).select(*cols))(_cols))
 
 
+# -- the mode rules over several tables of splits (L4, M5-M9) -----------------------------------
+
+_PROFILES = {"standard": "TRUE", "no_val": "split <> 'val'", "train_only": "split = 'train'", "test_only": "split = 'test'",
+             "val_test": "split IN ('val', 'test')"}
+
+
+def _stage_modes_sql() -> str:
+    per = (f"SELECT split, count(*) AS samples, count(label) > 0 AS has_labels, CAST(sum(CASE WHEN label IN (0, 1) THEN 1 "
+           f"ELSE 0 END) AS BIGINT) AS valid_labels FROM ({split_sql(LABELS_SRC, STANDARD_R1, STANDARD_R2, STANDARD_GUARD)}) "
+           "GROUP BY split")
+    rows = " UNION ALL ".join(f"SELECT '{name}' AS profile, * FROM t WHERE {cond}" for name, cond in _PROFILES.items())
+    rows += " UNION ALL SELECT 'unlabelled', 'inference', count(*), FALSE, 0 FROM benchmark"
+    flags = ", ".join(f"max(CASE WHEN split = '{s}' THEN 1 ELSE 0 END) AS has_{s}, max(CASE WHEN split = '{s}' AND has_labels "
+                      f"THEN 1 ELSE 0 END) AS lab_{s}, max(CASE WHEN split = '{s}' THEN valid_labels ELSE 0 END) AS valid_{s}"
+                      for s in modes.SPLITS)
+    file = "has_labels AND valid_labels > 5"
+    return (
+        f"WITH t AS ({per}), p AS ({rows}), f AS (SELECT profile, {flags}, count(*) FILTER (WHERE {file}) AS nl, "
+        "count(*) FILTER (WHERE NOT has_labels) AS nu, "
+        f"first(split ORDER BY samples DESC, split) FILTER (WHERE {file}) AS largest_labelled, "
+        "min(split) FILTER (WHERE NOT has_labels) AS first_unlabelled FROM p GROUP BY profile), "
+        "m AS (SELECT *, CASE WHEN lab_train = 1 AND lab_val = 1 THEN 'training_standard' WHEN lab_train = 1 THEN "
+        "'training_single' WHEN has_inference = 1 THEN 'inference' WHEN nl = 1 THEN 'single_file_training' "
+        "WHEN nu >= 1 THEN 'inference_unlabeled' WHEN nl > 1 THEN 'multi_file_training' ELSE 'unknown' END AS embed_mode, "
+        "has_test = 1 OR has_inference = 1 AS tested FROM f) "
+        "SELECT profile, embed_mode, CASE embed_mode WHEN 'training_standard' THEN 'train,val' || CASE WHEN has_test = 1 "
+        "THEN ',test' ELSE '' END WHEN 'training_single' THEN 'train' || CASE WHEN has_test = 1 THEN ',test' ELSE '' END "
+        "WHEN 'inference' THEN 'inference' WHEN 'inference_unlabeled' THEN first_unlabelled WHEN 'unknown' THEN NULL "
+        "ELSE largest_labelled END AS recommended_splits, largest_labelled, "
+        "CASE WHEN tested THEN 'full_evaluation' ELSE 'model_evaluation,add_test_data' END AS advice, "
+        "CASE WHEN has_train = 1 AND valid_train > 10 THEN 'training' WHEN has_train = 1 THEN 'insufficient_labels' "
+        "WHEN has_inference = 1 THEN 'inference' WHEN has_test = 1 THEN 'test_only' ELSE 'no_files' END AS svm_mode, "
+        "CASE WHEN has_train = 1 AND has_val = 1 THEN 'training_standard' WHEN has_train = 1 THEN 'training_single' "
+        "ELSE 'training_embedded' END AS mlp_mode, "
+        "CASE WHEN tested THEN 'full_evaluation' ELSE 'model_evaluation' END AS report_mode, "
+        "CASE WHEN has_test = 1 THEN 'test' WHEN has_inference = 1 THEN 'inference' WHEN has_train = 1 THEN 'train' "
+        "ELSE 'val' END AS eval_split, has_train = 1 AND valid_train > 10 AS svm_training_possible FROM m")
+
+
+@query("stage_modes", _stage_modes_sql())
+def stage_modes(spark, sf):
+    """All mode rules, with two models and one embedded table found, for six
+    tables of splits made from the labels and the benchmark."""
+    df = table(spark, sf, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
+    whole = modes.split_profile(splits.split(df, "standard").withColumn("text", F.lit("")))
+    bench = table(spark, sf, "benchmark").select(F.lit("").alias("text"), F.lit(None).cast("int").alias("label"),
+                                                 F.lit("inference").alias("split"))
+    rows = modes.split_profile(bench).withColumn("profile", F.lit("unlabelled"))
+    for name, cond in _PROFILES.items():
+        rows = rows.unionByName(whole.filter(F.expr(cond)).withColumn("profile", F.lit(name)))
+    return modes.stage_modes(rows, models_found=2, by=("profile",), embedded=True)
+
+
 # -- training on the embeddings table (E10-E16, rows-only checks) -----------------------------
 
 def _train_val(spark, sf):

@@ -162,8 +162,8 @@ def _std_reviews(spark, sf):
        f"count(*) FILTER (WHERE length(t) >= 3) AS final_count, "
        f"count(*) - count(*) FILTER (WHERE length(t) >= 3) AS removed_count FROM c")
 def dataset_stats(spark, sf):
-    df = _std_reviews(spark, sf).withColumn("valid", F.length("text") >= 3)
-    return quality.dataset_stats(df, "valid")
+    df = filters.clean_reviews(_docs(spark, sf), "standard").withColumn("valid", F.length("text") >= 3)
+    return quality.dataset_stats(df, "valid")  # labels are not read
 
 
 WORDS_SQL = f"len(list_filter(string_split(trim({rr('t', f'[{SPACE}]+', ' ')}), ' '), lambda w: length(w) > 0))"
