@@ -16,6 +16,8 @@ from revspark.sources.tables import table
 #: Text bytes that a task turns into numpy arrays at once (about 60 times
 #: as much memory); a longer single text makes a stretch of its own.
 STRETCH_BYTES = 2 << 20
+#: Rows of an Arrow batch while a table is stored.
+BATCH_ROWS = 2000
 #: Stands for a null doc_id where documents are ordered: after all others.
 LAST = (1 << 63) - 1
 
@@ -27,10 +29,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet into the session's shared folder and
-    read it back: lineage is cut, and a lost executor costs a re-read."""
+    read it back: lineage is cut, and a lost executor costs a re-read.  Rows
+    may carry whole texts, so Arrow batches are kept small meanwhile."""
     spark = df.sparkSession
     path = f"{scratch_path(spark, 'llm')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before) if int(before) > 0 else BATCH_ROWS, BATCH_ROWS)))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(key, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -70,14 +79,5 @@ def record_batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
                                        for c, f in zip(columns, schema)], schema=schema)
 
 
-def binary_rows(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """A binary column of the byte stretches [start, end) of ``data``."""
-    lengths = (ends - starts).astype(np.int64)
-    off = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-    take = np.arange(off[-1], dtype=np.int64) + np.repeat(starts - off[:-1], lengths)
-    return pa.Array.from_buffers(pa.large_binary(), len(lengths),
-                                 [None, pa.py_buffer(off), pa.py_buffer(data[take])]).cast(pa.binary())
-
-
 def doc_key(column: str = "doc_id"):
     return F.coalesce(F.col(column).cast("long"), F.lit(LAST))

@@ -16,16 +16,17 @@ band are a bucket.  Exact verification compares full shingle sets:
 
 1. a star per bucket: one hub (smallest hash) against every other member;
 2. connected components of the confirmed links.  Members of a bucket that
-   are already connected need no comparison.  While many unconnected pairs
-   are left, each bucket takes a few more hubs, sampled by hash, and
-   components are joined again;
-3. what is left, all pairs of unconnected members of a bucket that were not
-   compared and whose set sizes allow the similarity, is compared as well.
+   are already connected need no comparison;
+3. the open pairs of small buckets, those of unconnected members whose set
+   sizes allow the similarity, are compared one by one;
+4. large buckets with unconnected members are compared in blocks of about
+   ``CHUNK`` members against as many; a block counts the shingles that its
+   documents share and emits links only.
 
 So no pair of a bucket is skipped unless it is connected, compared or
-impossible by size, and a group of many copies costs about one comparison
-per member and hub.  Set sizes and hashes travel with the bucket rows, the
-sets themselves only for classes in a bucket with others.
+impossible by size, and a group of copies that are linked to their hub costs
+one comparison per member.  Set sizes and hashes travel with the bucket rows,
+the texts themselves, packed, only for classes in a bucket with others.
 
 Defined results: words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased.  A
 document with fewer words than a shingle has its whole sequence as one; with
@@ -45,14 +46,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import rolling as R
-from .common import binary_rows, documents, in_stretches, stored, text_bytes
+from .common import documents, in_stretches, stored, text_bytes
 from .components import components
 from .packing import packed, unpacked
 
 BANDS, ROWS = 32, 4
 SHINGLE, SIMILARITY = 5, 80
-#: More hubs per bucket, as long as over FEW unconnected pairs are left per member.
-HUBS, FEW = (4, 16, 64), 4
+#: Members of a bucket whose open pairs are listed; larger buckets are compared in blocks of two chunks.
+FEW, CHUNK = 32, 2048
+#: Pairs whose sets a task holds at once.
+PAIRS = 500
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _FULL = np.uint64((1 << 64) - 1)
@@ -143,35 +146,39 @@ def sketch_table(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame
         run, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>")
 
 
-def set_table(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """(id, shingles) of the documents in ``ids``: sorted 64-bit hashes."""
+def text_table(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, packed) of the documents in ``ids``: a packed text is less than
+    half as large as its set of hashes, which is made where it is compared."""
+    texts = packed(docs.select(F.col("doc_id").cast("long").alias("id"), "text"))
+    return texts.join(ids, "id", "left_semi")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_stretches(unpacked(batches, "packed", "text"), "text"):
-            value, off = shingle_sets(*text_bytes(batch.column("text")), size)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), binary_rows(value.view(np.uint8), off[:-1] * 8, off[1:] * 8)],
-                                             names=["id", "shingles"])
 
-    texts = packed(docs.select(F.col("doc_id").cast("long").alias("id"), "text"))
-    return texts.join(ids, "id", "left_semi").mapInArrow(run, "id long, shingles binary")
+def sets_of(column: pa.Array, size: int) -> list[np.ndarray]:
+    """The shingle set of each packed text: sorted hashes."""
+    out = []
+    for batch in in_stretches(unpacked([pa.RecordBatch.from_arrays([column], names=["packed"])]), "text"):
+        value, off = shingle_sets(*text_bytes(batch.column("text")), size)
+        out += np.split(value, off[1:-1])
+    return out
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame, size: int, similarity: int) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= similarity * union."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if len(y) < len(x):
-                    x, y = y, x
-                common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-                keep.append(100 * common >= similarity * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
+        for whole in batches:
+            for at in range(0, whole.num_rows, PAIRS):
+                batch, keep = whole.slice(at, PAIRS), []
+                for x, y in zip(sets_of(batch.column(2), size), sets_of(batch.column(3), size)):
+                    if len(y) < len(x):
+                        x, y = y, x
+                    common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+                    keep.append(100 * common >= similarity * (len(x) + len(y) - common))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(
+                    pa.array(keep, pa.bool_()))
+
+    left = texts.select(F.col("id").alias("a"), F.col("packed").alias("x"))
+    right = texts.select(F.col("id").alias("b"), F.col("packed").alias("y"))
     return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
@@ -190,33 +197,87 @@ def class_links(docs: DataFrame, reps: DataFrame, size: int, similarity: int) ->
     star = members.filter((F.col("id") != F.col("hub")) & possible("n", "hub_n", similarity)).select(
         F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
     pairs = stored(star, "op10-pairs")
-    sets = stored(set_table(docs, members.select("id").distinct(), size), "op10-sets")
-    found, tested = stored(confirmed(pairs, sets, similarity), "op10-found"), pairs
-    more_hubs = iter(HUBS)
-    while True:
-        joined = components(found)
-        live = members.filter("size > 2").join(joined, "id", "left").withColumn("c", F.coalesce("component", "id"))
-        parts = stored(live.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k")), "op10-parts")
-        mixed = parts.groupBy("key").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"),
-                                         F.count(F.lit(1)).alias("c")).filter("c > 1")
-        open_pairs, rows_left = mixed.agg(F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2), F.sum("k")).first()
-        if not rows_left:
-            return joined
-        hubs = next(more_hubs, None) if open_pairs > FEW * rows_left else None
-        live = stored(live.join(mixed.select("key"), "key").select("key", "id", "n", "c", "size"), "op10-live")
-        hub = live.select("key", F.col("id").alias("h"), F.col("n").alias("h_n"), F.col("c").alias("h_c"), "size")
-        if hubs is not None:  # the smallest hashes, `hubs` of each bucket on average
-            hub = hub.filter(F.pmod(F.xxhash64("h"), F.lit(1 << 30)) <= F.lit(hubs * (1 << 30)) / F.col("size"))
-        once = F.lit(True) if hubs is not None else F.col("h") < F.col("id")
-        more = live.drop("size").join(hub.drop("size"), "key").filter(
-            (F.col("c") != F.col("h_c")) & possible("n", "h_n", similarity) & once).select(
-            F.least("id", "h").alias("a"), F.greatest("id", "h").alias("b")).distinct()
-        more = stored(more.join(tested, ["a", "b"], "left_anti"), "op10-more")
-        new = stored(confirmed(more, sets, similarity), "op10-found")
-        joined = joined.select(F.col("component").alias("a"), F.col("id").alias("b"))
-        if hubs is None:
-            return components(joined.unionByName(new))
-        found, tested = joined.unionByName(new), tested.unionByName(more)
+    texts = stored(text_table(docs, members.select("id").distinct()), "op10-texts")
+    found = stored(confirmed(pairs, texts, size, similarity), "op10-found")
+    joined = components(found)
+    live = members.filter("size > 2").join(joined, "id", "left").withColumn("c", F.coalesce("component", "id"))
+    mixed = live.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("key")
+    live = stored(live.join(mixed, "key").select("key", "id", "n", "c", "size", "hub"), "op10-live")
+    few = live.filter(F.col("size") <= FEW)
+    other = few.select("key", F.col("id").alias("h"), F.col("n").alias("h_n"), F.col("c").alias("h_c"))
+    rest = few.join(other, "key").filter((F.col("h") < F.col("id")) & (F.col("c") != F.col("h_c")) & possible(
+        "n", "h_n", similarity)).select(F.col("h").alias("a"), F.col("id").alias("b")).distinct()
+    rest = stored(rest.join(pairs, ["a", "b"], "left_anti"), "op10-rest")
+    links = joined.select(F.col("component").alias("a"), F.col("id").alias("b"))
+    links = links.unionByName(stored(confirmed(rest, texts, size, similarity), "op10-found"))
+    many = live.filter(F.col("size") > FEW)
+    if not many.isEmpty():
+        links = links.unionByName(stored(links_in_blocks(many, texts, size, similarity), "op10-blocks"))
+    return components(links)
+
+
+def links_in_blocks(many: DataFrame, texts: DataFrame, size: int, similarity: int) -> DataFrame:
+    """Links between unconnected members of large buckets.  Buckets that
+    share members make one cluster, so that a text travels once for all of
+    them; its members are dealt to chunks of about ``CHUNK``, and every two
+    chunks meet in a block.  A block compares in memory and emits links only."""
+    cluster = components(many.select(F.col("id").alias("a"), F.col("hub").alias("b")))
+    rows = many.select("id", "c").distinct().join(cluster, "id", "left").select(
+        "id", "c", F.coalesce("component", "id").alias("cluster"))
+    sizes = rows.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / F.lit(CHUNK)).cast("int").alias("chunks"))
+    rows = rows.join(sizes, "cluster").join(texts, "id").withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
+    rows = rows.select("id", "c", "packed", "cluster", "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+    block = F.xxhash64("cluster", F.least("own", "other"), F.greatest("own", "other"))
+    rows = rows.select(block.alias("block"), "id", "c", (F.col("own") <= F.col("other")).alias("first"),
+                       (F.col("own") == F.col("other")).alias("alone"), "packed")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held = None, []
+        for batch in batches:
+            numbers = np.asarray(batch.column(0))
+            edges = np.concatenate([[0], np.flatnonzero(numbers[1:] != numbers[:-1]) + 1, [len(numbers)]])
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                if a == b:
+                    continue
+                if numbers[a] != block and held:
+                    yield compared(pa.Table.from_batches(held), size, similarity)
+                    held = []
+                block = numbers[a]
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield compared(pa.Table.from_batches(held), size, similarity)
+
+    return rows.repartition("block").sortWithinPartitions("block").mapInArrow(run, "a long, b long")
+
+
+def compared(rows: pa.Table, width: int, similarity: int) -> pa.RecordBatch:
+    """Links between the unconnected documents of a block: of the two chunks
+    with each other, or of the only chunk within itself.  Every document that
+    is not of the commonest component is counted against all others by way
+    of the documents that have its shingles."""
+    ids, c = np.asarray(rows["id"].combine_chunks()), np.asarray(rows["c"].combine_chunks())
+    first, alone = (np.asarray(rows[n].combine_chunks().cast(pa.int8())) > 0 for n in ("first", "alone"))
+    sets = [x for chunk in rows["packed"].chunks for x in sets_of(chunk, width)]
+    size = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, shingle = np.unique(np.concatenate(sets), return_inverse=True)
+    by = np.argsort(shingle, kind="stable")
+    at = np.concatenate([[0], np.cumsum(np.bincount(shingle))])
+    owners, begin = owner[by], np.concatenate([[0], np.cumsum(size)])
+    values, many = np.unique(c, return_counts=True)
+    asked = np.flatnonzero(c != values[many.argmax()])
+    rest = c == values[many.argmax()]
+    a, b = [], []
+    for x in asked:
+        own = shingle[begin[x]: begin[x + 1]]
+        lists = [owners[at[s]: at[s + 1]] for s in own]
+        common = np.bincount(np.concatenate(lists), minlength=len(sets))
+        near = 100 * common >= similarity * (size[x] + size - common)
+        near &= (c != c[x]) & (rest | (np.arange(len(sets)) > x)) & (alone | (first != first[x]))
+        for y in np.flatnonzero(near):
+            a.append(min(ids[x], ids[y]))
+            b.append(max(ids[x], ids[y]))
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
 def judge(docs: DataFrame, size: int = SHINGLE, similarity: int = SIMILARITY, bands: int = BANDS,
