@@ -118,7 +118,8 @@ MO_SQL = "(VALUES ('rule_length', 1), ('rule_words', 2)) mo(model, model_order)"
        f"WITH m AS ({METRICS_SQL}), r AS (SELECT m.*, mo.model_order, row_number() OVER "
        f"(ORDER BY accuracy DESC, mo.model_order) AS r FROM m JOIN {MO_SQL} ON m.model = mo.model) "
        f"SELECT (SELECT count(*) FROM {MO_SQL}) AS models_found, (SELECT count(*) FROM m) AS models_evaluated, "
-       "model AS best_model, accuracy AS best_accuracy, f1_weighted AS best_f1 FROM r WHERE r = 1")
+       "model AS best_model, accuracy AS best_accuracy, f1_weighted AS best_f1 "
+       "FROM (SELECT 1) LEFT JOIN (SELECT * FROM r WHERE r = 1) ON TRUE")
 def best_model(spark, sf):
     return EV.best_model(EV.eval_metrics(scored(spark, sf)), model_order(spark))
 
