@@ -10,15 +10,17 @@ pre-token boundaries as well and need no look at the rest of the text:
 before a blank that follows a visible character, and around a single line
 feed between visible characters (checked against the table; if a vocabulary
 had such a pair in a token, the outer level would be switched off).  Each outer fragment, a word with its blank,
-is encoded once and remembered in a bounded cache.  Inner cuts split the
-pre-tokens of a fragment at all other impossible pairs; what is left is
-merged by rank.  Texts with other white space, or with a special token's
-string, take the same inner path from the pre-tokens of the whole text.
+is encoded once and remembered in a bounded cache; a stretch's unknown
+fragments are encoded together.  Inner cuts split the pre-tokens of a
+fragment at all other impossible pairs; what is left is merged by rank, all
+parts side by side.  In texts with other white space the pre-tokens of the
+whole text are the fragments; a special token's string is one as well.
 
-Decoding joins the bytes of the tokens, fragment by fragment.
+Decoding joins the bytes of the tokens, fragment by fragment; a distinct
+fragment's ids are turned back into bytes once.
 
-Per row, in Arrow batches, no shuffle; memory is bounded by two caches of
-``CACHE`` fragments and the longest text.  The vocabulary file is a
+Per row, in Arrow batches, no shuffle; memory is bounded by the cache of
+``CACHE`` fragments, one stretch and the longest text.  The vocabulary file is a
 parameter and is shipped to the tasks as its content.
 
 Defined results: a null text counts as empty: 0 tokens, the digest of the
@@ -36,18 +38,21 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import documents
+from .common import documents, in_stretches
 
-#: Fragments kept per cache and worker; a longer fragment is not kept.
-CACHE, CACHE_LENGTH = 250_000, 64
+#: Fragments kept per worker (about 250 bytes each); a longer fragment is not kept.
+CACHE, CACHE_LENGTH = 600_000, 64
+#: Text bytes whose unknown fragments are encoded together; longer parts are encoded one by one.
+STRETCH, LONG = 4 << 20, 128
+NONE = np.iinfo(np.int64).max
 #: The Unicode White_Space characters, as the tokenizer's pattern takes them.
 WHITE_POINTS = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F,
                 0x3000]
 WHITE = "".join(map(chr, WHITE_POINTS))
 PRE_TOKEN = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
-#: Texts that outer cuts do not cover: two white characters in a row, or others than blank and line feed.
-ODD = regex.compile(rf"[{WHITE}][{WHITE}]|[{WHITE.replace(' ', '').replace(chr(10), '')}]")
+#: What outer cuts do not cover: white characters but blank and line feed, and two of these in a row.
+ODD = [*[chr(c) for c in WHITE_POINTS if c not in (0x20, 0x0A)], "  ", " \n", "\n ", "\n\n"]
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -58,25 +63,6 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
-class Fragments(dict):
-    """Fragment (after ``prefix``) -> (ids as text, token count, decoded bytes)."""
-
-    def __init__(self, codec: ByteBPE, prefix: str):
-        super().__init__()
-        self.codec, self.prefix = codec, prefix
-
-    def __missing__(self, fragment: str) -> tuple[str, bytes]:
-        ids: list[int] = []
-        for piece in PRE_TOKEN.findall(self.prefix + fragment):
-            self.codec.encode_pre_token(piece.encode(), ids)
-        found = (",".join(map(str, ids)), self.codec.decode_bytes(ids))
-        if len(fragment) <= CACHE_LENGTH:
-            if len(self) >= CACHE:
-                self.clear()
-            self[fragment] = found
-        return found
-
-
 class ByteBPE:
     def __init__(self, config: str):
         spec = json.loads(config)
@@ -89,6 +75,7 @@ class ByteBPE:
         self.token |= {i: s.encode() for s, i in self.special.items()}
         self.split_special = regex.compile("(" + "|".join(
             map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self.vocab_size = max(self.token) + 1
         self.merge: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = map(as_bytes, pair.split(" ") if isinstance(pair, str) else pair)
@@ -100,37 +87,74 @@ class ByteBPE:
         # bytes of wide white characters also occur in tokens beside a blank; there the pre-token boundary makes the cut
         seen = [b for b in range(256) if b not in set(WHITE.encode())]
         self.outer = bool(self.never[seen, 0x20].all() and self.never[seen, 0x0A].all() and self.never[0x0A, seen].all())
-        self.cuts = self.never.tolist()
-        self.plain, self.spaced = Fragments(self, ""), Fragments(self, " ")
-        self.line_feed = (str(self.byte_id[0x0A]), b"\n")
-
-    def encode_pre_token(self, raw: bytes, out: list[int]) -> None:
-        """Cut at the impossible pairs, merge each part by rank."""
-        start, cuts = 0, self.cuts
-        for i in range(1, len(raw)):
-            if cuts[raw[i - 1]][raw[i]]:
-                self.merge_part(raw[start:i], out)
-                start = i
-        self.merge_part(raw[start:], out)
-
-    def merge_part(self, raw: bytes, out: list[int]) -> None:
-        ids = [self.byte_id[b] for b in raw]
-        if len(ids) > 256:
-            return self.merge_long(ids, out)
-        find = self.merge.get
-        found = [find(p) for p in zip(ids, ids[1:])]
-        while True:
-            best = min((x for x in found if x), default=None)
-            if best is None:
-                break
-            at = found.index(best)
-            ids[at: at + 2] = [best[1]]
-            del found[at]
-            if at:
-                found[at - 1] = find((ids[at - 1], ids[at]))
-            if at < len(found):
-                found[at] = find((ids[at], ids[at + 1]))
-        out += ids
+        pairs = np.array([a * self.vocab_size + b for a, b in self.merge], dtype=np.int64)
+        order = np.argsort(pairs)
+        self.pairs, (self.ranks, self.made) = pairs[order], np.array(list(self.merge.values()), dtype=np.int64)[order].T
+        self.digits = {i: str(i) for i in self.token}
+        self.known: dict[str, str] = {}  # fragment -> its ids, joined by commas
+        self.changed: dict[str, bytes] = {}  # fragments that do not decode to themselves
+
+    def merge_parts(self, data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the parts that begin at ``first``, and n + 1 offsets.  In
+        each round every part merges its pair of the lowest rank, the
+        leftmost of equal ones; parts without a mergeable pair are done."""
+        n, size = len(first), np.diff(np.append(first, len(data)))
+        ids = np.array(self.byte_id, dtype=np.int64)[data]
+        part = np.repeat(np.arange(n), size)
+        done_ids, done_parts = [], []
+        for p in np.flatnonzero(size > LONG):
+            out: list[int] = []
+            self.merge_long(ids[first[p]: first[p] + size[p]].tolist(), out)
+            done_ids.append(np.array(out, dtype=np.int64))
+            done_parts.append(np.full(len(out), p))
+        keep = (size <= LONG)[part]
+        ids, part = ids[keep], part[keep]
+        while len(ids):
+            key = ids[:-1] * self.vocab_size + ids[1:]
+            at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+            found = (self.pairs[at] == key) & (part[1:] == part[:-1])
+            code = np.full(len(ids), NONE)
+            on = np.flatnonzero(found)
+            code[on] = self.ranks[at[on]] << 32 | on
+            begin = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+            best = np.minimum.reduceat(code, begin)
+            more = best != NONE
+            place = best[more] & 0xFFFFFFFF
+            ids[place] = self.made[at[place]]
+            left = np.ones(len(ids), dtype=bool)
+            left[place + 1] = False
+            over = ~np.repeat(more, np.diff(np.append(begin, len(ids))))
+            done_ids.append(ids[over])
+            done_parts.append(part[over])
+            left &= ~over
+            ids, part = ids[left], part[left]
+        ids = np.concatenate(done_ids) if done_ids else np.empty(0, np.int64)
+        part = np.concatenate(done_parts) if done_parts else np.empty(0, np.int64)
+        order = np.argsort(part, kind="stable")
+        return ids[order], np.searchsorted(part[order], np.arange(n + 1))
+
+    def learn(self, fragments: list[str]) -> None:
+        """Encode fragments together: pre-tokens, cut at the impossible
+        pairs, parts merged by rank.  A fragment ends where a pre-token ends."""
+        tokens = [PRE_TOKEN.findall(f) for f in fragments]
+        raw = [t.encode() for f in tokens for t in f]
+        if not raw:
+            return
+        data = np.frombuffer(b"".join(raw), dtype=np.uint8)
+        start = np.cumsum([0, *map(len, raw)])
+        cut = np.zeros(len(data) + 1, dtype=bool)
+        cut[1:-1] = self.never[data[:-1], data[1:]]
+        cut[start] = True
+        first = np.flatnonzero(cut[:-1])
+        ids, off = self.merge_parts(data, first)
+        ends = np.searchsorted(first, start[np.cumsum([0, *map(len, tokens)])])
+        off = off[ends].tolist()
+        ids = ids.tolist()
+        digits, token = list(map(self.digits.__getitem__, ids)), list(map(self.token.__getitem__, ids))
+        for f, a, b in zip(fragments, off, off[1:]):
+            self.known[f] = ",".join(digits[a:b])
+            if (decoded := b"".join(token[a:b])) != f.encode():
+                self.changed[f] = decoded
 
     def merge_long(self, ids: list[int], out: list[int]) -> None:
         """The same for long parts: a heap of pairs over a linked list."""
@@ -153,43 +177,55 @@ class ByteBPE:
                     heapq.heappush(heap, (m[0], a, m[1], ids[a], ids[b]))
         out += [x for x in ids if x >= 0]
 
-    def decode_bytes(self, ids) -> bytes:
-        return b"".join([self.token[i] for i in ids])
-
-    def parts(self, text: str) -> list[tuple[str, bytes]]:
-        """(ids as text, decoded bytes) of the fragments, in order."""
+    def fragments(self, text: str) -> list[str]:
+        """The text cut where no token can reach over; special tokens'
+        strings are fragments of their own."""
         if self.split_special and self.split_special.search(text):
-            out: list[tuple[str, bytes]] = []
-            for piece in self.split_special.split(text):
-                if piece in self.special:
-                    out.append((str(self.special[piece]), piece.encode()))
-                elif piece:
-                    out += self.parts(piece)
-            return out
-        if not self.outer or ODD.search(text):
-            return [self.plain[p] if p[:1] != " " else self.spaced[p[1:]] for p in PRE_TOKEN.findall(text)]
-        out, plain, spaced = [], self.plain, self.spaced
+            return [x for piece in self.split_special.split(text) if piece
+                    for x in ([piece] if piece in self.special else self.fragments(piece))]
+        if not self.outer or any(map(text.__contains__, ODD)):
+            return PRE_TOKEN.findall(text)
+        out: list[str] = []
         for i, line in enumerate(text.split("\n")):
             if i:
-                out.append(self.line_feed)
+                out.append("\n")
             words = line.split(" ")
             if words[0]:
-                out.append(plain[words[0]])
-            out += map(spaced.__getitem__, words[1:])
+                out.append(words[0])
+            out += [" " + w for w in words[1:]]
+        return out
+
+    def encode_batch(self, texts: list[str]) -> list[tuple[list[str], str]]:
+        """Per text: its fragments, and all ids joined by commas."""
+        if len(self.known) > CACHE:
+            self.known.clear()
+            self.changed.clear()
+        cut = list(map(self.fragments, texts))
+        self.known |= {s: str(i) for s, i in self.special.items()}
+        new = {f for fragments in cut for f in fragments}.difference(self.known)
+        self.learn(list(new))
+        look = self.known.__getitem__
+        out = [(fragments, ",".join(map(look, fragments))) for fragments in cut]
+        for f in new:
+            if len(f) > CACHE_LENGTH and f not in self.changed:
+                del self.known[f]
         return out
 
+    def decoded(self, fragments: list[str]) -> bytes:
+        """Bytes of the tokens of the fragments, as a text in UTF-8; invalid
+        sequences become U+FFFD."""
+        if not self.changed or not self.changed.keys() & set(fragments):
+            return "".join(fragments).encode()
+        return b"".join([self.changed.get(f) or f.encode() for f in fragments]).decode("utf-8", "replace").encode()
+
     def encode(self, text: str) -> list[int]:
-        ids = ",".join([p[0] for p in self.parts(text)])
-        return [int(x) for x in ids.split(",")] if ids else []
+        return [int(x) for x in self.encode_batch([text])[0][1].split(",") if x]
 
-    def digest(self, text: str) -> tuple[int, str, str]:
-        """Token count, SHA-256 of the ids joined by commas, SHA-256 of the
-        decoded text."""
-        parts = self.parts(text)
-        ids = ",".join([p[0] for p in parts])
-        decoded = b"".join([p[1] for p in parts]).decode("utf-8", "replace").encode()
-        return (ids.count(",") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(),
-                hashlib.sha256(decoded).hexdigest())
+    def digests(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        """Per text: token count, SHA-256 of the ids joined by commas and of
+        the decoded text."""
+        return [(ids.count(",") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(),
+                 hashlib.sha256(self.decoded(fragments)).hexdigest()) for fragments, ids in self.encode_batch(texts)]
 
 
 _codecs: dict[str, ByteBPE] = {}
@@ -219,8 +255,8 @@ def encode_digests(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_for(shared.value)
-        for batch in batches:
-            rows = [codec.digest(v.as_py() or "") for v in batch.column(1)]
+        for batch in in_stretches(batches, "text", STRETCH):
+            rows = codec.digests([t or "" for t in batch.column(1).to_pylist()])
             n, ids, decoded = zip(*rows) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()),
                                               pa.array(decoded, pa.string())],
@@ -237,8 +273,9 @@ def encode_ids(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_for(shared.value)
-        for batch in batches:
-            ids = [codec.encode(v.as_py() or "") for v in batch.column(1)]
+        for batch in in_stretches(batches, "text", STRETCH):
+            ids = [[int(x) for x in found.split(",") if x]
+                   for _, found in codec.encode_batch([t or "" for t in batch.column(1).to_pylist()])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))],
                                              names=["doc_id", "ids"])
 
