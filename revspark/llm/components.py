@@ -32,10 +32,9 @@ def components(links: DataFrame) -> DataFrame:
     smallest of its component."""
     links = stored(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
                    "links")
-    seen = None
     while True:
-        now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == seen or not now[0]:
+        smaller = links.select(F.col("b").alias("a"), F.lit(1).alias("below"))
+        flat = links.groupBy("a").agg(F.count(F.lit(1)).alias("n")).join(smaller.distinct(), "a", "left")
+        if flat.filter("n > 1 OR below = 1").isEmpty():  # one link per id, and to an id without any: all stars
             return links.select(F.col("a").alias("id"), F.col("b").alias("component"))
-        seen = now
         links = stored(small_star(large_star(links)), "links")
