@@ -30,31 +30,35 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import rolling as R
-from .common import documents, in_stretches, text_bytes
+from .common import documents, stored, text_bytes
 from .packing import unpacked
-from .repeats import (HERE, ROUTED, THERE, block_count, by_document, groups_of, has_seed, in_blocks, keyed, pack,
-                      packed_texts, repeated_seeds, routed_batch, spread, unpack, window_seeds, with_lists)
+from .repeats import (HERE, ROUTED, THERE, block_count, block_of, by_shelf, code_of, entries, groups_of, has_seed, in_blocks,
+                      keyed, pack, repeated_seeds, routed_batch, seed_runs, seed_table, shelved, text_batches, unpack,
+                      with_lists)
 
 LENGTH, GRAM = 20, 9
-#: Windows a task holds before it parses them.
-HELD = 1 << 20
+#: Text bytes that are numpy arrays at once: arrays that fit the caches.
+STRETCH = 1 << 19
 
 
-def word_windows(data: np.ndarray, off: np.ndarray, length: int, gram: int):
-    """Of all windows: document, start (in words of the document), seed
-    place, seed, window hash."""
+def word_runs(data: np.ndarray, off: np.ndarray, length: int, gram: int):
+    """Runs of windows with one seed: document, start (in words of the
+    document), windows, seed; offsets of the documents in words, and the
+    prefix sums of the words."""
     starts, ends = R.words_of_texts(data, off)
-    words = R.word_hashes(data, starts, ends)
     first = np.searchsorted(starts, off)
-    sums = R.prefix(words, R.WORD_BASE)
+    sums = R.prefix(R.word_hashes(data, starts, ends), R.WORD_BASE)
     grams = R.fixed(sums, gram, R.WORD_BASE)
-    at, place = window_seeds(grams, first, gram, length)
-    doc = np.searchsorted(first, at, side="right") - 1
-    whole = R.mix(R.fixed(sums, length, R.WORD_BASE) if len(at) else np.empty(0, np.uint64))
-    return doc, at - first[doc], place, grams[place], whole[at]
+    doc, start, size, place = seed_runs(grams, first, gram, length)
+    return doc, start, size, grams[place], first, sums
+
+
+def expanded(size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For runs of ``size`` windows: the run of each window, and its place in it."""
+    run = np.repeat(np.arange(len(size)), size)
+    return run, np.arange(len(run)) - np.repeat(np.cumsum(size) - size, size)
 
 
 def sources(window: np.ndarray, seed: np.ndarray, did: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -84,48 +88,43 @@ def factors(doc: np.ndarray, start: np.ndarray, source: np.ndarray, src_did: np.
     return d[at], s[at], s[last] - s[at] + length
 
 
-def parse(doc, start, seed, window, did, tid, length):
-    """Factors of the windows at hand, per document, and the entries that
-    have no earlier source here."""
+def parse(doc, start, seed, window, did, length):
+    """Factors (document, start, words) of the windows at hand, and the
+    entries that have no earlier source here."""
     order = np.lexsort((start, doc))
     doc, start, seed, window = doc[order], start[order], seed[order], window[order]
     source = sources(window, seed, did[doc], start)
     found = factors(doc, start, source, did[doc[source]], start[source], length)
     first = source == np.arange(len(source))
-    return by_document(found[0], did, tid, found[1].astype(np.int32), found[2].astype(np.int32)), (
-        doc[first], start[first], seed[first], window[first])
+    return (found[0], found[1].astype(np.int32), found[2].astype(np.int32)), (doc[first], start[first], seed[first], window[first])
 
 
 def spans(docs: DataFrame, length: int, gram: int) -> tuple[DataFrame, DataFrame]:
-    """The packed texts, and the parts of their duplicate spans."""
+    """The shelved texts, and the parts of their duplicate spans."""
     keys = keyed(docs)
     n_blocks = block_count(keys)
-    texts = packed_texts(keys)
+    texts = shelved(keys, n_blocks)
 
     def seeds_of(data, off):
-        doc, _, place, seed, _ = word_windows(data, off, length, gram)
-        return doc, place, seed
-
-    def parse_here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, dids, tids, n_docs, n = [], [], [], 0, 0
-        for batch in in_stretches(unpacked(batches), "text"):
-            doc, start, _, seed, window = word_windows(*text_bytes(batch.column("text")), length, gram)
-            on = has_seed(doc, seed, batch.column("bodies").to_pylist())
-            held.append((doc[on] + n_docs, start[on], seed[on], window[on]))
-            dids.append(np.asarray(batch.column("did")))
-            tids.append(np.asarray(batch.column("tid")))
-            n_docs, n = n_docs + batch.num_rows, n + int(on.sum())
-            if n >= HELD:
-                yield deal(held, dids, tids)
-                held, dids, tids, n_docs, n = [], [], [], 0, 0
-        if n:
-            yield deal(held, dids, tids)
-
-    def deal(held, dids, tids) -> pa.RecordBatch:
-        did, tid = np.concatenate(dids), np.concatenate(tids)
-        found, (doc, start, seed, window) = parse(*(np.concatenate(x) for x in zip(*held)), did, tid, length)
-        rows = [(spread(d, t, n_blocks), HERE, d, t, body) for d, t, body in found]
-        block = (seed % np.uint64(n_blocks)).astype(np.int64)
+        doc, _, _, seed, _, _ = word_runs(data, off, length, gram)
+        return doc, seed
+
+    def parse_here(rows: pa.Table, bodies: list[bytes]) -> pa.Table:
+        if not bodies or not rows.num_rows:
+            return pa.Table.from_batches([routed_batch([])])
+        did, tid = (np.asarray(rows[c].combine_chunks()) for c in ("did", "tid"))
+        code, known, held, n = code_of(did, tid), seed_table(bodies), [], 0
+        for batch in text_batches(rows, STRETCH):
+            doc, start, size, seed, first, sums = word_runs(*text_bytes(batch.column("text")), length, gram)
+            on = has_seed(code[doc + n], seed, known)
+            doc, start, size, seed = doc[on], start[on], size[on], seed[on]
+            run, within = expanded(size)
+            at = (first[doc] + start)[run] + within
+            held.append((doc[run] + n, start[run] + within, seed[run], R.stretches(sums, at, at + length, R.WORD_BASE)))
+            n += batch.num_rows
+        found, (doc, start, seed, window) = parse(*(np.concatenate(x) for x in zip(*held)), did, length)
+        out = [(shelf, HERE, body) for shelf, body in by_shelf(n_blocks, found[0], did, tid, *found[1:])]
+        block = block_of(seed, n_blocks)
         order = np.lexsort((start, doc, block))
         edges = groups_of(block, order)
         for a, b in zip(edges[:-1], edges[1:]):
@@ -133,44 +132,49 @@ def spans(docs: DataFrame, length: int, gram: int) -> tuple[DataFrame, DataFrame
             d, s, k = doc[at], start[at], seed[at]
             run = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (s[1:] != s[:-1] + 1) | (k[1:] != k[:-1])]))
             owners, owner = np.unique(d[run], return_inverse=True)
-            rows.append((int(block[at[0]]), THERE, None, None,
-                         pack(k[run], owner.astype(np.int32), s[run].astype(np.int32),
-                              np.diff(np.append(run, len(d))).astype(np.int32), window[at], did[owners], tid[owners])))
-        return routed_batch(rows)
+            out.append((int(block[at[0]]), THERE,
+                        pack(k[run], owner.astype(np.int32), s[run].astype(np.int32),
+                             np.diff(np.append(run, len(d))).astype(np.int32), window[at], did[owners], tid[owners])))
+        return pa.Table.from_batches([routed_batch(out)])
 
     def parse_block(bodies: list[bytes]) -> Iterator[tuple]:
         parts, dids, tids, n = [], [], [], 0
         for body in bodies:
             seed, owner, start, size, window, did, tid = unpack(body)
-            within = np.arange(len(window)) - np.repeat(np.cumsum(size) - size, size)
-            parts.append((np.repeat(owner.astype(np.int64) + n, size), np.repeat(start.astype(np.int64), size) + within,
-                          np.repeat(seed, size), window))
+            run, within = expanded(size)
+            parts.append(((owner.astype(np.int64) + n)[run], start.astype(np.int64)[run] + within, seed[run], window))
             dids.append(did)
             tids.append(tid)
             n += len(did)
-        found, _ = parse(*(np.concatenate(x) for x in zip(*parts)), np.concatenate(dids), np.concatenate(tids), length)
-        yield from found
+        did, tid = np.concatenate(dids), np.concatenate(tids)
+        found, _ = parse(*(np.concatenate(x) for x in zip(*parts)), did, length)
+        yield from by_shelf(n_blocks, found[0], did, tid, *found[1:])
 
-    lists = repeated_seeds(keys, seeds_of, n_blocks, within=True)
-    candidates = with_lists(texts, lists, "inner").select("did", "tid", "packed", "bodies")
-    return texts, in_blocks(candidates.mapInArrow(parse_here, ROUTED), n_blocks, parse_block)
+    lists = repeated_seeds(keys, seeds_of, n_blocks, within=True, stretch=STRETCH)
+    return texts, in_blocks(with_lists(texts, lists, parse_here, ROUTED), n_blocks, parse_block)
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_words (the words that stay, joined by
-    one space) and spans (start, end in words) of every row."""
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_text: bool = True) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256, spans (start, end in words)
+    and, if ``with_text``, kept_words (the words that stay, joined by one
+    space) of every row."""
     texts, found = spans(docs, length, gram)
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in unpacked(batches):
-            total, removed, kept, stretches = [], [], [], []
-            for text, bodies in zip(batch.column("text").to_pylist(), batch.column("bodies").to_pylist()):
+    def run(rows: pa.Table, bodies: list[bytes]) -> pa.Table:
+        code = code_of(*(np.asarray(rows[c].combine_chunks()) for c in ("did", "tid")))
+        owner, begin, size = entries(bodies) if bodies else (np.empty(0, np.uint64), *[np.empty(0, np.int64)] * 2)
+        order = np.argsort(owner)
+        owner, begin, size = owner[order], begin[order].astype(np.int64), size[order].astype(np.int64)
+        lo, hi = np.searchsorted(owner, code), np.searchsorted(owner, code, side="right")
+        total, removed, kept, digests, stretches, n = [], [], [], [], [], 0
+        for batch in unpacked(rows.to_batches()):
+            for text in batch.column("text").to_pylist():
                 words = text.encode().split()
                 change = np.zeros(len(words) + 1, dtype=np.int64)
-                for body in bodies or ():
-                    start, size = (x.astype(np.int64) for x in unpack(body))
-                    np.add.at(change, start, 1)
-                    np.add.at(change, start + size, -1)
+                np.add.at(change, begin[lo[n]: hi[n]], 1)
+                np.add.at(change, (begin + size)[lo[n]: hi[n]], -1)
+                n += 1
                 out = np.cumsum(change) > 0
                 edge = np.flatnonzero(np.diff(np.concatenate([[0], out.view(np.int8), [0]])))
                 total.append(len(words))
@@ -180,17 +184,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
                 for a, b in zip(edge[0::2], edge[1::2]):
                     left += words[at:a]
                     at = b
-                kept.append(b" ".join(left + words[at:]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()),
-                 pa.array(kept, pa.binary()).cast(pa.string()), pa.array(stretches, pa.list_(pa.int64()))],
-                names=["doc_id", "n_words", "n_removed", "kept_words", "spans"])
+                left = b" ".join(left + words[at:])
+                digests.append(hashlib.sha256(left).hexdigest())
+                kept.append(left if with_text else None)
+        return pa.table({"doc_id": rows["doc_id"], "n_words": pa.array(total, pa.int64()),
+                         "n_removed": pa.array(removed, pa.int64()), "kept_words": pa.array(kept, pa.binary()).cast(pa.string()),
+                         "kept_sha256": pa.array(digests, pa.string()),
+                         "spans": pa.array(stretches, pa.list_(pa.int64()))})
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return with_lists(texts, found, "left").select("doc_id", "packed", "bodies").mapInArrow(
-        run, f"doc_id {kind}, n_words long, n_removed long, kept_words string, spans array<long>")
+    out = with_lists(texts, found, run, f"doc_id {kind}, n_words long, n_removed long, kept_words string, "
+                                        "kept_sha256 string, spans array<long>")
+    return out if with_text else out.drop("kept_words")
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(documents(spark, sf_dir)).select(
-        "doc_id", "n_words", "n_removed", F.sha2("kept_words", 256).alias("kept_sha256"))
+    found = remove_repeats(documents(spark, sf_dir), with_text=False)
+    return stored(found.select("doc_id", "n_words", "n_removed", "kept_sha256"), "op1")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 #: Bytes of unpacked text in one batch that a task handles at once.
-UNPACKED_BYTES = 16 << 20
+UNPACKED_BYTES = 4 << 20
 
 
 def packed(df: DataFrame, column: str = "text", name: str = "packed") -> DataFrame:

@@ -11,13 +11,14 @@ windows that own the same seed can be judged in one place.
    repeat; it is sent once for the task, so a seed of very many documents
    gives one entry per task and not one per document.  Blocks return, for
    each document, its seeds that repeat.
-2. The texts meet these lists in a join by document.  Only windows that own
-   a repeated seed go on.  What a task can judge among its own documents it
-   judges at once; first occurrences are dealt to blocks by seed.
+2. The texts meet these lists.  Only windows that own a repeated seed go on.
+   What can be judged among the documents at hand is judged at once; first
+   occurrences are dealt to blocks by seed.
 3. Blocks judge what they got; judged stretches meet the texts again.
 
-A block is one of ``n_blocks`` shares of the hashes, sized so that a task
-holds one in memory; rows carry packed arrays.
+A block is one of ``n_blocks`` shares of the seeds, a shelf one of as many
+shares of the documents; both are sized so that a task holds one in memory.
+Rows between them carry packed arrays for a whole block or shelf.
 """
 from __future__ import annotations
 
@@ -30,14 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import rolling as R
-from .common import doc_key, in_stretches, text_bytes
-from .packing import packed
+from .common import STRETCH_BYTES, doc_key, in_stretches, text_bytes
+from .packing import packed, unpacked
 
 #: Text bytes per block, seeds a task gathers before it deals them out.
-BLOCK_BYTES, HELD = 8 << 20, 1 << 20
-ROUTED = "block int, kind int, did long, tid long, body binary"
-LISTED = "did long, tid long, body binary"
-HERE, THERE = 0, 1  # kinds of routed rows: final results passing through; to be judged in the block
+BLOCK_BYTES, HELD = 6 << 20, 1 << 19
+ROUTED = "block int, kind int, body binary"
+LISTED = "shelf int, body binary"
+HERE, THERE = 0, 1  # routed rows: results for the shelf ``block``, passing through; to be judged in the block
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -59,24 +60,52 @@ def unpack(body: bytes) -> list[np.ndarray]:
     return out
 
 
-def window_seeds(grams: np.ndarray, first: np.ndarray, k: int, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of all windows inside one text, and where each one's seed is.
-    ``grams``: hashed k-grams by start; ``first``: n + 1 offsets of the texts."""
+def seed_runs(grams: np.ndarray, first: np.ndarray, k: int, length: int):
+    """Runs of windows of one text that own the same seed: text, start (in
+    the text), windows, and place of the seed.  ``grams``: hashed k-grams by
+    start; ``first``: n + 1 offsets of the texts.  Of two k-grams the one with
+    the smaller upper 40 bits is smaller, of equal ones the left one."""
     width, n = length - k + 1, int(first[-1]) - length + 1
+    none = (np.empty(0, np.int64),) * 4
     if n <= 0:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    value, place, have = grams, np.arange(len(grams), dtype=np.int32), 1
-    while have < width:
-        step = min(have, width - have)
-        less = value[step:] < value[:-step]
-        value, place = np.where(less, value[step:], value[:-step]), np.where(less, place[step:], place[:-step])
-        have += step
-    sizes = np.diff(first)
-    inside = np.ones(n, dtype=bool)
-    for i in np.flatnonzero(sizes):  # windows that would reach over the end of their text
-        inside[max(int(first[i + 1]) - length + 1, int(first[i])): int(first[i + 1])] = False
-    starts = np.flatnonzero(inside)
-    return starts, place[:n][starts].astype(np.int64)
+        return none
+    if len(grams) < 1 << 24:  # hash and place in one number
+        key = (grams & ~np.uint64((1 << 24) - 1)) | np.arange(len(grams), dtype=np.uint64)
+        place = (R.sliding_min(key, width)[:n] & np.uint64((1 << 24) - 1)).astype(np.int64)
+    else:
+        value, place, have = grams >> np.uint64(24), np.arange(len(grams)), 1
+        while have < width:
+            step = min(have, width - have)
+            less = value[step:] < value[:-step]
+            value, place = np.where(less, value[step:], value[:-step]), np.where(less, place[step:], place[:-step])
+            have += step
+        place = place[:n]
+    windows = np.maximum(np.diff(first) - length + 1, 0)
+    some = np.flatnonzero(windows)
+    edge = np.zeros(n + 1, dtype=bool)
+    edge[1:-1] = place[1:] != place[:-1]
+    edge[first[some]] = edge[first[some] + windows[some]] = True
+    at = np.flatnonzero(edge)
+    at, end = at[:-1], at[1:]
+    text = np.searchsorted(first, at, side="right") - 1
+    inside = at - first[text] < windows[text]  # the others reach over the end of their text
+    at, text = at[inside], text[inside]
+    return text, at - first[text], end[inside] - at, place[at]
+
+
+def short(seed: np.ndarray) -> np.ndarray:
+    """The upper 48 bits of seeds, as six bytes each."""
+    return np.ascontiguousarray(seed.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :6]).ravel()
+
+
+def lengthened(six: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(six) // 6, 8), dtype=np.uint8)
+    out[:, :6] = six.reshape(-1, 6)
+    return out.view(">u8").ravel().astype(np.uint64)
+
+
+def block_of(seed: np.ndarray, n_blocks: int) -> np.ndarray:
+    return ((seed >> np.uint64(16)) % np.uint64(n_blocks)).astype(np.int64)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -100,31 +129,32 @@ def groups_of(values: np.ndarray, order: np.ndarray) -> np.ndarray:
 
 
 def routed_batch(rows: list[tuple]) -> pa.RecordBatch:
-    block, kind, did, tid, body = zip(*rows) if rows else ((),) * 5
-    return pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), pa.array(kind, pa.int32()), pa.array(did, pa.int64()),
-                                       pa.array(tid, pa.int64()), pa.array(body, pa.binary())],
-                                      names=["block", "kind", "did", "tid", "body"])
+    block, kind, body = zip(*rows) if rows else ((),) * 3
+    return pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), pa.array(kind, pa.int32()), pa.array(body, pa.binary())],
+                                      names=["block", "kind", "body"])
 
 
 def listed_batch(rows: list[tuple]) -> pa.RecordBatch:
-    did, tid, body = zip(*rows) if rows else ((),) * 3
-    return pa.RecordBatch.from_arrays([pa.array(did, pa.int64()), pa.array(tid, pa.int64()), pa.array(body, pa.binary())],
-                                      names=["did", "tid", "body"])
+    shelf, body = zip(*rows) if rows else ((),) * 2
+    return pa.RecordBatch.from_arrays([pa.array(shelf, pa.int32()), pa.array(body, pa.binary())], names=["shelf", "body"])
 
 
-def by_document(doc: np.ndarray, did: np.ndarray, tid: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
-    """(did, tid, packed columns) per document; ``doc`` indexes did and tid."""
-    order = np.argsort(doc, kind="stable")
-    edges = groups_of(doc, order)
-    columns = [c[order] for c in columns]
+def by_shelf(n_blocks: int, doc: np.ndarray, did: np.ndarray, tid: np.ndarray, *columns: np.ndarray,
+             pick: Callable = np.asarray) -> Iterator[tuple]:
+    """(shelf, packed columns with their documents); ``doc`` indexes did and
+    tid; ``pick`` turns each part of a column into what is packed."""
+    shelf = ((did ^ tid) % n_blocks)[doc]
+    order = np.lexsort((doc, shelf))
+    edges = groups_of(shelf, order)
     for a, b in zip(edges[:-1], edges[1:]):
-        d = doc[order[a]]
-        yield int(did[d]), int(tid[d]), pack(*[c[a:b] for c in columns])
+        at = order[a:b]
+        owners, owner = np.unique(doc[at], return_inverse=True)
+        yield int(shelf[at[0]]), pack(did[owners], tid[owners], owner.astype(np.int32), *[pick(c[at]) for c in columns])
 
 
 def in_blocks(routed: DataFrame, n_blocks: int, judge: Callable[[list[bytes]], Iterator[tuple]]) -> DataFrame:
     """Deal rows to their blocks; ``judge`` gets the bodies of a whole block
-    and yields (did, tid, body)."""
+    and yields (shelf, body)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, bodies = None, []
@@ -133,45 +163,42 @@ def in_blocks(routed: DataFrame, n_blocks: int, judge: Callable[[list[bytes]], I
             passing = pa.array(kinds == HERE)
             if passing.true_count:
                 done = batch.filter(passing)
-                yield pa.RecordBatch.from_arrays([done.column(i) for i in (2, 3, 4)], names=["did", "tid", "body"])
+                yield pa.RecordBatch.from_arrays([done.column(0), done.column(2)], names=["shelf", "body"])
             for i in np.flatnonzero(kinds == THERE):
                 if numbers[i] != block and bodies:
                     yield listed_batch(list(judge(bodies)))
                     bodies = []
                 block = numbers[i]
-                bodies.append(batch.column(4)[int(i)].as_py())
+                bodies.append(batch.column(2)[int(i)].as_py())
         if bodies:
             yield listed_batch(list(judge(bodies)))
 
     return routed.repartition(n_blocks, "block").sortWithinPartitions("block").mapInArrow(run, LISTED)
 
 
-def spread(did: int, tid: int, n_blocks: int) -> int:
-    return (did * 0x9E3779B1 + tid) % n_blocks
-
-
-def repeated_seeds(texts: DataFrame, seeds_of: Callable, n_blocks: int, within: bool) -> DataFrame:
-    """(did, tid, body): the repeated seeds of each document, in parts.
-    ``seeds_of(data, off)`` gives (document, seed place, seed) of all windows;
-    ``within``: repeats inside one document count."""
+def repeated_seeds(texts: DataFrame, seeds_of: Callable, n_blocks: int, within: bool,
+                   stretch: int = STRETCH_BYTES) -> DataFrame:
+    """(shelf, body): the repeated seeds of the documents, in parts.
+    ``seeds_of(data, off)`` gives (document, seed) of all runs; ``within``:
+    repeats inside one document count.  Only 48 bits of a seed travel here:
+    one that is taken for another only lets more windows go on."""
+    cut = ~np.uint64((1 << 16) - 1)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []  # (document, seed) arrays, ids of the documents
         n_docs = n_seeds = 0
         dids, tids = [], []
-        for batch in in_stretches(batches):
-            doc, place, seed = seeds_of(*text_bytes(batch.column(2)))
-            if len(doc):  # one entry per place
-                new = np.concatenate([[True], (place[1:] != place[:-1]) | (doc[1:] != doc[:-1])])
-                held.append((doc[new] + n_docs, seed[new]))
-                n_seeds += int(new.sum())
+        for batch in in_stretches(batches, "text", stretch):
+            doc, seed = seeds_of(*text_bytes(batch.column(2)))
+            held.append((doc + n_docs, seed & cut))
+            n_seeds += len(doc)
             n_docs += batch.num_rows
             dids.append(np.asarray(batch.column(0)))
             tids.append(np.asarray(batch.column(1)))
             if n_seeds >= HELD:
                 yield flush(held, dids, tids)
                 held, dids, tids, n_docs, n_seeds = [], [], [], 0, 0
-        if held:
+        if n_seeds:
             yield flush(held, dids, tids)
 
     def flush(held: list, dids: list, tids: list) -> pa.RecordBatch:
@@ -184,24 +211,22 @@ def repeated_seeds(texts: DataFrame, seeds_of: Callable, n_blocks: int, within:
         run = np.cumsum(new_seed) - 1
         many = (np.bincount(run) if within else np.bincount(run[new])) > 1
         known = many[run] & new
-        rows = [(spread(d, t, n_blocks), HERE, d, t, body)
-                for d, t, body in by_document(doc[known], did, tid, seed[known])]
+        rows = [(shelf, HERE, body) for shelf, body in by_shelf(n_blocks, doc[known], did, tid, seed[known], pick=short)]
         doc, seed = doc[new_seed], seed[new_seed]
-        block = (seed % np.uint64(n_blocks)).astype(np.int64)
+        block = block_of(seed, n_blocks)
         order = np.lexsort((doc, block))
         edges = groups_of(block, order)
         for a, b in zip(edges[:-1], edges[1:]):
             at = order[a:b]
             owners, owner = np.unique(doc[at], return_inverse=True)
-            rows.append((int(block[at[0]]), THERE, None, None,
-                         pack(seed[at], owner.astype(np.int32), did[owners], tid[owners])))
+            rows.append((int(block[at[0]]), THERE, pack(short(seed[at]), owner.astype(np.int32), did[owners], tid[owners])))
         return routed_batch(rows)
 
     def judge(bodies: list[bytes]) -> Iterator[tuple]:
         seeds, owners, dids, tids, n = [], [], [], [], 0
         for body in bodies:
             seed, owner, did, tid = unpack(body)
-            seeds.append(seed)
+            seeds.append(lengthened(seed))
             owners.append(owner.astype(np.int64) + n)
             dids.append(did)
             tids.append(tid)
@@ -210,29 +235,57 @@ def repeated_seeds(texts: DataFrame, seeds_of: Callable, n_blocks: int, within:
         order = np.argsort(seed)
         edges = groups_of(seed, order)
         again = order[np.repeat(np.diff(edges) > 1, np.diff(edges))]
-        yield from by_document(owner[again], np.concatenate(dids), np.concatenate(tids), seed[again])
+        yield from by_shelf(n_blocks, owner[again], np.concatenate(dids), np.concatenate(tids), seed[again], pick=short)
 
     routed = texts.select("did", "tid", "text").mapInArrow(deal, ROUTED)
     return in_blocks(routed, n_blocks, judge)
 
 
-def has_seed(doc: np.ndarray, seed: np.ndarray, lists: list[list[bytes]]) -> np.ndarray:
-    """Which (document, seed) are among the lists of the documents."""
-    known = [(np.concatenate([unpack(b)[0] for b in x]) if x else np.empty(0, np.uint64)) for x in lists]
-    tag = R.mix(np.arange(1, len(lists) + 1, dtype=np.uint64) * R.BYTE_BASE)
-    table = np.sort(np.concatenate([R.mix(k ^ t) for k, t in zip(known, tag)])) if known else np.empty(0, np.uint64)
-    if not len(table):
-        return np.zeros(len(doc), dtype=bool)
-    wanted = R.mix(seed ^ tag[doc])
-    return table[np.minimum(np.searchsorted(table, wanted), len(table) - 1)] == wanted
+def code_of(did: np.ndarray, tid: np.ndarray) -> np.ndarray:
+    """One number per document, for look-ups within a shelf."""
+    return R.mix(did.view(np.uint64) * R.BYTE_BASE ^ tid.view(np.uint64))
+
+
+def entries(bodies: list[bytes]) -> list[np.ndarray]:
+    """The packed rows of a shelf: code of the document, and the columns."""
+    parts = []
+    for body in bodies:
+        did, tid, owner, *columns = unpack(body)
+        parts.append([code_of(did, tid)[owner], *columns])
+    return [np.concatenate(x) for x in zip(*parts)]
+
+
+def has_seed(code: np.ndarray, seed: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which (document, seed) are in the table of the shelf."""
+    if not len(known) or not len(seed):
+        return np.zeros(len(seed), dtype=bool)
+    wanted = R.mix((seed >> np.uint64(16)) ^ code)
+    return known[np.minimum(np.searchsorted(known, wanted), len(known) - 1)] == wanted
+
+
+def seed_table(bodies: list[bytes]) -> np.ndarray:
+    """The repeated seeds of a shelf's documents, for ``has_seed``."""
+    if not bodies:
+        return np.empty(0, dtype=np.uint64)
+    code, six = entries(bodies)
+    return np.sort(R.mix((lengthened(six) >> np.uint64(16)) ^ code))
+
+
+def shelved(keys: DataFrame, n_blocks: int) -> DataFrame:
+    """(doc_id, did, tid, packed, shelf) of every document."""
+    shelf = F.pmod(F.col("did").bitwiseXOR(F.col("tid")), F.lit(n_blocks)).cast("int")
+    return packed(keys.select("doc_id", "did", "tid", "text", shelf.alias("shelf")))
+
+
+def with_lists(texts: DataFrame, lists: DataFrame, run: Callable[[pa.Table, list[bytes]], pa.Table], schema: str) -> DataFrame:
+    """``run`` for each shelf: its texts, and the bodies that belong to it."""
 
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        return run(left, right["body"].to_pylist())
 
-def with_lists(texts: DataFrame, lists: DataFrame, how: str) -> DataFrame:
-    """``texts`` (did, tid, packed, ...) with ``bodies``, what ``lists`` has
-    of each document."""
-    grouped = lists.groupBy("did", "tid").agg(F.collect_list("body").alias("bodies"))
-    return texts.join(grouped, ["did", "tid"], how)
+    return texts.groupBy("shelf").cogroup(lists.groupBy("shelf")).applyInArrow(meet, schema)
 
 
-def packed_texts(keys: DataFrame) -> DataFrame:
-    return packed(keys.select("doc_id", "did", "tid", "text"))
+def text_batches(rows: pa.Table, stretch: int = STRETCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The texts of a shelf, unpacked, in stretches of bounded size."""
+    return in_stretches(unpacked(rows.to_batches()), "text", stretch)
