@@ -38,14 +38,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from . import rolling as R
-from .common import documents, in_stretches, text_bytes
+from .common import documents, stored, text_bytes
 from .packing import unpacked
-from .repeats import (HERE, ROUTED, THERE, block_count, by_document, groups_of, has_seed, in_blocks, keyed, pack,
-                      packed_texts, repeated_seeds, routed_batch, spread, unpack, window_seeds, with_lists)
+from .repeats import (HERE, ROUTED, THERE, block_count, block_of, by_shelf, code_of, entries, groups_of, has_seed, in_blocks,
+                      keyed, pack, repeated_seeds, routed_batch, seed_runs, seed_table, shelved, text_batches, unpack,
+                      with_lists)
 
-LENGTH, GRAM = 50, 16
-#: Text bytes of stretches a task holds before it deals them out; suffixes sorted at once.
-HELD, SORTED = 8 << 20, 4 << 20
+LENGTH, GRAM = 50, 12
+#: Suffixes sorted at once, and text bytes that are numpy arrays at once: arrays that fit the caches.
+SORTED, STRETCH = 1 << 20, 1 << 19
+#: Text bytes per block: each block repeats the ids of its documents, so fewer blocks move less.
+BLOCK = 16 << 20
 
 
 def types(text: np.ndarray) -> np.ndarray:
@@ -130,23 +133,22 @@ def long_prefixes(text: np.ndarray, suffixes: np.ndarray, length: int) -> np.nda
     return same
 
 
-def byte_windows(data: np.ndarray, off: np.ndarray, length: int, gram: int):
-    """Of all windows: document, start (byte of the document), seed place,
-    seed; and the prefix sums of the bytes."""
+def byte_runs(data: np.ndarray, off: np.ndarray, length: int, gram: int):
+    """Runs of windows with one seed: document, start (byte of the document),
+    windows, place of the seed in the document, seed."""
     sums = R.prefix(data.astype(np.uint64) + np.uint64(1), R.BYTE_BASE)
     grams = R.fixed(sums, gram, R.BYTE_BASE)
-    at, place = window_seeds(grams, off, gram, length)
-    doc = np.searchsorted(off, at, side="right") - 1
-    return doc, at - off[doc], place, grams[place], sums
+    doc, start, size, place = seed_runs(grams, off, gram, length)
+    return doc, start, size, place - off[doc], grams[place]
 
 
-def stretches(doc, start, place, seed, off, sums, length):
-    """Runs of windows that own one seed: document, start, windows, seed and
-    hash of the bytes they cover."""
-    run = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (place[1:] != place[:-1])])) if len(doc) else doc
-    size = np.diff(np.append(run, len(doc)))
-    begin = off[doc[run]] + start[run]
-    return doc[run], start[run], size, seed[run], R.stretches(sums, begin, begin + size + length - 1, R.BYTE_BASE), begin
+def seeds_and_codes(data: np.ndarray, span: np.ndarray, place: np.ndarray, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of stretches of ``span`` bytes, one after the other, whose seeds are at
+    ``place``: the seeds, and a hash of all bytes."""
+    sums = R.prefix(data.astype(np.uint64) + np.uint64(1), R.BYTE_BASE)
+    end = np.cumsum(span)
+    at = end - span + place
+    return R.stretches(sums, at, at + gram, R.BYTE_BASE), R.stretches(sums, end - span, end, R.BYTE_BASE)
 
 
 def gather(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -197,65 +199,62 @@ def runs(doc: np.ndarray, start: np.ndarray, length: int):
 
 
 def spans(docs: DataFrame, length: int, gram: int) -> tuple[DataFrame, DataFrame]:
-    """The packed texts, and the parts of their duplicate spans."""
+    """The shelved texts, and the parts of their duplicate spans."""
     keys = keyed(docs)
-    n_blocks = block_count(keys)
-    texts = packed_texts(keys)
+    n_blocks = block_count(keys, BLOCK)
+    small = np.uint8 if length < 256 else np.int32  # of places and runs inside a window
+    texts = shelved(keys, n_blocks)
 
     def seeds_of(data, off):
-        doc, _, place, seed, _ = byte_windows(data, off, length, gram)
-        return doc, place, seed
-
-    def deal_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, dids, tids, n_docs, n = [], [], [], 0, 0
-        for batch in in_stretches(unpacked(batches), "text"):
+        doc, _, _, _, seed = byte_runs(data, off, length, gram)
+        return doc, seed
+
+    def deal_out(rows: pa.Table, bodies: list[bytes]) -> pa.Table:
+        if not bodies or not rows.num_rows:
+            return pa.Table.from_batches([routed_batch([])])
+        did, tid = (np.asarray(rows[c].combine_chunks()) for c in ("did", "tid"))
+        codes, known, held, n = code_of(did, tid), seed_table(bodies), [], 0
+        for batch in text_batches(rows, STRETCH):
             data, off = text_bytes(batch.column("text"))
-            doc, start, place, seed, sums = byte_windows(data, off, length, gram)
-            on = has_seed(doc, seed, batch.column("bodies").to_pylist())
-            doc, start, size, seed, code, begin = stretches(doc[on], start[on], place[on], seed[on], off, sums, length)
-            held.append((doc + n_docs, start, size, seed, code, gather(data, begin, size + length - 1)))
-            dids.append(np.asarray(batch.column("did")))
-            tids.append(np.asarray(batch.column("tid")))
-            n_docs, n = n_docs + batch.num_rows, n + len(held[-1][-1])
-            if n >= HELD:
-                yield deal(held, dids, tids)
-                held, dids, tids, n_docs, n = [], [], [], 0, 0
-        if n:
-            yield deal(held, dids, tids)
-
-    def deal(held, dids, tids) -> pa.RecordBatch:
-        did, tid = np.concatenate(dids), np.concatenate(tids)
-        doc, start, size, seed, code, data = (np.concatenate(x) for x in zip(*held))
+            doc, start, size, place, seed = byte_runs(data, off, length, gram)
+            on = has_seed(codes[doc + n], seed, known)
+            doc, start, size, place = doc[on], start[on], size[on], place[on]
+            piece = gather(data, off[doc] + start, size + length - 1)
+            held.append((doc + n, start, size, place - start, piece, *seeds_and_codes(piece, size + length - 1, place - start, gram)))
+            n += batch.num_rows
+        doc, start, size, place, data, seed, code = (np.concatenate(x) for x in zip(*held))
         order = np.lexsort((did[doc], code, seed))
-        same = np.concatenate([[False], (seed[order][1:] == seed[order][:-1]) & (code[order][1:] == code[order][:-1])])
+        same = np.concatenate([[False], (seed[order][1:] == seed[order][:-1]) & (code[order][1:] == code[order][:-1])])[:len(order)]
         head = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
         known = np.zeros(len(order), dtype=bool)
         known[order] = did[doc[order]] > did[doc[head]]
-        rows = [(spread(d, t, n_blocks), HERE, d, t, body) for d, t, body in by_document(
-            doc[known], did, tid, start[known].astype(np.int32), (size[known] + length - 1).astype(np.int32))]
+        out = [(shelf, HERE, body) for shelf, body in by_shelf(
+            n_blocks, doc[known], did, tid, start[known].astype(np.int32), (size[known] + length - 1).astype(np.int32))]
         span = size + length - 1
         begin = np.cumsum(span) - span
-        block = (seed % np.uint64(n_blocks)).astype(np.int64)
+        block = block_of(seed, n_blocks)
         left = np.flatnonzero(~known)
         order = left[np.argsort(block[left], kind="stable")]
         edges = groups_of(block, order)
         for a, b in zip(edges[:-1], edges[1:]):
             at = order[a:b]
             owners, owner = np.unique(doc[at], return_inverse=True)
-            rows.append((int(block[at[0]]), THERE, None, None, pack(
-                seed[at], code[at], owner.astype(np.int32), start[at].astype(np.int32), size[at].astype(np.int32),
+            out.append((int(block[at[0]]), THERE, pack(
+                place[at].astype(small), owner.astype(np.int32), start[at].astype(np.int32), size[at].astype(small),
                 gather(data, begin[at], span[at]), did[owners], tid[owners])))
-        return routed_batch(rows)
+        return pa.Table.from_batches([routed_batch(out)])
 
     def judge(bodies: list[bytes]) -> Iterator[tuple]:
         parts, dids, tids, n = [], [], [], 0
         for body in bodies:
-            seed, code, owner, start, size, data, did, tid = unpack(body)
-            parts.append((seed, code, owner.astype(np.int64) + n, start.astype(np.int64), size.astype(np.int64), data))
+            place, owner, start, size, data, did, tid = unpack(body)
+            place, size = place.astype(np.int64), size.astype(np.int64)
+            parts.append((owner.astype(np.int64) + n, start.astype(np.int64), size, data,
+                          *seeds_and_codes(data, size + length - 1, place, gram)))
             dids.append(did)
             tids.append(tid)
             n += len(did)
-        seed, code, owner, start, size, data = (np.concatenate(x) for x in zip(*parts))
+        owner, start, size, data, seed, code = (np.concatenate(x) for x in zip(*parts))
         did, tid = np.concatenate(dids), np.concatenate(tids)
         span = size + length - 1
         begin = np.cumsum(span) - span
@@ -269,48 +268,56 @@ def spans(docs: DataFrame, length: int, gram: int) -> tuple[DataFrame, DataFrame
             doc, where = np.repeat(owner[at], size[at])[flags], (np.repeat(start[at], size[at]) + within(size[at]))[flags]
             by = np.lexsort((where, doc))
             doc, where, total = runs(doc[by], where[by], length)
-            yield from by_document(doc, did, tid, where.astype(np.int32), total.astype(np.int32))
+            yield from by_shelf(n_blocks, doc, did, tid, where.astype(np.int32), total.astype(np.int32))
 
-    lists = repeated_seeds(keys, seeds_of, n_blocks, within=False)
-    candidates = with_lists(texts, lists, "inner").select("did", "tid", "packed", "bodies")
-    return texts, in_blocks(candidates.mapInArrow(deal_out, ROUTED), n_blocks, judge)
+    lists = repeated_seeds(keys, seeds_of, n_blocks, within=False, stretch=STRETCH)
+    return texts, in_blocks(with_lists(texts, lists, deal_out, ROUTED), n_blocks, judge)
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept (bytes) and spans (start,
-    end, ...) of every row."""
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_text: bool = True) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (start, end,
+    ...) and, if ``with_text``, kept (bytes) of every row."""
     texts, found = spans(docs, length, gram)
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in unpacked(batches):
-            total, removed, kept, edges = [], [], [], []
-            for text, bodies in zip(batch.column("text").to_pylist(), batch.column("bodies").to_pylist()):
+    def run(rows: pa.Table, bodies: list[bytes]) -> pa.Table:
+        code = code_of(*(np.asarray(rows[c].combine_chunks()) for c in ("did", "tid")))
+        owner, begin, size = entries(bodies) if bodies else (np.empty(0, np.uint64), *[np.empty(0, np.int64)] * 2)
+        order = np.argsort(owner)
+        owner, begin, size = owner[order], begin[order].astype(np.int64), size[order].astype(np.int64)
+        lo, hi = np.searchsorted(owner, code), np.searchsorted(owner, code, side="right")
+        total, removed, kept, digests, edges, n = [], [], [], [], [], 0
+        for batch in unpacked(rows.to_batches()):
+            for text in batch.column("text").to_pylist():
                 raw = text.encode()
                 change = np.zeros(len(raw) + 2, dtype=np.int64)
-                for body in bodies or ():
-                    start, size = (x.astype(np.int64) for x in unpack(body))
-                    np.add.at(change, start + 1, 1)
-                    np.add.at(change, start + size + 1, -1)
+                np.add.at(change, begin[lo[n]: hi[n]] + 1, 1)
+                np.add.at(change, (begin + size)[lo[n]: hi[n]] + 1, -1)
+                n += 1
                 edge = np.flatnonzero(np.diff(np.cumsum(change) > 0))
                 at, left = 0, []
                 for a, b in zip(edge[0::2], edge[1::2]):
                     left.append(raw[at:a])
                     at = b
                 left.append(raw[at:])
-                kept.append(b"".join(left))
+                left = b"".join(left)
+                digests.append(hashlib.sha256(left).hexdigest())
+                kept.append(left if with_text else None)
                 total.append(len(raw))
-                removed.append(len(raw) - len(kept[-1]))
+                removed.append(len(raw) - len(left))
                 edges.append(edge.tolist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()),
-                 pa.array([len(e) // 2 for e in edges], pa.int64()), pa.array(kept, pa.binary()),
-                 pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()), pa.array(edges, pa.list_(pa.int64()))],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256", "spans"])
+        return pa.table({"doc_id": rows["doc_id"], "n_bytes": pa.array(total, pa.int64()),
+                         "n_removed": pa.array(removed, pa.int64()),
+                         "n_spans": pa.array([len(e) // 2 for e in edges], pa.int64()),
+                         "kept": pa.array(kept, pa.binary()),
+                         "kept_sha256": pa.array(digests, pa.string()),
+                         "spans": pa.array(edges, pa.list_(pa.int64()))})
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return with_lists(texts, found, "left").select("doc_id", "packed", "bodies").mapInArrow(
-        run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string, spans array<long>")
+    out = with_lists(texts, found, run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary, "
+                                        "kept_sha256 string, spans array<long>")
+    return out if with_text else out.drop("kept")
 
 
 def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    found = remove_repeats(documents(spark, sf_dir), with_text=False)
+    return stored(found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"), "op9")

@@ -115,9 +115,9 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", doc_key().alias("did"), F.xxhash64(text).alias("tid"), text.alias("text"))
 
 
-def block_count(docs: DataFrame) -> int:
+def block_count(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> int:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BLOCK_BYTES))
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // block_bytes))
 
 
 def groups_of(values: np.ndarray, order: np.ndarray) -> np.ndarray:
