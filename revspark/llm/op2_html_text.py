@@ -1,9 +1,11 @@
 """HTML main text by site template removal.
 
 1. One scan parses the pages, hashes every element's subtree and gives the
-   distinct (host, hash) of each page with a digest of the page.
-2. Spark counts, per host, the distinct pages (copies of a page count once)
-   that have a subtree, with partial sums in the tasks.  Subtrees on at least
+   distinct (host, hash) of each page with a digest of the page's text.
+2. Spark counts, per host, the distinct pages that have a subtree, with
+   partial sums in the tasks.  Pages with the same text of article, main or
+   body count once, however they differ in comments, scripts, menus or
+   footers, so an article that is copied is no template of its host.  Subtrees on at least
    ``share`` of a host's distinct pages, and on ``min_pages``, are the site's
    template.  A host has at most (elements per page) / share of them.
 3. A second scan deletes the template's subtrees and extracts the text.  The
@@ -116,6 +118,11 @@ def main_text(html: str | None, everywhere: frozenset = frozenset(), mostly: fro
     root = parse(html or "")
     if everywhere or mostly:
         hash_subtrees(root)
+    return text_of(root, everywhere, mostly)
+
+
+def text_of(root: Node, everywhere: frozenset = frozenset(), mostly: frozenset = frozenset()) -> str:
+    """The same for a parsed page, hashed if there is a template."""
     out: list[str] = []
     for top in roots(root):
         in_article = top.tag in ("article", "main") or top.get("role") is not None
@@ -137,7 +144,8 @@ def main_text(html: str | None, everywhere: frozenset = frozenset(), mostly: fro
 
 def subtrees(pages: DataFrame) -> DataFrame:
     """(host, page, hash): distinct subtrees with text of each page; hash 0
-    stands for the page itself."""
+    stands for the page itself, ``page`` is a digest of its text before any
+    template is known."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,8 +155,8 @@ def subtrees(pages: DataFrame) -> DataFrame:
                 hash_subtrees(root)
                 found = {number(x.digest) for x in inside(root) if x.tag not in ("html", "body", "head") and x.children} | {0}
                 hosts += [host_of(url)] * len(found)
-                digests += [int.from_bytes(hashlib.blake2b((html or "").encode(), digest_size=8).digest(), "little",
-                                           signed=True)] * len(found)
+                digests += [int.from_bytes(hashlib.blake2b(text_of(root).encode("utf-8", "replace"), digest_size=8).digest(),
+                                           "little", signed=True)] * len(found)
                 hashes += found
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(digests, pa.int64()),
                                               pa.array(hashes, pa.int64())], names=["host", "page", "hash"])

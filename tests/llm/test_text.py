@@ -43,6 +43,28 @@ def test_site_template(spark):
     assert op2.extract(pages.limit(0)).collect() == []
 
 
+def test_copied_articles_are_no_template(spark):
+    """An article under six of eight urls, with other counters, menus and
+    footers each time, is one page of its host."""
+    def page(i, text, tag):
+        return (f"<body><!-- ad {i} --><nav>menu {i}</nav><div class='x1'><p>Bar</p></div><{tag}><h1>T {text}</h1><p>Text {text}</p>"
+                f"</{tag}><footer>seen {i}</footer><script>track({i})</script></body>")
+
+    def bare(text):
+        return f"T {text}\nText {text}"
+
+    for tag in ("article", "main", "div"):
+        texts = ["copied"] * 6 + ["b", "c"]
+        rows = [(i, f"http://c.example/{i}", page(i, t, tag)) for i, t in enumerate(texts)]
+        got = op2.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+        before = "Bar\n" if tag == "div" else ""  # three pages are too few for a template
+        assert {r["page_id"]: r["text"] for r in got} == {i: before + bare(t) for i, t in enumerate(texts)}
+    texts = ["copied"] * 12 + list("bcdefg")
+    rows = [(i, f"http://c.example/{i}", page(i, t, "div")) for i, t in enumerate(texts)]
+    got = op2.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {i: bare(t) for i, t in enumerate(texts)}
+
+
 def pa_null():
     from pyspark.sql import functions as F
     return F.lit("clash")
