@@ -6,26 +6,28 @@ longer item), so what is collected and broadcast at a time has a fixed
 bound; the number of blocks grows with the benchmark, not with the corpus.
 For each block:
 
-1. One scan counts, for every n-gram of the block, the documents that have
-   it (summed inside the tasks before anything is sent; one row per n-gram
-   and task).
-2. The n-grams that are rare for their item become seeds: all that occur,
-   but those of over ``common`` times as many documents as three quarters of
-   the item's n-grams have.  Rarity compares the n-grams of one item, so an
-   item that leaked into very many documents still has its seeds, and so has
-   a copy in which every fourth word was changed.
-3. A second scan joins the passages of the documents to the items by these
-   seeds, inside the tasks.  Each candidate passage, the item's length and
-   half of it more on both sides around the seeds, is aligned with the item
-   by Smith-Waterman over words (match 2, mismatch and gap -1).  A score of
-   at least ``min_score`` of the score of a perfect copy is a leak, so
-   edited and partly rewritten copies are found as well.
+1. One scan counts, for every seed of the block, the documents that have it
+   (summed inside the tasks before anything is sent; one row per seed and
+   task).  The seeds of an item are its pairs of neighbouring words, the
+   words themselves where a copy that is found may have no pair left.
+2. A second scan joins the passages of the documents to the items by these
+   seeds, inside the tasks.  A passage is a candidate if it has as many seeds
+   of the item, as close together, as every copy has that reaches
+   ``min_score``; no seed is left out for being frequent.
+3. Each candidate, with as much text on both sides as such a copy can take,
+   is aligned with the item by Smith-Waterman over words (match 2, mismatch
+   and gap -1).  A score of at least ``min_score`` of the score of a perfect
+   copy is a leak, so edited and partly rewritten copies are found as well.
+   Rarity only orders this work: candidates with a seed that is rare for its
+   item (at most ``common`` times as many documents as three quarters of the
+   item's seeds have) come first, and after a perfect copy no further one of
+   the same item and text is aligned.
 
 Words are maximal runs of characters other than ASCII white space and
 punctuation, in lower case.
 
 Defined results: a null or empty text has no leaks.  An item without words
-leaks nowhere; one with fewer words than an n-gram needs its whole sequence.
+leaks nowhere; one with fewer than ``gram`` words needs its whole sequence.
 Items with equal text are all reported.  Null item ids are reported as null
 entries.  Repeated rows are judged alike, a null doc_id like any other.
 Empty tables give clean documents or an empty result.  Other columns are
@@ -48,6 +50,10 @@ from .common import documents, in_stretches, stored, text_bytes
 
 GRAM, COMMON, MIN_SCORE, BLOCK_CHARS = 3, 2.0, 0.6, 4_000_000
 MATCH, MISS, GAP = 2, 1, 1
+#: Seeds of an item: single words and pairs of neighbours, and how far apart the two words are in a text.
+KINDS = {1: 1, 2: 1}
+#: Seeds of items in a stretch of text that are looked at together.
+HITS = 4_000_000
 _BREAK = R.SPACE.copy()
 _BREAK[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
 
@@ -62,53 +68,71 @@ def words_by_text(texts) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Items:
-    """A block of benchmark items: words, n-grams, and which item has them."""
+    """A block of benchmark items: words, seeds, and which item has them.
 
-    def __init__(self, texts: list[str], gram: int):
+    An alignment of an item of n words that scores s of a perfect copy has m
+    <= n matches and at most 2m - 2sn errors, so it holds at least
+    (2s - 1)n - 1 pairs of neighbouring words intact (``need``), takes at most
+    (3 - 2s)n words of the text (``span``) and has at most 2(1 - s)n words put
+    in (``reach``)."""
+
+    def __init__(self, texts: list[str], gram: int, min_score: float):
         self.words, self.off = words_by_text(texts)
-        self.gram = gram
-        sums = R.prefix(self.words, R.WORD_BASE)
-        hashes, items, places, sizes = [], [], [], []
-        for i in range(len(texts)):
-            lo, hi = int(self.off[i]), int(self.off[i + 1])
-            size = min(gram, hi - lo)
-            if size:
-                at = np.arange(lo, hi - size + 1)
-                hashes.append(R.stretches(sums, at, at + size, R.WORD_BASE))
-                items.append(np.full(len(at), i))
-                places.append(at - lo)
-                sizes.append(size)
-        join = lambda x, kind: np.concatenate(x).astype(kind) if x else np.empty(0, kind)
-        self.hash, self.item, self.place = join(hashes, np.uint64), join(items, np.int64), join(places, np.int64)
-        self.sizes = sorted(set(sizes))
+        n = np.diff(self.off)
+        least = self.least = np.where(n >= gram, min_score, 1.0)
+        need = np.ceil((2 * least - 1) * n - 1 - 1e-9).astype(np.int64)
+        single = (n == 1) | (need < 1)  # no pair is sure to be left: words are counted
+        self.need = np.maximum(1, np.where(single, np.ceil(least * n - 1e-9).astype(np.int64), need))
+        self.span = ((3 - 2 * least) * n + 1e-9).astype(np.int64)
+        self.reach = (2 * (1 - least) * n + 1e-9).astype(np.int64)
+        of, at = np.repeat(np.arange(len(n)), n), np.arange(len(self.words))
+        hashes, places = [], []
+        for kind in KINDS:
+            take = single[of] if kind == 1 else ~single[of] & (at + 1 < self.off[of + 1])
+            places.append(at[take])
+            hashes.append(seed_hashes(self.words, kind, 1)[at[take]])
+        where, hashes = np.concatenate(places), np.concatenate(hashes)
+        order = np.argsort(where, kind="stable")
+        self.hash, self.item = hashes[order], of[where[order]]
+        self.place = where[order] - self.off[self.item]
         self.grams, self.gram_of = np.unique(self.hash, return_inverse=True)
 
-    def occurrences(self, words: np.ndarray, off: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Starts of the n-grams in ``grams`` (sorted) inside the texts, and
-        which they are."""
-        sums = R.prefix(words, R.WORD_BASE)
-        starts, found = [], []
-        for size in self.sizes:
-            hashes = R.fixed(sums, size, R.WORD_BASE)
-            if not len(hashes) or not len(grams):
+    def occurrences(self, words: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts of the seeds inside the texts, in order, and which they are
+        in ``grams``."""
+        starts, found = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for kind, apart in KINDS.items():
+            hashes = seed_hashes(words, kind, apart)
+            if not len(hashes) or not len(self.grams):
                 continue
-            at = np.minimum(np.searchsorted(grams, hashes), len(grams) - 1)
-            start = np.flatnonzero(grams[at] == hashes)
+            at = np.minimum(np.searchsorted(self.grams, hashes), len(self.grams) - 1)
+            start = np.flatnonzero(self.grams[at] == hashes)
             text = np.searchsorted(off, start, side="right") - 1
-            inside = start + size <= off[text + 1]
-            starts.append(start[inside])
-            found.append(at[start[inside]])
-        return (np.concatenate(starts), np.concatenate(found)) if starts else (np.empty(0, np.int64),) * 2
-
-    def seeds(self, documents_with: np.ndarray, common: float) -> np.ndarray:
-        """Positions in ``hash`` of the n-grams that are rare for their item."""
+            start = start[start + (apart if kind > 1 else 0) < off[text + 1]]
+            starts.append(start)
+            found.append(at[start])
+        start, found = np.concatenate(starts), np.concatenate(found)
+        order = np.argsort(start, kind="stable")
+        return start[order], found[order]
+
+    def rare(self, documents_with: np.ndarray, common: float) -> np.ndarray:
+        """Which positions in ``hash`` are rare for their item."""
         n = documents_with[self.gram_of]
-        chosen = []
-        for i in np.unique(self.item):
-            at = np.flatnonzero((self.item == i) & (n > 0))
-            if len(at):
-                chosen.append(at[n[at] <= common * np.quantile(n[at], 0.75)])
-        return np.concatenate(chosen) if chosen else np.empty(0, np.int64)
+        out = np.zeros(len(n), dtype=bool)
+        edge = np.flatnonzero(np.diff(self.item, prepend=-1, append=-1)) if len(n) else []
+        for lo, hi in zip(edge[:-1], edge[1:]):
+            some = n[lo:hi][n[lo:hi] > 0]
+            if len(some):
+                out[lo:hi] = n[lo:hi] <= common * np.quantile(some, 0.75)
+        return out
+
+
+def seed_hashes(words: np.ndarray, kind: int, apart: int) -> np.ndarray:
+    """Hash of each word (kind 1), or of it and the one ``apart`` words on."""
+    salt = np.uint64(kind)
+    if kind == 1:
+        return R.mix(words + salt)
+    return R.mix(words[:-apart] * R.WORD_BASE + words[apart:] + salt)
 
 
 def alignment(passage: np.ndarray, item: np.ndarray) -> int:
@@ -126,39 +150,75 @@ def alignment(passage: np.ndarray, item: np.ndarray) -> int:
     return best
 
 
-def leaks_in(items: Items, seeds: np.ndarray, words: np.ndarray, off: np.ndarray,
-             min_score: float) -> list[tuple[int, int, float]]:
-    """(text, item, score) of the leaks in a batch of texts."""
-    grams, which = np.unique(items.hash[seeds], return_inverse=True)
-    by_gram = np.argsort(which, kind="stable")
-    first = np.searchsorted(which[by_gram], np.arange(len(grams) + 1))
-    start, gram = items.occurrences(words, off, grams)
-    many = first[gram + 1] - first[gram]  # seeds with this n-gram, in one or more items
-    hit = np.repeat(np.arange(len(start)), many)
-    seed = seeds[by_gram[np.repeat(first[gram], many) + np.arange(len(hit)) - np.repeat(np.cumsum(many) - many, many)]]
-    text = np.searchsorted(off, start, side="right")[hit] - 1
-    item, length = items.item[seed], np.diff(items.off)[items.item[seed]]
-    lo = start[hit] - items.place[seed]
-    lo, hi = np.maximum(lo - length // 2 - 1, off[text]), np.minimum(lo + length + length // 2 + 1, off[text + 1])
-    order = np.lexsort((lo, item, text))
+def windows(items: Items, start: np.ndarray, gram: np.ndarray, first: np.ndarray, by_gram: np.ndarray,
+            rare: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Rare, text, item, start and end of the passages around the seeds that
+    lie as close together as those of a leak do."""
+    many = first[gram + 1] - first[gram]  # seeds with this hash, in one or more items
+    hit = np.repeat(start, many)
+    seed = by_gram[np.repeat(first[gram], many) + np.arange(len(hit)) - np.repeat(np.cumsum(many) - many, many)]
+    order = np.lexsort((hit, items.item[seed]))
+    hit, seed = hit[order], seed[order]
+    item = items.item[seed]
+    new = np.ones(len(hit), dtype=bool)  # a start counts once per item
+    new[1:] = (hit[1:] != hit[:-1]) | (item[1:] != item[:-1])
+    at, of = hit[new], item[new]
+    text = np.searchsorted(off, at, side="right") - 1
+    end = np.arange(len(at)) + items.need[of] - 1
+    last = np.minimum(end, len(at) - 1)
+    near = np.flatnonzero((end < len(at)) & (of[last] == of) & (text[last] == text) & (at[last] - at < items.span[of]))
+    change = np.zeros(len(at) + 1, dtype=np.int64)
+    np.add.at(change, near, 1)
+    np.add.at(change, end[near] + 1, -1)
+    keep = (np.cumsum(change)[:-1] > 0)[np.cumsum(new) - 1]
+    hit, seed, item = hit[keep], seed[keep], item[keep]
+    text = np.searchsorted(off, hit, side="right") - 1
+    lo, reach = hit - items.place[seed], items.reach[item]
+    return (rare[seed], text, item, np.maximum(lo - reach, off[text]),
+            np.minimum(lo + np.diff(items.off)[item] + reach, off[text + 1]))
+
+
+def leaks_in(items: Items, rare: np.ndarray, words: np.ndarray, off: np.ndarray,
+             hits: int = HITS) -> list[tuple[int, int, float]]:
+    """(text, item, score) of the leaks in a batch of texts.  Seeds are
+    looked at in runs of about ``hits``; a run reads on as far as a leak that
+    begins in it can go."""
+    by_gram = np.argsort(items.gram_of, kind="stable")
+    first = np.searchsorted(items.gram_of[by_gram], np.arange(len(items.grams) + 1))
+    start, gram = items.occurrences(words, off)
+    done = np.cumsum(first[gram + 1] - first[gram])
     out: dict[tuple[int, int], float] = {}
     i = 0
-    while i < len(order):
-        k = order[i]
-        t, q, a, b = int(text[k]), int(item[k]), int(lo[k]), int(hi[k])
-        i += 1
-        while i < len(order) and text[order[i]] == t and item[order[i]] == q and lo[order[i]] <= b:
-            b = max(b, int(hi[order[i]]))
-            i += 1
+    while i < len(start):
+        k = max(i + 1, int(np.searchsorted(done, (done[i - 1] if i else 0) + hits, side="right")))
+        end = int(np.searchsorted(start, start[k - 1] + items.span.max(), side="right"))
+        align_windows(items, windows(items, start[i:end], gram[i:end], first, by_gram, rare, off), words, out)
+        i = k
+    return [(t, q, s) for (t, q), s in out.items()]
+
+
+def align_windows(items: Items, found: tuple[np.ndarray, ...], words: np.ndarray, out: dict) -> None:
+    """Align the passages with their items, those with a rare seed first."""
+    rare, text, item, lo, hi = found
+    order = np.lexsort((lo, item, text))
+    merged = []
+    for r, t, q, a, b in zip(*(x[order].tolist() for x in (rare, text, item, lo, hi))):
+        if merged and merged[-1][1:3] == [t, q] and a <= merged[-1][4]:
+            merged[-1][0] |= r
+            merged[-1][4] = max(b, merged[-1][4])
+        else:
+            merged.append([r, t, q, a, b])
+    for _, t, q, a, b in sorted(merged, key=lambda x: not x[0]):
+        if out.get((t, q)) == 1.0:
+            continue  # nothing can score more
         wanted = items.words[items.off[q]: items.off[q + 1]]
-        passage = words[a:b]
+        passage, least = words[a:b], float(items.least[q])
         whole = MATCH * len(wanted)
-        if MATCH * int(np.isin(wanted, passage).sum()) < min_score * whole:
+        if MATCH * int(np.isin(wanted, passage).sum()) < least * whole:
             continue  # no alignment can reach the score
         score = alignment(passage, wanted) / whole
-        if score >= (min_score if len(wanted) >= items.gram else 1.0):
+        if score >= least:
             out[t, q] = max(score, out.get((t, q), 0.0))
-    return [(t, q, s) for (t, q), s in out.items()]
 
 
 def blocks(bench: DataFrame, block_chars: int) -> Iterator[list[tuple]]:
@@ -181,14 +241,14 @@ def blocks(bench: DataFrame, block_chars: int) -> Iterator[list[tuple]]:
 def block_leaks(docs: DataFrame, part: list[tuple], gram: int, common: float, min_score: float) -> DataFrame:
     """(doc_id, row, item_id, score): the leaks of one block in ``docs``."""
     sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast(Items([t for _, t in part], gram))
+    shared = sc.broadcast(Items([t for _, t in part], gram, min_score))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = shared.value
         total = np.zeros(len(items.grams), dtype=np.int64)
         for batch in in_stretches(batches, "text"):
             words, off = words_by_text(batch.column(1).to_pylist())
-            start, found = items.occurrences(words, off, items.grams)
+            start, found = items.occurrences(words, off)
             text = np.searchsorted(off, start, side="right") - 1
             pair = np.unique(text * len(total) + found)
             total += np.bincount(pair % max(1, len(total)), minlength=len(total))
@@ -199,13 +259,13 @@ def block_leaks(docs: DataFrame, part: list[tuple], gram: int, common: float, mi
     with_gram = np.zeros(len(shared.value.grams), dtype=np.int64)
     for row in counted.collect():  # one row per n-gram of the block
         with_gram[row["gram"]] = row["n"]
-    seeds = sc.broadcast(shared.value.seeds(with_gram, common))
+    rare = sc.broadcast(shared.value.rare(with_gram, common))
     ids = sc.broadcast([i for i, _ in part])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_stretches(batches, "text"):
             words, off = words_by_text(batch.column(1).to_pylist())
-            found = leaks_in(shared.value, seeds.value, words, off, min_score)
+            found = leaks_in(shared.value, rare.value, words, off)
             by_text: dict[int, list[tuple]] = {}
             for t, q, score in found:
                 by_text.setdefault(t, []).append((ids.value[q], score))

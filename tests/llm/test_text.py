@@ -206,6 +206,34 @@ def test_decontamination(spark):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, x in want.items() if not x}
 
 
+def found_in(rows, items, **settings):
+    block = op7.Items([t for _, t in items], op7.GRAM, op7.MIN_SCORE)
+    words, off = op7.words_by_text([t for _, t in rows])
+    out = {i: [] for i, _ in rows}
+    for t, q, _ in op7.leaks_in(block, np.zeros(len(block.hash), bool), words, off, **settings):
+        out[rows[t][0]].append(items[q][0])
+    return {i: sorted(x) for i, x in out.items()}
+
+
+def test_decontamination_of_copied_edits(spark):
+    """Seeds that a group of edited copies makes frequent are seeds still."""
+    item = [f"a{i}" for i in range(30)]
+    edited = " ".join(x if k % 4 else "zzz" for k, x in enumerate(item))
+    for copies in (3, 200):
+        rows = [(i, f"q{i} {edited} r{i}") for i in range(copies)] + [(1000, " ".join(item)), (1001, "a1 a2 a3 b b b a5 a6")]
+        got = op7.judge(spark.createDataFrame(rows, "doc_id long, text string"),
+                        spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).collect()
+        assert {r["doc_id"] for r in got if r["contaminated"]} == {*range(copies), 1000}
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 9), max_size=30), max_size=6), st.lists(st.lists(st.integers(0, 9), min_size=6, max_size=14),
+                                                                               max_size=4), st.sampled_from([1, 7, op7.HITS]))
+def test_every_copy_is_found(texts, wanted, hits):
+    cut = lambda x: [(i, " ".join(f"w{k}" for k in t)) for i, t in enumerate(x)]
+    assert found_in(cut(texts), cut(wanted), hits=hits) == leaks_by_alignment(cut(texts), cut(wanted))
+
+
 def test_decontamination_edges(spark, table_of):
     bench = spark.createDataFrame([(1, None), (2, ""), (3, "tiny"), (None, "a b c d e f g h"), (4, "same row " * 3)],
                                   "item_id long, text string")
