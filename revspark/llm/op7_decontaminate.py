@@ -8,8 +8,9 @@ For each block:
 
 1. One scan counts, for every seed of the block, the documents that have it
    (summed inside the tasks before anything is sent; one row per seed and
-   task).  The seeds of an item are its pairs of neighbouring words, the
-   words themselves where a copy that is found may have no pair left.
+   task).  The seeds of an item are its pairs of neighbouring words; of
+   items of up to five words also such pairs with a word put in (the words
+   themselves if ``min_score`` is set so low that this is not enough).
 2. A second scan joins the passages of the documents to the items by these
    seeds, inside the tasks.  A passage is a candidate if it has as many seeds
    of the item, as close together, as every copy has that reaches
@@ -50,8 +51,10 @@ from .common import documents, in_stretches, stored, text_bytes
 
 GRAM, COMMON, MIN_SCORE, BLOCK_CHARS = 3, 2.0, 0.6, 4_000_000
 MATCH, MISS, GAP = 2, 1, 1
-#: Seeds of an item: single words and pairs of neighbours, and how far apart the two words are in a text.
-KINDS = {1: 1, 2: 1}
+#: Seeds of an item: single words, pairs of neighbours, and such pairs with a word put in; how far apart the words are in a text.
+KINDS = {1: 1, 2: 1, 3: 2}
+#: From this score on, a copy that has no pair left has one word put in between all words (up to 5 of them).
+APART_SCORE = 0.6
 #: Seeds of items in a stretch of text that are looked at together.
 HITS = 4_000_000
 _BREAK = R.SPACE.copy()
@@ -81,14 +84,15 @@ class Items:
         n = np.diff(self.off)
         least = self.least = np.where(n >= gram, min_score, 1.0)
         need = np.ceil((2 * least - 1) * n - 1 - 1e-9).astype(np.int64)
-        single = (n == 1) | (need < 1)  # no pair is sure to be left: words are counted
+        apart = (n > 1) & (need < 1) & (least >= APART_SCORE)  # no pair is sure to be left
+        single = ((n == 1) | (need < 1)) & ~apart  # words are counted
         self.need = np.maximum(1, np.where(single, np.ceil(least * n - 1e-9).astype(np.int64), need))
         self.span = ((3 - 2 * least) * n + 1e-9).astype(np.int64)
         self.reach = (2 * (1 - least) * n + 1e-9).astype(np.int64)
         of, at = np.repeat(np.arange(len(n)), n), np.arange(len(self.words))
         hashes, places = [], []
         for kind in KINDS:
-            take = single[of] if kind == 1 else ~single[of] & (at + 1 < self.off[of + 1])
+            take = single[of] if kind == 1 else (apart if kind == 3 else ~single)[of] & (at + 1 < self.off[of + 1])
             places.append(at[take])
             hashes.append(seed_hashes(self.words, kind, 1)[at[take]])
         where, hashes = np.concatenate(places), np.concatenate(hashes)

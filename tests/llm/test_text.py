@@ -226,6 +226,27 @@ def test_decontamination_of_copied_edits(spark):
         assert {r["doc_id"] for r in got if r["contaminated"]} == {*range(copies), 1000}
 
 
+def test_decontamination_without_intact_trigrams(spark):
+    """A word after every second word, the middle of five words changed, a
+    word between all of five: no three words of the item are left together."""
+    long, short = [f"a{i}" for i in range(20)], list("vwxyz")
+    rows = [(1, " ".join(f"{x} zz" if i % 2 else x for i, x in enumerate(long))), (2, "v w q y z"), (3, "p v 1 w 2 x 3 y 4 z p"),
+            (4, "v w q q q q y z"), (5, "v 1 2 w 3 x 4 5 y 6 z")]
+    bench = [(10, " ".join(long)), (11, " ".join(short))]
+    want = {1: [10], 2: [11], 3: [11], 4: [], 5: []}
+    assert leaks_by_alignment(rows, bench) == want
+    got = op7.judge(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string"))
+    assert {r["doc_id"]: r["item_ids"] for r in got.collect()} == want
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 6), max_size=20), max_size=8), st.lists(st.lists(st.integers(0, 6), min_size=3, max_size=6),
+                                                                               max_size=5))
+def test_every_copy_of_a_short_item_is_found(texts, wanted):
+    cut = lambda x: [(i, " ".join(f"w{k}" for k in t)) for i, t in enumerate(x)]
+    assert found_in(cut(texts), cut(wanted)) == leaks_by_alignment(cut(texts), cut(wanted))
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 9), max_size=30), max_size=6), st.lists(st.lists(st.integers(0, 9), min_size=6, max_size=14),
                                                                                max_size=4), st.sampled_from([1, 7, op7.HITS]))
