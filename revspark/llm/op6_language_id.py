@@ -2,8 +2,10 @@
 
 For every language a bounded sample of its training texts becomes a
 zstandard raw-content dictionary.  A text, in lower case, is compressed once
-with each dictionary; the language whose dictionary gives the fewest bytes wins, and
-the answer is rejected when the runner-up is nearly as small.
+with each dictionary, in pieces of ``PIECE_BYTES`` that all begin with the
+dictionary in reach; the language whose dictionary gives the fewest bytes for
+the whole text wins, and the answer is rejected when the runner-up is nearly
+as small.
 
 Fitting: training rows have a text, a language and crc32(doc_id as text)
 mod 4 other than 2.  The languages are the ``max_languages`` most frequent
@@ -42,6 +44,8 @@ DICT_BYTES = 1 << 17
 MAX_LANGUAGES = 64
 #: Match search of the compressor: the shortest matches (4 bytes) tell languages apart better than speed levels do.
 SEARCH = {"window_log": 19, "hash_log": 17, "chain_log": 17, "search_log": 3, "min_match": 4}
+#: Longer texts are compressed in pieces: piece and dictionary together stay within the compressor's window.
+PIECE_BYTES = 1 << 16
 #: Largest value of the 63-bit hash that orders the training rows.
 TOP = (1 << 63) - 1
 #: An answer is rejected if the runner-up needs fewer than this many bytes more.
@@ -78,6 +82,18 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DICT_
     return out
 
 
+def pieces(raw: bytes, size: int = PIECE_BYTES) -> list[bytes]:
+    """UTF-8 bytes in pieces of at most ``size``, cut between characters."""
+    out, at = [], 0
+    while len(raw) - at > size:
+        to = at + size
+        while raw[to] & 0xC0 == 0x80:
+            to -= 1
+        out.append(raw[at:to])
+        at = to
+    return [*out, raw[at:]]
+
+
 def predict(docs: DataFrame, model: list[tuple[str, bytes]], search: dict = SEARCH,
             min_margin: int = MIN_MARGIN) -> DataFrame:
     """``docs`` with lang_pred, score, margin (bytes; null for ``und``) and
@@ -109,7 +125,8 @@ def predict(docs: DataFrame, model: list[tuple[str, bytes]], search: dict = SEAR
                     pred.append(UND), score.append(0.0), margin.append(None), rejected.append(True)
                     continue
                 raw = text.lower().encode()
-                sizes = np.array([len(p.compress(raw)) for p in packers])
+                parts = pieces(raw)
+                sizes = np.array([sum(len(p.compress(x)) for x in parts) for p in packers])
                 best = int(sizes.argmin())
                 gap = int(np.delete(sizes, best).min() - sizes[best]) if len(sizes) > 1 else len(raw)
                 pred.append(names[best])

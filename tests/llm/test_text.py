@@ -152,6 +152,27 @@ def test_language_held_out(spark):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_language_of_the_whole_text(spark):
+    """What a long text begins with does not decide for the rest of it."""
+    rng = np.random.default_rng(3)
+    letters = {"aa": "abcdefgh", "bb": "klmnopqr", "": "stuvwxyz"}
+    words = {k: ["".join(rng.choice(list(v), rng.integers(3, 9))) for _ in range(400)] for k, v in letters.items()}
+    text = lambda k, size: " ".join(rng.choice(words[k], size // 5))[:size]
+    docs = spark.createDataFrame([(i, text(k, 2000), k) for i in range(60) for k in ("aa", "bb")], "doc_id long, text string, lang string")
+    mixed = [(1, text("", 800_000) + text("aa", 300_000)), (2, text("bb", 400_000) + text("", 300_000) + text("aa", 2_000_000)),
+             (3, text("aa", 300_000))]
+    got = {r["doc_id"]: r for r in op6.predict(spark.createDataFrame(mixed, "doc_id long, text string"), op6.fit(docs)).collect()}
+    assert [got[i]["lang_pred"] for i in (1, 2, 3)] == ["aa"] * 3
+    assert got[1]["margin"] > got[3]["margin"] / 2
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet=st.sampled_from("aé漢🙂"), max_size=40), st.integers(4, 9))
+def test_pieces_are_whole_characters(text, size):
+    parts = op6.pieces(text.encode(), size)
+    assert "".join(x.decode() for x in parts) == text and all(len(x) <= size for x in parts)
+
+
 def test_language_edges(spark):
     rows = [(i, f"{w} {i}", lang) for i, (w, lang) in enumerate([("der und die das nicht", "de"), ("the and of with that", "en")] * 20)]
     rows += [(100, None, "de"), (101, "12 .. 3", "en"), (None, "the of the", None), (102, "", "de"), (102, "", "de")]
