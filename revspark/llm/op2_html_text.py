@@ -86,7 +86,8 @@ def named_away(node: Node, in_article: bool) -> bool:
 
 
 def roots(root: Node) -> list[Node]:
-    """The outermost articles; else the main element; else the body."""
+    """The outermost articles; else the outermost main elements, without
+    hidden ones if another is shown; else the body."""
     found: dict[str, list[Node]] = {"article": [], "main": [], "body": []}
     stack = [root]
     while stack:
@@ -102,7 +103,16 @@ def roots(root: Node) -> list[Node]:
         if x.tag not in DROP:
             stack += [c for c in reversed(x.children) if isinstance(c, Node)]
     outer = [x for x in found["article"] if not any(named_away(u, False) or never_text(u, False) for u in above(x))]
-    return outer or found["article"] or found["main"][:1] or found["body"][:1] or [root]
+    if outer or found["article"]:
+        return outer or found["article"]
+    mains = [x for x in found["main"] if not any(u is y for u in ancestors(x) for y in found["main"])]
+    shown = [x for x in mains if not any(never_text(u, True) for u in (x, *ancestors(x)))]
+    return shown or mains or found["body"][:1] or [root]
+
+
+def ancestors(node: Node) -> Iterator[Node]:
+    while (node := node.parent) is not None:
+        yield node
 
 
 def above(node: Node) -> Iterator[Node]:

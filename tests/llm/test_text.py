@@ -27,6 +27,14 @@ def test_main_text():
     assert [op2.main_text(x) for x in (None, "", "plain &lt; text", "<p>open <b>tag")] == ["", "", "plain < text", "open tag"]
 
 
+def test_several_main_elements():
+    pair = "<div class='has-sidebar'><main><p>One</p></main></div><p>between</p><div role='main'><p>Two</p>{}</div><footer>f</footer>"
+    assert op2.main_text(pair.format("")) == op2.main_text(pair.format("<main hidden>no</main>")) == "One\nTwo"
+    assert op2.main_text(pair.format("<main>Three</main>")) == "One\nTwo\nThree"
+    assert op2.main_text("<main hidden>a</main><main>b</main>") == "b"
+    assert op2.main_text("<main hidden>a</main>") == "a"
+
+
 def test_site_template(spark):
     """Unnamed subtrees on most pages of a host go; a passage that a few
     articles share, and other hosts' pages with the same subtree, stay."""
