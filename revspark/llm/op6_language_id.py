@@ -48,8 +48,10 @@ SEARCH = {"window_log": 19, "hash_log": 17, "chain_log": 17, "search_log": 3, "m
 PIECE_BYTES = 1 << 16
 #: Largest value of the 63-bit hash that orders the training rows.
 TOP = (1 << 63) - 1
-#: An answer is rejected if the runner-up needs fewer than this many bytes more.
-MIN_MARGIN = 1
+#: An answer is rejected if the runner-up needs fewer than this many bytes more, or than this share of the winner's
+#: bytes.  At sf0.1 the share rejects none of the 2483 held-out rows that are told right and do not tie (their
+#: smallest is 0.0144), 59 % of them when their language is not learned, and random letters from 20 KB on.
+MIN_MARGIN, MIN_SHARE = 1, 0.01
 
 
 def held_out():
@@ -95,7 +97,7 @@ def pieces(raw: bytes, size: int = PIECE_BYTES) -> list[bytes]:
 
 
 def predict(docs: DataFrame, model: list[tuple[str, bytes]], search: dict = SEARCH,
-            min_margin: int = MIN_MARGIN) -> DataFrame:
+            min_margin: int = MIN_MARGIN, min_share: float = MIN_SHARE) -> DataFrame:
     """``docs`` with lang_pred, score, margin (bytes; null for ``und``) and
     rejected added; columns of these names are replaced."""
     kept = [c for c in docs.columns if c not in ("lang_pred", "score", "margin", "rejected")]
@@ -132,7 +134,7 @@ def predict(docs: DataFrame, model: list[tuple[str, bytes]], search: dict = SEAR
                 pred.append(names[best])
                 score.append(float(1 / np.exp2(np.maximum(sizes[best] - sizes, -60)).sum()))
                 margin.append(gap)
-                rejected.append(gap < min_margin)
+                rejected.append(bool(gap < max(min_margin, min_share * sizes[best])))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64()),
                  pa.array(margin, pa.int64()), pa.array(rejected, pa.bool_())],

@@ -174,6 +174,21 @@ def test_language_of_the_whole_text(spark):
     assert got[1]["margin"] > got[3]["margin"] / 2
 
 
+def test_unlearned_languages_are_rejected(spark):
+    """Noise and most longer texts of a language without a dictionary go; no
+    held-out row that is told right goes beyond those that tie."""
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    rng = np.random.default_rng(5)
+    noise = [(i, "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), n))) for i, n in enumerate([20_000, 50_000, 300_000])]
+    got = op6.predict(spark.createDataFrame(noise, "doc_id long, text string"), op6.fit(docs)).collect()
+    assert all(r["rejected"] and r["margin"] >= 0 for r in got) and any(r["margin"] for r in got)
+    for lang in ("fr", "de"):
+        got = op6.predict(docs.filter(f"lang = '{lang}' AND length(text) > 1000"), op6.fit(docs.filter(f"lang <> '{lang}'"))).collect()
+        assert np.mean([r["rejected"] for r in got]) > 2 * np.mean([r["margin"] < 1 for r in got]) + 0.2
+    right = op6.predict(docs.filter(op6.held_out()), op6.fit(docs)).filter("lang = lang_pred AND margin > 0").collect()
+    assert not any(r["rejected"] for r in right)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text(alphabet=st.sampled_from("aé漢🙂"), max_size=40), st.integers(4, 9))
 def test_pieces_are_whole_characters(text, size):
