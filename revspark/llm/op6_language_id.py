@@ -8,17 +8,18 @@ the whole text wins, and the answer is rejected when the runner-up is nearly
 as small.
 
 Fitting: training rows have a text, a language and crc32(doc_id as text)
-mod 4 other than 2.  The languages are the ``max_languages`` most frequent
-ones.  Of each language the ``sample_docs`` rows with the smallest hash of
-the doc_id are taken: a first job counts rows per language (text is not
-read), which gives a hash limit that leaves a few times ``sample_docs`` rows
-whatever the size of the table; only those reach the ordering.  Whole texts,
-the shorter ones first, fill a dictionary of ``dict_bytes``.  What reaches
-the driver is at most max_languages * sample_docs texts, and of each at most
-``dict_bytes`` bytes; the broadcast is max_languages * dict_bytes.
+mod 4 other than 2.  Every language of such a row is learned.  Of each
+language the ``sample_docs`` rows with the smallest hash of the doc_id are
+taken: a first job counts rows per language (text is not read), which gives
+a hash limit that leaves a few times ``sample_docs`` rows whatever the size
+of the table; only those reach the ordering, and of these a task sends at
+most ``sample_docs`` per language.  Whole texts, the shorter ones first, fill
+a dictionary of ``dict_bytes``.  ``AT_ONCE`` languages are read in one job.
+What reaches the driver, and is broadcast, is at most dict_bytes per language.
 
 Prediction reads whole texts and nothing else of a row, in Arrow batches,
-without a shuffle.
+without a shuffle.  A task has the compressors of at most ``AT_ONCE``
+languages at a time; with more, it goes over each batch several times.
 
 Defined results: a null text, or one without a letter, gives ``und`` with
 score 0 and is rejected.  Equal sizes go to the language with more training
@@ -30,10 +31,11 @@ the input are kept by ``filter_known`` and otherwise ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents
@@ -41,7 +43,8 @@ from .common import documents
 UND = "und"
 SAMPLE_DOCS = 400
 DICT_BYTES = 1 << 17
-MAX_LANGUAGES = 64
+#: Languages that are learned in one job, and whose compressors a task has at a time.
+AT_ONCE = 64
 #: Match search of the compressor: the shortest matches (4 bytes) tell languages apart better than speed levels do.
 SEARCH = {"window_log": 19, "hash_log": 17, "chain_log": 17, "search_log": 3, "min_match": 4}
 #: Longer texts are compressed in pieces: piece and dictionary together stay within the compressor's window.
@@ -58,29 +61,30 @@ def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DICT_BYTES,
-        max_languages: int = MAX_LANGUAGES) -> list[tuple[str, bytes]]:
+def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DICT_BYTES) -> list[tuple[str, bytes]]:
     """(language, dictionary) pairs, the most frequent language first."""
     train = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = train.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
-    if not counts:
-        return []
-    # 63-bit hash; four times the wanted share, so that the limit leaves enough rows
-    limits = F.create_map(*[F.lit(x) for r in counts
-                            for x in (r["lang"], TOP * min(4 * sample_docs, r["count"]) // r["count"])])
+    counts = train.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     key = F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(0))).bitwiseAND(F.lit(TOP))
-    near = train.select("lang", key.alias("k"), "text").filter(F.col("k") <= F.element_at(limits, F.col("lang")))
+    by_hash = Window.partitionBy("lang").orderBy("k", "b")
+    by_size = Window.partitionBy("lang").orderBy(F.length("b"), "b").rowsBetween(Window.unboundedPreceding, 0)
     out = []
-    for r in counts:  # a bounded number of small top-k queries
-        rows = (near.filter(F.col("lang") == r["lang"])
-                .select("k", F.substring(F.encode(F.lower("text"), "UTF-8"), 1, dict_bytes).alias("b"))
-                .orderBy("k", "b").limit(sample_docs).collect())
-        content = bytearray()
-        for text in sorted((bytes(x["b"]) for x in rows), key=lambda b: (len(b), b)):
-            if len(content) + len(text) + 1 > dict_bytes and content:
-                break
-            content += text[:dict_bytes] + b"\n"
-        out.append((r["lang"], bytes(content[:dict_bytes])))
+    for at in range(0, len(counts), AT_ONCE):
+        group = counts[at: at + AT_ONCE]
+        # 63-bit hash; four times the wanted share, so that the limit leaves enough rows
+        limits = F.create_map(*[F.lit(x) for r in group
+                                for x in (r["lang"], TOP * min(4 * sample_docs, r["count"]) // r["count"])])
+        near = (train.filter(F.col("lang").isin([r["lang"] for r in group])).select("lang", key.alias("k"), "text")
+                .filter(F.col("k") <= F.element_at(limits, F.col("lang")))
+                .select("lang", "k", F.substring(F.encode(F.lower("text"), "UTF-8"), 1, dict_bytes).alias("b")))
+        taken = near.withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= sample_docs)
+        rows = (taken.select("lang", "b", F.sum(F.length("b") + 1).over(by_size).alias("filled"),
+                             F.count(F.lit(1)).over(by_size).alias("place"))
+                .filter((F.col("filled") <= dict_bytes) | (F.col("place") == 1)).select("lang", "b", "place").collect())
+        content = {r["lang"]: bytearray() for r in group}
+        for r in sorted(rows, key=lambda r: r["place"]):
+            content[r["lang"]] += bytes(r["b"]) + b"\n"
+        out += [(lang, bytes(text[:dict_bytes])) for lang, text in content.items()]
     return out
 
 
@@ -113,24 +117,35 @@ def predict(docs: DataFrame, model: list[tuple[str, bytes]], search: dict = SEAR
         letter = regex.compile(r"\p{L}")
         settings = zstandard.ZstdCompressionParameters(write_content_size=0, write_checksum=0, write_dict_id=0,
                                                        strategy=zstandard.STRATEGY_GREEDY, **search)
-        names, packers = [], []
-        for name, content in shared.value:
-            d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            d.precompute_compress(compression_params=settings)
-            names.append(name)
-            packers.append(zstandard.ZstdCompressor(compression_params=settings, dict_data=d))
+        names = [name for name, _ in shared.value]
+
+        @lru_cache(maxsize=1)
+        def packers(first: int) -> list:
+            out = []
+            for _, content in shared.value[first: first + AT_ONCE]:
+                d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                d.precompute_compress(compression_params=settings)
+                out.append(zstandard.ZstdCompressor(compression_params=settings, dict_data=d))
+            return out
+
         for batch in batches:
+            every = np.zeros((batch.num_rows, len(names)), dtype=np.int64)
+            told = np.zeros(batch.num_rows, dtype=bool)
+            for first in range(0, len(names), AT_ONCE):
+                for i, value in enumerate(batch.column(at)):
+                    text = value.as_py()
+                    if not text or not (told[i] if first else letter.search(text)):
+                        continue
+                    told[i] = True
+                    parts = pieces(text.lower().encode())
+                    every[i, first: first + AT_ONCE] = [sum(len(p.compress(x)) for x in parts) for p in packers(first)]
             pred, score, margin, rejected = [], [], [], []
-            for value in batch.column(at):
-                text = value.as_py()
-                if not packers or not text or not letter.search(text):
+            for sizes, some, value in zip(every, told, batch.column(at)):
+                if not some:
                     pred.append(UND), score.append(0.0), margin.append(None), rejected.append(True)
                     continue
-                raw = text.lower().encode()
-                parts = pieces(raw)
-                sizes = np.array([sum(len(p.compress(x)) for x in parts) for p in packers])
                 best = int(sizes.argmin())
-                gap = int(np.delete(sizes, best).min() - sizes[best]) if len(sizes) > 1 else len(raw)
+                gap = int(np.delete(sizes, best).min() - sizes[best]) if len(sizes) > 1 else len(value.as_py().lower().encode())
                 pred.append(names[best])
                 score.append(float(1 / np.exp2(np.maximum(sizes[best] - sizes, -60)).sum()))
                 margin.append(gap)

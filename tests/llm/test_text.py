@@ -189,6 +189,18 @@ def test_unlearned_languages_are_rejected(spark):
     assert not any(r["rejected"] for r in right)
 
 
+def test_every_language_is_learned(spark):
+    """Also beyond those that are handled at once, the rarest ones too."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for k in range(op6.AT_ONCE + 6):
+        words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 5)) for _ in range(30)]
+        rows += [(len(rows) + i, " ".join(rng.choice(words, 30)), f"l{k:02}") for i in range(12 if k < op6.AT_ONCE else 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = op6.predict(docs, op6.fit(docs)).collect()
+    assert len(got) == len(rows) and all(r["lang_pred"] == r["lang"] and not r["rejected"] for r in got)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text(alphabet=st.sampled_from("aé漢🙂"), max_size=40), st.integers(4, 9))
 def test_pieces_are_whole_characters(text, size):
