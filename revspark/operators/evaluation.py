@@ -163,14 +163,16 @@ def insights(metrics: DataFrame, model_order: DataFrame, test_rows: DataFrame,
 
 
 def model_comparison(metrics: DataFrame, models: list[str] | None = None) -> DataFrame:
-    """Metric rows side by side: ``(metric, <model columns>)`` via pivot.
+    """Metric rows side by side: ``(metric, <model columns>)``, always one row
+    for each of the two metrics.
 
     ``models`` fixes the output columns (a model without metrics gives
-    nulls); without it the models present in ``metrics`` are used."""
-    long = metrics.select("model", F.explode(F.array(
-        F.struct(F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value")),
-        F.struct(F.lit("f1_weighted").alias("metric"), F.col("f1_weighted").alias("value")))).alias("m")
-    ).select("model", "m.*")
+    nulls); without it the models present in ``metrics`` are used.  One
+    aggregate without a key, so a table without any metrics gives nulls."""
     if models is None:  # one row per model: a small collect
         models = [r[0] for r in metrics.select("model").distinct().orderBy("model").collect()]
-    return long.groupBy("metric").pivot("model", models).agg(F.first("value"))
+    names = ("accuracy", "f1_weighted")
+    one = metrics.agg(*[F.max(F.when(F.col("model") == m, F.col(n))).alias(f"{n}_{i}")
+                        for n in names for i, m in enumerate(models)], F.count(F.lit(1)).alias("__n"))
+    rows = [F.struct(F.lit(n).alias("metric"), *[F.col(f"{n}_{i}").alias(m) for i, m in enumerate(models)]) for n in names]
+    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Append the columns of a one-row aggregate to every row of ``df``.
 
-    Written as an equi-join on a constant key with the one-row side
-    broadcast: its size is one row by construction, so the broadcast is
-    bounded, and no Cartesian product is planned.
+    The optimiser folds the constant key away and plans a broadcast
+    nested-loop join whose broadcast side is one row by construction: every
+    row of ``df`` meets exactly one row, where it is, without a shuffle.
     """
     k = "__one_row_key"
     return (df.withColumn(k, F.lit(1))
