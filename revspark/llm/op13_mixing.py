@@ -109,6 +109,7 @@ def mix(docs: DataFrame, weight: F.Column | None = None, shares=SHARES, cap: int
                          F.md5(F.coalesce(text, F.lit(""))).alias("told"))
     narrow = narrow.withColumn("key", exponential_key(F.col("weight"), F.col("doc_id"), F.col("told"), seed=seed))
     narrow = narrow.withColumn("tie", F.substring("told", 1, 8)).drop("told")
+    narrow = stored(narrow, "op13-rows")  # ranges are sampled: texts would be read twice
     ranked = numbered(narrow, "source", ["key", "doc_id", "tie"], "size", "op13-keys")
     sizes = ranked.groupBy("source").agg(F.sum("size").alias("source_size"))
     goal = stored(targets(sizes, shares, cap), "op13-targets")
