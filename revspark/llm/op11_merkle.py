@@ -209,7 +209,8 @@ def manifest(docs: DataFrame, group: str = "lang", fields=FIELDS, claimed: F.Col
     told = F.lit(None).cast("string") if claimed is None else claimed
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(group).cast("string").alias("tree"),
                        F.unhex(leaf_of(*map(F.col, fields))).alias("hash"), F.unhex(told).alias("claimed"))
-    ranked = numbered(rows.withColumn("none", F.col("doc_id").isNull()), "tree", ["none", "doc_id", "hash"], name="op11-leaves")
+    rows = stored(rows.withColumn("none", F.col("doc_id").isNull()), "op11-rows")  # texts are read once
+    ranked = numbered(rows, "tree", ["none", "doc_id", "hash"], name="op11-leaves")
     sizes = stored(ranked.groupBy("tree").agg(F.count(F.lit(1)).alias("n")), "op11-groups")
     sizes = sizes.select(F.col("tree").alias("__tree"), heights(F.col("n")).alias("rest"))
     leaves = ranked.join(sizes, F.col("tree").eqNullSafe(F.col("__tree"))).select(
