@@ -13,12 +13,13 @@ are a link.
    byte-fallback tokens report the whole character or nothing; there the ends
    are counted in the decoded bytes of the tokens.  Decoded bytes also tell
    whether both tokenizers give the text back; if not, it has no tokens.
-3. Fragments.  No token of either vocabulary reaches over a blank between two
-   visible characters (A's pre-tokens begin there, and no piece of B has a
-   word mark inside, which is checked).  So a text is cut there, a distinct
-   fragment is aligned once per worker, in a bounded cache, and a document's
-   groups are those of its fragments in order.  With other vocabularies the
-   whole text is one fragment.
+3. Fragments.  No token of either vocabulary reaches over the place before a
+   blank or line feed that follows a visible character: A's pre-tokens end
+   there, no piece of B has a word mark behind another character, and a line
+   feed is a byte token of its own (both checked).  So a text is cut there, a
+   distinct fragment is aligned once per worker, in a bounded cache, and a
+   document's groups are those of its fragments in order.  With other
+   vocabularies the whole text is one fragment.
 4. Corpus counts.  Each document keeps its distinct pairs of ids with their
    number.  Links per pair are summed by Spark with partial sums in the tasks,
    the highest per id of B by one more aggregate over the pairs.  The pair
@@ -37,11 +38,13 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,22 +58,31 @@ STRETCH, CALL = 2 << 20, 4000
 #: Pairs of ids up to which their table is broadcast (about 25 bytes each).
 BROADCAST_PAIRS = 2_000_000
 MARK = "▁"
-CUT = regex.compile(f"(?<=[^{WHITE}]) (?=[^{WHITE}])")
-BESIDE = [x for p in WHITE_POINTS for x in (chr(p) + " ", " " + chr(p))]
-BESIDE_ASCII = [x for x in BESIDE if x.isascii()]
+CUT = re.compile(f"(?<=[^{WHITE}])(?=[ \n])")
+#: White characters before a blank or line feed; without them every blank and line feed is a cut.
+TWICE = [chr(p) + c for p in WHITE_POINTS for c in " \n"]
+TWICE_ASCII = [x for x in TWICE if x.isascii()]
 
 
 def fragments(text: str) -> list[str]:
-    """The text cut at single blanks between visible characters."""
-    if text[0] in WHITE or text[-1] in WHITE or any(map(text.__contains__, BESIDE_ASCII if text.isascii() else BESIDE)):
-        return CUT.split(text)
-    return text.split(" ")
+    """A blank and the text, cut before each blank or line feed that follows
+    a visible character.  The one blank that begins a fragment is left out,
+    unless another or a line feed follows it."""
+    if not any(map(text.__contains__, TWICE_ASCII if text.isascii() else TWICE)) and text[0] not in " \n":
+        return text.replace("\n", " \n").split(" ")
+    first, *rest = CUT.split(text)
+    return [" " + first if first[0] in " \n" else first, *[f if f[0] == "\n" or f[1:2] in (" ", "\n") else f[1:] for f in rest]]
+
+
+def full(fragment: str) -> str:
+    return fragment if fragment[:1] in ("\n", " ") and fragment else " " + fragment
 
 
 class Aligner:
     """Both tokenizers, the bytes of their tokens, and the fragments known."""
 
     def __init__(self, config: str, model: bytes):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
@@ -78,16 +90,17 @@ class Aligner:
         self.a.no_truncation()
         self.a.no_padding()
         self.a.encode_special_tokens = True
-        table = byte_alphabet()
-        spec = json.loads(config)
+        table, spec = byte_alphabet(), json.loads(config)
         bytes_a = {i: bytes(table[c] for c in t) for t, i in spec["model"]["vocab"].items() if all(c in table for c in t)}
         self.bytes_a = [bytes_a.get(i, b"") for i in range(self.a.get_vocab_size())]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode()
                         for i, p in enumerate(pieces)]
+        self.width = len(pieces)
         level = spec.get("pre_tokenizer") or {}
         self.cuts = (level.get("type") == "ByteLevel" and level.get("use_regex", True) and not level.get("add_prefix_space")
-                     and not spec.get("normalizer") and not any(MARK in p.lstrip(MARK) for p in pieces))
+                     and not spec.get("normalizer") and not any(MARK in p.lstrip(MARK) or "\n" in p for p in pieces))
+        self.told: dict[int, str] = {}  # link -> its group, where both sides are one token
         self.forget()
 
     def forget(self) -> None:
@@ -105,99 +118,91 @@ class Aligner:
             in_a, in_b = [self.bytes_a[i] for i in ids_a], [self.bytes_b[i] for i in ids_b]
             if b"".join(in_a) != raw or b"".join(in_b) != raw:
                 yield None
-            elif len(raw) == len(text) + 1:  # characters are bytes: the spans' ends are exact
-                yield ids_a, [e for _, e in a.offsets], ids_b, [e + 1 for _, e in b["offsets"]]
+                continue
+            if len(raw) == len(text) + 1:  # characters are bytes: the spans' ends are exact
+                ends_a, ends_b = [e for _, e in a.offsets], [e + 1 for _, e in b["offsets"]]
             else:
-                yield ids_a, refined(in_a), ids_b, refined(in_b)
+                ends_a, ends_b = np.cumsum([len(t) for t in in_a]), np.cumsum([len(t) for t in in_b])
+            yield tuple(np.array(x, dtype=np.int64) for x in (ids_a, ends_a, ids_b, ends_b))
 
     def learn(self, new: list[str]) -> None:
-        """Align new fragments, many of them in one call of the tokenizers."""
-        calls, size = [[]], 0
-        for f in new:
-            if size and size + len(f) > CALL:
+        """Align new fragments, many of them in one call of the tokenizers;
+        one that ends in a white character can have none after it."""
+        alone = [f for f in new if not f or f[-1] in WHITE]
+        calls, size = [[f] for f in alone], CALL
+        for f in [f for f in new if f and f[-1] not in WHITE]:
+            if size + len(f) > CALL:
                 calls.append([])
                 size = 0
             calls[-1].append(f)
             size += len(f) + 1
-        sizes, links, at = [], [], len(self.links)
-        for call, found in zip(calls, self.encoded([" ".join(c) for c in calls])):
-            each = self.split(call, found) if found else []
-            if len(each) != len(call):  # a fragment is not given back
-                each = [x for f in call for x in self.alone(f)]
-            for f, (groups, n_a, n_b, pairs) in zip(call, each):
-                self.known[f] = len(self.groups)
-                self.groups.append(groups)
-                sizes.append((n_a, n_b, len(pairs), at))
-                links += pairs
+        sizes, links, at = [], [self.links], len(self.links)
+        whole = [[full(f) for f in call] for call in calls]
+        for call, texts, found in zip(calls, whole, self.encoded(["a" + "".join(w) for w in whole])):
+            each = [self.split(texts, found)] if found else [
+                self.split([t], x) if x else ([None], np.zeros((1, 3), dtype=np.int64), self.links[:0])
+                for t, x in zip(texts, self.encoded(["a" + t for t in texts]))]
+            for groups, numbers, pairs in each:
+                self.groups += groups
+                begin = np.cumsum(numbers[:, 2]) - numbers[:, 2] + at
+                sizes.append(np.column_stack([numbers, begin]))
+                links.append(pairs)
                 at += len(pairs)
-        self.sizes = np.concatenate([self.sizes, np.array(sizes, dtype=np.int64).reshape(-1, 4)])
-        self.links = np.concatenate([self.links, np.array(links, dtype=np.int64)])
-
-    def alone(self, fragment: str) -> list[tuple]:
-        found = next(iter(self.encoded([fragment])))
-        return self.split([fragment], found) if found else [(None, 0, 0, [])]
+            self.known |= zip(call, range(len(self.groups) - len(call), len(self.groups)))
+        self.sizes = np.concatenate([self.sizes, *sizes])
+        self.links = np.concatenate(links)
 
-    def split(self, call: list[str], found) -> list[tuple]:
-        """Per fragment of one call: its groups, token counts and links."""
+    def split(self, texts: list[str], found) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Of the fragments after the leading "a" of one call: their groups,
+        their numbers of tokens of A, of B and of links, and the links."""
         ids_a, ends_a, ids_b, ends_b = found
-        digits, n_b = self.b.get_piece_size(), len(ids_b)
-        out, groups, pairs = [], [], []
-        i = j = first_a = first_b = from_a = from_b = 0
-        ends = iter(call)
-        at = 1 + len(next(ends).encode())
-        while j < n_b:
-            a, b = ends_a[i], ends_b[j]
-            if a < b:
-                i += 1
-                continue
-            j += 1
-            if a > b:
-                continue
-            i += 1
-            groups.append(f"{','.join(map(str, ids_a[first_a:i]))}|{','.join(map(str, ids_b[first_b:j]))}")
-            pairs.append(ids_a[i - 1] * digits + ids_b[j - 1])
-            first_a, first_b = i, j
-            if b >= at:
-                out.append((";".join(groups), i - from_a, j - from_b, pairs))
-                groups, pairs, from_a, from_b = [], [], i, j
-                at += 1 + len(next(ends, "").encode())
-        return out
+        common, last_a, last_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
+        pairs = ids_a[last_a] * self.width + ids_b[last_b]
+        n_a, n_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
+        told, single = self.told, (n_a == 1) & (n_b == 1)
+        groups = [told.get(p) for p in pairs.tolist()]
+        for k in [k for k, g in enumerate(groups) if g is None]:
+            p = int(pairs[k])
+            groups[k] = told[p] = f"{p // self.width}|{p % self.width}"
+        for k in np.flatnonzero(~single).tolist():
+            i, j = last_a[k] + 1, last_b[k] + 1
+            groups[k] = f"{','.join(map(str, ids_a[i - n_a[k]: i].tolist()))}|{','.join(map(str, ids_b[j - n_b[k]: j].tolist()))}"
+        ends = np.cumsum([2, *[len(t) if t.isascii() else len(t.encode()) for t in texts]])
+        cut = np.searchsorted(common, ends)  # every fragment ends at a common end
+        numbers = np.column_stack([np.diff(last_a[cut]), np.diff(last_b[cut]), np.diff(cut)])
+        at = (cut + 1).tolist()
+        return [";".join(groups[x:y]) for x, y in zip(at, at[1:])], numbers, pairs[at[0]:]
 
     def rows(self, texts: list[str]) -> tuple[list, list]:
-        """Per text (n_a, n_b, n_groups, digest of the groups); and per text
-        its distinct pairs with their numbers."""
+        """Per text n_a, n_b, n_groups and the digest of the groups; and per
+        text its distinct pairs with their numbers."""
         if max(len(self.known), len(self.links) // 8) > CACHE:
             self.forget()
-        parts = [(fragments(t) if self.cuts else [t]) if t else [] for t in texts]
-        new = {f for p in parts for f in p}.difference(self.known)
+        parts = [(fragments(t) if self.cuts else [" " + t if t[0] in " \n" else t]) if t else [] for t in texts]
+        flat = list(chain.from_iterable(parts))
+        new = set(flat).difference(self.known)
         self.learn(list(new))
-        look, groups = self.known.__getitem__, self.groups.__getitem__
-        numbers = [list(map(look, p)) for p in parts]
-        told = [list(map(groups, n)) for n in numbers]
-        numbers = [[] if None in t else n for n, t in zip(numbers, told)]
-        size = np.array(list(map(len, numbers)), dtype=np.int64)
-        flat = np.fromiter((x for n in numbers for x in n), dtype=np.int64, count=int(size.sum()))
-        row = np.repeat(np.arange(len(texts)), size)
-        sums = np.zeros((len(texts), 3), dtype=np.int64)
+        flat = list(map(self.known.__getitem__, flat))
+        told = list(map(self.groups.__getitem__, flat))
+        cut = np.cumsum([0, *map(len, parts)]).tolist()
+        told = [told[x:y] for x, y in zip(cut, cut[1:])]
+        good = np.array([bool(t) and None not in t for t in told], dtype=bool)
+        row = np.repeat(np.arange(len(texts)), np.diff(cut))
+        flat = np.array(flat, dtype=np.int64)[good[row]]
+        row = row[good[row]]
         chosen = self.sizes[flat]
-        np.add.at(sums, row, chosen[:, :3]) if len(flat) else None
+        sums = [np.bincount(row, chosen[:, i], len(texts)).astype(np.int64) for i in range(3)]
         # the links of all fragments, one after the other
         n = chosen[:, 2]
         before = np.cumsum(n) - n
         links = self.links[np.repeat(chosen[:, 3] - before, n) + np.arange(int(n.sum()))]
-        width = np.int64(len(self.bytes_a)) * len(self.bytes_b)
-        pairs, times = np.unique(np.repeat(row, n) * width + links, return_counts=True)
-        cut = np.searchsorted(pairs // width, np.arange(len(texts) + 1))
-        digests = [hashlib.sha256(";".join(t).encode()).hexdigest() if n else "" for t, n in zip(told, numbers)]
+        size = np.int64(len(self.bytes_a)) * self.width
+        pairs, times = np.unique(np.repeat(row, n) * size + links, return_counts=True)
+        digests = [hashlib.sha256(";".join(t).encode()).hexdigest() if g else "" for t, g in zip(told, good)]
         for f in new:
             if len(f) > CACHE_LENGTH:
                 self.groups[self.known.pop(f)] = None
-        return [*sums.T, digests], [cut, pairs % width, times]
-
-
-def refined(tokens: list[bytes]) -> list[int]:
-    """Where tokens end, counted in their bytes."""
-    return np.cumsum([len(t) for t in tokens]).tolist()
+        return [*sums, digests], [np.searchsorted(pairs // size, np.arange(len(texts) + 1)), pairs % size, times]
 
 
 _aligners: dict[str, Aligner] = {}

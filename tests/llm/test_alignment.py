@@ -13,7 +13,7 @@ from tests.llm.conftest import EDGE
 
 ODD = ["a  b", " lead", "trail ", "\n\nx\n y", "tab\tand \t blank", "é␣你好 世界 🙂🙂 café", "é combining ́", "nb sp   x",
        "<|endoftext|> <s> </s> <0x41> it's we'll", "word▁mark here", "▁", "a\x00b \x00 c", "　 wide   line", "\r\n x;\r\n", "x" * 300,
-       "ﬁne ½ ①", "مرحبا بالعالم", "\U0001f468‍\U0001f469‍\U0001f467 family", " ", "  ", "a", "ab cd " * 800, "﻿bom", "𝔘𝔫𝔦 code"]
+       "ﬁne ½ ①", "مرحبا بالعالم", "\U0001f468‍\U0001f469‍\U0001f467 family", " ", "  ", "a", "ab cd " * 800, "line\nnext\n\nthird\n\n\nfourth \n fifth\n", "end \n", "\nstart", "x;\r\ny\t\nz\n\tw", "a b ", "\n", "a\n", "﻿bom", "𝔘𝔫𝔦 code"]
 
 
 @pytest.fixture(scope="module")
