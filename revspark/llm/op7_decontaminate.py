@@ -2,16 +2,16 @@
 
 The benchmark is a query set that is matched against every document.  It is
 taken in blocks of at most ``block_chars`` characters of item text (or one
-longer item), so what is collected and broadcast at a time has a fixed
-bound; the number of blocks grows with the benchmark, not with the corpus.
-For each block:
+longer item), ``scan_blocks`` of them at a time, so what is collected and
+broadcast has a fixed bound; the number of scans grows with the benchmark,
+not with the corpus.  Neither changes the result.  For each scan:
 
-1. One scan counts, for every seed of the block, the documents that have it
+1. One pass counts, for every seed of the blocks, the documents that have it
    (summed inside the tasks before anything is sent; one row per seed and
    task).  The seeds of an item are its pairs of neighbouring words; of
    items of up to five words also such pairs with a word put in (the words
    themselves if ``min_score`` is set so low that this is not enough).
-2. A second scan joins the passages of the documents to the items by these
+2. A second pass joins the passages of the documents to the items by these
    seeds, inside the tasks.  A passage is a candidate if it has as many seeds
    of the item, as close together, as every copy has that reaches
    ``min_score``; no seed is left out for being frequent.
@@ -29,8 +29,9 @@ punctuation, in lower case.
 
 Defined results: a null or empty text has no leaks.  An item without words
 leaks nowhere; one with fewer than ``gram`` words needs its whole sequence.
-Items with equal text are all reported.  Null item ids are reported as null
-entries.  Repeated rows are judged alike, a null doc_id like any other.
+Items with equal text are all reported, an id of several items once; item
+ids keep their type, null ones come last.  Rows are judged one by one, so
+repeated rows alike, and rows that share a doc_id or have none apart.
 Empty tables give clean documents or an empty result.  Other columns are
 ignored by ``judge`` and unchanged in ``drop_leaks``.
 """
@@ -38,18 +39,21 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from revspark.sources.tables import table
 
 from . import rolling as R
 from .common import documents, in_stretches, stored, text_bytes
 
-GRAM, COMMON, MIN_SCORE, BLOCK_CHARS = 3, 2.0, 0.6, 4_000_000
+GRAM, COMMON, MIN_SCORE, BLOCK_CHARS, SCAN_BLOCKS = 3, 2.0, 0.6, 4_000_000, 4
 MATCH, MISS, GAP = 2, 1, 1
 #: Seeds of an item: single words, pairs of neighbours, and such pairs with a word put in; how far apart the words are in a text.
 KINDS = {1: 1, 2: 1, 3: 2}
@@ -242,69 +246,83 @@ def blocks(bench: DataFrame, block_chars: int) -> Iterator[list[tuple]]:
             yield part
 
 
-def block_leaks(docs: DataFrame, part: list[tuple], gram: int, common: float, min_score: float) -> DataFrame:
-    """(doc_id, row, item_id, score): the leaks of one block in ``docs``."""
+def scan_leaks(docs: DataFrame, parts: list[list[tuple]], gram: int, common: float, min_score: float, kind: str) -> DataFrame:
+    """``docs`` (doc_id, text, further columns) without the text, with the
+    ids and the best score of the leaks of several blocks, in one scan."""
     sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast(Items([t for _, t in part], gram, min_score))
+    shared = [sc.broadcast(Items([t for _, t in part], gram, min_score)) for part in parts]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = shared.value
-        total = np.zeros(len(items.grams), dtype=np.int64)
+        total = [np.zeros(len(x.value.grams), dtype=np.int64) for x in shared]
         for batch in in_stretches(batches, "text"):
-            words, off = words_by_text(batch.column(1).to_pylist())
-            start, found = items.occurrences(words, off)
-            text = np.searchsorted(off, start, side="right") - 1
-            pair = np.unique(text * len(total) + found)
-            total += np.bincount(pair % max(1, len(total)), minlength=len(total))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["gram", "n"])
-
-    counted = docs.select("doc_id", "text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    with_gram = np.zeros(len(shared.value.grams), dtype=np.int64)
-    for row in counted.collect():  # one row per n-gram of the block
-        with_gram[row["gram"]] = row["n"]
-    rare = sc.broadcast(shared.value.rare(with_gram, common))
-    ids = sc.broadcast([i for i, _ in part])
+            words, off = words_by_text(batch.column(0).to_pylist())
+            for sums, items in zip(total, shared):
+                start, found = items.value.occurrences(words, off)
+                text = np.searchsorted(off, start, side="right") - 1
+                pair = np.unique(text * len(sums) + found)
+                sums += np.bincount(pair % max(1, len(sums)), minlength=len(sums))
+        for block, sums in enumerate(total):
+            some = np.flatnonzero(sums)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), block)), pa.array(some), pa.array(sums[some])],
+                                             names=["block", "gram", "n"])
+
+    counted = docs.select("text").mapInArrow(count, "block long, gram long, n long").groupBy("block", "gram").agg(
+        F.sum("n").alias("n"))
+    with_gram = [np.zeros(len(x.value.grams), dtype=np.int64) for x in shared]
+    for row in counted.toLocalIterator():  # one row per n-gram of the blocks
+        with_gram[row["block"]][row["gram"]] = row["n"]
+    rare = [sc.broadcast(x.value.rare(n, common)) for x, n in zip(shared, with_gram)]
+    ids = sc.broadcast([[i for i, _ in part] for part in parts])
+    at = docs.columns.index("text")
+    entry = to_arrow_type(_parsed(docs, kind))
+    order = lambda x: (x is None, x if x is not None else 0)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_stretches(batches, "text"):
-            words, off = words_by_text(batch.column(1).to_pylist())
-            found = leaks_in(shared.value, rare.value, words, off)
-            by_text: dict[int, list[tuple]] = {}
-            for t, q, score in found:
-                by_text.setdefault(t, []).append((ids.value[q], score))
+            words, off = words_by_text(batch.column(at).to_pylist())
             n = batch.num_rows
-            order = lambda x: (x is None, x if x is not None else 0)
+            found, best = [set() for _ in range(n)], [0.0] * n
+            for block, items in enumerate(shared):
+                for t, q, score in leaks_in(items.value, rare[block].value, words, off):
+                    found[t].add(ids.value[block][q])
+                    best[t] = max(best[t], score)
+            others = [i for i in range(batch.num_columns) if i != at]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([sorted((i for i, _ in by_text.get(t, ())), key=order) for t in range(n)],
-                                           pa.list_(pa.int64())),
-                 pa.array([max((s for _, s in by_text.get(t, ())), default=0.0) for t in range(n)], pa.float64())],
-                names=["doc_id", "item_ids", "score"])
+                [*[batch.column(i) for i in others], pa.array([sorted(x, key=order) for x in found], pa.list_(entry)),
+                 pa.array(best, pa.float64())], names=[*[batch.schema.names[i] for i in others], "item_ids", "score"])
+
+    fields = [f for f in docs.schema.fields if f.name != "text"]
+    return docs.mapInArrow(search, StructType([*fields, StructField("item_ids", _parsed(docs, f"array<{kind}>")),
+                                               StructField("score", DoubleType())]))
+
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(search, f"doc_id {kind}, item_ids array<long>, score double")
+def _parsed(df: DataFrame, kind: str):
+    return df.sparkSession.createDataFrame([], f"x {kind}").schema["x"].dataType
 
 
 def judge(docs: DataFrame, bench: DataFrame, gram: int = GRAM, common: float = COMMON, min_score: float = MIN_SCORE,
-          block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, contaminated, item_ids (sorted),
-    n_items, score (best, 0 to 1), kept."""
-    bench = bench.select(F.col("item_id").cast("long").alias("item_id"), "text")
-    parts = [block_leaks(docs, part, gram, common, min_score) for part in blocks(bench, block_chars)]
-    if not parts:
-        found = docs.select("doc_id", F.array().cast("array<long>").alias("item_ids"), F.lit(0.0).alias("score"))
-    elif len(parts) == 1:
-        found = parts[0]
-    else:  # documents judged block by block; leaks of several blocks meet by document
-        found = parts[0]
-        for more in parts[1:]:
-            found = found.unionByName(more.filter("score > 0"))
-        hits = found.filter("score > 0").groupBy("doc_id").agg(
-            F.array_sort(F.flatten(F.collect_set("item_ids"))).alias("ids"), F.max("score").alias("best"))
-        every = parts[0].select("doc_id")
-        found = every.join(hits.withColumnRenamed("doc_id", "d"), F.col("doc_id").eqNullSafe(F.col("d")), "left").select(
-            "doc_id", F.coalesce("ids", F.array().cast("array<long>")).alias("item_ids"),
-            F.coalesce("best", F.lit(0.0)).alias("score"))
+          block_chars: int = BLOCK_CHARS, scan_blocks: int = SCAN_BLOCKS) -> DataFrame:
+    """One row per row of ``docs``: doc_id, contaminated, item_ids (distinct,
+    sorted), n_items, score (best, 0 to 1), kept."""
+    kind = bench.schema["item_id"].dataType.simpleString()
+    found, scans, parts = None, 0, blocks(bench.select("item_id", "text"), block_chars)
+    # several scans: leaks meet by id and text, so rows that share an id, or have none, are judged apart
+    told = F.sha2(F.coalesce("text", F.lit("")), 256).alias("__told")
+    while chosen := list(islice(parts, scan_blocks)):
+        scans += 1
+        more = scan_leaks(docs.select("doc_id", told, "text"), chosen, gram, common, min_score, kind)
+        found = more if found is None else found.filter("score > 0").unionByName(more.filter("score > 0"))
+        if scans > 1:
+            found = stored(found, "op7-leaks")
+    none = F.array().cast(f"array<{kind}>")
+    if found is None:
+        found = docs.select("doc_id", none.alias("item_ids"), F.lit(0.0).alias("score"))
+    elif scans > 1:
+        hits = found.groupBy(F.col("doc_id").alias("__id"), F.col("__told").alias("__sha")).agg(
+            F.array_sort(F.array_distinct(F.flatten(F.collect_set("item_ids")))).alias("ids"), F.max("score").alias("best"))
+        found = docs.select("doc_id", told).join(
+            hits, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__told") == F.col("__sha")), "left").select(
+            "doc_id", F.coalesce("ids", none).alias("item_ids"), F.coalesce("best", F.lit(0.0)).alias("score"))
     return found.select("doc_id", (F.size("item_ids") > 0).alias("contaminated"), "item_ids",
                         F.size("item_ids").cast("long").alias("n_items"), "score", (F.size("item_ids") == 0).alias("kept"))
 

@@ -262,6 +262,26 @@ def test_decontamination(spark):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, x in want.items() if not x}
 
 
+@pytest.mark.parametrize("chars,scan", [(op7.BLOCK_CHARS, 4), (40, 1), (40, 2), (90, 100)])
+def test_blocks_never_change_the_result(spark, chars, scan):
+    """Rows that share a doc_id or have none are judged apart, whatever the blocks and scans; ids may be strings."""
+    item = [f"w{i}" for i in range(12)]
+    items = [("a", " ".join(item)), ("b", "quick brown foxes jump over seven dogs"), (None, "one two three four five six seven"),
+             ("a", "alpha beta gamma delta epsilon zeta eta"), ("c", None), ("d", "")]
+    rows = [(1, "pre " + " ".join(item) + " post"), (1, "clean words only here"), (None, "x quick brown foxes jump over seven dogs"),
+            (None, "nothing of that kind"), (None, None), (2, "one two three four five six seven alpha beta gamma delta epsilon zeta eta"),
+            (2, "one two three four five six seven alpha beta gamma delta epsilon zeta eta"),
+            (3, " ".join(item) + " alpha beta gamma delta epsilon zeta eta")]
+    want = Counter([(1, ("a",)), (1, ()), (None, ("b",)), (None, ()), (None, ()), (2, ("a", None)), (2, ("a", None)), (3, ("a",))])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    got = op7.judge(docs, bench, block_chars=chars, scan_blocks=scan).collect()
+    assert Counter((r["doc_id"], tuple(r["item_ids"])) for r in got) == want
+    assert all(r["n_items"] == len(r["item_ids"]) and (r["score"] >= op7.MIN_SCORE) == r["contaminated"] for r in got)
+    kept = Counter(map(tuple, op7.drop_leaks(docs, bench, block_chars=chars, scan_blocks=scan).collect()))
+    assert kept == Counter([(1, "clean words only here"), (None, "nothing of that kind"), (None, None)])
+
+
 def found_in(rows, items, **settings):
     block = op7.Items([t for _, t in items], op7.GRAM, op7.MIN_SCORE)
     words, off = op7.words_by_text([t for _, t in rows])
