@@ -7,7 +7,8 @@
    body count once, however they differ in comments, scripts, menus or
    footers, so an article that is copied is no template of its host.  Subtrees on at least
    ``share`` of a host's distinct pages, and on ``min_pages``, are the site's
-   template.  A host has at most (elements per page) / share of them.
+   template.  A host has at most (elements per page) / share of them.  Inline
+   elements amid text, such as a bold word, are no subtrees of their own.
 3. A second scan deletes the template's subtrees and extracts the text.  The
    templates are broadcast while their number is at most ``broadcast_rows``;
    beyond it pages and templates are joined by host.
@@ -15,9 +16,14 @@
 Inside the article a subtree must recur on ``share_inside`` of the pages to
 go, so a passage that some articles of a site share stays.  Elements that are
 never main text go whatever their number: scripts, styles, forms, menus,
-footers, sidebars by element, and whatever a class, id or role word names as
-such, or as notice, advert or reader comment.  An element that is only named
-so but holds the article, or over half of a page without one, stays.
+footers, sidebars by element, and whatever a class, id or role names as such,
+or as notice, advert or reader comment.  A name is a whole class or id, or
+its parts if the others only tell place or form (``share-buttons``, but not
+``share-price``).  An element that is only named so, or a form, stays if it
+holds over half of the article's text, or of the page's without an article;
+articles inside forms are found.
+
+Pages are read in time linear in their size, broken ones too.
 
 Blocks are block elements; text between them makes blocks of its own, a line
 break is white space, table cells are separated by a space.
@@ -33,6 +39,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -42,7 +49,7 @@ from pyspark.sql import functions as F
 from revspark.sources.tables import table
 
 from .common import stored
-from .html_tree import Node, blocks, hash_subtrees, inside, number, parse
+from .html_tree import Node, blocks, hash_subtrees, in_prose, inside, number, parse
 from .packing import packed, unpacked
 
 SHARE, SHARE_INSIDE, MIN_PAGES, BROADCAST_ROWS = 0.3, 0.6, 5, 500_000
@@ -54,6 +61,12 @@ NAMED = frozenset("""ad ads adv advert adverts advertisement advertisements adve
     footer comment comments commentlist disqus replies respond social share sharing related recommended recommendations
     widget widgets masthead toolbar pagination pager login topbar skip""".split())
 OUTSIDE = frozenset("header heading logo search".split())
+#: Parts of a class or id that tell place or form only; any other part beside a name makes it a name of its own.
+PLAIN = frozenset("""a an the and of in on for to at by with top bottom left right center main page site global local primary
+    secondary first second last inner outer wrapper wrap container box area block section sections region zone panel row col
+    column columns grid list lists item items unit units slot link links button buttons btn icon icons bar group set content
+    body text title label inline fixed sticky floating mobile desktop small large xs sm md lg xl js wp post posts article
+    articles entry entries story stories news blog user users reader readers form thread""".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar".split())
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
@@ -65,9 +78,24 @@ def host_of(url: str | None) -> str:
         return ""
 
 
-def named(node: Node) -> set[str]:
-    words = " ".join(node.get(a) or "" for a in ("class", "id"))
-    return {w.lower() for w in _WORD.findall(words)}
+def named(node: Node) -> bool:
+    """Does a class or the id name something that is never main text: as a
+    whole, or in parts of which the others only tell place or form."""
+    return any(_names(token) for a in ("class", "id") for token in (node.get(a) or "").split())
+
+
+@lru_cache(maxsize=50_000)
+def _names(token: str) -> bool:
+    if token.lower() in NAMED:
+        return True
+    parts = {w.lower() for w in _WORD.findall(token)}
+    return bool(parts & NAMED) and not parts - NAMED - PLAIN
+
+
+@lru_cache(maxsize=50_000)
+def _outside(token: str) -> bool:
+    parts = {w.lower() for w in _WORD.findall(token)}
+    return bool(parts & OUTSIDE) and not parts - NAMED - PLAIN - OUTSIDE
 
 
 def never_text(node: Node, in_article: bool) -> bool:
@@ -81,45 +109,50 @@ def never_text(node: Node, in_article: bool) -> bool:
 
 
 def named_away(node: Node, in_article: bool) -> bool:
-    words = named(node) if node.attributes else set()
-    return bool(words & NAMED) or (not in_article and bool(words & OUTSIDE))
+    return bool(node.attributes) and (named(node) or (not in_article and any(
+        _outside(token) for a in ("class", "id") for token in (node.get(a) or "").split())))
 
 
 def roots(root: Node) -> list[Node]:
-    """The outermost articles; else the outermost main elements, without
-    hidden ones if another is shown; else the body."""
-    found: dict[str, list[Node]] = {"article": [], "main": [], "body": []}
-    stack = [root]
+    """The outermost articles, those inside a named or dropped element only
+    if there are no others; else the outermost main elements, without
+    hidden ones if another is shown; else the body.  Forms are searched: some
+    sites put the whole page into one."""
+    articles, aside, shown, mains, bodies = [], [], [], [], []
+    stack = [(root, False, False, False)]  # element; inside something named or dropped; hidden; inside main
     while stack:
-        x = stack.pop()
+        x, away, hidden, inner = stack.pop()
         role = (x.get("role") or "").lower() if x.attributes else ""
-        kind = "article" if x.tag == "article" or role == "article" else "main" if x.tag == "main" or role == "main" else x.tag
-        if kind == "article" and (named_away(x, True) or never_text(x, True)):
-            continue  # reader comments are often articles
-        if kind in found:
-            found[kind].append(x)
-            if kind == "article":
-                continue
-        if x.tag not in DROP:
-            stack += [c for c in reversed(x.children) if isinstance(c, Node)]
-    outer = [x for x in found["article"] if not any(named_away(u, False) or never_text(u, False) for u in above(x))]
-    if outer or found["article"]:
-        return outer or found["article"]
-    mains = [x for x in found["main"] if not any(u is y for u in ancestors(x) for y in found["main"])]
-    shown = [x for x in mains if not any(never_text(u, True) for u in (x, *ancestors(x)))]
-    return shown or mains or found["body"][:1] or [root]
-
-
-def ancestors(node: Node) -> Iterator[Node]:
-    while (node := node.parent) is not None:
-        yield node
-
-
-def above(node: Node) -> Iterator[Node]:
-    up = node.parent
-    while up is not None and up.tag not in ("body", "html", "#root", "main"):
-        yield up
-        up = up.parent
+        if x.tag == "article" or role == "article":
+            if not (named_away(x, True) or never_text(x, True)):  # reader comments are often articles
+                (aside if away else articles).append(x)
+            continue
+        if x.tag == "main" or role == "main":
+            if not inner:
+                mains.append(x)
+                if not (hidden or never_text(x, True)):
+                    shown.append(x)
+            away, inner = False, True
+        elif x.tag in ("body", "html", "#root"):
+            away = False
+            if x.tag == "body":
+                bodies.append(x)
+        else:
+            away = away or named_away(x, False) or never_text(x, False)
+        if x.tag not in DROP or x.tag == "form":
+            hidden = hidden or (x.tag != "form" and never_text(x, True))
+            stack += [(c, away, hidden, inner) for c in reversed(x.children) if isinstance(c, Node)]
+    return articles or aside or shown or mains or bodies[:1] or [root]
+
+
+def weights(top: Node) -> dict[int, int]:
+    """Visible characters below each element, by id, without those of dropped
+    elements; a form counts, what is in its fields does not."""
+    out: dict[int, int] = {}
+    for x in reversed([top, *inside(top)]):
+        out[id(x)] = sum(sum(map(len, c.split())) if isinstance(c, str) else 0 if c.tag in DROP and c.tag != "form"
+                         else out[id(c)] for c in x.children)
+    return out
 
 
 def main_text(html: str | None, everywhere: frozenset = frozenset(), mostly: frozenset = frozenset()) -> str:
@@ -136,17 +169,16 @@ def text_of(root: Node, everywhere: frozenset = frozenset(), mostly: frozenset =
     out: list[str] = []
     for top in roots(root):
         in_article = top.tag in ("article", "main") or top.get("role") is not None
-        template = mostly if in_article else everywhere
-        weight = {}
-        if not in_article:  # a name alone does not take away most of the page
-            weight = {id(x): sum(map(len, blocks(x, lambda y: y.tag in DROP))) for x in inside(top)
-                      if x.attributes and named_away(x, False)}
-            weight["all"] = sum(map(len, blocks(top, lambda y: y.tag in DROP)))
+        template, weight = mostly if in_article else everywhere, weights(top)
+        most = weight[id(top)]
 
         def skip(x: Node) -> bool:
-            return (never_text(x, in_article) or (bool(template) and number(x.digest) in template)
-                    or (bool(x.attributes) and named_away(x, in_article)
-                        and (in_article or 2 * weight.get(id(x), 0) <= weight["all"])))
+            if bool(template) and number(x.digest) in template and not in_prose(x):
+                return True
+            # neither a name nor being a form takes away over half of the text
+            if x.tag == "form" and 2 * weight[id(x)] > most:
+                return False
+            return never_text(x, in_article) or (named_away(x, in_article) and 2 * weight[id(x)] <= most)
 
         out += blocks(top, skip)
     return "\n".join(out)
@@ -163,7 +195,7 @@ def subtrees(pages: DataFrame) -> DataFrame:
             for url, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 root = parse(html or "")
                 hash_subtrees(root)
-                found = {number(x.digest) for x in inside(root) if x.tag not in ("html", "body", "head") and x.children} | {0}
+                found = {number(x.digest) for x in inside(root) if x.children and x.tag not in ("html", "body", "head") and not in_prose(x)} | {0}
                 hosts += [host_of(url)] * len(found)
                 digests += [int.from_bytes(hashlib.blake2b(text_of(root).encode("utf-8", "replace"), digest_size=8).digest(),
                                            "little", signed=True)] * len(found)
