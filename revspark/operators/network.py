@@ -154,7 +154,7 @@ def validate(blocks: Blocks, net: Network) -> tuple[float, float]:
 
 
 def train_network(train: DataFrame, val: DataFrame, hidden: list[int], dropout: float = 0.3, learning_rate: float = 0.001,
-                  batch_size: int = 32, epochs: int = 50, patience: int = 10, steps: int = 8, seed: int = 42,
+                  batch_size: int = 32, epochs: int = 50, patience: int = 10, steps: int = 4, seed: int = 42,
                   vec_col: str = "embedding", label_col: str = "label", id_col: str = "id") -> Network:
     """The network of the epoch with the least validation loss, with its
     history.  Stops after ``patience`` epochs without a lower one."""
@@ -231,9 +231,9 @@ def history(net: Network, spark: SparkSession) -> DataFrame:
 
 
 def score_network(net: Network, df: DataFrame, name: str = "mlp", vec_col: str = "embedding", id_col: str = "id",
-                  label_col: str = "label") -> DataFrame:
+                  label_col: str = "label", keep: tuple[str, ...] = ()) -> DataFrame:
     """``(id, model, label, prediction, probability, raw_margin)`` as
-    ``training.score``; a null vector or one of another width scores null."""
+    ``training.score``, and the columns ``keep``; a null vector or one of another width scores null."""
     shared = df.sparkSession.sparkContext.broadcast((net.theta, net.sizes, net.running, net.mean, net.sd))
 
     @F.pandas_udf("double")
@@ -248,4 +248,4 @@ def score_network(net: Network, df: DataFrame, name: str = "mlp", vec_col: str =
     scored = df.withColumn("__z", F.nullif(logit(F.col(vec_col).cast("array<double>")), F.lit(float("nan"))))
     return scored.select(F.col(id_col).alias("id"), F.lit(name).alias("model"), F.col(label_col).alias("label"),
                          (F.col("__z") > 0).cast("int").alias("prediction"),
-                         (1 / (1 + F.exp(-F.col("__z")))).alias("probability"), F.col("__z").alias("raw_margin"))
+                         (1 / (1 + F.exp(-F.col("__z")))).alias("probability"), F.col("__z").alias("raw_margin"), *keep)

@@ -12,8 +12,10 @@ Contract (not sklearn's seed-42 permutation, which cannot be reproduced):
   with fewer rows than classes) the policy falls back to the same order over
   all rows.  Rows that repeat an id go to the same part.
 
-Scale: rows are never ranked as a whole and their other columns never move.
-Class sizes per md5 bucket (map-side partial counts) tell which bucket holds
+Scale: the input plan, which may clean every text, runs once for the narrow
+rows (id, label) that are kept in the checkpoint folder, and once more only to
+assign parts to rows that have further columns.  Rows are never ranked as a
+whole and their other columns never move.  Class sizes per md5 bucket (map-side partial counts) tell which bucket holds
 each quota border; only the ids of these buckets, at most two per class, are
 ordered to read off the border key.  Every row is then assigned where it is,
 by comparing its key with the borders of its class (a broadcast of one row
@@ -26,6 +28,8 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 SEED = "42"
 ROWS_PER_BUCKET = 1_000_000
 
@@ -138,8 +142,9 @@ def borders(df: DataFrame, stratum, positions: dict, id_col: str, n_rows: int, r
     return found.filter(F.col("at") == F.col("p")).groupBy("s").agg(F.collect_list(F.struct("h", "i")).alias("borders"))
 
 
-def _assign(spark: SparkSession, df: DataFrame, parts: dict, stratified: bool, names: list[str],
+def _assign(spark: SparkSession, df: DataFrame, keys: DataFrame, parts: dict, stratified: bool, names: list[str],
             label_col: str, id_col: str, rows_per_bucket: int) -> DataFrame:
+    """``df`` with ``split``; ``keys``: its ids and labels alone."""
     n_rows = sum(sum(v) for v in parts.values())
     stratum = F.col(label_col) if stratified else F.lit(0)
     positions, first = {}, []
@@ -151,7 +156,7 @@ def _assign(spark: SparkSession, df: DataFrame, parts: dict, stratified: bool, n
         first.append((lab if stratified else 0, [n for n, _ in filled] or [names[-1]]))
     kind = df.select(stratum.alias("s")).schema[0].dataType.simpleString()
     named = spark.createDataFrame(first, f"fs {kind}, part_names array<string>")
-    found = borders(df, stratum, positions, id_col, n_rows, rows_per_bucket)
+    found = borders(keys, stratum, positions, id_col, n_rows, rows_per_bucket)
     per_class = named.join(found, F.col("fs").eqNullSafe(F.col("s")), "left").select(
         "fs", "part_names", F.coalesce("borders", F.array().cast(found.schema["borders"].dataType)).alias("borders"))
     key = F.struct(_rank_key(id_col).alias("h"), F.col(id_col).alias("i"))
@@ -192,7 +197,11 @@ def split(df: DataFrame, policy: str = "standard", label_col: str = "label", id_
 
 def _split(df: DataFrame, policy: str, label_col: str, id_col: str, rows_per_bucket: int, min_samples: int):
     spark = df.sparkSession
-    counts = class_counts(df, label_col)
+    ensure_checkpoint_dir(spark)
+    keys = df.select(id_col, label_col).checkpoint()  # counts, bucket sizes and borders read these
+    if set(df.columns) == set(keys.columns):
+        df = keys.select(*df.columns)
+    counts = class_counts(keys, label_col)
     n = sum(c for _, c in counts)
     has = any(lab in (0, 1) for lab, c in counts if c > 0)
     three = ["train", "val", "test"]
@@ -205,7 +214,7 @@ def _split(df: DataFrame, policy: str, label_col: str, id_col: str, rows_per_buc
         strategy = "train_test" if n < 10 else "train_val_test_small" if n < 50 else "train_val_test"
         names = ["train", "test"] if n < 10 else three
         parts, strat = plan_quotas(counts, ratios)
-        return _assign(spark, df, parts, strat, names, label_col, id_col, rows_per_bucket), (
+        return _assign(spark, df, keys, parts, strat, names, label_col, id_col, rows_per_bucket), (
             strategy if strat else f"{strategy}_random")
     if policy == "extended":
         if n < 10 or not has:
@@ -213,31 +222,32 @@ def _split(df: DataFrame, policy: str, label_col: str, id_col: str, rows_per_buc
         ratios = STANDARD_LARGE if n >= 100 else STANDARD_SMALL
         parts = _stratified(in_order(counts), ratios)
         if n >= 100:
-            return _assign(spark, df, parts, True, three, label_col, id_col, rows_per_bucket), "train_val_test"
-        out = _assign(spark, df, parts, True, ["train", "test"], label_col, id_col, rows_per_bucket)
+            return _assign(spark, df, keys, parts, True, three, label_col, id_col, rows_per_bucket), "train_val_test"
+        out = _assign(spark, df, keys, parts, True, ["train", "test"], label_col, id_col, rows_per_bucket)
         return out.unionByName(out.filter(F.col("split") == "test").withColumn("split", F.lit("val"))), "train_test_as_val"
     if policy == "runner":
         if n < 100 or not has:
             return df.withColumn("split", F.lit("inference")), "inference"
         parts = _stratified(in_order(counts), STANDARD_LARGE)
-        return _assign(spark, df, parts, True, three, label_col, id_col, rows_per_bucket), "train_val_test"
+        return _assign(spark, df, keys, parts, True, three, label_col, id_col, rows_per_bucket), "train_val_test"
     if policy == "train_val":
         if n < SVM_MIN_SPLIT_ROWS:
             # fewer than 20 rows: the first fifth (by id) is validation
             return _first_rows(df, id_col, max(1, n // 5), copy=False), "first_fifth"
         parts, strat = plan_quotas(counts, TRAIN_VAL)
-        return _assign(spark, df, parts, strat, ["train", "val"], label_col, id_col, rows_per_bucket), (
+        return _assign(spark, df, keys, parts, strat, ["train", "val"], label_col, id_col, rows_per_bucket), (
             "train_val" if strat else "train_val_random")
     if policy == "train_val_mlp":
         labelled = [(lab, c) for lab, c in counts if lab is not None and lab != -1 and c > 0]
         n_lab = sum(c for _, c in labelled)
         if len(labelled) > 1 and n_lab > min_samples:
             parts = _stratified(in_order(labelled), TRAIN_VAL)
-            return _assign(spark, df.filter(F.col(label_col) != -1), parts, True, ["train", "val"],
+            labelled = F.col(label_col) != -1
+            return _assign(spark, df.filter(labelled), keys.filter(labelled), parts, True, ["train", "val"],
                            label_col, id_col, rows_per_bucket), "train_val"
         if n >= min_samples:
             parts, _ = plan_quotas(counts, TRAIN_VAL, stratify=False)
-            return _assign(spark, df, parts, False, ["train", "val"], label_col, id_col, rows_per_bucket), "train_val_random"
+            return _assign(spark, df, keys, parts, False, ["train", "val"], label_col, id_col, rows_per_bucket), "train_val_random"
         # very small: everything trains, the first 5 rows (by id) also validate
         return _first_rows(df, id_col, min(MLP_SMALL_VAL_ROWS, n), copy=True), "train_copy_val"
     raise ValueError(f"unknown split policy {policy!r}")

@@ -131,9 +131,9 @@ def train_squared_hinge(train: DataFrame, C: float = 1.0, balanced: bool = True,
 
 
 def score_linear(model: LinearModel, df: DataFrame, name: str = "svm", vec_col: str = "embedding", id_col: str = "id",
-                 label_col: str = "label") -> DataFrame:
-    """``(id, model, label, prediction, probability, raw_margin)``: the
-    probability is the constant 0.5, the margin is real."""
+                 label_col: str = "label", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(id, model, label, prediction, probability, raw_margin)`` and the
+    columns ``keep``: the probability is the constant 0.5, the margin is real."""
     weights = model.v[:-1] / model.sd
     shared = df.sparkSession.sparkContext.broadcast((weights, float(model.v[-1] - weights @ model.mean)))
 
@@ -146,4 +146,4 @@ def score_linear(model: LinearModel, df: DataFrame, name: str = "svm", vec_col:
     scored = df.withColumn("__z", F.nullif(margin(F.col(vec_col).cast("array<double>")), F.lit(float("nan"))))
     return scored.select(F.col(id_col).alias("id"), F.lit(name).alias("model"), F.col(label_col).alias("label"),
                          (F.col("__z") > 0).cast("int").alias("prediction"), F.lit(0.5).alias("probability"),
-                         F.col("__z").alias("raw_margin"))
+                         F.col("__z").alias("raw_margin"), *keep)

@@ -1,12 +1,18 @@
 """Queries of the embedding, stage-mode and training operators."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import embedding as EM
 from ..operators import evaluation as EV
 from ..operators import filters, modes, splits
+from ..operators import model_record as MR
+from ..operators import network as NET
+from ..operators import squared_hinge as SH
 from ..operators import training as TR
+from ..operators.rows import attach_row
 from ..session import scratch_path
 from ..sources.tables import reviews, table
 from .oracle_text import SPACE, cleaned_cte, rr
@@ -205,7 +211,8 @@ def split_profile(spark, sf):
 
 @query("training_stats", f"SELECT split, label, count(*) AS n FROM ({SPLIT_STD_SQL}) GROUP BY split, label")
 def training_stats(spark, sf):
-    return modes.training_stats(split_reviews(spark, sf))
+    df = filters.with_labels(filters.valid_texts(reviews(spark, sf), "standard"), "standard")
+    return modes.training_stats(splits.split(df.select("id", "label"), "standard"))
 
 
 def _flags_sql():
@@ -304,58 +311,95 @@ def _train_val(spark, sf):
     return splits.split(lab, "train_val")
 
 
-def _trained(spark, sf, kind):
+def _parts(spark, sf):
+    """Train and val rows, and the parameter rules' answers for them: split once for all models."""
     tv = _train_val(spark, sf)
     tr, va = tv.filter(F.col("split") == "train"), tv.filter(F.col("split") == "val")
-    stats = TR.feature_stats(tr).first()
-    n, d = stats["total_samples"], stats["feature_dim"]
+    stats = TR.feature_stats(tr)
+    return tr, va, {"svm": TR.svm_params(stats).first(), "mlp": TR.mlp_params(stats).first()}
+
+
+def _fit(parts, kind):
+    tr, va, params = parts
+    p = params[kind]
     if kind == "svm":
-        p = TR.svm_params(spark.createDataFrame([(n, d)], "total_samples long, feature_dim int")).first()
-        model = TR.train_svm(tr, C=p["C"], max_iter=p["max_iter"])
-    else:
-        p = TR.mlp_params(spark.createDataFrame([(n, d)], "total_samples long, feature_dim int")).first()
-        hidden = [int(x) for x in p["hidden_dims"].split(",")]
-        model = TR.train_mlp(tr, hidden, max_iter=p["epochs"])
-    return model, va
+        return SH.train_squared_hinge(tr, C=p["C"], max_iter=p["max_iter"])
+    return NET.train_network(tr, va, [int(x) for x in p["hidden_dims"].split(",")], p["dropout"], p["learning_rate"],
+                             p["batch_size"], p["epochs"], p["patience"])
+
+
+def _scored(parts, kind):
+    model = _fit(parts, kind)
+    return SH.score_linear(model, parts[1]) if kind == "svm" else NET.score_network(model, parts[1])
 
 
 @query("train_svm")
 def train_svm(spark, sf):
-    model, va = _trained(spark, sf, "svm")
-    return TR.score(model, va, "svm")
+    return _scored(_parts(spark, sf), "svm")
 
 
 @query("train_mlp")
 def train_mlp(spark, sf):
-    model, va = _trained(spark, sf, "mlp")
-    return TR.score(model, va, "mlp")
+    return _scored(_parts(spark, sf), "mlp")
 
 
 @query("training_history")
 def training_history(spark, sf):
-    model, _ = _trained(spark, sf, "mlp")
-    return TR.training_history(model, spark)
+    return NET.history(_fit(_parts(spark, sf), "mlp"), spark)
 
 
 @query("evaluate_trained_models")
 def evaluate_trained_models(spark, sf):
-    scored = []
-    for kind in ("mlp", "svm"):
-        model, va = _trained(spark, sf, kind)
-        scored.append(TR.score(model, va, kind))
-    return EV.eval_metrics(scored[0].unionByName(scored[1]), eval_split="val")
+    parts = _parts(spark, sf)
+    return EV.eval_metrics(_scored(parts, "mlp").unionByName(_scored(parts, "svm")), eval_split="val")
+
+
+_FACTS = ("WITH t AS (SELECT count(*) AS n, max(len(embedding)) AS d FROM embeddings), "
+          "k AS (SELECT n - CAST(ceil(0.2::DOUBLE * n) AS BIGINT) AS train_rows, CAST(ceil(0.2::DOUBLE * n) AS BIGINT) AS val_rows, d FROM t), "
+          "h AS (SELECT *, CASE WHEN train_rows < 100 THEN [64, 32] WHEN train_rows < 1000 THEN [128, 64] WHEN train_rows > 10000 "
+          "THEN [512, 256, 128] ELSE [256, 128] END AS h0 FROM k), "
+          "w AS (SELECT *, list_prepend(d, list_transform(CASE WHEN d < 200 THEN list_transform(h0, lambda x: x // 2) WHEN d > 1000 "
+          "THEN list_transform(h0, lambda x: x * 2) ELSE h0 END, lambda x: greatest(16, x))) AS s FROM h) "
+          "SELECT 'mlp' AS model, train_rows, val_rows, CAST(d AS BIGINT) AS input_dim, CAST(list_sum(list_transform(range(1, len(s)), "
+          "lambda i: s[i] * s[i + 1] + 3 * s[i + 1])) + s[len(s)] + 1 AS BIGINT) AS parameters, TRUE AS holds FROM w UNION ALL "
+          "SELECT 'svm', train_rows, val_rows, CAST(d AS BIGINT), CAST(d + 1 AS BIGINT), TRUE FROM w")
+
+
+@query("training_facts", _FACTS)
+def training_facts(spark, sf):
+    """What SQL can tell of both trainings: rows, width and parameters of each
+    model.  ``holds``: the network was kept at its lowest validation loss and
+    ended by rule, the SVM is stationary and below the zero solution."""
+    parts = _parts(spark, sf)
+    net, svm, rule = _fit(parts, "mlp"), _fit(parts, "svm"), parts[2]["mlp"]
+    h = net.history
+    best = min(range(len(h)), key=lambda i: h[i][2])
+    kept = h[best][6] and not any(r[6] for r in h[best + 1:]) and len(h) == min(rule["epochs"], best + 1 + rule["patience"])
+    still = svm.gradient < 1e-4 and svm.objective < svm.C * parts[0].count()  # balanced weights add up to the rows
+    rows = [(m, x.architecture["input_dim"], x.architecture["parameters"], bool(ok))
+            for m, x, ok in (("mlp", net, kept), ("svm", svm, still))]
+    sizes = attach_row(parts[0].agg(F.count(F.lit(1)).alias("train_rows")), parts[1].agg(F.count(F.lit(1)).alias("val_rows")))
+    known = spark.createDataFrame(rows, "model string, input_dim long, parameters long, holds boolean")
+    return attach_row(known, sizes).select("model", "train_rows", "val_rows", "input_dim", "parameters", "holds")
 
 
 @query("save_load_model")
 def save_load_model(spark, sf):
-    model, va = _trained(spark, sf, "svm")
-    import uuid
-    path = scratch_path(spark, f"svm-model-{uuid.uuid4().hex}")
-    TR.save_model(model, path)
-    again = TR.load_model(path)
-    a = TR.score(model, va, "svm").select("id", F.col("prediction").alias("p1"))
-    b = TR.score(again, va, "svm").select("id", F.col("prediction").alias("p2"))
-    return a.join(b, "id").select("id", "p1", "p2", (F.col("p1") == F.col("p2")).alias("same"))
+    """Predictions of both models before and after a round trip through the
+    shared folder."""
+    parts, out = _parts(spark, sf), None
+    for kind in ("mlp", "svm"):
+        model = _fit(parts, kind)
+        path = scratch_path(spark, f"{kind}-model-{uuid.uuid4().hex}")
+        MR.save_model(model, spark, path)
+        again = MR.load_model(spark, path)
+        score = SH.score_linear if kind == "svm" else NET.score_network
+        a = score(model, parts[1], kind).select("model", "id", F.col("prediction").alias("p1"), F.col("raw_margin").alias("m1"))
+        b = score(again, parts[1], kind).select(F.col("id").alias("id2"), F.col("prediction").alias("p2"), F.col("raw_margin").alias("m2"))
+        rows = a.join(b, F.col("id") == F.col("id2")).select("model", "id", "p1", "p2", ((F.col("p1") == F.col("p2"))
+                                                                                         & (F.col("m1") == F.col("m2"))).alias("same"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 @query("embedding_metadata",
