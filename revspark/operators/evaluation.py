@@ -86,21 +86,23 @@ def classification_report(scored: DataFrame, with_accuracy: bool = False) -> Dat
     return _classes(counts(scored)).select("model", F.explode(F.array(*rows)).alias("r")).select("model", "r.*")
 
 
-def evaluate_on(scored: DataFrame, profile: DataFrame, models: list[str]) -> DataFrame:
+def evaluate_on(scored: DataFrame, profile: DataFrame, models: list[str], errors: dict[str, str] | None = None) -> DataFrame:
     """Metrics of every model of the list on the evaluation split (the first
     present of test, inference, train, val), valid labels only: ``(model,
-    eval_split, status, n, accuracy, f1_weighted)``.  A model without scored
-    valid rows gets an ``error`` row, so none is missing from the result.
-    ``scored`` has the column ``split``."""
+    eval_split, status, reason, n, accuracy, f1_weighted)``.  A model without
+    scored valid rows gets an ``error`` row, so none is missing from the
+    result; ``errors`` has the messages of those that failed.  ``scored`` has
+    the column ``split``."""
     order = {s: i for i, s in enumerate(("test", "inference", "train", "val"))}
     present = [r["split"] for r in profile.select("split").distinct().collect()]  # at most four rows
     chosen = min((s for s in present if s in order), key=order.__getitem__, default=None)
     valid = scored.filter((F.col("split") == chosen) & F.col("label").isin(0, 1))
     found = eval_metrics(valid, chosen).drop("eval_split")
-    listed = scored.sparkSession.createDataFrame([(m,) for m in models], "model string")
+    listed = scored.sparkSession.createDataFrame([(m, (errors or {}).get(m)) for m in models], "model string, error string")
+    good = F.col("n") > 0
     return listed.join(found, "model", "left").select(
-        "model", F.lit(chosen).alias("eval_split"), F.when(F.col("n") > 0, "evaluated").otherwise("error").alias("status"),
-        F.coalesce("n", F.lit(0)).alias("n"), "accuracy", "f1_weighted")
+        "model", F.lit(chosen).cast("string").alias("eval_split"), F.when(good, "evaluated").otherwise("error").alias("status"),
+        F.when(~F.coalesce(good, F.lit(False)), F.coalesce("error", F.lit("no_valid_rows"))).alias("reason"), F.coalesce("n", F.lit(0)).alias("n"), "accuracy", "f1_weighted")
 
 
 def best_model(metrics: DataFrame, model_order: DataFrame) -> DataFrame:

@@ -97,6 +97,15 @@ def review_preview(df: DataFrame, width: int = 100) -> DataFrame:
                      F.col("text").alias("full_text"), "label")
 
 
+def scored_reviews(texts: DataFrame, scored: DataFrame, width: int = 100) -> DataFrame:
+    """Texts beside their scores: ``(id, preview, full_text, label, model,
+    prediction, probability)``, a row per text and model; a text that no model
+    scored has one row without scores.  ``texts``: (id, text, label)."""
+    s = scored.select(F.col("id").alias("__id"), "model", "prediction", "probability")
+    rows = texts.select("id", preview(F.col("text"), width).alias("preview"), F.col("text").alias("full_text"), "label")
+    return rows.join(s, F.col("id") == F.col("__id"), "left").drop("__id")
+
+
 def preview_head(df: DataFrame, n: int = 10) -> DataFrame:
     """First ``n`` rows by id (a top-n, not a sample)."""
     return df.orderBy("id").limit(n)

@@ -9,12 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import splits
+
 R = 6
 SPLITS = ["train", "val", "test", "inference"]
 # Fixed values of the rules: labelled file needs > 5 valid labels; SVM
 # training needs > 10 valid training labels.
 MIN_LABELLED_FILE = 5
 MIN_SVM_LABELS = 10
+# Fixed value: rows that must be left for training after the carve-out.
+MIN_LEFT = 5
 
 
 def split_profile(df: DataFrame, text_col: str = "text", label_col: str = "label") -> DataFrame:
@@ -70,7 +74,7 @@ def stage_modes(profile: DataFrame, models_found: int = 0, by: tuple = (), embed
               .when(c("n_labelled_files") > 1, "multi_file_training").otherwise("unknown"))
     has_train, has_val = c("has_train") == 1, c("has_val") == 1
     tested = F.when(c("has_test") == 1, F.array(F.lit("test"))).otherwise(F.array().cast("array<string>"))
-    splits = (F.when(embed == "training_standard", F.concat(F.array(F.lit("train"), F.lit("val")), tested))
+    chosen = (F.when(embed == "training_standard", F.concat(F.array(F.lit("train"), F.lit("val")), tested))
                .when(embed == "training_single", F.concat(F.array(F.lit("train")), tested))
                .when(embed == "inference", F.array(F.lit("inference")))
                .when(embed.isin("single_file_training", "multi_file_training"), F.array("largest_labelled"))
@@ -93,20 +97,56 @@ def stage_modes(profile: DataFrame, models_found: int = 0, by: tuple = (), embed
            .when(c("has_train") == 1, "train").when(c("has_val") == 1, "val"))
     training_possible = F.when(svm == "training", True).otherwise(False)
     advice = F.array_compact(F.array(report, F.when(~m, "train_models"), F.when(~test_data, "add_test_data")))
-    return f.select(*by, F.array_join(splits, ",").alias("recommended_splits"), "largest_labelled",
+    return f.select(*by, F.array_join(chosen, ",").alias("recommended_splits"), "largest_labelled",
                     F.array_join(advice, ",").alias("advice"), embed.alias("embed_mode"), svm.alias("svm_mode"), mlp.alias("mlp_mode"),
                     report.alias("report_mode"), ev.alias("eval_split"),
                     training_possible.alias("svm_training_possible"))
 
 
-def training_status(stats_row: DataFrame, min_samples: int = 10) -> DataFrame:
-    """Skip-or-train decision before ``fit``: ``(status, reason)``.
+def training_data(df: DataFrame, label_col: str = "label", id_col: str = "id") -> tuple[DataFrame, DataFrame]:
+    """Train and val rows with a class, from a table with ``split``.  Without
+    any val row a fifth of the train rows is carved out (stratified; random
+    where a class is too small; the first fifth by id below 20 rows)."""
+    rows = df.filter(F.col(label_col).isin(0, 1))
+    train, val = rows.filter(F.col("split") == "train"), rows.filter(F.col("split") == "val")
+    if val.isEmpty() and not train.isEmpty():
+        carved = splits.split(train.drop("split"), "train_val", label_col, id_col)
+        train, val = (carved.filter(F.col("split") == s) for s in ("train", "val"))
+    return train, val
+
+
+def left_after_carving(n):
+    """Rows left for training after the carve-out from ``n`` rows."""
+    return F.when(n >= splits.SVM_MIN_SPLIT_ROWS, n - F.ceil(F.lit(splits.TRAIN_VAL[0]) * n)).otherwise(
+        n - F.greatest(F.lit(1), F.floor(n / 5))).cast("long")
+
+
+def training_data_stats(train: DataFrame, val: DataFrame, vec_col: str | None = "embedding", label_col: str = "label") -> DataFrame:
+    """``(split, samples, feature_dim, label_set, n_negative, n_positive)`` of
+    both parts and their ``total``; three rows whatever they hold."""
+    n = F.count_if
+    rows = train.withColumn("split", F.lit("train")).unionByName(val.withColumn("split", F.lit("val")))
+    width = F.max(F.size(vec_col)).cast("long") if vec_col else F.lit(None).cast("long")
+    sums = [F.count(F.lit(1)).alias("samples"), width.alias("feature_dim"),
+            F.array_join(F.array_sort(F.collect_set(F.col(label_col).cast("string"))), ",").alias("label_set"),
+            n(F.col(label_col) == 0).alias("n_negative"), n(F.col(label_col) == 1).alias("n_positive")]
+    parts = rows.groupBy("split").agg(*sums).unionByName(rows.agg(*sums).withColumn("split", F.lit("total")))
+    listed = rows.sparkSession.createDataFrame([(s,) for s in ("train", "val", "total")], "split string")
+    zero = {"samples": 0, "n_negative": 0, "n_positive": 0, "label_set": ""}
+    return listed.join(F.broadcast(parts), "split", "left").fillna(zero)  # three rows
+
+
+def training_status(stats_row: DataFrame, min_samples: int = 10, by: tuple = ()) -> DataFrame:
+    """Skip-or-train decision before ``fit``: ``(status, reason)`` of each row.
 
-    ``stats_row`` has ``valid_train`` and ``n_classes``.
+    ``stats_row`` has ``valid_train`` and ``n_classes``, columns ``by`` and, where a part was
+    carved out before, ``left_train``: fewer than ``MIN_LEFT`` rows left for
+    training are too few.
     """
     c = F.col
-    status = (F.when(c("valid_train") < min_samples, "skipped")
-               .when(c("n_classes") < 2, "skipped").otherwise("ready"))
+    few = c("left_train") < MIN_LEFT if "left_train" in stats_row.columns else F.lit(False)
+    status = F.when((c("valid_train") < min_samples) | (c("n_classes") < 2) | few, "skipped").otherwise("ready")
     reason = (F.when(c("valid_train") < min_samples, "insufficient_labels")
-               .when(c("n_classes") < 2, "single_class"))
-    return stats_row.select("valid_train", "n_classes", status.alias("status"), reason.alias("reason"))
+               .when(c("n_classes") < 2, "single_class").when(few, "training_set_too_small"))
+    extra = ["left_train"] if "left_train" in stats_row.columns else []
+    return stats_row.select(*by, "valid_train", "n_classes", *extra, status.alias("status"), reason.alias("reason"))

@@ -164,3 +164,42 @@ def insights(spark, sf):
 def evaluate_models(spark, sf):
     return EV.eval_metrics(scored(spark, sf)).select("model", F.lit("evaluated").alias("status"), "eval_split",
                                                       "n", "accuracy", "f1_weighted")
+
+
+@query("classification_report_accuracy",
+       CLS_SQL + " SELECT model, CASE WHEN label = 0 THEN 'Negative' ELSE 'Positive' END AS row, "
+       f"round(precision, {R}) AS precision, round(recall, {R}) AS recall, round(f1, {R}) AS f1, CAST(support AS BIGINT) AS support FROM cls "
+       f"UNION ALL SELECT model, 'accuracy', NULL, NULL, round(sum(CASE WHEN label = prediction THEN n ELSE 0 END) / sum(n), {R}), "
+       "CAST(sum(n) AS BIGINT) FROM cm GROUP BY model "
+       f"UNION ALL SELECT model, 'macro avg', round(avg(precision), {R}), round(avg(recall), {R}), round(avg(f1), {R}), "
+       "CAST(sum(support) AS BIGINT) FROM cls GROUP BY model "
+       f"UNION ALL SELECT model, 'weighted avg', round(sum(precision * support) / sum(support), {R}), "
+       f"round(sum(recall * support) / sum(support), {R}), round(sum(f1 * support) / sum(support), {R}), "
+       "CAST(sum(support) AS BIGINT) FROM cls GROUP BY model")
+def classification_report_accuracy(spark, sf):
+    """The report with its accuracy row."""
+    return EV.classification_report(scored(spark, sf), with_accuracy=True)
+
+
+@query("evaluate_on_split",
+       f"SELECT l.model, s.eval_split, CASE WHEN m.n > 0 THEN 'evaluated' ELSE 'error' END AS status, "
+       "CASE WHEN coalesce(m.n, 0) > 0 THEN NULL WHEN l.model = 'mlp' THEN 'ValueError: no weights' ELSE 'no_valid_rows' END AS reason, "
+       f"coalesce(m.n, 0) AS n, m.accuracy, m.f1_weighted FROM (VALUES ('rule_length'), ('rule_words'), ('mlp')) l(model) "
+       f"LEFT JOIN ({METRICS_SQL}) m ON l.model = m.model CROSS JOIN "
+       f"(SELECT CASE WHEN count(*) > 0 THEN 'test' END AS eval_split FROM ({SCORED_SQL})) s")
+def evaluate_on_split(spark, sf):
+    """Every listed model has a row (E15): two with scores, and one whose
+    loading failed with a message."""
+    sc = scored(spark, sf).withColumn("split", F.lit("test"))
+    return EV.evaluate_on(sc, sc.select("split").distinct(), [*[m for m, _ in MODELS], "mlp"], {"mlp": "ValueError: no weights"})
+
+
+@query("scored_reviews",
+       "SELECT t.id, CASE WHEN length(t.full_text) > 100 THEN substr(t.full_text, 1, 100) || '...' ELSE t.full_text END AS preview, t.full_text, t.label, s.model, s.prediction, s.probability "
+       "FROM (SELECT d.doc_id AS id, d.text AS full_text, CAST(l.quality AS INTEGER) AS label FROM documents d "
+       f"LEFT JOIN labels l ON d.doc_id = l.doc_id) t LEFT JOIN ({SCORED_SQL}) s ON t.id = s.id")
+def scored_reviews(spark, sf):
+    """All reviews beside the scores of both rule models (F10); those outside
+    of the test part have none."""
+    texts = reviews(spark, sf).select("id", "text", F.col("label_raw").cast("int").alias("label"))
+    return filters.scored_reviews(texts, scored(spark, sf))

@@ -17,7 +17,7 @@ from ..session import scratch_path
 from ..sources.tables import reviews, table
 from .oracle_text import SPACE, cleaned_cte, rr
 from .registry import query
-from .split_queries import LABELS_SRC, PROCESSED_STD, STANDARD_GUARD, STANDARD_R1, STANDARD_R2, split_sql
+from .split_queries import LABELS_SRC, PROCESSED_STD, STANDARD_GUARD, STANDARD_R1, STANDARD_R2, _train_val_sql, split_sql
 from .text_queries import REVIEWS_SQL, _label_sql
 
 R = 6
@@ -184,6 +184,46 @@ def training_status(spark, sf):
     return modes.training_status(row)
 
 
+_BINARY = ("WITH b AS (SELECT vec_id AS id, len(embedding) AS d, CASE WHEN label = -1 THEN 0 ELSE label END AS label FROM embeddings), "
+           "k AS (SELECT count(DISTINCT label) AS k FROM b) SELECT id, d, CAST(CASE WHEN k > 2 THEN CASE WHEN label > 0.5 THEN 1 ELSE 0 END "
+           "ELSE label END AS INTEGER) AS label FROM b, k")
+_CARVED = _train_val_sql(f"SELECT id, label FROM ({_BINARY})")
+
+
+@query("training_data_stats",
+       f"WITH s AS (SELECT v.split, b.d, b.label FROM ({_CARVED}) v JOIN ({_BINARY}) b ON v.id = b.id), "
+       "p AS (SELECT split, d, label FROM s UNION ALL SELECT 'total', d, label FROM s), "
+       "n AS (SELECT split, count(*) AS samples, CAST(max(d) AS BIGINT) AS feature_dim, string_agg(DISTINCT CAST(label AS VARCHAR), ',' ORDER BY "
+       "CAST(label AS VARCHAR)) AS label_set, count(*) FILTER (WHERE label = 0) AS n_negative, count(*) FILTER (WHERE label = 1) AS n_positive "
+       "FROM p GROUP BY split) SELECT l.split, coalesce(samples, 0) AS samples, feature_dim, coalesce(label_set, '') AS label_set, "
+       "coalesce(n_negative, 0) AS n_negative, coalesce(n_positive, 0) AS n_positive FROM (VALUES ('train'), ('val'), ('total')) l(split) "
+       "LEFT JOIN n ON l.split = n.split")
+def training_data_stats(spark, sf):
+    """Sizes, width and labels of the training data (A12): the embeddings
+    table with a fifth carved out for validation."""
+    lab = TR.clean_labels(table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding", "label"))
+    return modes.training_data_stats(*modes.training_data(lab.withColumn("split", F.lit("train"))))
+
+
+@query("training_status_by_source",
+       "WITH g AS (SELECT d.source, d.lang, count(*) FILTER (WHERE l.quality IN (0, 1)) AS valid_train, "
+       "count(DISTINCT CASE WHEN l.quality IN (0, 1) THEN l.quality END) AS n_classes FROM documents d JOIN labels l "
+       "ON d.doc_id = l.doc_id GROUP BY ALL), c AS (SELECT *, CAST(CASE WHEN valid_train >= 20 THEN valid_train - "
+       "ceil(0.2::DOUBLE * valid_train) ELSE valid_train - greatest(1, valid_train // 5) END AS BIGINT) AS left_train FROM g) "
+       "SELECT *, CASE WHEN valid_train < 6 OR n_classes < 2 OR left_train < 5 THEN 'skipped' ELSE 'ready' END AS status, "
+       "CASE WHEN valid_train < 6 THEN 'insufficient_labels' WHEN n_classes < 2 THEN 'single_class' WHEN left_train < 5 THEN "
+       "'training_set_too_small' END AS reason FROM c")
+def training_status_by_source(spark, sf):
+    """Which sources have enough labelled rows for a model of their own (E17),
+    at least five of them left after the carve-out."""
+    docs = table(spark, sf, "documents").select("doc_id", "source", "lang")
+    valid = F.col("quality").isin(0, 1)
+    rows = docs.join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id").groupBy("source", "lang").agg(
+        F.count_if(valid).alias("valid_train"), F.count_distinct(F.when(valid, F.col("quality"))).alias("n_classes"))
+    rows = rows.withColumn("left_train", modes.left_after_carving(F.col("valid_train")))
+    return modes.training_status(rows, min_samples=6, by=("source", "lang"))
+
+
 # -- split profile, stage modes (A11, A12, M5-M9) ------------------------------------------
 
 _STD = cleaned_cte(REVIEWS_SQL, "standard", keep="id, label_raw")

@@ -2,7 +2,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from revspark.operators import training
+from revspark.operators import squared_hinge
 from revspark.plans import job
 from tests.conftest import SF001
 
@@ -20,7 +20,7 @@ def test_no_unlabelled_row_reaches_fit(spark, monkeypatch):
         seen.append({r["label"] for r in train.select("label").distinct().collect()})
         raise InterruptedError
 
-    monkeypatch.setattr(training, "train_svm", fit)
+    monkeypatch.setattr(squared_hinge, "train_squared_hinge", fit)
     with pytest.raises(InterruptedError):
         job.run_job(_reviews(spark), "class_key", models=("svm",), force_text="body", force_label="verdict")
     assert seen == [{0, 1}]
