@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,12 +36,14 @@ from . import rolling as R
 from .common import documents, stored, text_bytes
 from .packing import unpacked
 from .repeats import (HERE, ROUTED, THERE, block_count, block_of, by_shelf, code_of, entries, groups_of, has_seed, in_blocks,
-                      keyed, pack, repeated_seeds, routed_batch, seed_runs, seed_table, shelved, text_batches, unpack,
-                      with_lists)
+                      joined_spans, keyed, pack, repeated_seeds, routed_batch, seed_runs, seed_table, shelved, text_pieces,
+                      unpack, with_lists)
 
 LENGTH, GRAM = 20, 9
 #: Text bytes that are numpy arrays at once: arrays that fit the caches.
 STRETCH = 1 << 19
+#: Windows parsed at once.
+SHARE = 1 << 18
 
 
 def word_runs(data: np.ndarray, off: np.ndarray, length: int, gram: int):
@@ -61,6 +64,49 @@ def expanded(size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return run, np.arange(len(run)) - np.repeat(np.cumsum(size) - size, size)
 
 
+def cuts_in_words(data: np.ndarray, stretch: int, length: int) -> Iterator[tuple[int, int, int]]:
+    """(begin, end, words before) of pieces of a long text, in bytes; each has
+    all words of the windows that begin in it."""
+    starts, ends = R.words_of(data)
+    step = max(1, len(starts) * stretch // max(1, len(data)))
+    for k in range(0, max(0, len(starts) - length + 1), step):
+        yield int(starts[k]), int(ends[min(k + step + length - 1, len(starts)) - 1]), k
+
+
+@dataclass
+class Runs:
+    """Runs of windows of one seed, with the windows' hashes one after the
+    other.  Seeds are independent of each other, so shares of them are parsed
+    one by one, and only a share's windows have rows of their own."""
+    doc: np.ndarray
+    start: np.ndarray
+    size: np.ndarray
+    seed: np.ndarray
+    window: np.ndarray
+
+    def shares(self, key: np.ndarray, windows: int) -> Iterator[np.ndarray]:
+        """Runs by shares of ``key``, which is the same for equal seeds, of
+        about ``windows`` windows."""
+        n = -(-len(self.window) // windows)
+        if n <= 1:
+            yield np.arange(len(self.doc))
+            return
+        share = (key % n).astype(np.int64)
+        order = np.argsort(share, kind="stable")
+        edges = np.searchsorted(share[order], np.arange(n + 1))
+        for a, b in zip(edges[:-1], edges[1:]):
+            if b > a:
+                yield order[a:b]
+
+    def windows(self, some: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(document, start, seed, hash) of each window of some runs."""
+        size = self.size[some].astype(np.int64)
+        run, within = expanded(size)
+        first = (np.cumsum(self.size, dtype=np.int64) - self.size)[some]
+        return (self.doc[some].astype(np.int64)[run], self.start[some].astype(np.int64)[run] + within, self.seed[some][run],
+                self.window[first[run] + within])
+
+
 def sources(window: np.ndarray, seed: np.ndarray, did: np.ndarray, start: np.ndarray) -> np.ndarray:
     """The index of a block, read for each of its windows: the entry with
     the earliest occurrence of the same words (itself if none is earlier)."""
@@ -99,7 +145,7 @@ def parse(doc, start, seed, window, did, length):
     return (found[0], found[1].astype(np.int32), found[2].astype(np.int32)), (doc[first], start[first], seed[first], window[first])
 
 
-def spans(docs: DataFrame, length: int, gram: int) -> tuple[DataFrame, DataFrame]:
+def spans(docs: DataFrame, length: int, gram: int, stretch: int, share: int) -> tuple[DataFrame, DataFrame]:
     """The shelved texts, and the parts of their duplicate spans."""
     keys = keyed(docs)
     n_blocks = block_count(keys)
@@ -113,52 +159,68 @@ def spans(docs: DataFrame, length: int, gram: int) -> tuple[DataFrame, DataFrame
         if not bodies or not rows.num_rows:
             return pa.Table.from_batches([routed_batch([])])
         did, tid = (np.asarray(rows[c].combine_chunks()) for c in ("did", "tid"))
-        code, known, held, n = code_of(did, tid), seed_table(bodies), [], 0
-        for batch in text_batches(rows, STRETCH):
-            doc, start, size, seed, first, sums = word_runs(*text_bytes(batch.column("text")), length, gram)
+        code, known, held = code_of(did, tid), seed_table(bodies), []
+        for data, off, n, _, base in text_pieces(rows, stretch, word_cuts):
+            doc, start, size, seed, first, sums = word_runs(data, off, length, gram)
             on = has_seed(code[doc + n], seed, known)
             doc, start, size, seed = doc[on], start[on], size[on], seed[on]
             run, within = expanded(size)
             at = (first[doc] + start)[run] + within
-            held.append((doc[run] + n, start[run] + within, seed[run], R.stretches(sums, at, at + length, R.WORD_BASE)))
-            n += batch.num_rows
-        found, (doc, start, seed, window) = parse(*(np.concatenate(x) for x in zip(*held)), did, length)
-        out = [(shelf, HERE, body) for shelf, body in by_shelf(n_blocks, found[0], did, tid, *found[1:])]
-        block = block_of(seed, n_blocks)
-        order = np.lexsort((start, doc, block))
-        edges = groups_of(block, order)
-        for a, b in zip(edges[:-1], edges[1:]):
-            at = order[a:b]
-            d, s, k = doc[at], start[at], seed[at]
-            run = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (s[1:] != s[:-1] + 1) | (k[1:] != k[:-1])]))
-            owners, owner = np.unique(d[run], return_inverse=True)
-            out.append((int(block[at[0]]), THERE,
-                        pack(k[run], owner.astype(np.int32), s[run].astype(np.int32),
-                             np.diff(np.append(run, len(d))).astype(np.int32), window[at], did[owners], tid[owners])))
+            held.append(((doc + n).astype(np.int32), (start + base).astype(np.int32), size.astype(np.int32), seed,
+                         R.stretches(sums, at, at + length, R.WORD_BASE)))
+        if not held:
+            return pa.Table.from_batches([routed_batch([])])
+        runs = Runs(*(np.concatenate(x) for x in zip(*held)))
+        del held
+        spans, out, block = [], [], block_of(runs.seed, n_blocks)
+        for some in runs.shares(block, share):
+            found, (doc, start, seed, window) = parse(*runs.windows(some), did, length)
+            spans.append(found)
+            where = block_of(seed, n_blocks)
+            order = np.lexsort((start, doc, where))
+            edges = groups_of(where, order)
+            for a, b in zip(edges[:-1], edges[1:]):
+                at = order[a:b]
+                d, s, k = doc[at], start[at], seed[at]
+                run = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (s[1:] != s[:-1] + 1) | (k[1:] != k[:-1])]))
+                owners, owner = np.unique(d[run], return_inverse=True)
+                out.append((int(where[at[0]]), THERE,
+                            pack(k[run], owner.astype(np.int32), s[run].astype(np.int32),
+                                 np.diff(np.append(run, len(d))).astype(np.int32), window[at], did[owners], tid[owners])))
+        out += [(shelf, HERE, body) for shelf, body in shelf_rows(spans, did, tid)]
         return pa.Table.from_batches([routed_batch(out)])
 
     def parse_block(bodies: list[bytes]) -> Iterator[tuple]:
         parts, dids, tids, n = [], [], [], 0
-        for body in bodies:
-            seed, owner, start, size, window, did, tid = unpack(body)
-            run, within = expanded(size)
-            parts.append(((owner.astype(np.int64) + n)[run], start.astype(np.int64)[run] + within, seed[run], window))
+        while bodies:
+            seed, owner, start, size, window, did, tid = unpack(bodies.pop())
+            parts.append((owner + np.int32(n), start, size, seed, window))
             dids.append(did)
             tids.append(tid)
             n += len(did)
         did, tid = np.concatenate(dids), np.concatenate(tids)
-        found, _ = parse(*(np.concatenate(x) for x in zip(*parts)), did, length)
-        yield from by_shelf(n_blocks, found[0], did, tid, *found[1:])
+        runs = Runs(*(np.concatenate(x) for x in zip(*parts)))
+        del parts
+        yield from shelf_rows([parse(*runs.windows(some), did, length)[0] for some in runs.shares(runs.seed >> np.uint64(40), share)],
+                              did, tid)
+
+    def shelf_rows(spans: list[tuple], did: np.ndarray, tid: np.ndarray) -> Iterator[tuple]:
+        doc, start, size = joined_spans(*(np.concatenate(x) for x in zip(*spans)))
+        return by_shelf(n_blocks, doc, did, tid, start.astype(np.int32), size.astype(np.int32))
+
+    def word_cuts(data, stretch):
+        return cuts_in_words(data, stretch, length)
 
-    lists = repeated_seeds(keys, seeds_of, n_blocks, within=True, stretch=STRETCH)
+    lists = repeated_seeds(keys, seeds_of, n_blocks, within=True, cuts=word_cuts, stretch=stretch)
     return texts, in_blocks(with_lists(texts, lists, parse_here, ROUTED), n_blocks, parse_block)
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_text: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_text: bool = True, stretch: int = STRETCH,
+                   share: int = SHARE) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, spans (start, end in words)
     and, if ``with_text``, kept_words (the words that stay, joined by one
     space) of every row."""
-    texts, found = spans(docs, length, gram)
+    texts, found = spans(docs, length, gram, stretch, share)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(rows: pa.Table, bodies: list[bytes]) -> pa.Table:

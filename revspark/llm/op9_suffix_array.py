@@ -41,10 +41,10 @@ from . import rolling as R
 from .common import documents, stored, text_bytes
 from .packing import unpacked
 from .repeats import (HERE, ROUTED, THERE, block_count, block_of, by_shelf, code_of, entries, groups_of, has_seed, in_blocks,
-                      keyed, pack, repeated_seeds, routed_batch, seed_runs, seed_table, shelved, text_batches, unpack,
+                      keyed, pack, repeated_seeds, routed_batch, seed_runs, seed_table, shelved, text_pieces, unpack,
                       with_lists)
 
-LENGTH, GRAM = 50, 12
+LENGTH, GRAM = 50, 20
 #: Suffixes sorted at once, and text bytes that are numpy arrays at once: arrays that fit the caches.
 SORTED, STRETCH = 1 << 20, 1 << 19
 #: Text bytes per block: each block repeats the ids of its documents, so fewer blocks move less.
@@ -198,7 +198,7 @@ def runs(doc: np.ndarray, start: np.ndarray, length: int):
     return doc[at], start[at], start[last] - start[at] + length
 
 
-def spans(docs: DataFrame, length: int, gram: int) -> tuple[DataFrame, DataFrame]:
+def spans(docs: DataFrame, length: int, gram: int, stretch: int) -> tuple[DataFrame, DataFrame]:
     """The shelved texts, and the parts of their duplicate spans."""
     keys = keyed(docs)
     n_blocks = block_count(keys, BLOCK)
@@ -213,16 +213,17 @@ def spans(docs: DataFrame, length: int, gram: int) -> tuple[DataFrame, DataFrame
         if not bodies or not rows.num_rows:
             return pa.Table.from_batches([routed_batch([])])
         did, tid = (np.asarray(rows[c].combine_chunks()) for c in ("did", "tid"))
-        codes, known, held, n = code_of(did, tid), seed_table(bodies), [], 0
-        for batch in text_batches(rows, STRETCH):
-            data, off = text_bytes(batch.column("text"))
+        codes, known, held = code_of(did, tid), seed_table(bodies), []
+        for data, off, n, _, base in text_pieces(rows, stretch, byte_cuts):
             doc, start, size, place, seed = byte_runs(data, off, length, gram)
             on = has_seed(codes[doc + n], seed, known)
             doc, start, size, place = doc[on], start[on], size[on], place[on]
             piece = gather(data, off[doc] + start, size + length - 1)
-            held.append((doc + n, start, size, place - start, piece, *seeds_and_codes(piece, size + length - 1, place - start, gram)))
-            n += batch.num_rows
+            held.append((doc + n, start + base, size, place - start, piece, *seeds_and_codes(piece, size + length - 1, place - start, gram)))
+        if not held:
+            return pa.Table.from_batches([routed_batch([])])
         doc, start, size, place, data, seed, code = (np.concatenate(x) for x in zip(*held))
+        del held
         order = np.lexsort((did[doc], code, seed))
         same = np.concatenate([[False], (seed[order][1:] == seed[order][:-1]) & (code[order][1:] == code[order][:-1])])[:len(order)]
         head = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
@@ -246,8 +247,8 @@ def spans(docs: DataFrame, length: int, gram: int) -> tuple[DataFrame, DataFrame
 
     def judge(bodies: list[bytes]) -> Iterator[tuple]:
         parts, dids, tids, n = [], [], [], 0
-        for body in bodies:
-            place, owner, start, size, data, did, tid = unpack(body)
+        while bodies:
+            place, owner, start, size, data, did, tid = unpack(bodies.pop())
             place, size = place.astype(np.int64), size.astype(np.int64)
             parts.append((owner.astype(np.int64) + n, start.astype(np.int64), size, data,
                           *seeds_and_codes(data, size + length - 1, place, gram)))
@@ -270,14 +271,18 @@ def spans(docs: DataFrame, length: int, gram: int) -> tuple[DataFrame, DataFrame
             doc, where, total = runs(doc[by], where[by], length)
             yield from by_shelf(n_blocks, doc, did, tid, where.astype(np.int32), total.astype(np.int32))
 
-    lists = repeated_seeds(keys, seeds_of, n_blocks, within=False, stretch=STRETCH)
+    def byte_cuts(data, stretch):
+        return [(k, min(len(data), k + stretch + length - 1), k) for k in range(0, max(1, len(data) - length + 1), stretch)]
+
+    lists = repeated_seeds(keys, seeds_of, n_blocks, within=False, cuts=byte_cuts, stretch=stretch)
     return texts, in_blocks(with_lists(texts, lists, deal_out, ROUTED), n_blocks, judge)
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_text: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_text: bool = True,
+                   stretch: int = STRETCH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (start, end,
     ...) and, if ``with_text``, kept (bytes) of every row."""
-    texts, found = spans(docs, length, gram)
+    texts, found = spans(docs, length, gram, stretch)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(rows: pa.Table, bodies: list[bytes]) -> pa.Table:

@@ -139,6 +139,19 @@ def listed_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(shelf, pa.int32()), pa.array(body, pa.binary())], names=["shelf", "body"])
 
 
+def joined_spans(doc: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, start, size) of the unions of spans that touch or overlap."""
+    if not len(doc):
+        return doc, start, size
+    order = np.lexsort((start, doc))
+    doc, start, size = doc[order].astype(np.int64), start[order].astype(np.int64), size[order].astype(np.int64)
+    far = doc << 40
+    reach = np.maximum.accumulate(far + start + size)
+    at = np.flatnonzero(np.concatenate([[True], far[1:] + start[1:] > reach[:-1]]))
+    last = np.append(at[1:], len(doc)) - 1
+    return doc[at], start[at], reach[last] - far[at] - start[at]
+
+
 def by_shelf(n_blocks: int, doc: np.ndarray, did: np.ndarray, tid: np.ndarray, *columns: np.ndarray,
              pick: Callable = np.asarray) -> Iterator[tuple]:
     """(shelf, packed columns with their documents); ``doc`` indexes did and
@@ -176,7 +189,25 @@ def in_blocks(routed: DataFrame, n_blocks: int, judge: Callable[[list[bytes]], I
     return routed.repartition(n_blocks, "block").sortWithinPartitions("block").mapInArrow(run, LISTED)
 
 
-def repeated_seeds(texts: DataFrame, seeds_of: Callable, n_blocks: int, within: bool,
+def pieces(batches: Iterator[pa.RecordBatch], stretch: int, cuts: Callable) -> Iterator[tuple]:
+    """(bytes, offsets, first row, number of rows, base) of the texts in
+    ``batches``, about ``stretch`` bytes at a time.  A text of more than twice
+    as many comes in pieces of its own, which overlap by all but one symbol of
+    a window, so every window lies in exactly one; ``base`` is where a piece
+    begins in its text, in symbols, and ``cuts(data, stretch)`` gives (begin,
+    end, base) of them in bytes."""
+    n = 0
+    for batch in in_stretches(batches, "text", stretch):
+        data, off = text_bytes(batch.column("text"))
+        if batch.num_rows == 1 and len(data) > 2 * stretch:
+            for begin, end, base in cuts(data, stretch):
+                yield data[begin:end], np.array([0, end - begin]), n, 1, base
+        else:
+            yield data, off, n, batch.num_rows, 0
+        n += batch.num_rows
+
+
+def repeated_seeds(texts: DataFrame, seeds_of: Callable, n_blocks: int, within: bool, cuts: Callable,
                    stretch: int = STRETCH_BYTES) -> DataFrame:
     """(shelf, body): the repeated seeds of the documents, in parts.
     ``seeds_of(data, off)`` gives (document, seed) of all runs; ``within``:
@@ -188,13 +219,17 @@ def repeated_seeds(texts: DataFrame, seeds_of: Callable, n_blocks: int, within:
         held: list[tuple] = []  # (document, seed) arrays, ids of the documents
         n_docs = n_seeds = 0
         dids, tids = [], []
-        for batch in in_stretches(batches, "text", stretch):
-            doc, seed = seeds_of(*text_bytes(batch.column(2)))
-            held.append((doc + n_docs, seed & cut))
-            n_seeds += len(doc)
-            n_docs += batch.num_rows
+        for batch in batches:
             dids.append(np.asarray(batch.column(0)))
             tids.append(np.asarray(batch.column(1)))
+            for data, off, first, _, _ in pieces(iter([batch]), stretch, cuts):
+                doc, seed = seeds_of(data, off)
+                held.append((doc + first + n_docs, seed & cut))
+                n_seeds += len(doc)
+                if n_seeds >= 4 * HELD:  # parts of one long text: a seed in two of them only counts as repeated
+                    yield flush(held, dids, tids)
+                    held, n_seeds = [], 0
+            n_docs += batch.num_rows
             if n_seeds >= HELD:
                 yield flush(held, dids, tids)
                 held, dids, tids, n_docs, n_seeds = [], [], [], 0, 0
@@ -286,6 +321,6 @@ def with_lists(texts: DataFrame, lists: DataFrame, run: Callable[[pa.Table, list
     return texts.groupBy("shelf").cogroup(lists.groupBy("shelf")).applyInArrow(meet, schema)
 
 
-def text_batches(rows: pa.Table, stretch: int = STRETCH_BYTES) -> Iterator[pa.RecordBatch]:
-    """The texts of a shelf, unpacked, in stretches of bounded size."""
-    return in_stretches(unpacked(rows.to_batches()), "text", stretch)
+def text_pieces(rows: pa.Table, stretch: int, cuts: Callable) -> Iterator[tuple]:
+    """``pieces`` of the texts of a shelf, unpacked."""
+    return pieces(unpacked(rows.to_batches()), stretch, cuts)

@@ -20,6 +20,8 @@ _MASK = (1 << 64) - 1
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
+#: Powers that a worker keeps (32 MB a base); longer texts make theirs anew.
+KEPT = 1 << 22
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -33,7 +35,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64; kept and grown per process."""
+    """base**0 .. base**(n-1) modulo 2**64; kept and grown per process, up to
+    ``KEPT`` of them."""
     base = int(base) & _MASK
     have = _powers.get(base)
     if have is None:
@@ -41,7 +44,8 @@ def powers(base: int, n: int) -> np.ndarray:
     while len(have) < n:
         step = np.uint64(pow(base, len(have), 1 << 64))
         have = np.concatenate([have, have * step])
-    _powers[base] = have
+    if len(have) <= KEPT:
+        _powers[base] = have
     return have[:n]
 
 

@@ -39,6 +39,16 @@ def test_substring_dedup_edges(table_of):
     assert op1.remove_repeats(table_of([])).collect() == []
 
 
+def test_long_texts_in_pieces(mixed, table_of):
+    """Pieces of texts and shares of windows change nothing."""
+    rows = [*mixed, (5000, " ".join(f"u{i}" for i in range(400)) + " " + "z" * 900), (5001, " " * 3000), (5002, "\n".join(["q"] * 700))]
+    got = op1.remove_repeats(table_of(rows), stretch=700, share=300).collect()
+    found = {r["doc_id"]: (r["n_words"], r["n_removed"], brute.sha(r["kept_words"].encode())) for r in got}
+    assert found == brute.substring_dedup(rows)
+    got = op9.remove_repeats(table_of(rows), stretch=700).collect()
+    assert by_id(got, "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.byte_dedup(rows)
+
+
 def test_factors_cross_boundaries():
     """A window over the end of one copied passage and the start of the next
     is looked up on its own."""
