@@ -4,16 +4,21 @@ A review CSV has unknown layout: any columns, ``,`` ``;`` or tab as
 separator, UTF-8 or Latin-1, quoted fields with embedded newlines and
 doubled quotes; every column is read as a string.
 
-One splittable pass over the raw lines tells whether the bytes are valid
-UTF-8 (a genuine U+FFFD is valid) and whether a quoted field may span lines
-(a line with an odd number of quotes).  Only then ``multiLine`` is used, which
-makes a file one task.  UTF-8 candidates are out if the bytes are not valid.
-A candidate separator is out if any row has more fields than the header or
-there is no row; missing fields of short rows are null.  Encoding guessing of
-raw bytes is not done (no detector is available); the candidate list replaces
-it.  Spark accepts only ISO-8859-1, US-ASCII and UTF-8/16/32, so ``cp1252``
-candidates are read as ISO-8859-1.  A missing path or a lost executor is an
-error of its own and not taken for an unreadable layout.
+One splittable pass over the raw lines makes a profile: are the bytes valid
+UTF-8 (a genuine U+FFFD is valid), are there bytes 0x80-0x9F, may a quoted
+field span lines (a line with an odd number of quotes), and how often does
+each separator occur per line.  Files with fields over lines are read record by
+record (``records``), many tasks per file; only files whose quotes do not pair
+up are left to ``multiLine``, one task each.  UTF-8 candidates are out if the
+bytes are not valid.  A candidate separator is out if any row has more fields
+than the header or there is no row; missing fields of short rows are null.
+
+The policy ``auto`` takes both from the profile: UTF-8 if valid, else cp1252 if
+there are bytes 0x80-0x9F (control characters in Latin-1, quotes, dashes and the
+euro sign in cp1252), else Latin-1; and the separator that most lines have
+equally often.  Spark decodes no cp1252, so its 27 characters are put in after
+Latin-1.  A missing path or a lost executor is an error of its own and not taken
+for an unreadable layout.
 """
 from __future__ import annotations
 
@@ -22,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.labels import _strip
+from . import records as RC
 
 # Candidate lists per policy, in the reference's order
 # (``latin-1`` / ``iso-8859-1`` / ``cp1252`` all map to ISO-8859-1).
@@ -33,6 +39,12 @@ CANDIDATES = {
                  ("utf-8", "\t")],
     "simple": [("utf-8", ","), ("iso-8859-1", ",")],
 }
+SEPARATORS = (",", ";", "\t", "|")
+# What cp1252 has at 0x80-0x9F, where Latin-1 has control characters (five places are empty).
+CP1252 = {0x80: "\u20ac", 0x82: "\u201a", 0x83: "\u0192", 0x84: "\u201e", 0x85: "\u2026", 0x86: "\u2020", 0x87: "\u2021",
+          0x88: "\u02c6", 0x89: "\u2030", 0x8A: "\u0160", 0x8B: "\u2039", 0x8C: "\u0152", 0x8E: "\u017d", 0x91: "\u2018",
+          0x92: "\u2019", 0x93: "\u201c", 0x94: "\u201d", 0x95: "\u2022", 0x96: "\u2013", 0x97: "\u2014", 0x98: "\u02dc",
+          0x99: "\u2122", 0x9A: "\u0161", 0x9B: "\u203a", 0x9C: "\u0153", 0x9E: "\u017e", 0x9F: "\u0178"}
 # Cell texts pandas reads as missing by default.
 NA_VALUES = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
              "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
@@ -41,24 +53,55 @@ EXTRA = "__extra"
 
 def _reader(spark: SparkSession, encoding: str, sep: str, multi_line: bool):
     return (spark.read.option("header", True).option("multiLine", multi_line).option("quote", '"').option("escape", '"')
-                 .option("encoding", encoding).option("sep", sep))
+                 .option("encoding", "iso-8859-1" if encoding == "cp1252" else encoding).option("sep", sep))
 
 
-def _read(spark: SparkSession, path: str, encoding: str, sep: str, multi_line: bool) -> DataFrame:
-    """All columns as strings, and one more that only too long rows fill."""
-    reader = _reader(spark, encoding, sep, multi_line)
-    names = reader.csv(path).columns
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, EXTRA]])
-    return reader.option("mode", "PERMISSIVE").schema(schema).csv(path)
+def _windows(c):
+    """Latin-1 text as cp1252 reads it."""
+    return F.translate(c, "".join(map(chr, CP1252)), "".join(CP1252.values()))
 
 
-def _lines(spark: SparkSession, path: str) -> tuple[bool, bool]:
-    """(valid UTF-8, quoted fields over several lines) of the raw files."""
+def _read(spark: SparkSession, path: str, encoding: str, sep: str, multi_line: bool, balanced: bool = True) -> DataFrame:
+    """All columns as strings, and one more that only too long rows fill."""
+    reader = _reader(spark, encoding, sep, multi_line)
+    names = [*reader.csv(path).columns, EXTRA]
+    if multi_line and balanced:
+        df = RC.read_records(spark, path, names, sep, "UTF-8" if encoding == "utf-8" else "ISO-8859-1")
+    else:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+        df = reader.option("mode", "PERMISSIVE").schema(schema).csv(path)
+    if encoding != "cp1252":
+        return df
+    return df.select(*[_windows(F.col(f"`{c}`")).alias(a) for c, a in zip(names, [c.translate(CP1252) for c in names])])
+
+
+def profile(spark: SparkSession, path: str) -> dict:
+    """What one pass over the raw lines tells: ``valid`` UTF-8, ``c1`` (lines
+    with bytes 0x80-0x9F), ``multi_line``, ``balanced`` quotes, and per
+    separator ``counts``: (lower and upper quartile, median) per line."""
     line = F.col("value")
-    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    row = spark.read.text(path).agg(F.min(F.is_valid_utf8(line)).alias("valid"),
-                                    F.max(quotes % 2 == 1).alias("odd")).first()
-    return row["valid"] is not False, bool(row["odd"])
+    quotes = F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))
+    latin = F.decode(line.cast("binary"), "ISO-8859-1")
+    lines = spark.read.text(path).filter(F.octet_length(line) > 0)
+    row = lines.agg(F.min(F.is_valid_utf8(line)).alias("valid"), F.max(quotes % 2 == 1).alias("odd"),
+                    F.count_if(latin.rlike("[\x80-\x9f]")).alias("c1"),
+                    *[F.percentile(F.octet_length(line) - F.octet_length(F.replace(line, F.lit(s), F.lit(""))),
+                                   F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"n{i}")
+                      for i, s in enumerate(SEPARATORS)]).first()
+    odd = bool(row["odd"])
+    return {"valid": row["valid"] is not False, "c1": row["c1"] or 0, "multi_line": odd,
+            "balanced": not odd or RC.balanced(RC.block_states(RC.raw_lines(spark, path))),
+            "counts": {s: tuple(row[f"n{i}"] or (0, 0, 0)) for i, s in enumerate(SEPARATORS)}}
+
+
+def automatic(found: dict) -> tuple[str, str]:
+    """(encoding, separator) of a profile: the separator that as many lines as
+    possible have equally often; of equal ones the more frequent, then the first."""
+    encoding = "utf-8" if found["valid"] else "cp1252" if found["c1"] else "iso-8859-1"
+    def worth(s):
+        low, middle, high = found["counts"][s]
+        return middle > 0, -(high - low) / max(middle, 1), middle, -SEPARATORS.index(s)
+    return encoding, max(SEPARATORS, key=worth)
 
 
 def _na_to_null(df: DataFrame) -> DataFrame:
@@ -72,21 +115,25 @@ def find_layout(spark: SparkSession, path: str, policy: str = "reference_order")
     ``reference_order``/``extended``/``simple``: the first candidate giving
     >= 1 column, >= 1 row and no too long row wins (so a ``;`` file read with
     ``,`` comes back as one column, as in the reference).  ``most_columns``:
-    of all candidates that one with the most columns.
+    of all candidates that one with the most columns.  ``auto``: encoding and
+    separator of the profile.
     """
-    valid, multi_line = _lines(spark, path)
+    facts = profile(spark, path)
+    multi_line, balanced = facts["multi_line"], facts["balanced"]
     best = None
-    for encoding, sep in CANDIDATES[policy]:
-        if encoding == "utf-8" and not valid:
+    for encoding, sep in ([automatic(facts)] if policy == "auto" else CANDIDATES[policy]):
+        if encoding == "utf-8" and not facts["valid"]:
             continue
-        df = _read(spark, path, encoding, sep, multi_line)
+        if encoding == "iso-8859-1" and facts["c1"] and not facts["valid"] and policy != "simple":
+            encoding = "cp1252"  # the candidate after Latin-1, which has no such characters
+        df = _read(spark, path, encoding, sep, multi_line, balanced)
         names = df.columns[:-1]
         if not names or (best and len(names) <= len(best["columns"])):
             continue
-        facts = df.agg(F.count(F.lit(1)).alias("n"), F.count(EXTRA).alias("long")).first()
-        if not facts["n"] or facts["long"]:
+        rows = df.agg(F.count(F.lit(1)).alias("n"), F.count(EXTRA).alias("long")).first()
+        if not rows["n"] or rows["long"]:
             continue
-        best = {"encoding": encoding, "sep": sep, "multi_line": multi_line, "columns": names}
+        best = {"encoding": encoding, "sep": sep, "multi_line": multi_line, "balanced": balanced, "columns": names}
         if policy != "most_columns":
             break
     if best is None:
@@ -97,7 +144,7 @@ def find_layout(spark: SparkSession, path: str, policy: str = "reference_order")
 def read_reviews(spark: SparkSession, path: str, policy: str = "reference_order", layout: dict | None = None) -> DataFrame:
     """Read a review CSV by its ``layout`` (see :func:`find_layout`)."""
     found = layout or find_layout(spark, path, policy)
-    df = _read(spark, path, found["encoding"], found["sep"], found["multi_line"])
+    df = _read(spark, path, found["encoding"], found["sep"], found["multi_line"], found.get("balanced", True))
     return _na_to_null(df.drop(EXTRA))
 
 
