@@ -10,11 +10,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..functions import documents
 from ..operators import filters
 from ..operators import embedding as EM
 from ..operators.rows import attach_row
 from ..session import scratch_path
-from ..sources import csv, sinks
+from ..sources import csv, positions, sinks, stages
 from ..sources.tables import reviews, table
 from ..streaming.clean_stream import start_clean_stream
 from .ml_queries import SPLIT_STD_SQL, split_reviews
@@ -57,6 +58,33 @@ for _p in ("reference_order", "extended", "simple"):
     query(f"read_reviews_{_p}", RAW_REVIEWS_SQL)(_policy_query(_p))
 
 
+@query("read_reviews_auto", RAW_REVIEWS_SQL)
+def read_reviews_auto(spark, sf):
+    """Reviews written with tabs; encoding and separator from the profile."""
+    path = _fresh(spark, "reviews-auto")
+    src = reviews(spark, sf).select(F.col("id").cast("string").alias("id"), "text",
+                                    F.col("label_raw").cast("string").alias("label"))
+    csv.write_reviews_csv(src, path, sep="\t")
+    return csv.read_reviews(spark, path, "auto")
+
+
+_OTHER = "[^\\x00-\\x7f\\x{a0}-\\x{ff}" + "".join(f"\\x{{{ord(c):x}}}" for c in csv.CP1252.values()) + "]"
+
+
+@query("read_reviews_windows",
+       RAW_REVIEWS_SQL.replace("d.text", f"regexp_replace('“' || d.text || '” 5 €', '{_OTHER}', '?', 'g') AS text"))
+def read_reviews_windows(spark, sf):
+    """Reviews in cp1252 bytes (curly quotes and a euro sign put around every
+    text), which no UTF-8 or Latin-1 reader gets right."""
+    path = _fresh(spark, "reviews-windows")
+    text = F.regexp_replace(F.concat(F.lit("“"), "text", F.lit("” 5 €")), _OTHER, "?")
+    control = F.translate(text, "".join(csv.CP1252.values()), "".join(map(chr, csv.CP1252)))
+    src = reviews(spark, sf).select(F.col("id").cast("string").alias("id"), control.alias("text"),
+                                    F.col("label_raw").cast("string").alias("label"))
+    csv.write_reviews_csv(src, path, encoding="iso-8859-1")
+    return csv.read_reviews(spark, path, "auto")
+
+
 HEADER_SRC_SQL = ("SELECT d.doc_id AS \" Review_ID\", d.text AS \"Review Content\", l.quality AS \"Sentiment\" "
                   "FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
 
@@ -190,3 +218,46 @@ def job_unlabelled(spark, sf):
 def normalize_label_filter_unlabelled(spark, sf):
     docs = table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), "text")
     return filters.normalize_label_filter(docs).select("id", "label")
+
+
+@query("align_by_position",
+       "SELECT vec_id AS id, len(embedding) AS dim, label, TRUE AS same FROM embeddings")
+def align_by_position(spark, sf):
+    """Vectors and labels written apart, in files of different sizes, side by
+    side again by position (J1); ``same``: the ids of both sides agree."""
+    x, y = _fresh(spark, "positions-x"), _fresh(spark, "positions-y")
+    rows = table(spark, sf, "embeddings").orderBy("vec_id")
+    rows.select("vec_id", "embedding").write.option("maxRecordsPerFile", 700).parquet(x)
+    rows.select(F.col("vec_id").alias("other"), "label").write.option("maxRecordsPerFile", 300).parquet(y)
+    return positions.aligned(spark, x, y).select(F.col("vec_id").alias("id"), F.size("embedding").cast("long").alias("dim"), "label",
+                                                 (F.col("vec_id") == F.col("other")).alias("same"))
+
+
+_DOCUMENTS = ("WITH g AS (SELECT quality, count(*) AS n, count(*) FILTER (WHERE toxic = 1) AS t, min(doc_id) AS a, max(doc_id) AS b "
+              "FROM labels GROUP BY quality) SELECT quality, CAST(to_json({'quality': quality, 'n': n, 'toxic': {'n': t, 'share': "
+              "round(t::DOUBLE / n, 3)}, 'ids': [a, b], 'undefined': NULL::DOUBLE, 'infinite': NULL::DOUBLE}) AS VARCHAR) AS document FROM g")
+
+
+@query("json_documents", _DOCUMENTS)
+def json_documents(spark, sf):
+    """Nested results as JSON documents (T3); NaN and infinity are null."""
+    rows = table(spark, sf, "labels").groupBy("quality").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("toxic") == 1).alias("t"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+    nested = rows.select("quality", "n", F.struct(F.col("t").alias("n"), F.round(F.col("t") / F.col("n"), 3).alias("share")).alias("toxic"),
+                         F.array("a", "b").alias("ids"), F.lit(float("nan")).alias("undefined"), F.lit(float("inf")).alias("infinite"))
+    return documents.json_documents(nested).select(F.get_json_object("document", "$.quality").cast("int").alias("quality"), "document")
+
+
+@query("stage_runs",
+       "WITH n AS (SELECT count(*) AS r FROM labels) SELECT * FROM (SELECT 1 AS run, 'written' AS status, 'no_result' AS reason, r AS rows FROM n "
+       "UNION ALL SELECT 2, 'exists', NULL, r FROM n UNION ALL SELECT 3, 'written', 'inputs_or_parameters_changed', r FROM n "
+       "UNION ALL SELECT 4, 'written', 'forced', r FROM n)")
+def stage_runs(spark, sf):
+    """A stage over the labels table, run again as it was, with another
+    parameter, and by force (E3)."""
+    out, source = _fresh(spark, "stage"), f"{sf.rstrip('/')}/labels.parquet"
+    rows = []
+    for run, (seed, force) in enumerate([(1, False), (1, False), (2, False), (2, True)], 1):
+        made = stages.run_stage(spark, out, lambda: table(spark, sf, "labels"), [source], {"seed": seed}, force)
+        rows.append((run, made.status, made.reason, made.rows))
+    return spark.createDataFrame(rows, "run int, status string, reason string, rows long")

@@ -15,7 +15,7 @@ than the header or there is no row; missing fields of short rows are null.
 
 The policy ``auto`` takes both from the profile: UTF-8 if valid, else cp1252 if
 there are bytes 0x80-0x9F (control characters in Latin-1, quotes, dashes and the
-euro sign in cp1252), else Latin-1; and the separator that most lines have
+euro sign in cp1252), else Latin-1; and of the separators in the header the one that most lines have
 equally often.  Spark decodes no cp1252, so its 27 characters are put in after
 Latin-1.  A missing path or a lost executor is an error of its own and not taken
 for an unreadable layout.
@@ -78,7 +78,8 @@ def _read(spark: SparkSession, path: str, encoding: str, sep: str, multi_line: b
 def profile(spark: SparkSession, path: str) -> dict:
     """What one pass over the raw lines tells: ``valid`` UTF-8, ``c1`` (lines
     with bytes 0x80-0x9F), ``multi_line``, ``balanced`` quotes, and per
-    separator ``counts``: (lower and upper quartile, median) per line."""
+    separator ``header``: how often it is in a first line, and ``counts``:
+    quartiles of its number per line."""
     line = F.col("value")
     quotes = F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))
     latin = F.decode(line.cast("binary"), "ISO-8859-1")
@@ -89,19 +90,22 @@ def profile(spark: SparkSession, path: str) -> dict:
                                    F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"n{i}")
                       for i, s in enumerate(SEPARATORS)]).first()
     odd = bool(row["odd"])
+    head = spark.read.text(path).filter(F.col("_metadata.file_block_start") == 0).select(F.decode(line.cast("binary"), "ISO-8859-1")).first()
     return {"valid": row["valid"] is not False, "c1": row["c1"] or 0, "multi_line": odd,
             "balanced": not odd or RC.balanced(RC.block_states(RC.raw_lines(spark, path))),
+            "header": {s: head[0].count(s) if head else 0 for s in SEPARATORS},
             "counts": {s: tuple(row[f"n{i}"] or (0, 0, 0)) for i, s in enumerate(SEPARATORS)}}
 
 
 def automatic(found: dict) -> tuple[str, str]:
-    """(encoding, separator) of a profile: the separator that as many lines as
-    possible have equally often; of equal ones the more frequent, then the first."""
+    """(encoding, separator) of a profile: of the separators in the header the
+    one that as many lines as possible have equally often; of equal ones the
+    more frequent in the header, then the first."""
     encoding = "utf-8" if found["valid"] else "cp1252" if found["c1"] else "iso-8859-1"
     def worth(s):
         low, middle, high = found["counts"][s]
-        return middle > 0, -(high - low) / max(middle, 1), middle, -SEPARATORS.index(s)
-    return encoding, max(SEPARATORS, key=worth)
+        return middle > 0, -(high - low) / max(middle, 1), found["header"][s], -SEPARATORS.index(s)
+    return encoding, max([s for s in SEPARATORS if found["header"][s]] or SEPARATORS[:1], key=worth)
 
 
 def _na_to_null(df: DataFrame) -> DataFrame:
@@ -148,10 +152,10 @@ def read_reviews(spark: SparkSession, path: str, policy: str = "reference_order"
     return _na_to_null(df.drop(EXTRA))
 
 
-def write_reviews_csv(df: DataFrame, path: str, sep: str = ",") -> None:
+def write_reviews_csv(df: DataFrame, path: str, sep: str = ",", encoding: str = "utf-8") -> None:
     """Write a review table as CSV the way the readers expect it (header,
     quotes doubled, whitespace kept)."""
-    (df.write.mode("overwrite").option("header", True).option("sep", sep)
+    (df.write.mode("overwrite").option("header", True).option("sep", sep).option("encoding", encoding)
        .option("quote", '"').option("escape", '"')
        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
        .csv(path))
