@@ -36,6 +36,8 @@ from .packing import packed, unpacked
 
 #: Text bytes per block, seeds a task gathers before it deals them out.
 BLOCK_BYTES, HELD = 6 << 20, 1 << 19
+#: Ids of several texts up to which they are broadcast.
+FEW = 100_000
 ROUTED = "block int, kind int, body binary"
 LISTED = "shelf int, body binary"
 HERE, THERE = 0, 1  # routed rows: results for the shelf ``block``, passing through; to be judged in the block
@@ -108,16 +110,31 @@ def block_of(seed: np.ndarray, n_blocks: int) -> np.ndarray:
     return ((seed >> np.uint64(16)) % np.uint64(n_blocks)).astype(np.int64)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
+def keyed(docs: DataFrame, few: int = FEW) -> DataFrame:
     """(doc_id, did, tid, text): did orders documents (null last), tid tells
-    apart texts that share a doc_id."""
+    apart texts that share a doc_id and is 0 where none does, so that it
+    takes no room in the packed rows.  Repeated ids are counted over ids alone;
+    up to ``few`` of them are broadcast, with more every text has its tid."""
     text = F.coalesce("text", F.lit(""))
-    return docs.select("doc_id", doc_key().alias("did"), F.xxhash64(text).alias("tid"), text.alias("text"))
+    rows = docs.select("doc_id", doc_key().alias("did"), text.alias("text"))
+    again = docs.select(doc_key().alias("again")).groupBy("again").count().filter("count > 1").select("again")
+    n = again.limit(few + 1).count()
+    told, none = F.xxhash64("text"), F.lit(0).cast("long")
+    if not n:
+        told = none
+    elif n <= few:
+        rows = rows.join(F.broadcast(again), F.col("did") == F.col("again"), "left")
+        told = F.when(F.col("again").isNotNull(), told).otherwise(none)
+    return rows.select("doc_id", "did", told.alias("tid"), "text")
 
 
 def block_count(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> int:
+    """A prime, so that ids in any regular steps spread over all shelves."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // block_bytes))
+    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // block_bytes))
+    while any(n % k == 0 for k in range(2, int(n ** 0.5) + 1)):
+        n += 1
+    return n
 
 
 def groups_of(values: np.ndarray, order: np.ndarray) -> np.ndarray:

@@ -49,6 +49,18 @@ def test_long_texts_in_pieces(mixed, table_of):
     assert by_id(got, "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.byte_dedup(rows)
 
 
+def test_shared_ids_in_any_number(table_of, spark):
+    """Texts that share an id are told apart with few of them (broadcast) and with many."""
+    from revspark.llm import repeats
+    rows = [*EDGE, (20, "unique text here")]
+    for few in (repeats.FEW, 1):
+        got = Counter(map(tuple, repeats.keyed(table_of(rows), few).select("did", "tid").distinct().collect()))
+        of = Counter(d for d, _ in got)
+        assert of[5] == 2 and of[7] == of[8] == of[9] == of[20] == 1 and of[(1 << 63) - 1] == 2
+    alone = repeats.keyed(table_of([(1, "a"), (2, None)])).select("did", "tid").collect()
+    assert sorted(map(tuple, alone)) == [(1, 0), (2, 0)]
+
+
 def test_factors_cross_boundaries():
     """A window over the end of one copied passage and the start of the next
     is looked up on its own."""
