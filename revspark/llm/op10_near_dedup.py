@@ -31,7 +31,7 @@ the texts themselves, packed, only for classes in a bucket with others.
 Defined results: words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased.  A
 document with fewer words than a shingle has its whole sequence as one; with
 no text or no words its set is empty, it is linked with nothing and kept.  A
-null doc_id is linked with nothing, has a null component and is kept.  Rows
+null doc_id (ids are integers) is linked with nothing, has a null component and is kept.  Rows
 that share a doc_id are one document; ``keep_one`` leaves one row of it.  An
 empty table gives an empty result.  Other columns are ignored by ``judge``
 and unchanged in ``keep_one``.
@@ -42,6 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,8 +55,8 @@ BANDS, ROWS = 32, 4
 SHINGLE, SIMILARITY = 5, 80
 #: Members of a bucket whose open pairs are listed; larger buckets are compared in blocks of two chunks.
 FEW, CHUNK = 32, 2048
-#: Pairs whose sets a task holds at once.
-PAIRS = 500
+#: Bytes of packed texts whose sets a task holds at once (about twelve times as much memory).
+PACKED_BYTES = 4 << 20
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _FULL = np.uint64((1 << 64) - 1)
@@ -167,8 +168,10 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, similarity: int) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, PAIRS):
-                batch, keep = whole.slice(at, PAIRS), []
+            size_of = np.cumsum(sum(np.asarray(pc.fill_null(pc.binary_length(whole.column(i)), 0)).astype(np.int64) for i in (2, 3)))
+            edges = np.flatnonzero(np.diff(size_of // PACKED_BYTES, prepend=-1))  # a longer pair is a part of its own
+            for at, end in zip(edges.tolist(), [*edges[1:].tolist(), whole.num_rows]):
+                batch, keep = whole.slice(at, end - at), []
                 for x, y in zip(sets_of(batch.column(2), size), sets_of(batch.column(3), size)):
                     if len(y) < len(x):
                         x, y = y, x
