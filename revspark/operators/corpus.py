@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from ..functions.tokens import content_words, whitespace_tokens
 from .rows import attach_row
 
+#: Registers of a vocabulary sketch, as a power of two: a relative error of about 0.8 / 2 ** (LG_K / 2).
+LG_K = 15
 ROUND = 6
 
 
@@ -42,8 +44,26 @@ def top_words(df: DataFrame, text_col: str = "text", n: int = 15) -> DataFrame:
         "word", "n")
 
 
-def vocabulary_stats(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """Total and distinct case-sensitive whitespace tokens (one row)."""
+def vocabulary_sketches(df: DataFrame, by: tuple = (), text_col: str = "text", lg_k: int = LG_K) -> DataFrame:
+    """``(*by, total_words, sketch)``: a mergeable sketch of the distinct
+    tokens of each part, 2 ** lg_k registers whatever the vocabulary."""
+    toks = df.select(*by, F.explode(whitespace_tokens(F.col(text_col))).alias("tok"))
+    return toks.groupBy(*by).agg(F.count(F.lit(1)).alias("total_words"), F.hll_sketch_agg("tok", lg_k).alias("sketch"))
+
+
+def merged_vocabulary(sketches: DataFrame, by: tuple = ()) -> DataFrame:
+    """``(*by, total_words, unique_words)`` of sketches put together; the
+    union of parts is the sketch of the whole."""
+    both = sketches.groupBy(*by).agg(F.coalesce(F.sum("total_words"), F.lit(0)).alias("total_words"), F.hll_union_agg("sketch").alias("sketch"))
+    return both.select(*by, "total_words", F.coalesce(F.hll_sketch_estimate("sketch"), F.lit(0).cast("long")).alias("unique_words"))
+
+
+def vocabulary_stats(df: DataFrame, text_col: str = "text", approx: bool = False) -> DataFrame:
+    """Total and distinct case-sensitive whitespace tokens (one row).  With
+    ``approx`` distinct tokens are estimated (about 0.4 % error) and no token
+    is shuffled."""
+    if approx:
+        return merged_vocabulary(vocabulary_sketches(df, (), text_col))
     toks = df.select(F.explode(whitespace_tokens(F.col(text_col))).alias("tok"))
     return toks.agg(F.count(F.lit(1)).alias("total_words"),
                     F.count_distinct("tok").alias("unique_words"))

@@ -7,18 +7,19 @@
   expressions, an Arrow batch sums them per row, nothing is shuffled and
   other columns stay beside the vector.  It stands in for the
   sentence-transformer weights that are not available offline.
-* :func:`embed_texts` – the pluggable batch encoder path: an iterator of
-  pandas batches via ``mapInPandas`` (Arrow transfer), the encoder is built
-  once per Python worker and called on batches of ``batch_size`` texts.
-  With the default encoder it returns the same vectors as
-  :func:`hash_embeddings`.
+* :func:`embed_texts` – the batch encoder path: Arrow batches, the encoder is
+  built once per task and called on batches of ``batch_size`` texts of similar
+  length, cut to a number of tokens.  With the default encoder and no cut it
+  returns the same vectors as :func:`hash_embeddings`.  :func:`embed_with`
+  picks the encoder by name, with a fallback.
 """
 from __future__ import annotations
 
 import hashlib
+import re
+from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,8 @@ from ..functions.text import SPACE
 
 DIM = 384
 BATCH = 32
+# Fixed value: tokens of a text that an encoder reads.
+MAX_TOKENS = 512
 R = 6
 
 
@@ -90,47 +93,113 @@ def hash_embeddings(df: DataFrame, text_col: str = "text", id_col: str = "id", d
     return rows.select("id", *(keep or []), vector.alias("embedding"))
 
 
-# -- pluggable batch encoder (E1) ------------------------------------------------
+# -- batch encoders (E1) -----------------------------------------------------------
 
-def hashing_encoder(dim: int = DIM):
-    """Default encoder: numpy version of the signed hashed bag of words."""
-    import re
-    splitter = re.compile(r"\s+")
+class HashingEncoder:
+    """The hashed bag of words on batches: each distinct token is hashed once
+    per batch, the signs are summed by one count."""
 
-    def encode(texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), dim), dtype=np.float64)
-        for i, t in enumerate(texts):
-            for w in splitter.split(t.strip()):
-                if not w:
-                    continue
-                hx = hashlib.md5(w.encode("utf-8")).hexdigest()
-                out[i, int(hx[:7], 16) % dim] += 1.0 if int(hx[7], 16) < 8 else -1.0
+    def __init__(self, dim: int = DIM):
+        self.dim = dim
+
+    def __call__(self, texts: list[str]) -> np.ndarray:
+        words = [_WORD.findall(t) for t in texts]
+        place = {w: i for i, w in enumerate(dict.fromkeys(w for row in words for w in row))}
+        digests = [hashlib.md5(w.encode("utf-8", "replace")).hexdigest() for w in place]
+        bucket = np.array([int(h[:7], 16) % self.dim for h in digests], dtype=np.int64)
+        sign = np.array([1.0 if int(h[7], 16) < 8 else -1.0 for h in digests])
+        at = np.array([place[w] for row in words for w in row], dtype=np.int64)
+        row = np.repeat(np.arange(len(texts)), [len(r) for r in words])
+        out = np.bincount(row * self.dim + bucket[at], weights=sign[at], minlength=len(texts) * self.dim).reshape(-1, self.dim)
         norms = np.linalg.norm(out, axis=1, keepdims=True)
         np.divide(out, norms, out=out, where=norms > 0)
         return out.astype(np.float32)
-    return encode
+
+
+def hashing_encoder(dim: int = DIM) -> HashingEncoder:
+    """Factory of the default encoder."""
+    return HashingEncoder(dim)
+
+
+_WORD = re.compile(r"\S+")
+FALLBACK = f"hash-{DIM}"
+# Names of the sentence encoders that can be asked for, the first by default.
+PRETRAINED = ("all-MiniLM-L6-v2", "all-mpnet-base-v2", "paraphrase-MiniLM-L6-v2", "all-MiniLM-L12-v2",
+              "paraphrase-multilingual-MiniLM-L12-v2")
+
+
+def pretrained_encoder(name: str) -> Callable[[], Callable[[list[str]], np.ndarray]]:
+    """Factory of a sentence encoder; its package and weights must be there."""
+    def load():
+        from sentence_transformers import SentenceTransformer
+        model = SentenceTransformer(name, local_files_only=True)
+        return lambda texts: model.encode(texts, batch_size=len(texts), show_progress_bar=False)
+    return load
+
+
+#: Encoders by name: factories, called once per task; others may be added.
+ENCODERS: dict[str, Callable[[], Callable[[list[str]], np.ndarray]]] = {
+    FALLBACK: hashing_encoder, **{name: pretrained_encoder(name) for name in PRETRAINED}}
+
+
+def find_encoder(name: str, fallback: str = FALLBACK) -> tuple[str, Callable, str | None]:
+    """(name, factory, reason): the encoder of that name if it is known and
+    can be made here, else the fallback and why."""
+    if name not in ENCODERS:
+        return fallback, ENCODERS[fallback], f"unknown encoder {name!r}"
+    try:
+        ENCODERS[name]()(["probe"])
+    except (ImportError, OSError, ValueError) as e:  # not installed, or its weights are not there
+        return fallback, ENCODERS[fallback], f"{type(e).__name__}: {e}"
+    return name, ENCODERS[name], None
+
+
+def truncated(c, max_tokens: int):
+    """The first ``max_tokens`` tokens of a text."""
+    return F.array_join(F.slice(_tokens(c), 1, max_tokens), " ")
 
 
 def embed_texts(df: DataFrame, text_col: str = "text", id_col: str = "id",
-                encoder_factory=hashing_encoder, batch_size: int = BATCH) -> DataFrame:
+                encoder_factory=hashing_encoder, batch_size: int = BATCH, max_tokens: int | None = None) -> DataFrame:
     """``(id, embedding)`` computed batch-wise in Python workers.
 
     ``encoder_factory()`` is called once per task (e.g. to load model
-    weights) and must return ``encode(list[str]) -> ndarray[n, d]``.  A
-    failing batch fails the task (Spark retries it); no zero vectors are
-    substituted.
+    weights) and must return ``encode(list[str]) -> ndarray[n, d]``.  Texts
+    are cut to ``max_tokens`` tokens, by Spark, and come in batches of texts
+    of similar length, so that an encoder that pads wastes little; results
+    keep the order of the rows.  A failing batch fails the task (Spark
+    retries it); no zero vectors are substituted.
     """
-    sel = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    kind = df.schema[id_col].dataType.simpleString()
+    sel = df.select(F.col(id_col).alias("id"), (text if max_tokens is None else truncated(text, max_tokens)).alias("text"))
 
     def run(batches):
         encode = encoder_factory()
-        for pdf in batches:
-            texts = pdf["text"].tolist()
-            parts = [encode(texts[i:i + batch_size]) for i in range(0, len(texts), batch_size)]
-            vecs = np.vstack(parts) if parts else np.zeros((0, 0), dtype=np.float32)
-            yield pd.DataFrame({"id": pdf["id"].values, "embedding": list(vecs)})
-
-    return sel.mapInPandas(run, schema="id long, embedding array<float>")
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            order = np.argsort([len(t) for t in texts], kind="stable")
+            out = None
+            for at in range(0, len(texts), batch_size):
+                some = order[at:at + batch_size]
+                vectors = np.asarray(encode([texts[i] for i in some]), dtype=np.float32)
+                if out is None:
+                    out = np.empty((len(texts), vectors.shape[1]), dtype=np.float32)
+                out[some] = vectors
+            if out is not None:
+                n, d = out.shape
+                rows = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * d), pa.array(out.ravel()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), rows], names=["id", "embedding"])
+
+    return sel.mapInArrow(run, f"id {kind}, embedding array<float>")
+
+
+def embed_with(df: DataFrame, model: str = PRETRAINED[0], max_tokens: int = MAX_TOKENS, **options) -> tuple[DataFrame, dict]:
+    """The embedding stage: vectors by the named encoder or the fallback, and
+    a record of what was used."""
+    name, factory, reason = find_encoder(model)
+    record = {"model_requested": model, "model_used": name, "fallback_reason": reason, "max_tokens": max_tokens}
+    return embed_texts(df, encoder_factory=factory, max_tokens=max_tokens, **options), record
 
 
 # -- embedding table profile ------------------------------------------------------

@@ -1,8 +1,11 @@
 """Queries of the corpus analytics (words, histogram, overview, previews)."""
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..functions.tokens import LETTERS, STOPWORDS
 from ..operators import corpus, filters
+from ..operators.rows import attach_row
 from ..sources.tables import reviews
 from .oracle_text import SPACE, cleaned_cte, q, rr
 from .registry import query
@@ -57,6 +60,24 @@ def vocabulary_stats(spark, sf):
     return corpus.vocabulary_stats(processed(spark, sf))
 
 
+@query("vocabulary_sketch",
+       PROCESSED_SQL + f", w AS (SELECT label, unnest({WS_TOKENS_SQL}) AS tok FROM processed) "
+       "SELECT 'whole' AS part, count(*) AS total_words, TRUE AS within, TRUE AS same FROM w UNION ALL "
+       "SELECT 'by label', count(*), TRUE, TRUE FROM w")
+def vocabulary_sketch(spark, sf):
+    """Distinct tokens by sketches (A8): of the whole table, and of the parts
+    by label put together.  ``within``: at most 2 % off the exact number;
+    ``same``: both ways give the same estimate."""
+    rows = processed(spark, sf)
+    whole = corpus.vocabulary_stats(rows, approx=True).withColumn("part", F.lit("whole"))
+    parts = corpus.merged_vocabulary(corpus.vocabulary_sketches(rows, ("label",))).withColumn("part", F.lit("by label"))
+    exact = corpus.vocabulary_stats(rows).select(F.col("unique_words").alias("exact"))
+    both = attach_row(whole.unionByName(parts), exact)
+    same = attach_row(both, whole.select(F.col("unique_words").alias("once")))
+    close = F.abs(F.col("unique_words") - F.col("exact")) <= 0.02 * F.col("exact")
+    return same.select("part", "total_words", close.alias("within"), (F.col("unique_words") == F.col("once")).alias("same"))
+
+
 @query("session_overview",
        PROCESSED_SQL + f", a AS (SELECT count(*) AS total_reviews, "
        "count(*) FILTER (WHERE label = 1) AS positive_count, count(*) FILTER (WHERE label = 0) AS negative_count, "

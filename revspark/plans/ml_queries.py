@@ -50,6 +50,22 @@ def embed_texts(spark, sf):
     return EM.embed_texts(_embed_docs(spark, sf))
 
 
+_CUT = HASH_SQL.replace("unnest(list_filter(", "unnest(list_slice(list_filter(").replace(
+    "lambda w: length(w) > 0)) AS w FROM v)", "lambda w: length(w) > 0), 1, 512)) AS w FROM v)")
+
+
+@query("encoder_entries",
+       f"SELECT id, dim, CAST(floor(1000 * value / max(abs(value)) OVER (PARTITION BY id) + 0.5001) AS INTEGER) AS per_mille FROM ({_CUT})")
+def encoder_entries(spark, sf):
+    """The encoder stage (E1): the asked encoder or the fallback, texts cut to
+    512 tokens, batches of similar lengths.  Non-zero entries of the single
+    precision vectors in thousandths of the largest."""
+    vectors, _ = EM.embed_with(_embed_docs(spark, sf))
+    largest = F.array_max(F.transform("embedding", F.abs)).cast("double")
+    rows = vectors.select("id", largest.alias("m"), F.posexplode("embedding").alias("dim", "value")).filter("value <> 0")
+    return rows.select("id", "dim", F.floor(1000 * F.col("value").cast("double") / F.col("m") + 0.5001).cast("int").alias("per_mille"))
+
+
 # -- embedding table ------------------------------------------------------------------
 
 @query("embedding_profile",
