@@ -51,7 +51,8 @@ def embed_texts(spark, sf):
 
 
 _CUT = HASH_SQL.replace("unnest(list_filter(", "unnest(list_slice(list_filter(").replace(
-    "lambda w: length(w) > 0)) AS w FROM v)", "lambda w: length(w) > 0), 1, 512)) AS w FROM v)")
+    "lambda w: length(w) > 0)) AS w FROM v)", "lambda w: length(w) > 0), 1, 512)) AS w FROM v)").replace(
+    f"round(v / norm, {R})", "v / norm")
 
 
 @query("encoder_entries",
