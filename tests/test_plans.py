@@ -27,6 +27,15 @@ def test_split_never_moves_the_text(spark):
     assert moved and not any("text#" in blk for blk in moved)
 
 
+def test_split_cleans_once(spark):
+    """Narrow rows are cleaned before the split; only a table with texts is cleaned once more to be assigned."""
+    narrow = _plan(E.queries()["split_standard_reviews"](spark, SF001), "extended").split("== Physical Plan ==")[1]
+    assert "regexp_replace" not in narrow
+    from revspark.plans.ml_queries import split_reviews
+    whole = _plan(split_reviews(spark, SF001), "extended").split("== Physical Plan ==")[1]
+    assert whole.count("Scan parquet") <= 2  # the texts and the labels, one time each
+
+
 def test_hashed_vectors_do_not_shuffle(spark):
     from revspark.operators import embedding
     df = spark.createDataFrame([(1, "a b a", 0), (2, "", 1), (3, None, 1)], "id long, text string, label int")

@@ -43,6 +43,14 @@ def test_query_without_sql_gives_rows(spark, key):
     assert len(df.columns) == len(set(df.columns))
 
 
+@pytest.mark.parametrize("key", sorted(SLOW))
+def test_training_query_gives_rows(spark, key):
+    rows = E.queries()[key](spark, SF001).collect()
+    assert rows and all(r["same"] for r in rows if "same" in r.asDict())
+    if key == "job_metrics":
+        assert {(r["model"], r["status"]) for r in rows} == {("mlp", "evaluated"), ("svm", "evaluated")}
+
+
 def test_entry(spark):
     df = E.entry(spark)
     assert set(df.columns) == {"label", "n", "avg_length", "avg_words"} and df.count() >= 1
