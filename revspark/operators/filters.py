@@ -109,3 +109,19 @@ def scored_reviews(texts: DataFrame, scored: DataFrame, width: int = 100) -> Dat
 def preview_head(df: DataFrame, n: int = 10) -> DataFrame:
     """First ``n`` rows by id (a top-n, not a sample)."""
     return df.orderBy("id").limit(n)
+
+
+def preview_first(raw: DataFrame, ids: DataFrame, process, n: int = 10) -> DataFrame:
+    """``preview_head`` of ``process(raw)`` without processing all of it:
+    only rows up to the id that is the 4n-th smallest, then the 16n-th and so
+    on, until ``n`` of them survive.  ``ids``: the column ``id`` of ``raw``;
+    ``process`` keeps ids and drops or changes rows one by one."""
+    many = 4 * n
+    while True:
+        first = [r["id"] for r in ids.filter("id IS NOT NULL").orderBy("id").limit(many).collect()]  # ids alone
+        if len(first) < many:  # all there are
+            return preview_head(process(raw), n)
+        found = preview_head(process(raw.filter(F.col("id") <= F.lit(first[-1]))), n)
+        if found.count() >= n:
+            return found
+        many *= 4

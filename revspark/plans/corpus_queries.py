@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..functions.tokens import LETTERS, STOPWORDS
 from ..operators import corpus, filters
 from ..operators.rows import attach_row
-from ..sources.tables import reviews
+from ..sources.tables import reviews, table
 from .oracle_text import SPACE, cleaned_cte, q, rr
 from .registry import query
 from .text_queries import REVIEWS_SQL, _label_sql
@@ -124,5 +124,8 @@ def review_preview(spark, sf):
 
 @query("preview_head", PROCESSED_SQL + "SELECT id, text, label FROM processed ORDER BY id LIMIT 10")
 def preview_head(spark, sf):
-    return filters.preview_head(processed(spark, sf), 10)
+    raw = reviews(spark, sf)
+    ids = table(spark, sf, "documents").select(F.col("doc_id").alias("id"))
+    return filters.preview_first(raw, ids, lambda df: filters.with_labels(filters.valid_texts(df, "standard"), "standard").select(
+        "id", "text", "label"))
 

@@ -65,3 +65,20 @@ def test_policies_differ(golden_df):
     rows = {p: [r["c"] for r in with_clean_text(golden_df, "text", p, "c").orderBy("id").collect()]
             for p in ("standard", "extended", "embed")}
     assert rows["standard"] != rows["extended"] != rows["embed"]
+
+
+def test_preview_first_equals_processing_everything(spark):
+    from pyspark.sql import functions as F
+
+    from revspark.operators import filters
+    raw = spark.createDataFrame([(i, "short" if i < 300 else f"a long enough text {i}") for i in range(700)], "id long, text string")
+    seen = []
+
+    def process(df):
+        seen.append(df.count())
+        return df.filter(F.length("text") > 10)
+
+    got = filters.preview_first(raw, raw.select("id"), process, 10).collect()
+    assert [r["id"] for r in got] == list(range(300, 310)) and seen == [40, 160, 640]
+    assert filters.preview_first(raw, raw.select("id"), lambda df: df.filter("id > 695"), 10).count() == 4
+    assert filters.preview_first(raw.limit(0), raw.select("id").limit(0), process, 10).collect() == []
