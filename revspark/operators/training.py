@@ -2,7 +2,8 @@
 
 Exact, SQL-checkable parts (standardisation, label encoding, class
 weights, parameter rules, label cleaning) are plain DataFrame operators.
-Training uses Spark ML estimators on a ``Pipeline``:
+The specified models are in ``network`` and ``squared_hinge``; here are the
+Spark ML alternatives on a ``Pipeline``:
 
 * SVM: ``StandardScaler -> LinearSVC`` (hinge loss, L2, ``weightCol`` with
   balanced class weights, ``regParam = 1 / (C * n)``);
@@ -22,7 +23,7 @@ from pyspark.ml.classification import LinearSVC, MultilayerPerceptronClassifier
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .rows import attach_row
@@ -57,11 +58,12 @@ def standardize_entries(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 
 def label_encode(df: DataFrame, label_col: str) -> DataFrame:
-    """Codes 0..k-1 in sorted label order; the distinct labels (one row per
-    class) are ranked and broadcast back."""
-    classes = df.select(label_col).distinct()
-    codes = classes.withColumn("code", F.row_number().over(Window.orderBy(label_col)) - 1)
-    return df.join(F.broadcast(codes), label_col)
+    """Codes 0..k-1 in sorted label order; rows without a label are left out.
+    The classes are one sorted array, summed up in the tasks: an encoder has
+    them all in any case, and no window orders them."""
+    classes = df.agg(F.array_sort(F.collect_set(label_col)).alias("__classes"))
+    rows = attach_row(df.filter(F.col(label_col).isNotNull()), classes)
+    return rows.withColumn("code", (F.array_position("__classes", F.col(label_col)) - 1).cast("int")).drop("__classes")
 
 
 def class_weights(df: DataFrame, label_col: str = "label") -> DataFrame:
