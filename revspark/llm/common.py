@@ -2,8 +2,11 @@
 cut into stretches of bounded size, and tables kept in the shared folder."""
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -81,3 +84,40 @@ def record_batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
 
 def doc_key(column: str = "doc_id"):
     return F.coalesce(F.col(column).cast("long"), F.lit(LAST))
+
+
+#: What operators keep in a worker process between tasks, and how each gives it back.
+_kept: dict[str, Callable[[], object]] = {}
+_last = [""]
+
+
+def keeps(operator: str, clear: Callable[[], object]) -> None:
+    _kept[operator] = clear
+
+
+def task(operator: str):
+    """Decorates the work of a task on Arrow batches.  Worker processes are
+    used again by later stages: what tasks of other operators kept is given
+    back first, and freed memory goes back to the system at the end."""
+    def wrap(run):
+        @functools.wraps(run)
+        def inner(batches):
+            if _last[0] != operator:
+                _last[0] = operator
+                for name, clear in _kept.items():
+                    if name != operator:
+                        clear()
+            try:
+                yield from run(batches)
+            finally:
+                give_back()
+        return inner
+    return wrap
+
+
+def give_back() -> None:
+    gc.collect()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import rolling as R
-from .common import documents, in_stretches, stored, text_bytes
+from .common import documents, in_stretches, stored, task, text_bytes
 from .components import components
 from .packing import packed, unpacked
 
@@ -131,6 +131,7 @@ def band_keys(coordinates: np.ndarray, bands: int) -> np.ndarray:
 def sketch_table(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     """doc_id, n_shingles, k1, k2 (128-bit hash of the set), bands."""
 
+    @task("op10")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_stretches(batches):
             value, off = shingle_sets(*text_bytes(batch.column(1)), size)
@@ -166,6 +167,7 @@ def sets_of(column: pa.Array, size: int) -> list[np.ndarray]:
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int, similarity: int) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= similarity * union."""
 
+    @task("op10")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             size_of = np.cumsum(sum(np.asarray(pc.fill_null(pc.binary_length(whole.column(i)), 0)).astype(np.int64) for i in (2, 3)))
@@ -234,6 +236,7 @@ def links_in_blocks(many: DataFrame, texts: DataFrame, size: int, similarity: in
     rows = rows.select(block.alias("block"), "id", "c", (F.col("own") <= F.col("other")).alias("first"),
                        (F.col("own") == F.col("other")).alias("alone"), "packed")
 
+    @task("op10")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held = None, []
         for batch in batches:

@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, in_stretches, stored
+from .common import documents, in_stretches, keeps, stored
 from .op8_bpe import WHITE, WHITE_POINTS, byte_alphabet
 
 #: Fragments kept per worker, and the length up to which one is kept.
@@ -206,6 +206,7 @@ class Aligner:
 
 
 _aligners: dict[str, Aligner] = {}
+keeps("op12", _aligners.clear)
 
 
 def aligner_for(config: str, model: bytes) -> Aligner:

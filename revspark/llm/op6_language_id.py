@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, task
 
 UND = "und"
 SAMPLE_DOCS = 400
@@ -110,6 +110,7 @@ def predict(docs: DataFrame, model: list[tuple[str, bytes]], search: dict = SEAR
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
+    @task("op6")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
         import zstandard

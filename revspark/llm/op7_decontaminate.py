@@ -51,7 +51,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from revspark.sources.tables import table
 
 from . import rolling as R
-from .common import documents, in_stretches, stored
+from .common import documents, in_stretches, stored, task
 
 GRAM, COMMON, MIN_SCORE, BLOCK_CHARS, SCAN_BLOCKS = 3, 2.0, 0.6, 4_000_000, 4
 MATCH, MISS, GAP = 2, 1, 1
@@ -252,6 +252,7 @@ def scan_leaks(docs: DataFrame, parts: list[list[tuple]], gram: int, common: flo
     sc = docs.sparkSession.sparkContext
     shared = [sc.broadcast(Items([t for _, t in part], gram, min_score)) for part in parts]
 
+    @task("op7")
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = [np.zeros(len(x.value.grams), dtype=np.int64) for x in shared]
         for batch in in_stretches(batches, "text"):
@@ -277,6 +278,7 @@ def scan_leaks(docs: DataFrame, parts: list[list[tuple]], gram: int, common: flo
     entry = to_arrow_type(_parsed(docs, kind))
     order = lambda x: (x is None, x if x is not None else 0)
 
+    @task("op7")
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_stretches(batches, "text"):
             words, off = words_by_text(batch.column(at).to_pylist())

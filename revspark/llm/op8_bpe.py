@@ -38,10 +38,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import documents, in_stretches
+from .common import documents, in_stretches, keeps, task
 
 #: Fragments kept per worker (about 250 bytes each); a longer fragment is not kept.
-CACHE, CACHE_LENGTH = 600_000, 64
+CACHE, CACHE_LENGTH = 300_000, 64
 #: Text bytes whose unknown fragments are encoded together; longer parts are encoded one by one.
 STRETCH, LONG = 4 << 20, 128
 NONE = np.iinfo(np.int64).max
@@ -229,6 +229,7 @@ class ByteBPE:
 
 
 _codecs: dict[str, ByteBPE] = {}
+keeps("op8", _codecs.clear)
 
 
 def codec_for(config: str) -> ByteBPE:
@@ -253,6 +254,7 @@ def encode_digests(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
 
+    @task("op8")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_for(shared.value)
         for batch in in_stretches(batches, "text", STRETCH):
@@ -271,6 +273,7 @@ def encode_ids(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """doc_id and the token ids of every row (``ids array<int>``)."""
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
 
+    @task("op8")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_for(shared.value)
         for batch in in_stretches(batches, "text", STRETCH):
