@@ -28,12 +28,15 @@ def start_clean_stream(spark: SparkSession, source_dir: str, file_glob: str, lab
     """Start the cleaning stream from Parquet files to a Parquet sink.
 
     ``file_glob`` selects the files of ``source_dir`` (e.g. the documents
-    table).  With ``available_now`` the query processes what is there and
-    stops.
+    table), or folders of such files.  With ``available_now`` the query
+    processes what is there and stops.
     """
-    schema = spark.read.parquet(f"{source_dir.rstrip('/')}/{file_glob}").schema
-    src = (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
-                .option("maxFilesPerTrigger", 100).parquet(source_dir)
+    path = f"{source_dir.rstrip('/')}/{file_glob}"
+    schema = spark.read.parquet(path).schema
+    if not any(c in file_glob for c in "*?[{"):
+        # a stream's path is a folder or a pattern: the pattern of this one name, be it a file or a folder
+        path = f"{path[:-1]}[{path[-1]}]"
+    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 100).parquet(path)
                 .select(F.col("doc_id").alias("id"), "text"))
     out = clean_stream_frame(src, labels, policy)
     w = (out.writeStream.format("parquet").option("path", sink_path)

@@ -92,3 +92,19 @@ def test_writers_check_what_they_wrote(spark, tmp_dir):
     assert got == {"train": 2, "test": 1}
     with pytest.raises(ValueError, match="expected"):
         sinks.write_splits(df, os.path.join(tmp_dir, "v"), expected=4)
+
+
+@pytest.mark.parametrize("folder", [False, True])
+def test_stream_of_a_table_in_one_file_or_a_folder_of_files(spark, tmp_dir, folder):
+    import pandas as pd
+
+    from revspark.plans.io_queries import stream_clean
+    path = os.path.join(tmp_dir, "documents.parquet")
+    if folder:
+        spark.createDataFrame([(i, f"text number {i}") for i in range(7)], "doc_id long, text string").repartition(3).write.parquet(path)
+    else:
+        pd.DataFrame([(i, f"text number {i}") for i in range(7)], columns=["doc_id", "text"]).to_parquet(path)
+    pd.DataFrame([(1, 1), (2, 0)], columns=["doc_id", "quality"]).to_parquet(os.path.join(tmp_dir, "labels.parquet"))
+    pd.DataFrame([(9, "another table")], columns=["doc_id", "text"]).to_parquet(os.path.join(tmp_dir, "benchmark.parquet"))
+    rows = {tuple(r) for r in stream_clean(spark, tmp_dir).select("id", "text", "label").collect()}
+    assert rows == {(i, f"text number {i}", 1 if i == 1 else 0) for i in range(7)}
