@@ -42,8 +42,18 @@ EMAIL_STANDARD = _RUN_START + r"[^" + SPACE + r"]+@[^" + SPACE + r"]+\.[^" + SPA
 EMAIL_EMBED = _RUN_START + r"[^" + SPACE + r"]+@[^" + SPACE + r"]+"
 KEPT_PUNCT = r""".,!?:;'"()\-\[\]"""
 TAG = r"<[^>]+>"
-RUNS = r"[" + WORD + r"]+|[^" + WORD + r"]+"
-CAPS_RUN = r"^[A-Z]{3,}$"
+# Most characters of a text are visible ASCII or a blank: the first half of an
+# intersection rejects these by one comparison, before the class proper, a
+# chain of Unicode tests, is asked.  Runs that a replacement by one blank
+# would leave as they are do not match.
+_ODD_SPACE = r"[\x00-\x1f\x7f-\x{10ffff}&&[" + SPACE + r"]]"
+_ANY_SPACE = r"[\x00-\x20\x7f-\x{10ffff}&&[" + SPACE + r"]]"
+SPACE_RUN = " " + _ANY_SPACE + "+|" + _ODD_SPACE + _ANY_SPACE + "*"
+SPECIAL = r"[\x00-\x1f\x23-\x26\x2a\x2b\x2f\x3c-\x40\x5c\x5e\x60\x7b-\x{10ffff}&&[^" + WORD + SPACE + KEPT_PUNCT + "]]"
+# A word of 3+ ASCII capitals; the capitals are looked for first.  Java looks
+# behind by code points only if the pattern has one above U+FFFF: U+10000, a letter.
+CAPS_START = r"(?=[A-Z]{3,}(?![" + WORD + r"]))(?<![" + WORD + "\U00010000])"
+CAPS_HEAD = r"^[A-Z]{3,}(?![" + WORD + r"])"
 # (?d): only "\n" ends a line for ".", as in Python
 REPEAT_RUN = r"(?d)(.)\1{3,}"
 
@@ -52,64 +62,78 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _replace_if_in(c, literals: list[str], pattern: str, replacement: str) -> Column:
+    """``regexp_replace`` of texts with one of ``literals``, without which
+    ``pattern`` matches nowhere: a search for bytes spares the others the
+    engine.  The input is bound to a lambda variable and so read once."""
+    def change(x):
+        found = x.contains(literals[0])
+        for literal in literals[1:]:
+            found = found | x.contains(literal)
+        return F.when(found, F.regexp_replace(x, pattern, replacement)).otherwise(x)
+    return F.element_at(F.transform(F.array(_c(c)), change), 1)
+
+
 # -- single steps (each one regexp_replace family) ---------------------------
 
 def collapse_whitespace(c) -> Column:
     """Any run of (Python-)whitespace -> one space; then strip both ends."""
-    return F.trim(F.regexp_replace(_c(c), "[" + SPACE + "]+", " "))
+    return F.trim(normalize_spaces(c))
 
 
 def normalize_spaces(c) -> Column:
     """Any run of whitespace -> one space (no stripping)."""
-    return F.regexp_replace(_c(c), "[" + SPACE + "]+", " ")
+    return F.regexp_replace(_c(c), SPACE_RUN, " ")
 
 
 def strip_html(c) -> Column:
     """Remove ``<...>`` tags (adjacent words fuse, as in the reference)."""
-    return F.regexp_replace(_c(c), TAG, "")
+    return _replace_if_in(c, ["<"], TAG, "")
 
 
 def mask_urls(c, policy: str = "standard") -> Column:
     c = _c(c)
     if policy == "standard":
-        return F.regexp_replace(c, URL_STANDARD, "[URL]")
+        return _replace_if_in(c, ["http"], URL_STANDARD, "[URL]")
     if policy == "extended":
-        for p in URL_EXTENDED:
-            c = F.regexp_replace(c, p, "[URL]")
+        for literal, p in zip(["http", "www."], URL_EXTENDED):
+            c = _replace_if_in(c, [literal], p, "[URL]")
         return c
     if policy == "embed":
-        return F.regexp_replace(c, URL_EMBED, "[URL]")
+        return _replace_if_in(c, ["http", "www"], URL_EMBED, "[URL]")
     raise ValueError(f"unknown url policy {policy!r}")
 
 
 def mask_emails(c, policy: str = "standard") -> Column:
     pat = EMAIL_EMBED if policy == "embed" else EMAIL_STANDARD
-    return F.regexp_replace(_c(c), pat, "[EMAIL]")
+    return _replace_if_in(c, ["@"], pat, "[EMAIL]")
 
 
 def squash_punctuation(c) -> Column:
     """``..+`` -> ``...``, ``!!+`` -> ``!!``, ``??+`` -> ``??``."""
-    c = F.regexp_replace(_c(c), r"[.]{2,}", "...")
-    c = F.regexp_replace(c, r"[!]{2,}", "!!")
-    return F.regexp_replace(c, r"[?]{2,}", "??")
+    c = _replace_if_in(c, [".."], r"[.]{2,}", "...")
+    c = _replace_if_in(c, ["!!!"], r"[!]{3,}", "!!")
+    return _replace_if_in(c, ["???"], r"[?]{3,}", "??")
 
 
 def strip_specials(c) -> Column:
     """Every character outside word/space/kept punctuation -> a space."""
-    return F.regexp_replace(_c(c), "[^" + WORD + SPACE + KEPT_PUNCT + "]", " ")
+    return F.regexp_replace(_c(c), SPECIAL, " ")
 
 
 def lower_caps_words(c) -> Column:
     """Lower-case whole words made of 3+ ASCII capitals.
 
-    Spark has no replace-with-callback.  The text is cut into maximal runs
-    of word and of non-word characters (together they are the whole text),
-    runs that are 3+ capitals are lowered, and the runs are joined again.
-    The input is read once, so the expression stays linear when Catalyst
-    inlines it.
+    Spark has no replace-with-callback.  The text is cut before each such
+    word, so that a piece has at most one, at its head; that is lowered and the
+    pieces are joined again.  The input is read once, so the expression stays
+    linear when Catalyst inlines it.
     """
-    runs = F.regexp_extract_all(_c(c), F.lit(RUNS), 0)
-    return F.array_join(F.transform(runs, lambda w: F.when(w.rlike(CAPS_RUN), F.lower(w)).otherwise(w)), "")
+    def lowered(piece):
+        head = F.length(F.regexp_extract(piece, CAPS_HEAD, 0))
+        return F.concat(F.lower(F.substring(piece, F.lit(1), head)), F.substring(piece, head + 1, F.length(piece)))
+    pieces = F.split(_c(c), CAPS_START, -1)
+    return F.array_join(F.transform(pieces, lambda w: F.when(w.rlike(CAPS_HEAD), lowered(w)).otherwise(w)), "")
 
 
 def squeeze_repeats(c) -> Column:
@@ -175,7 +199,7 @@ def with_clean_text(df, in_col: str = "text", policy: str = "standard",
 
 def word_count(c) -> Column:
     """Number of whitespace-separated tokens (Python ``len(str.split())``)."""
-    toks = F.split(F.trim(F.regexp_replace(_c(c), "[" + SPACE + "]+", " ")), " ", -1)
+    toks = F.split(collapse_whitespace(c), " ", -1)
     return F.size(F.filter(toks, lambda x: F.length(x) > 0))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import SPACE
+from .text import SPACE, collapse_whitespace
 
 # The Italian + English stopword set of the word statistics, in
 # the reference's order (duplicates included; membership is what matters).
@@ -51,11 +51,11 @@ def content_words(c, stopwords=None) -> Column:
     # isin over > 10 literals is planned as a hash-set lookup (InSet).
     stop = sorted(set(stopwords or STOPWORDS))
     t = F.regexp_replace(F.lower(_c(c)), "[^" + LETTERS + SPACE + "]", " ")
-    toks = F.split(F.trim(F.regexp_replace(t, "[" + SPACE + "]+", " ")), " ", -1)
+    toks = F.split(collapse_whitespace(t), " ", -1)
     return F.filter(toks, lambda w: (F.length(w) >= MIN_WORD_LENGTH) & ~w.isin(*stop))
 
 
 def whitespace_tokens(c) -> Column:
     """Case-sensitive whitespace tokens (Python ``str.split()``)."""
-    toks = F.split(F.trim(F.regexp_replace(_c(c), "[" + SPACE + "]+", " ")), " ", -1)
+    toks = F.split(collapse_whitespace(c), " ", -1)
     return F.filter(toks, lambda w: F.length(w) > 0)

@@ -82,3 +82,31 @@ def test_preview_first_equals_processing_everything(spark):
     assert [r["id"] for r in got] == list(range(300, 310)) and seen == [40, 160, 640]
     assert filters.preview_first(raw, raw.select("id"), lambda df: df.filter("id > 695"), 10).count() == 4
     assert filters.preview_first(raw.limit(0), raw.select("id").limit(0), process, 10).collect() == []
+
+
+def test_steps_keep_the_results_of_the_plain_patterns(spark):
+    """The faster forms of the steps against the patterns they stand for."""
+    from revspark.functions import text as T
+
+    odd = [" ", "  ", "\t", "\n", "\x0b", FS, "\x85", NBSP, " ", "　", "​", "\x00", "\x7f", "a", "é", "A", "ABC", "HELLO", "Ab", "ABC_", "ÀBC",
+           "9", "٣", "²", "_", "<", "<b>", ">", "http://x.y", "www.", "x@y.z", "@", ".", "..", "....", "!", "!!!", "??", "???", "-", "[", "\\", "^", "~",
+           "😀", "𝐀", "𠀀", "́", "İ"]
+    rows = [(a + b + c,) for a in odd for b in odd for c in odd[::5]]
+    plain = {"normalize_spaces": lambda c: F.regexp_replace(c, "[" + T.SPACE + "]+", " "), "strip_html": lambda c: F.regexp_replace(c, T.TAG, ""),
+             "mask_emails": lambda c: F.regexp_replace(c, T.EMAIL_STANDARD, "[EMAIL]"),
+             "squash_punctuation": lambda c: F.regexp_replace(F.regexp_replace(F.regexp_replace(c, r"[.]{2,}", "..."), "[!]{2,}", "!!"), "[?]{2,}", "??"),
+             "strip_specials": lambda c: F.regexp_replace(c, "[^" + T.WORD + T.SPACE + T.KEPT_PUNCT + "]", " "),
+             "lower_caps_words": lambda c: F.array_join(F.transform(
+                 F.regexp_extract_all(c, F.lit(f"[{T.WORD}]+|[^{T.WORD}]+"), 0), lambda w: F.when(w.rlike("^[A-Z]{3,}$"), F.lower(w)).otherwise(w)), "")}
+    df = spark.createDataFrame([*rows, ("",), (None,)], "t string")
+    for name, f in plain.items():
+        assert df.filter(~getattr(T, name)("t").eqNullSafe(f(F.col("t")))).limit(3).collect() == [], name
+
+
+def test_texts_without_a_step_s_characters_spare_the_regex_engine(spark):
+    """Tags, links, addresses and punctuation runs are looked for by bytes first."""
+    from revspark.functions import text as T
+
+    df = spark.createDataFrame([("a",)], "text string")
+    for f, literals in ((T.strip_html, "<"), (T.mask_urls, "http"), (T.mask_emails, "@"), (T.squash_punctuation, "!!!")):
+        assert f"contains(namedlambdavariable(), {literals})" in df.select(f("text")).columns[0]
