@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ..functions.tokens import LETTERS, STOPWORDS
 from ..operators import corpus, filters
 from ..operators.rows import attach_row
+from ..session import kept
 from ..sources.tables import reviews, table
 from .oracle_text import SPACE, cleaned_cte, q, rr
 from .registry import query
@@ -68,8 +69,9 @@ def vocabulary_sketch(spark, sf):
     """Distinct tokens by sketches (A8): of the whole table, and of the parts
     by label put together.  ``within``: at most 2 % off the exact number;
     ``same``: both ways give the same estimate."""
-    rows = processed(spark, sf)
-    whole = corpus.vocabulary_stats(rows, approx=True).withColumn("part", F.lit("whole"))
+    # four readings follow: the texts are cleaned once and kept in the shared folder
+    rows = kept(processed(spark, sf).select("text", "label"), "vocabulary")
+    whole = corpus.vocabulary_stats(rows, approx=True).withColumn("part", F.lit("whole")).checkpoint()  # one row, read twice
     parts = corpus.merged_vocabulary(corpus.vocabulary_sketches(rows, ("label",))).withColumn("part", F.lit("by label"))
     exact = corpus.vocabulary_stats(rows).select(F.col("unique_words").alias("exact"))
     both = attach_row(whole.unionByName(parts), exact)
