@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import SPACE
+from ..functions.text import collapse_whitespace
 
 DIM = 384
 BATCH = 32
@@ -35,22 +35,23 @@ R = 6
 
 
 def _tokens(c):
-    return F.filter(F.split(F.trim(F.regexp_replace(c, "[" + SPACE + "]+", " ")), " ", -1),
-                    lambda w: F.length(w) > 0)
+    return F.filter(F.split(collapse_whitespace(c), " ", -1), lambda w: F.length(w) > 0)
 
 
 def _codes(c, dim: int):
-    """Per token ``2 * bucket + (1 if negative)``."""
-    def code(w):
-        h = F.md5(w)
-        return (F.conv(F.substring(h, 1, 7), 16, 10).cast("long") % dim * 2
-                + F.when(F.conv(F.substring(h, 8, 1), 16, 10).cast("int") < 8, 0).otherwise(1)).cast("int")
-    return F.transform(_tokens(c), code)
+    """Per token ``2 * bucket + (1 if negative)``, from the first 8 hex digits
+    of its MD5 as one number: 7 digits above, the sign's digit below."""
+    numbers = F.transform(_tokens(c), lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long"))
+    return F.transform(numbers, lambda x: (F.shiftright(x, 4) % dim * 2 + F.shiftright(x.bitwiseAND(8), 3)).cast("int"))
 
 
 def hash_counts(df: DataFrame, text_col: str = "text", dim: int = DIM) -> DataFrame:
     """``df`` without ``text_col``, with ``counts array<int>``: the signed sum
-    of every bucket; null for a text without tokens."""
+    of every bucket, and their ``norm``; null for a text without tokens.
+
+    The norm is a column of the Arrow batches: as an expression over ``counts``
+    a filter on the vector would take it into the vector's lambda, and sum the
+    whole vector up again for each of its entries."""
     others = [c for c in df.columns if c != text_col]
     codes = df.select(*others, _codes(F.coalesce(F.col(text_col), F.lit("")), dim).alias("__codes"))
 
@@ -64,21 +65,19 @@ def hash_counts(df: DataFrame, text_col: str = "text", dim: int = DIM) -> DataFr
             total = np.bincount(slot, weights=1.0 - 2.0 * (code % 2), minlength=len(size) * dim).astype(np.int32)
             rows = pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1, dtype=np.int32) * dim), pa.array(total),
                                             mask=pa.array(size == 0))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], rows], names=[*others, "counts"])
+            norm = np.sqrt((total.reshape(-1, dim).astype(np.int64) ** 2).sum(1).astype(np.float64))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], rows, pa.array(norm, mask=size == 0)], names=[*others, "counts", "norm"])
 
-    schema = T.StructType([*[df.schema[c] for c in others], T.StructField("counts", T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([*[df.schema[c] for c in others], T.StructField("counts", T.ArrayType(T.IntegerType())),
+                           T.StructField("norm", T.DoubleType())])
     return codes.mapInArrow(run, schema)
 
 
-def _norm(counts):
-    return F.sqrt(F.aggregate(counts, F.lit(0).cast("long"), lambda a, v: a + v * v).cast("double"))
-
-
 def hash_embedding_entries(df: DataFrame, text_col: str = "text", id_col: str = "id",
                            dim: int = DIM) -> DataFrame:
     """Sparse form ``(id, dim, value)`` of the normalised hashed vectors."""
     rows = hash_counts(df.select(F.col(id_col).alias("id"), F.col(text_col)), text_col, dim)
-    return (rows.withColumn("norm", _norm(F.col("counts"))).select("id", "norm", F.posexplode("counts").alias("dim", "v"))
+    return (rows.select("id", "norm", F.posexplode("counts").alias("dim", "v"))
                 .filter(F.col("v") != 0).select("id", "dim", (F.col("v") / F.col("norm")).alias("value")))
 
 
@@ -87,7 +86,6 @@ def hash_embeddings(df: DataFrame, text_col: str = "text", id_col: str = "id", d
     """Dense ``(id, *keep, embedding array<float>)``, no shuffle.  A text
     without tokens has a null vector, never zeros."""
     rows = hash_counts(df.select(F.col(id_col).alias("id"), *(keep or []), F.col(text_col)), text_col, dim)
-    rows = rows.withColumn("norm", _norm(F.col("counts")))
     # signs that cancel out in every bucket leave no direction: null as well
     vector = F.when(F.col("norm") > 0, F.transform("counts", lambda v: (v / F.col("norm")).cast("float")))
     return rows.select("id", *(keep or []), vector.alias("embedding"))

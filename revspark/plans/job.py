@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..operators import (detection, embedding, evaluation, filters, modes, network, quality, splits, squared_hinge,
                          training)
 from ..operators.rows import attach_row
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, kept
 
 MIN_ROWS = 3
 
@@ -34,6 +34,7 @@ def prepare(raw: DataFrame, key: str, force_text: str | None = None, force_label
     label = F.col(f"`{picks['label']}`") if picks.get("label") else F.lit(None).cast("string")
     base = raw.select(F.col(f"`{key}`").alias("id"), F.col(f"`{picks['text']}`").alias("text"), label.alias("label_raw"))
     processed = filters.with_labels(filters.valid_texts(base, "standard"), "extended").select("id", "text", "label")
+    processed = kept(processed, "processed")  # cleaned once: counts, splits, profile and vectors read it
     labelled = filters.labelled_only(processed)
     rest = processed.filter(~F.col("label").isin(0, 1)).withColumn("split", F.lit("inference"))
     counts = splits.class_counts(labelled)

@@ -72,3 +72,14 @@ def test_stream_scores_equal_batch_scores(spark, tmp_dir, kind):
     assert 0 < first < len(stream) and len(stream) == len(batch) == 60
     for a, b in zip(stream, batch):
         assert a[:4] == b[:4] and a[4:] == pytest.approx(b[4:])
+
+
+def test_a_filter_on_the_vectors_sums_no_vector_up_again(spark):
+    """The norm comes from the Arrow batches: no aggregate stands in the plan."""
+    from revspark.operators import embedding
+
+    df = spark.createDataFrame([(1, "one two two"), (2, ""), (3, None)], "id long, text string")
+    rows = embedding.hash_embeddings(df).filter("embedding IS NOT NULL")
+    assert "aggregate(" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    found = rows.collect()
+    assert [r["id"] for r in found] == [1] and abs(sum(v * v for v in found[0]["embedding"]) - 1) < 1e-6
