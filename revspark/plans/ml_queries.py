@@ -13,7 +13,7 @@ from ..operators import network as NET
 from ..operators import squared_hinge as SH
 from ..operators import training as TR
 from ..operators.rows import attach_row
-from ..session import scratch_path
+from ..session import kept, scratch_path
 from ..sources.tables import reviews, table
 from .oracle_text import SPACE, cleaned_cte, rr
 from .registry import query
@@ -251,7 +251,7 @@ SPLIT_TEXT_SQL = (f"SELECT s.id, s.label, s.split, c.t AS text FROM ({SPLIT_STD_
 
 def split_reviews(spark, sf):
     df = filters.with_labels(filters.valid_texts(reviews(spark, sf), "standard"), "standard")
-    return splits.split(df.select("id", "label", "text"), "standard")
+    return splits.split(kept(df.select("id", "label", "text"), "reviews"), "standard")  # read for the keys and for the rows
 
 
 PROFILE_SQL = (f"SELECT split, count(*) AS samples, count(label) > 0 AS has_labels, "
