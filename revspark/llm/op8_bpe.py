@@ -43,7 +43,7 @@ from .common import documents, in_stretches, keeps, task
 #: Fragments kept per worker (about 250 bytes each); a longer fragment is not kept.
 CACHE, CACHE_LENGTH = 300_000, 64
 #: Text bytes whose unknown fragments are encoded together; longer parts are encoded one by one.
-STRETCH, LONG = 4 << 20, 128
+STRETCH, LONG = 1 << 20, 128
 NONE = np.iinfo(np.int64).max
 #: The Unicode White_Space characters, as the tokenizer's pattern takes them.
 WHITE_POINTS = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F,

@@ -381,3 +381,23 @@ def test_impossible_pairs_are_in_no_token():
     for token in list(CODEC.token.values())[:5000]:
         if token.decode("utf-8", "ignore") not in CODEC.special:
             assert not any(CODEC.never[a, b] for a, b in zip(token, token[1:]))
+
+
+def test_bpe_encodes_a_batch_in_short_stretches():
+    """What one batch of texts takes at once, whatever its length."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from revspark.llm import op8_bpe
+    from revspark.llm.common import in_stretches
+
+    codec = op8_bpe.ByteBPE(op8_bpe.read_vocabulary())
+    texts = ["some words of a long batch " * 800] * 200
+    codec.digests(texts[:1])
+    tracemalloc.start()
+    rows = [r for b in in_stretches([pa.record_batch([pa.array(texts)], names=["text"])], "text", op8_bpe.STRETCH)
+            for r in codec.digests(b.column(0).to_pylist())]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(set(rows)) == 1 and len(rows) == 200 and peak < 40 << 20, peak
