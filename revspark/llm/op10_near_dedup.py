@@ -164,6 +164,13 @@ def sets_of(column: pa.Array, size: int) -> list[np.ndarray]:
     return out
 
 
+def sets_by_id(ids: pa.Array, column: pa.Array, size: int) -> list[np.ndarray]:
+    """``sets_of`` rows whose texts repeat with their ids, each made once."""
+    _, first, at = np.unique(np.asarray(ids), return_index=True, return_inverse=True)
+    sets = sets_of(column.take(pa.array(first)), size)
+    return [sets[i] for i in at]
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int, similarity: int) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= similarity * union."""
 
@@ -174,7 +181,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, similarity: int) ->
             edges = np.flatnonzero(np.diff(size_of // PACKED_BYTES, prepend=-1))  # a longer pair is a part of its own
             for at, end in zip(edges.tolist(), [*edges[1:].tolist(), whole.num_rows]):
                 batch, keep = whole.slice(at, end - at), []
-                for x, y in zip(sets_of(batch.column(2), size), sets_of(batch.column(3), size)):
+                for x, y in zip(*(sets_by_id(batch.column(i), batch.column(i + 2), size) for i in (0, 1))):
                     if len(y) < len(x):
                         x, y = y, x
                     common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
@@ -223,12 +230,13 @@ def class_links(docs: DataFrame, reps: DataFrame, size: int, similarity: int) ->
 
 def links_in_blocks(many: DataFrame, texts: DataFrame, size: int, similarity: int) -> DataFrame:
     """Links between unconnected members of large buckets.  Buckets that
-    share members make one cluster, so that a text travels once for all of
-    them; its members are dealt to chunks of about ``CHUNK``, and every two
-    chunks meet in a block.  A block compares in memory and emits links only."""
-    cluster = components(many.select(F.col("id").alias("a"), F.col("hub").alias("b")))
-    rows = many.select("id", "c").distinct().join(cluster, "id", "left").select(
-        "id", "c", F.coalesce("component", "id").alias("cluster"))
+    share members are put together, by the smallest hub of the buckets that a
+    member is in, so that a text travels once for most of them; the members of
+    such a cluster are dealt to chunks of about ``CHUNK``, and every two chunks
+    meet in a block.  A block compares in memory and emits links only."""
+    low = many.groupBy("id").agg(F.min("hub").alias("low"))
+    cluster = many.join(low, "id").groupBy("key").agg(F.min("low").alias("cluster"))  # a bucket is never cut
+    rows = stored(many.join(cluster, "key").select("id", "c", "cluster").distinct(), "op10-clusters")
     sizes = rows.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / F.lit(CHUNK)).cast("int").alias("chunks"))
     rows = rows.join(sizes, "cluster").join(texts, "id").withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
     rows = rows.select("id", "c", "packed", "cluster", "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
@@ -293,12 +301,9 @@ def judge(docs: DataFrame, size: int = SHINGLE, similarity: int = SIMILARITY, ba
     usable = table.filter("doc_id IS NOT NULL AND n_shingles > 0")
     classes = stored(usable.groupBy("k1", "k2", "n_shingles").agg(
         F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "op10-classes")
-    # rows that share a doc_id but not a set are one document: linked outright
-    same = usable.select("doc_id", "k1", "k2", "n_shingles").distinct().join(
-        classes.select("k1", "k2", "n_shingles", "id"), ["k1", "k2", "n_shingles"])
     reps = classes.select("id", F.col("n_shingles").alias("n"), "bands")
     joined = class_links(docs, reps, size, similarity)
-    known = same.select("k1", "k2", "n_shingles", "id").distinct().join(joined, "id", "left").select(
+    known = classes.select("k1", "k2", "n_shingles", "id").join(joined, "id", "left").select(
         "k1", "k2", "n_shingles", F.coalesce("component", "id").alias("component_id"))
     out = usable.join(known, ["k1", "k2", "n_shingles"]).select("doc_id", "n_shingles", "component_id")
     alone = table.filter("doc_id IS NULL OR n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))

@@ -1,5 +1,7 @@
 """Operators 1, 3, 9 and 10 against plain Python, and their edge cases."""
 import hashlib
+import random
+import sys
 from collections import Counter
 
 import numpy as np
@@ -173,3 +175,28 @@ def test_sketch_agreement_is_the_similarity():
             assert (s != np.uint64(2**64 - 1)).all()  # every coordinate is filled
             agree.append((s[0] == s[1]).mean())
         assert abs(np.mean(agree) - common / (2 * n - common)) < 0.05
+
+
+@pytest.mark.parametrize("run,least,rounds", [(1 << 18, 1 << 15, 1), (50, 100, 20)])
+def test_components_take_few_rounds(spark, monkeypatch, run, least, rounds):
+    """Links of one task are joined without a round of shuffles; links of many tasks come out the same."""
+    module = sys.modules["revspark.llm.components"]
+    monkeypatch.setattr(module, "RUN", run)
+    monkeypatch.setattr(module, "LEAST", least)
+    written, keep = [], module.stored
+    monkeypatch.setattr(module, "stored", lambda df, name: written.append(name) or keep(df, name))
+    rng = random.Random(3)
+    links = [(i, i + 1) for i in range(100, 400)] + [(1000, 2000 + i) for i in range(300)] + [(5, 5), (None, 5)]
+    links += [(rng.randrange(5000, 5400), rng.randrange(5000, 5400)) for _ in range(250)] + [(7, 6)] * 9
+    rng.shuffle(links)
+    lowest = {}
+    for a, b in links:
+        if a is not None and a != b:
+            lowest.setdefault(a, a), lowest.setdefault(b, b)
+    while any(lowest[a] != lowest[b] for a, b in links if a in lowest and a != b):
+        for a, b in links:
+            if a in lowest and a != b:
+                lowest[a] = lowest[b] = min(lowest[a], lowest[b])
+    got = op10.components(spark.createDataFrame(links, "a long, b long").repartition(7)).collect()
+    assert {r["id"]: r["component"] for r in got} == {i: x for i, x in lowest.items() if i != x} and len(got) == len({r["id"] for r in got})
+    assert len(written) <= rounds
