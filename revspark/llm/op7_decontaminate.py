@@ -246,9 +246,11 @@ def blocks(bench: DataFrame, block_chars: int) -> Iterator[list[tuple]]:
             yield part
 
 
-def scan_leaks(docs: DataFrame, parts: list[list[tuple]], gram: int, common: float, min_score: float, kind: str) -> DataFrame:
+def scan_leaks(docs: DataFrame, parts: list[list[tuple]], gram: int, common: float, min_score: float, kind: str,
+               clean: bool = False) -> DataFrame:
     """``docs`` (doc_id, text, further columns) without the text, with the
-    ids and the best score of the leaks of several blocks, in one scan."""
+    ids and the best score of the leaks of several blocks, in one scan.
+    With ``clean``: the rows of ``docs`` that have no leak, unchanged."""
     sc = docs.sparkSession.sparkContext
     shared = [sc.broadcast(Items([t for _, t in part], gram, min_score)) for part in parts]
 
@@ -288,11 +290,16 @@ def scan_leaks(docs: DataFrame, parts: list[list[tuple]], gram: int, common: flo
                 for t, q, score in leaks_in(items.value, rare[block].value, words, off):
                     found[t].add(ids.value[block][q])
                     best[t] = max(best[t], score)
+            if clean:
+                yield batch.filter(pa.array([not x for x in found], pa.bool_()))
+                continue
             others = [i for i in range(batch.num_columns) if i != at]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(i) for i in others], pa.array([sorted(x, key=order) for x in found], pa.list_(entry)),
                  pa.array(best, pa.float64())], names=[*[batch.schema.names[i] for i in others], "item_ids", "score"])
 
+    if clean:
+        return docs.mapInArrow(search, docs.schema)
     fields = [f for f in docs.schema.fields if f.name != "text"]
     return docs.mapInArrow(search, StructType([*fields, StructField("item_ids", _parsed(docs, f"array<{kind}>")),
                                                StructField("score", DoubleType())]))
@@ -329,11 +336,19 @@ def judge(docs: DataFrame, bench: DataFrame, gram: int = GRAM, common: float = C
                         F.size("item_ids").cast("long").alias("n_items"), "score", (F.size("item_ids") == 0).alias("kept"))
 
 
-def drop_leaks(docs: DataFrame, bench: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` without a leak, with all their columns."""
+def drop_leaks(docs: DataFrame, bench: DataFrame, gram: int = GRAM, common: float = COMMON, min_score: float = MIN_SCORE,
+               block_chars: int = BLOCK_CHARS, scan_blocks: int = SCAN_BLOCKS) -> DataFrame:
+    """The rows of ``docs`` without a leak, with all their columns.  A
+    benchmark of one scan drops them where they are, without a join."""
+    parts = blocks(bench.select("item_id", "text"), block_chars)
+    chosen = list(islice(parts, scan_blocks))
+    if not chosen:
+        return docs
+    if next(parts, None) is None:
+        return scan_leaks(docs, chosen, gram, common, min_score, bench.schema["item_id"].dataType.simpleString(), clean=True)
     text = F.sha2(F.coalesce("text", F.lit("")), 256)  # rows of one doc_id with other texts are judged on their own
     named = docs.select(F.struct("doc_id", text.alias("sha")).alias("doc_id"), "text")
-    bad = judge(named, bench, **settings).filter("contaminated").select("doc_id.*").distinct()
+    bad = judge(named, bench, gram, common, min_score, block_chars, scan_blocks).filter("contaminated").select("doc_id.*").distinct()
     bad = stored(bad.select(F.col("doc_id").alias("__id"), F.col("sha").alias("__sha")), "op7-bad")
     return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__id")) & (text == F.col("__sha")), "left_anti")
 

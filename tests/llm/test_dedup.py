@@ -200,3 +200,25 @@ def test_components_take_few_rounds(spark, monkeypatch, run, least, rounds):
     got = op10.components(spark.createDataFrame(links, "a long, b long").repartition(7)).collect()
     assert {r["id"]: r["component"] for r in got} == {i: x for i, x in lowest.items() if i != x} and len(got) == len({r["id"] for r in got})
     assert len(written) <= rounds
+
+
+def test_keep_one_shuffles_few_texts(spark, monkeypatch):
+    """Rows whose document stays are not joined with the verdict; the others are told exactly, whatever the number of marks."""
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(900)}" for _ in range(30)) for _ in range(300)]
+    rows = [(i, t, "x") for i, t in enumerate(texts)] + [(1000 + i, texts[i], "y") for i in range(40)]
+    rows += [(7, "quite another text of this document", "z"), (1003, texts[3], "again"), (None, texts[0], "n"), (None, None, "n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept string").repartition(5)
+    want = {i for i in range(300)}
+    for marks in (op10.MARKS, 64):
+        monkeypatch.setattr(op10, "MARKS", marks)
+        kept = op10.keep_one(docs)
+        got = kept.collect()
+        assert Counter(r["doc_id"] for r in got if r["doc_id"] is not None) == Counter(want)
+        assert sum(r["doc_id"] is None for r in got) == 2 and kept.columns == docs.columns
+        touched = op10.apart(docs, spark.createDataFrame([(1003,), (7,)], "id long"))
+        assert touched[0].count() + touched[1].count() == len(rows)
+        assert {7, 1003} <= {r["doc_id"] for r in touched[1].collect()}
+    monkeypatch.undo()
+    touched = op10.apart(docs, spark.createDataFrame([(1003,), (7,)], "id long"))
+    assert touched[1].count() < 10

@@ -282,6 +282,20 @@ def test_blocks_never_change_the_result(spark, chars, scan):
     assert kept == Counter([(1, "clean words only here"), (None, "nothing of that kind"), (None, None)])
 
 
+def test_clean_rows_are_not_shuffled(spark, capsys):
+    """Rows with leaks are dropped where they are read: no exchange, all columns, repeated and null rows as they were."""
+    rows = [(1, "pre alpha beta gamma delta epsilon zeta eta post", {"a": 1}), (1, "clean", {"b": 2}), (1, "clean", {"b": 2}),
+            (None, None, None), (None, "x alpha beta gamma delta epsilon zeta eta", None), (2, "", {})]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, more map<string,long>")
+    bench = spark.createDataFrame([(4, "alpha beta gamma delta epsilon zeta eta")], "item_id long, text string")
+    kept = op7.drop_leaks(docs, bench)
+    assert kept.schema == docs.schema
+    assert sorted(map(str, kept.collect())) == sorted(map(str, (r for r in docs.collect() if "alpha" not in (r["text"] or ""))))
+    kept.explain()
+    assert "Exchange" not in capsys.readouterr().out
+    assert op7.drop_leaks(docs, bench.limit(0)).count() == len(rows)
+
+
 def found_in(rows, items, **settings):
     block = op7.Items([t for _, t in items], op7.GRAM, op7.MIN_SCORE)
     words, off = op7.words_by_text([t for _, t in rows])
