@@ -69,6 +69,8 @@ def read_reviews_auto(spark, sf):
 
 
 _OTHER = "[^\\x00-\\x7f\\x{a0}-\\x{ff}" + "".join(f"\\x{{{ord(c):x}}}" for c in csv.CP1252.values()) + "]"
+#: The same characters for Java, which asks every character for all parts of a long class: ASCII is told by the first part.
+_OTHER_JAVA = f"[\\x{{80}}-\\x{{10ffff}}&&{_OTHER}]"
 
 
 @query("read_reviews_windows",
@@ -77,7 +79,7 @@ def read_reviews_windows(spark, sf):
     """Reviews in cp1252 bytes (curly quotes and a euro sign put around every
     text), which no UTF-8 or Latin-1 reader gets right."""
     path = _fresh(spark, "reviews-windows")
-    text = F.regexp_replace(F.concat(F.lit("“"), "text", F.lit("” 5 €")), _OTHER, "?")
+    text = F.regexp_replace(F.concat(F.lit("“"), "text", F.lit("” 5 €")), _OTHER_JAVA, "?")
     control = F.translate(text, "".join(csv.CP1252.values()), "".join(map(chr, csv.CP1252)))
     src = reviews(spark, sf).select(F.col("id").cast("string").alias("id"), control.alias("text"),
                                     F.col("label_raw").cast("string").alias("label"))

@@ -108,3 +108,29 @@ def test_stream_of_a_table_in_one_file_or_a_folder_of_files(spark, tmp_dir, fold
     pd.DataFrame([(9, "another table")], columns=["doc_id", "text"]).to_parquet(os.path.join(tmp_dir, "benchmark.parquet"))
     rows = {tuple(r) for r in stream_clean(spark, tmp_dir).select("id", "text", "label").collect()}
     assert rows == {(i, f"text number {i}", 1 if i == 1 else 0) for i in range(7)}
+
+
+def test_windows_source_is_cut_fast(spark):
+    """The class of read_reviews_windows takes the characters of its SQL, and asks ASCII once."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    from revspark.plans import io_queries as Q
+
+    every = spark.range(0x80, 0x110000).filter("id NOT BETWEEN 55296 AND 57343 AND id <> 65279").select(
+        F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c")).unionByName(spark.range(128).select(F.char("id").alias("c")))
+    count = lambda p: F.count_if(F.col("c").rlike(p))
+    row = every.agg(count(Q._OTHER).alias("a"), count(Q._OTHER_JAVA).alias("b"),
+                    F.count_if(F.col("c").rlike(Q._OTHER) != F.col("c").rlike(Q._OTHER_JAVA)).alias("d")).first()
+    assert row["a"] == row["b"] == 0x110000 - 2048 - 1 - 128 - 96 - 27 and row["d"] == 0
+    plan = Q.read_reviews_windows.__code__.co_names
+    assert "_OTHER_JAVA" in plan and "_OTHER" not in plan
+    texts = spark.range(2000, numPartitions=4).select(F.repeat(F.concat(F.lit("plain words "), "id"), 300).alias("c")).cache()
+    texts.count()
+    took = []
+    for pattern in (Q._OTHER, Q._OTHER_JAVA) * 2:
+        begun = time.perf_counter()
+        texts.agg(F.sum(F.length(F.regexp_replace("c", pattern, "?")))).first()
+        took.append(time.perf_counter() - begun)
+    assert took[3] < took[2] / 2
