@@ -3,9 +3,9 @@
 * :func:`hash_embeddings` – the built-in encoder: each token goes to bucket
   ``int(md5[0:7], 16) % dim`` with sign ``+1`` when the 8th hex digit is < 8,
   else ``-1``; the signs are summed per bucket and the vector is
-  L2-normalised.  Everything belongs to one row: the codes are native
-  expressions, an Arrow batch sums them per row, nothing is shuffled and
-  other columns stay beside the vector.  It stands in for the
+  L2-normalised.  Everything belongs to one row: an Arrow batch looks its
+  tokens up and sums their signs per row, nothing is shuffled and other
+  columns stay beside the vector.  It stands in for the
   sentence-transformer weights that are not available offline.
 * :func:`embed_texts` – the batch encoder path: Arrow batches, the encoder is
   built once per task and called on batches of ``batch_size`` texts of similar
@@ -32,45 +32,62 @@ BATCH = 32
 # Fixed value: tokens of a text that an encoder reads.
 MAX_TOKENS = 512
 R = 6
+#: Texts whose sums are made at once, and token codes that a task keeps.
+ROWS_AT_ONCE, MAX_CODES = 1024, 1 << 18
 
 
 def _tokens(c):
     return F.filter(F.split(collapse_whitespace(c), " ", -1), lambda w: F.length(w) > 0)
 
 
-def _codes(c, dim: int):
-    """Per token ``2 * bucket + (1 if negative)``, from the first 8 hex digits
-    of its MD5 as one number: 7 digits above, the sign's digit below."""
-    numbers = F.transform(_tokens(c), lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long"))
-    return F.transform(numbers, lambda x: (F.shiftright(x, 4) % dim * 2 + F.shiftright(x.bitwiseAND(8), 3)).cast("int"))
+def _hashed(df: DataFrame, text_col: str, dim: int, made: list, columns: Callable) -> DataFrame:
+    """``df`` without ``text_col``, with the fields ``made``: what ``columns``
+    gives, as (values, which are null), for the signed sum of every bucket and
+    their norm of some rows; the norm of a text without tokens is nan.
 
-
-def hash_counts(df: DataFrame, text_col: str = "text", dim: int = DIM) -> DataFrame:
-    """``df`` without ``text_col``, with ``counts array<int>``: the signed sum
-    of every bucket, and their ``norm``; null for a text without tokens.
-
-    The norm is a column of the Arrow batches: as an expression over ``counts``
-    a filter on the vector would take it into the vector's lambda, and sum the
-    whole vector up again for each of its entries."""
+    A token's code is ``2 * bucket + (1 if negative)``, from the first 8 hex
+    digits of its MD5 as one number: 7 digits above, the sign's digit below.
+    A task keeps the codes of the tokens that it has seen."""
     others = [c for c in df.columns if c != text_col]
-    codes = df.select(*others, _codes(F.coalesce(F.col(text_col), F.lit("")), dim).alias("__codes"))
+    texts = df.select(*others, F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("__text"))
+    names = [*others, *(f.name for f in made)]
 
     def run(batches):
-        for batch in batches:
-            lists = batch.column(len(others))
-            off = np.asarray(lists.offsets)
-            size = np.diff(off)
-            code = np.asarray(lists.values)[off[0]: off[-1]]
-            slot = np.repeat(np.arange(len(size)), size) * dim + code // 2
-            total = np.bincount(slot, weights=1.0 - 2.0 * (code % 2), minlength=len(size) * dim).astype(np.int32)
-            rows = pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1, dtype=np.int32) * dim), pa.array(total),
-                                            mask=pa.array(size == 0))
-            norm = np.sqrt((total.reshape(-1, dim).astype(np.int64) ** 2).sum(1).astype(np.float64))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], rows, pa.array(norm, mask=size == 0)], names=[*others, "counts", "norm"])
-
-    schema = T.StructType([*[df.schema[c] for c in others], T.StructField("counts", T.ArrayType(T.IntegerType())),
-                           T.StructField("norm", T.DoubleType())])
-    return codes.mapInArrow(run, schema)
+        class Codes(dict):
+            def __missing__(self, token):
+                x = int.from_bytes(hashlib.md5(token.encode()).digest()[:4], "big")
+                self[token] = code = (x >> 4) % dim * 2 + (x >> 3 & 1)
+                return code
+
+        def column(values, null):
+            if values.ndim == 1:
+                return pa.array(values, mask=null)
+            ends = pa.array(np.arange(len(values) + 1, dtype=np.int32) * dim)
+            return pa.ListArray.from_arrays(ends, pa.array(values.ravel()), mask=pa.array(null))
+
+        codes = Codes()
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch, found = whole.slice(at, ROWS_AT_ONCE), []
+                for text in batch.column(len(others)):
+                    tokens = text.as_py().decode("utf-8", "replace").split()
+                    found.append(np.fromiter(map(codes.__getitem__, tokens), np.int64, len(tokens)))
+                    if len(codes) > MAX_CODES:
+                        codes.clear()
+                size, code = np.array([len(x) for x in found]), np.concatenate(found)
+                slot = np.repeat(np.arange(len(size)), size) * dim + code // 2
+                total = np.bincount(slot, weights=1.0 - 2.0 * (code % 2), minlength=len(size) * dim).astype(np.int32).reshape(-1, dim)
+                norm = np.where(size > 0, np.sqrt((total.astype(np.int64) ** 2).sum(1).astype(np.float64)), np.nan)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(column(*x) for x in columns(total, norm))], names=names)
+
+    return texts.mapInArrow(run, T.StructType([*[df.schema[c] for c in others], *made]))
+
+
+def hash_counts(df: DataFrame, text_col: str = "text", dim: int = DIM) -> DataFrame:
+    """``df`` without ``text_col``, with ``counts array<int>``: the signed sum
+    of every bucket, and their ``norm``; null for a text without tokens."""
+    made = [T.StructField("counts", T.ArrayType(T.IntegerType())), T.StructField("norm", T.DoubleType())]
+    return _hashed(df, text_col, dim, made, lambda total, norm: [(total, np.isnan(norm)), (norm, np.isnan(norm))])
 
 
 def hash_embedding_entries(df: DataFrame, text_col: str = "text", id_col: str = "id",
@@ -85,10 +102,12 @@ def hash_embeddings(df: DataFrame, text_col: str = "text", id_col: str = "id", d
                     keep: list[str] | None = None) -> DataFrame:
     """Dense ``(id, *keep, embedding array<float>)``, no shuffle.  A text
     without tokens has a null vector, never zeros."""
-    rows = hash_counts(df.select(F.col(id_col).alias("id"), *(keep or []), F.col(text_col)), text_col, dim)
-    # signs that cancel out in every bucket leave no direction: null as well
-    vector = F.when(F.col("norm") > 0, F.transform("counts", lambda v: (v / F.col("norm")).cast("float")))
-    return rows.select("id", *(keep or []), vector.alias("embedding"))
+    def columns(total, norm):
+        some = norm > 0  # signs that cancel out in every bucket leave no direction: null as well
+        return [((total / np.where(some, norm, 1.0)[:, None]).astype(np.float32), ~some)]
+
+    rows = df.select(F.col(id_col).alias("id"), *(keep or []), F.col(text_col))
+    return _hashed(rows, text_col, dim, [T.StructField("embedding", T.ArrayType(T.FloatType()))], columns)
 
 
 # -- batch encoders (E1) -----------------------------------------------------------

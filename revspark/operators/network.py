@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import Blocks, gathered, moments, summed
+from .blocks import Blocks, gathered, moments, summed_groups
 
 # Batch normalisation, Adam and plateau settings, last dropout factor.
 EPS, MOMENTUM = 1e-5, 0.1
@@ -101,34 +101,63 @@ def cross_entropy(z: np.ndarray, y: np.ndarray) -> float:
 def backward(theta: np.ndarray, sizes: list[int], dropout: float, x: np.ndarray, y: np.ndarray, rng=None):
     """One mini-batch in training mode: gradient, batch means and unbiased
     variances, loss, rows predicted right.  ``rng`` None: no dropout."""
+    return gradients(theta, sizes, dropout, x, y, [len(y)], [rng])
+
+
+def gradients(theta: np.ndarray, sizes: list[int], dropout: float, x: np.ndarray, y: np.ndarray, ends: list[int], rngs: list):
+    """As ``backward``, summed over mini-batches that lie one below the other,
+    ``ends`` the row after each: every mini-batch has its own statistics and
+    dropout, the matrix products are made once for all rows."""
     p, kept, a, stats = split(theta, sizes), [], x, []
-    hidden, n = len(sizes) - 1, len(y)
+    hidden, cuts, n = len(sizes) - 1, list(zip([0, *ends], ends)), np.diff([0, *ends])
     for layer, rate in enumerate(rates(hidden, dropout)):
         w, b, scale, shift = p[4 * layer: 4 * layer + 4]
-        z = a @ w + b
-        mean, var = z.mean(0), z.var(0)
-        unit = (z - mean) / np.sqrt(var + EPS)
-        stats += [mean, var * n / max(1, n - 1)]
-        out = scale * unit + shift
-        on = (out > 0).astype(np.float64)
-        if rng is not None and rate > 0:
-            on *= (rng.random(out.shape) >= rate) / (1 - rate)
-        kept.append((a, unit, np.sqrt(var + EPS), on))
-        a = out * on
+        unit = a @ w
+        out, sds, means, variances = np.empty_like(unit), [], 0.0, 0.0
+        for (i, j), rng in zip(cuts, rngs):
+            z, to = unit[i:j], out[i:j]
+            mean = z.mean(0)
+            z -= mean
+            var = np.einsum("ij,ij->j", z, z) / (j - i)
+            sds.append(np.sqrt(var + EPS))
+            z /= sds[-1]
+            means, variances = means + mean + b, variances + var * ((j - i) / max(1, j - i - 1))
+            np.multiply(z, scale, out=to)
+            to += shift
+            on = to > 0
+            if rng is not None and rate > 0:
+                on &= rng.random(to.shape) >= rate
+                to *= 1 / (1 - rate)
+            to *= on
+            kept.append(on)
+        stats += [means, variances]
+        kept.append((a, unit, sds, rate))
+        a = out
     z = a @ p[-2] + p[-1][0]
     grad = [np.empty(0)] * len(p)
-    up = (sigmoid(z) - y) / n
+    up = (sigmoid(z) - y) / np.repeat(n, n)
     grad[-2], grad[-1] = a.T @ up, np.array([up.sum()])
     up = np.outer(up, p[-2])
     for layer in reversed(range(hidden)):
-        a, unit, sd, on = kept[layer]
+        a, unit, sds, rate = kept.pop()
         w, _, scale, _ = p[4 * layer: 4 * layer + 4]
-        up = up * on
-        grad[4 * layer + 2], grad[4 * layer + 3] = (up * unit).sum(0), up.sum(0)
-        up = scale / sd * (up - up.mean(0) - unit * (up * unit).mean(0))
-        grad[4 * layer], grad[4 * layer + 1] = a.T @ up, up.sum(0)
-        up = up @ w.T
-    return np.concatenate([g.ravel() for g in grad]), stats, cross_entropy(z, y), int(((z > 0) == (y == 1)).sum())
+        scales, shifts = np.zeros(len(scale)), np.zeros(len(scale))
+        for (i, j), sd, rng in reversed(list(zip(cuts, sds, rngs))):
+            v, u = unit[i:j], up[i:j]
+            u *= kept.pop()
+            if rng is not None and rate > 0:
+                u *= 1 / (1 - rate)
+            along, whole = np.einsum("ij,ij->j", u, v), u.sum(0)
+            scales += along
+            shifts += whole
+            u -= whole / (j - i)
+            u -= v * (along / (j - i))
+            u *= scale / sd
+        grad[4 * layer: 4 * layer + 4] = a.T @ up, up.sum(0), scales, shifts
+        if layer:
+            up = up @ w.T
+    loss = sum(cross_entropy(z[i:j], y[i:j]) for i, j in cuts)
+    return np.concatenate([g.ravel() for g in grad]), stats, loss, int(((z > 0) == (y == 1)).sum())
 
 
 def forward(theta: np.ndarray, sizes: list[int], running: list[np.ndarray], x: np.ndarray) -> np.ndarray:
@@ -137,19 +166,34 @@ def forward(theta: np.ndarray, sizes: list[int], running: list[np.ndarray], x: n
     for layer in range(len(sizes) - 1):
         w, b, scale, shift = p[4 * layer: 4 * layer + 4]
         mean, var = running[2 * layer: 2 * layer + 2]
-        a = np.maximum(0, scale * (a @ w + b - mean) / np.sqrt(var + EPS) + shift)
+        a = a @ w
+        a += b - mean
+        a *= scale / np.sqrt(var + EPS)
+        a += shift
+        np.maximum(a, 0, out=a)
     return a @ p[-2] + p[-1][0]
 
 
+def stacked(group: list, mean: np.ndarray, sd: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """The standardised features and the labels of blocks, one below the
+    other, and the row after each."""
+    x, y = (np.concatenate([block[i] for block in group]) for i in (1, 2))
+    x -= mean
+    x /= sd
+    return x, y, np.cumsum([len(block[2]) for block in group]).tolist()
+
+
 def validate(blocks: Blocks, net: Network) -> tuple[float, float]:
     """Loss (mean over the mini-batches) and accuracy."""
     theta, sizes, running, mean, sd = net.theta, net.sizes, net.running, net.mean, net.sd
 
-    def f(_, x, y, w):
-        z = forward(theta, sizes, running, (x - mean) / sd)
-        return np.array([cross_entropy(z, y), 1, ((z > 0) == (y == 1)).sum(), len(y)], dtype=np.float64)
+    def f(group):
+        x, y, ends = stacked(group, mean, sd)
+        z = forward(theta, sizes, running, x)
+        loss = sum(cross_entropy(z[i:j], y[i:j]) for i, j in zip([0, *ends], ends))
+        return [np.array([loss, len(ends), ((z > 0) == (y == 1)).sum(), len(y)], dtype=np.float64)]
 
-    found = summed(blocks, f)
+    found = summed_groups(blocks, f)
     return (found[0] / found[1], found[2] / found[3]) if found is not None else (math.nan, math.nan)
 
 
@@ -183,12 +227,13 @@ def _fit(net: Network, blocks: Blocks, held: Blocks, rate: float, epochs: int, p
         for step in range(steps):
             theta = net.theta
 
-            def f(block, x, y, w):
-                rng = np.random.default_rng([seed, epoch, block])
-                grad, stats, loss, right = backward(theta, sizes, dropout, (x - mean) / sd, y, rng)
-                return np.concatenate([grad, *stats, [loss, 1, right, len(y)]])
+            def f(group):
+                x, y, ends = stacked(group, mean, sd)
+                rngs = [np.random.default_rng([seed, epoch, block[0]]) for block in group]
+                grad, stats, loss, right = gradients(theta, sizes, dropout, x, y, ends, rngs)
+                return [np.concatenate([grad, *stats, [loss, len(ends), right, len(y)]])]
 
-            found = summed(blocks, f, blocks.frame.filter(step_of == step))
+            found = summed_groups(blocks, f, blocks.frame.filter(step_of == step))
             if found is None:  # no mini-batch fell into this step
                 continue
             totals += found[-4:]

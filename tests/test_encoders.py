@@ -1,4 +1,6 @@
 """Encoders, vocabulary sketches, and a saved model on a stream."""
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -83,3 +85,34 @@ def test_a_filter_on_the_vectors_sums_no_vector_up_again(spark):
     assert "aggregate(" not in rows._jdf.queryExecution().optimizedPlan().toString()
     found = rows.collect()
     assert [r["id"] for r in found] == [1] and abs(sum(v * v for v in found[0]["embedding"]) - 1) < 1e-6
+
+
+def test_tokens_are_looked_up_in_batches(spark, monkeypatch):
+    """Every distinct token is hashed once in a while, none by an expression for each; blanks, bytes that are
+    no text, texts without tokens and a full table of codes change nothing."""
+    odd = [(1, "a b\x85c　d\x1ce a a"), (2, ""), (3, None), (4, " \t "), (5, "été 日本 \U0001f600 ﻿q"), (6, "x​y x")]
+    odd += [(i, " ".join(f"w{i * j}" for j in range(i))) for i in range(7, 60)]
+    df = spark.createDataFrame(odd, "id long, text string").repartition(2)
+    broken = spark.sql("SELECT 99L AS id, CAST(x'61ff6220c328' AS STRING) AS text")
+    assert "md5" not in embedding.hash_counts(df)._jdf.queryExecution().toString()
+
+    def vector(text):
+        out = [0] * 384
+        for w in (text or "").split():
+            h = hashlib.md5(w.encode()).hexdigest()
+            out[int(h[:7], 16) % 384] += 1 if int(h[7], 16) < 8 else -1
+        return out if (text or "").split() else None
+
+    want = {i: vector(t) for i, t in [*odd, (99, "a�b �(")]}
+    for rows, codes in ((1024, 1 << 18), (5, 3)):
+        monkeypatch.setattr(embedding, "ROWS_AT_ONCE", rows)
+        monkeypatch.setattr(embedding, "MAX_CODES", codes)
+        got = {r["id"]: r["counts"] for r in embedding.hash_counts(df.union(broken)).collect()}
+        assert got == want
+    vectors = {r["id"]: r["embedding"] for r in embedding.hash_embeddings(df).collect()}
+    for i, _ in odd:
+        if want[i] is None or not any(want[i]):
+            assert vectors[i] is None
+        else:
+            norm = sum(v * v for v in want[i]) ** 0.5
+            assert vectors[i] == [float(np.float32(v / norm)) for v in want[i]]

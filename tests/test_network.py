@@ -138,3 +138,38 @@ def test_squared_hinge_without_balance(spark):
     df = toy(spark, 200, noise=0.2)
     model = H.train_squared_hinge(df, C=0.1, balanced=False)
     assert model.gradient < 1e-4 and model.architecture["input_dim"] == 6
+
+
+def test_groups_sum_like_their_blocks():
+    """One gradient over mini-batches below one another is the sum of theirs, dropout and statistics included."""
+    rng = np.random.default_rng(4)
+    sizes, ns = [6, 9, 7, 5], [8, 9, 1, 8]
+    theta = N.initial(sizes, 2)
+    x, y, ends = rng.normal(size=(26, 6)), rng.integers(0, 2, 26).astype(float), np.cumsum(ns).tolist()
+    for dropout in (0.0, 0.3):
+        grad, stats, loss, right = N.gradients(theta, sizes, dropout, x, y, ends, [np.random.default_rng(b) for b in range(4)])
+        alone = [N.backward(theta, sizes, dropout, x[j - n:j], y[j - n:j], np.random.default_rng(b)) for b, (n, j) in enumerate(zip(ns, ends))]
+        assert np.allclose(grad, sum(a[0] for a in alone), atol=1e-12)
+        assert all(np.allclose(s, sum(a[1][i] for a in alone), atol=1e-12) for i, s in enumerate(stats))
+        assert loss == pytest.approx(sum(a[2] for a in alone)) and right == sum(a[3] for a in alone)
+
+
+def test_blocks_hold_features_as_bytes(spark):
+    """Features cross to the workers as the numbers' own bytes, over any batch size; groups give every block once."""
+    df = toy(spark, 300).withColumn("embedding", F.transform("embedding", lambda v: F.round(v, 3)))
+    kinds = {"float": "float32", "double": "float64"}
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for records in ("7", batch):  # blocks that go on in the next batch
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", records)
+            for sql, kind in kinds.items():
+                made = B.gathered(df.withColumn("embedding", F.col("embedding").cast(f"array<{sql}>")), 16)
+                rows = made.frame.collect()
+                assert made.kind == kind and {len(r["x"]) for r in rows} == {len(r["y"]) * 6 * np.dtype(kind).itemsize for r in rows}
+                got = sorted((*x, y) for r in rows for x, y in zip(np.frombuffer(r["x"], kind).reshape(-1, 6).tolist(), r["y"]))
+                assert np.allclose(got, sorted((*r["embedding"], r["label"]) for r in df.collect()))
+                found = B.summed_groups(made, lambda group: [np.array([len(group), sum(len(b[2]) for b in group), 1.0])], rows=64)
+                assert found[0] == made.count and found[1] == 300 and found[2] < made.count
+                made.unpersist()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
