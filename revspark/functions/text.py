@@ -50,6 +50,10 @@ _ODD_SPACE = r"[\x00-\x1f\x7f-\x{10ffff}&&[" + SPACE + r"]]"
 _ANY_SPACE = r"[\x00-\x20\x7f-\x{10ffff}&&[" + SPACE + r"]]"
 SPACE_RUN = " " + _ANY_SPACE + "+|" + _ODD_SPACE + _ANY_SPACE + "*"
 SPECIAL = r"[\x00-\x1f\x23-\x26\x2a\x2b\x2f\x3c-\x40\x5c\x5e\x60\x7b-\x{10ffff}&&[^" + WORD + SPACE + KEPT_PUNCT + "]]"
+# What strip_specials and collapse_whitespace replace by blanks, as one class.
+_ANY_BREAK = r"[\x00-\x20\x23-\x26\x2a\x2b\x2f\x3c-\x40\x5c\x5e\x60\x7b-\x{10ffff}&&[^" + WORD + KEPT_PUNCT + "]]"
+_ODD_BREAK = _ANY_BREAK.replace(r"\x00-\x20", r"\x00-\x1f", 1)
+BREAK_RUN = " " + _ANY_BREAK + "+|" + _ODD_BREAK + _ANY_BREAK + "*"
 # A word of 3+ ASCII capitals; the capitals are looked for first.  Java looks
 # behind by code points only if the pattern has one above U+FFFF: U+10000, a letter.
 CAPS_START = r"(?=[A-Z]{3,}(?![" + WORD + r"]))(?<![" + WORD + "\U00010000])"
@@ -121,6 +125,11 @@ def strip_specials(c) -> Column:
     return F.regexp_replace(_c(c), SPECIAL, " ")
 
 
+def blank_breaks(c) -> Column:
+    """``collapse_whitespace`` of ``strip_specials``, in one pass."""
+    return F.trim(F.regexp_replace(_c(c), BREAK_RUN, " "))
+
+
 def lower_caps_words(c) -> Column:
     """Lower-case whole words made of 3+ ASCII capitals.
 
@@ -164,14 +173,18 @@ def clean_text(c, policy: str = "standard") -> Column:
 
 
 def _steps(policy: str):
-    """The cleaning steps of a policy as Column -> Column functions."""
+    """The cleaning steps of a policy as Column -> Column functions.
+
+    Blanks are made one where specials are replaced: no step before asks which
+    or how many blanks there are, none after makes runs of them or looks at
+    the ends of a text."""
     if policy == "embed":
         return [F.lower, strip_html, lambda c: mask_urls(c, "embed"), lambda c: mask_emails(c, "embed"),
-                squash_punctuation, strip_specials, collapse_whitespace]
+                squash_punctuation, blank_breaks]
     if policy not in ("standard", "extended"):
         raise ValueError(f"unknown cleaning policy {policy!r}")
-    return [normalize_spaces, strip_html, lambda c: mask_urls(c, policy), mask_emails,
-            squash_punctuation, strip_specials, lower_caps_words, squeeze_repeats, collapse_whitespace]
+    return [strip_html, lambda c: mask_urls(c, policy), mask_emails, squash_punctuation, blank_breaks,
+            lower_caps_words, squeeze_repeats]
 
 
 def with_clean_text(df, in_col: str = "text", policy: str = "standard",

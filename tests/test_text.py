@@ -110,3 +110,32 @@ def test_texts_without_a_step_s_characters_spare_the_regex_engine(spark):
     df = spark.createDataFrame([("a",)], "text string")
     for f, literals in ((T.strip_html, "<"), (T.mask_urls, "http"), (T.mask_emails, "@"), (T.squash_punctuation, "!!!")):
         assert f"contains(namedlambdavariable(), {literals})" in df.select(f("text")).columns[0]
+
+
+def test_cleaners_equal_their_steps_one_by_one(spark):
+    """Blanks and specials are replaced in one pass; the texts are those of the single steps in the specified order."""
+    import random
+
+    from revspark.functions import text as T
+
+    odd = [" ", "  ", "    ", "\t", "\n", "\r\n", "\x0b", FS, "\x85", NBSP, " ", "　", "​", "\x00", "\x7f", "a", "aaaa", "é", "ABC", "HELLO", "Ab", "_", "9", "²",
+           "<", "<b>", "<\n>", ">", "http://x.y", "https://", "www.", "www", "x@y.z", "@", ".", "..", "....", "!!!!", "??", "-", "----", "'", '"', "\\", "^", "~", "*",
+           "😀", "𝐀", "𠀀", "́", "İ", "null", "nan"]
+    rnd = random.Random(5)
+    rows = [("".join(rnd.choices(odd, k=rnd.randrange(1, 10))),) for _ in range(30000)] + [("",), (None,), (" ",), ("NULL",), (" null ",)]
+    df = spark.createDataFrame(rows, "t string").repartition(8)
+    raw, blank = F.coalesce("t", F.lit("")), "^[" + T.SPACE + "]+|[" + T.SPACE + "]+$"
+    for policy in ("standard", "extended", "embed"):
+        steps = [F.lower] if policy == "embed" else [T.normalize_spaces]
+        steps += [T.strip_html, lambda c: T.mask_urls(c, policy), lambda c: T.mask_emails(c, policy), T.squash_punctuation, T.strip_specials]
+        steps += [T.collapse_whitespace] if policy == "embed" else [T.lower_caps_words, T.squeeze_repeats, T.collapse_whitespace]
+        want = raw
+        for step in steps:
+            want = step(want)
+        if policy != "embed":
+            marker = F.lower(raw if policy == "standard" else F.regexp_replace(raw, blank, "")).isin(*T.NULL_MARKERS)
+            want = F.when(marker, "").otherwise(want)
+        got = T.with_clean_text(df, "t", policy, "got")
+        assert got.filter(~F.col("got").eqNullSafe(want)).limit(3).collect() == [], policy
+        assert df.filter(~T.clean_text("t", policy).eqNullSafe(want)).limit(3).collect() == [], policy
+        assert T.SPACE_RUN not in got.select("got")._jdf.queryExecution().toString().replace(blank, "")  # no pass of its own
